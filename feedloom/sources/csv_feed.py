@@ -60,7 +60,11 @@ def _bind_headers(index: DataFrame, columns: Sequence[str], width: int) -> DataF
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], multi_line: bool | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str],
+    multi_line: bool | None = None,
+    clean: bool = True,
 ) -> DataFrame:
     """Records of CSV files with a header, every cell as trimmed text or NULL.
 
@@ -69,7 +73,8 @@ def read_csv(
     and ``columns``; absent ones are NULL, others are ignored.
 
     Quoted cells may hold line breaks. By default the counting pass finds out
-    whether any do; ``multi_line=False`` skips that check.
+    whether any do; ``multi_line=False`` skips that check. ``clean=False`` leaves
+    the cells untrimmed.
     """
     columns = list(columns)
     rows = L.read_lines(spark, paths)
@@ -97,9 +102,23 @@ def read_csv(
         F.col("__n") != F.col("header_width"),
         F.format_string("row has %d column(s) but the header has %d", F.col("__n"), F.col("header_width")),
     )
+    picked = [F.get("__cells", F.get("positions", F.lit(i))) for i in range(len(columns))]
     bound_cells = [
-        F.when(F.col("parse_error").isNull(), cell(F.get("__cells", F.get("positions", F.lit(i))))).alias(name)
-        for i, name in enumerate(columns)
+        F.when(F.col("parse_error").isNull(), cell(c) if clean else c).alias(name) for c, name in zip(picked, columns)
     ]
     return parsed.withColumn("parse_error", ragged).select("record_number", L.FILE, "parse_error", *bound_cells)
 
+
+
+def header_names(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Column names of the feed's files, in the order they first appear; none for empty files."""
+    first = L.read_lines(spark, paths)
+    index = L.with_all_first_lines(first, L.block_index(first, F.lit(False)))
+    lines = index.select("first_line").distinct()
+    width = lines.agg(F.max(cell_count(F.col("first_line")))).first()[0]
+    if width is None:
+        return []
+    cells = F.posexplode(F.array(*[F.col(f"__h.c{i}") for i in range(width)])).alias("place", "name")
+    named = lines.withColumn("__h", _cells(F.col("first_line"), width)).select(cells)
+    order = named.where(F.col("name").isNotNull()).select("place", trimmed(F.col("name")).alias("name"))
+    return [r[0] for r in order.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()]
