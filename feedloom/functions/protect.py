@@ -4,8 +4,8 @@ Stored form: ``v1:<base64 IV>:<base64 ciphertext and tag>``, AES-256-GCM.
 
 The IV is a column of its own, drawn by a nondeterministic function: Catalyst
 folds and duplicates an ``aes_encrypt`` without one, because it takes the call
-for deterministic. The key is a literal of the plan, so plans of these jobs are
-only printed redacted (see ``session.configure``).
+for deterministic. The key is a literal of the plan, never part of SQL text;
+plans of these jobs are only printed redacted (see ``session.configure``).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import is_blank
+from feedloom.functions.text import is_blank, quoted
 from feedloom.session import configure
 
 # Fixed values ---------------------------------------------------------------
@@ -37,54 +37,57 @@ def check_key(key: str | None) -> bytes:
     return raw
 
 
-def _plain_base64(c: Column) -> Column:
-    # Spark may break long base64 text into lines, depending on a setting.
-    return F.translate(F.base64(c), "\r\n", "")
-
-
-def _sealed(plain: Column, key: bytes, iv: Column) -> Column:
-    sealed = F.aes_encrypt(plain.cast("string"), F.lit(key), F.lit("GCM"), F.lit("DEFAULT"), iv)
-    return F.concat(
-        F.lit(VERSION + ":"), _plain_base64(iv), F.lit(":"), _plain_base64(F.substring(sealed, IV_BYTES + 1, 2**31 - 1))
-    )
-
-
-def encrypt_columns(df: DataFrame, targets: Mapping[str, Column], key: str) -> DataFrame:
-    """Add one encrypted column per entry of ``targets`` (new name: plain value).
+def encrypt_columns(df: DataFrame, targets: Mapping[str, str], key: str) -> DataFrame:
+    """Add one encrypted column per entry of ``targets`` (new name: SQL of the plain value).
 
     NULL or blank values are not encrypted, they become NULL. Every value gets
     its own IV. Write the result once and read it from there: that fixes the
     IVs for all later readers.
     """
-    raw = check_key(key)
+    raw = F.lit(check_key(key))
     configure(df.sparkSession)
     salt = uuid.uuid4().hex
-    ivs = {f"__iv_{i}": name for i, name in enumerate(targets)}
-    with_ivs = df.withColumns(
+    names = list(targets)
+    df = df.withColumns(
+        {
+            f"__iv_{i}": F.expr(f"substr(unhex(sha2(concat(uuid(), '{salt}'), 256)), 1, {IV_BYTES})")
+            for i in range(len(names))
+        }
+        | {f"__plain_{i}": F.expr(f"cast({targets[n]} AS string)") for i, n in enumerate(names)}
+    )
+    # aes_encrypt returns the IV, the ciphertext and the tag, in this order.
+    df = df.withColumns(
         {
-            iv: F.substring(F.unhex(F.sha2(F.concat(F.uuid(), F.lit(salt)), 256)), 1, IV_BYTES)
-            for iv in ivs
+            f"__sealed_{i}": F.when(
+                ~F.expr(is_blank(f"__plain_{i}")),
+                F.aes_encrypt(F.col(f"__plain_{i}"), raw, F.lit("GCM"), F.lit("DEFAULT"), F.col(f"__iv_{i}")),
+            )
+            for i in range(len(names))
         }
     )
-    sealed = {
-        name: F.when(~is_blank(targets[name].cast("string")), _sealed(targets[name], raw, F.col(iv)))
-        for iv, name in ivs.items()
+    # Spark may break long base64 text into lines, depending on a setting: translate undoes it.
+    stored = {
+        n: F.expr(
+            f"concat('{VERSION}:', base64(__iv_{i}), ':',"
+            f" translate(base64(substr(__sealed_{i}, {IV_BYTES + 1})), '\\r\\n', ''))"
+        )
+        for i, n in enumerate(names)
     }
-    return with_ivs.withColumns(sealed).drop(*ivs)
+    helpers = [f"__{kind}_{i}" for kind in ("iv", "plain", "sealed") for i in range(len(names))]
+    return df.withColumns(stored).drop(*helpers)
 
 
-def decrypted(c: Column, key: str) -> Column:
+def decrypted(c: str, key: str) -> Column:
     """The plain text, or NULL when the value is malformed, tampered with or of another key."""
-    raw = check_key(key)
-    parts = F.split(c, ":", -1)
-    iv = F.try_to_binary(F.get(parts, F.lit(1)), F.lit("base64"))
-    body = F.try_to_binary(F.get(parts, F.lit(2)), F.lit("base64"))
-    well_formed = (F.size(parts) == 3) & (F.get(parts, F.lit(0)) == VERSION) & (F.octet_length(iv) == IV_BYTES)
-    plain = F.try_aes_decrypt(F.concat(iv, body), F.lit(raw), F.lit("GCM"), F.lit("DEFAULT"))
-    return F.when(well_formed, plain.cast("string"))
+    raw = F.lit(check_key(key))
+    part = f"split({c}, ':', -1)"
+    iv, body = (f"try_to_binary(get({part}, {i}), 'base64')" for i in (1, 2))
+    well_formed = f"size({part}) = 3 AND get({part}, 0) = '{VERSION}' AND octet_length({iv}) = {IV_BYTES}"
+    plain = F.try_aes_decrypt(F.expr(f"concat({iv}, {body})"), raw, F.lit("GCM"), F.lit("DEFAULT"))
+    return F.when(F.expr(well_formed), plain.cast("string"))
 
 
-def decrypt_if_present(c: Column, key: str, strict: bool = False) -> Column:
+def decrypt_if_present(c: str, key: str, strict: bool = False) -> Column:
     """NULL and blank values were never encrypted and come back unchanged.
 
     A value that cannot be decrypted gives NULL, or fails the job when ``strict``.
@@ -93,14 +96,14 @@ def decrypt_if_present(c: Column, key: str, strict: bool = False) -> Column:
     if strict:
         failure = F.raise_error(F.lit("Value could not be decrypted (wrong format or wrong key)")).cast("string")
         plain = F.coalesce(plain, failure)
-    return F.when(is_blank(c), c).otherwise(plain)
+    return F.when(F.expr(is_blank(c)), F.expr(c)).otherwise(plain)
 
 
-def decrypt_failed(c: Column, key: str) -> Column:
+def decrypt_failed(c: str, key: str) -> Column:
     """True for a value that is there but cannot be decrypted."""
-    return ~is_blank(c) & decrypted(c, key).isNull()
+    return ~F.expr(is_blank(c)) & decrypted(c, key).isNull()
 
 
-def redacted(c: Column) -> Column:
+def redacted(c: str) -> str:
     """``[REDACTED]`` in place of any value, NULL stays NULL."""
-    return F.when(c.isNotNull(), F.lit(REDACTED))
+    return f"if({c} IS NULL, NULL, {quoted(REDACTED)})"

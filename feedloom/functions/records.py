@@ -1,85 +1,70 @@
-"""Whole records as text: JSON, redacted JSON, report lines and messages."""
+"""Whole records as text: JSON, redacted JSON, report lines and messages (Spark SQL text)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from feedloom.functions.protect import redacted
+from feedloom.functions.text import name, quoted
 from feedloom.schema import STRUCT, Feed
 
-_KEEP_NULLS = {"ignoreNullFields": "false"}
-
 
-def as_json(*columns: Column) -> Column:
-    """Columns as one JSON object, NULL members included."""
-    return F.to_json(F.struct(*columns), _KEEP_NULLS)
+def value_json(c: str) -> str:
+    """A struct or array as JSON text, NULL members included; NULL stays NULL."""
+    return f"to_json({c}, map('ignoreNullFields', 'false'))"
 
 
-def value_json(c: Column) -> Column:
-    """A struct or array column as JSON text; NULL stays NULL."""
-    return F.to_json(c, _KEEP_NULLS)
+def as_json(members: dict[str, str]) -> str:
+    """Named values as one JSON object, NULL members included."""
+    return value_json("named_struct(" + ", ".join(f"{quoted(n)}, {c}" for n, c in members.items()) + ")")
 
 
-def redacted_record(feed: Feed) -> Column:
+def redacted_record(feed: Feed) -> str:
     """The record as JSON with its sensitive values hidden."""
-    members = []
+    members = {}
     for f in feed.fields:
-        c = F.col(f.name)
+        c = name(f.name)
         if f.sensitive:
             c = redacted(c)
         elif f.kind == STRUCT and f.sensitive_children:
-            hidden = c
-            for child in f.sensitive_children:
-                hidden = hidden.withField(child, redacted(c[child]))
-            c = F.when(c.isNotNull(), hidden)
-        members.append(c.alias(f.name))
-    return as_json(*members)
+            inner = [
+                f"{quoted(child)}, "
+                + (redacted(f"{c}.{name(child)}") if child in f.sensitive_children else f"{c}.{name(child)}")
+                for child in f.children
+            ]
+            c = f"if({c} IS NULL, NULL, named_struct({', '.join(inner)}))"
+        members[f.name] = c
+    return as_json(members)
 
 
-def one_line(c: Column) -> Column:
+def one_line(c: str) -> str:
     """Text that cannot break a report line: ``|``, CR and LF become spaces."""
-    return F.translate(F.coalesce(c.cast("string"), F.lit("")), "|\r\n", "   ")
-
-
-def error_line(
-    record_number: Column,
-    error_type: Column,
-    error_message: Column,
-    key_name: str,
-    key: Column,
-    source_file: Column,
-    execution_id: Column,
-) -> Column:
-    """One line of the error report."""
-    return F.concat(
-        F.lit("record_number="), one_line(record_number),
-        F.lit("|error_type="), one_line(error_type),
-        F.lit("|error_message="), one_line(error_message),
-        F.lit(f"|{key_name}="), one_line(key),
-        F.lit("|source_file="), one_line(source_file),
-        F.lit("|execution_id="), one_line(execution_id),
-    )
+    return f"translate(coalesce(cast({c} AS string), ''), '|\\r\\n', '   ')"
+
+
+def error_line(key: str) -> str:
+    """One line of the error report, from the columns of a failure row with key column ``key``."""
+    columns = ["record_number", "error_type", "error_message", key, "source_file", "execution_id"]
+    parts = [f"'{'|' if i else ''}{c}=', {one_line(name(c))}" for i, c in enumerate(columns)]
+    return f"concat({', '.join(parts)})"
 
 
-def mismatch_message(expected: Column, actual: Column) -> Column:
+def mismatch_message(expected: str, actual: str) -> str:
     """Why a run failed its count check."""
-    return F.concat(
-        F.lit("Record count mismatch: control file expected "), expected.cast("string"),
-        F.lit(" record(s) but "), actual.cast("string"), F.lit(" record(s) were loaded"),
+    return (
+        f"concat('Record count mismatch: control file expected ', {expected},"
+        f" ' record(s) but ', {actual}, ' record(s) were loaded')"
     )
 
 
-def json_text(c: Column, path: str) -> Column:
+def json_text(c: str, path: str) -> str:
     """One member of a JSON text column, as text."""
-    return F.get_json_object(c, path)
+    return f"get_json_object({c}, {quoted(path)})"
 
 
-def json_value(c: Column, path: str, ddl: str) -> Column:
+def json_value(c: str, path: str, ddl: str) -> str:
     """One member of a JSON text column as the given type; NULL where it does not fit."""
-    return F.try_variant_get(F.try_parse_json(c), path, ddl)
+    return f"try_variant_get(try_parse_json({c}), {quoted(path)}, {quoted(ddl)})"
 
 
-def json_list(c: Column) -> Column:
+def json_list(c: str) -> str:
     """A JSON text column as a list of texts; NULL gives an empty list."""
-    return F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
+    return f"coalesce(from_json({c}, 'array<string>'), cast(array() AS array<string>))"

@@ -1,7 +1,7 @@
 """Validation rules as data, applied to any table.
 
-A rule turns into one column: its message when the row breaks it, else NULL.
-``errors_of`` puts the messages of all rules side by side, in rule order.
+A rule turns into one SQL expression: its message when the row breaks it, else
+NULL. ``error_text`` puts the messages of all rules side by side, in rule order.
 """
 
 from __future__ import annotations
@@ -9,10 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from feedloom.functions.text import is_blank, utf16_length
+from feedloom.functions.text import is_blank, name, quoted, utf16_length
 
 # Fixed values ---------------------------------------------------------------
 ERROR_SEPARATOR = "; "
@@ -27,11 +24,16 @@ class Rule:
 
     field: str
 
-    def error(self) -> Column:
+    def error(self) -> str:
         raise NotImplementedError
 
-    def _col(self) -> Column:
-        return F.col(self.field)
+    @property
+    def _c(self) -> str:
+        return name(self.field)
+
+
+def _when(condition: str, message: str) -> str:
+    return f"CASE WHEN {condition} THEN {quoted(message)} END"
 
 
 @dataclass(frozen=True)
@@ -42,16 +44,14 @@ class Length(Rule):
     high: int = 0
     required: bool = True
 
-    def error(self) -> Column:
-        c = self._col()
-        size = utf16_length(c)
-        if self.low == self.high:
-            wanted = f"{self.field} must be exactly {self.high} characters (found "
-        else:
-            wanted = f"{self.field} must be between {self.low} and {self.high} characters (found "
-        missing = F.lit(f"{self.field} is required") if self.required else F.lit(None).cast("string")
-        return F.when(is_blank(c), missing).when(
-            ~size.between(self.low, self.high), F.concat(F.lit(wanted), size.cast("string"), F.lit(")"))
+    def error(self) -> str:
+        size = utf16_length(self._c)
+        span = f"exactly {self.high}" if self.low == self.high else f"between {self.low} and {self.high}"
+        wanted = quoted(f"{self.field} must be {span} characters (found ")
+        missing = quoted(f"{self.field} is required") if self.required else "NULL"
+        return (
+            f"CASE WHEN {is_blank(self._c)} THEN {missing}"
+            f" WHEN {size} NOT BETWEEN {self.low} AND {self.high} THEN concat({wanted}, {size}, ')') END"
         )
 
 
@@ -59,8 +59,8 @@ class Length(Rule):
 class Required(Rule):
     """Text that must not be blank."""
 
-    def error(self) -> Column:
-        return F.when(is_blank(self._col()), F.lit(f"{self.field} is required"))
+    def error(self) -> str:
+        return _when(is_blank(self._c), f"{self.field} is required")
 
 
 @dataclass(frozen=True)
@@ -70,25 +70,26 @@ class Matches(Rule):
     pattern: str = ""
     message: str = ""
 
-    def error(self) -> Column:
-        c = self._col()
-        return F.when(~is_blank(c) & ~c.rlike(rf"\A(?:{self.pattern})\z"), F.lit(self.message))
+    def error(self) -> str:
+        whole = quoted(rf"\A(?:{self.pattern})\z")
+        return _when(f"NOT {is_blank(self._c)} AND NOT {self._c} RLIKE {whole}", self.message)
 
 
 @dataclass(frozen=True)
 class RealDate(Rule):
     """Text that must be an existing day written ``yyyy-MM-dd``, when there is any."""
 
-    def error(self) -> Column:
-        c = self._col()
-        broken = F.try_to_date(c, "yyyy-MM-dd").isNull() | (F.length(c) != 10)
-        return F.when(~is_blank(c) & broken, F.lit(f"{self.field} must be a real date in yyyy-MM-dd format"))
+    def error(self) -> str:
+        broken = f"(length({self._c}) <> 10 OR try_to_date({self._c}, 'yyyy-MM-dd') IS NULL)"
+        return _when(
+            f"NOT {is_blank(self._c)} AND {broken}", f"{self.field} must be a real date in yyyy-MM-dd format"
+        )
 
 
 @dataclass(frozen=True)
 class NotNegative(Rule):
-    def error(self) -> Column:
-        return F.when(self._col() < 0, F.lit(f"{self.field} must not be negative"))
+    def error(self) -> str:
+        return _when(f"{self._c} < 0", f"{self.field} must not be negative")
 
 
 @dataclass(frozen=True)
@@ -97,8 +98,8 @@ class Present(Rule):
 
     hint: str = ""
 
-    def error(self) -> Column:
-        return F.when(self._col().isNull(), F.lit(f"{self.field} is required{self.hint}"))
+    def error(self) -> str:
+        return _when(f"{self._c} IS NULL", f"{self.field} is required{self.hint}")
 
 
 @dataclass(frozen=True)
@@ -108,9 +109,9 @@ class JoinedLength(Rule):
     high: int = 0
     separator: str = ";"
 
-    def error(self) -> Column:
-        size = utf16_length(F.array_join(self._col(), self.separator))
-        return F.when(size > self.high, F.lit(f"{self.field} must not exceed {self.high} characters in total"))
+    def error(self) -> str:
+        size = utf16_length(f"array_join({self._c}, {quoted(self.separator)})")
+        return _when(f"{size} > {self.high}", f"{self.field} must not exceed {self.high} characters in total")
 
 
 # Constraints of a target table, checked just before the write.
@@ -118,8 +119,8 @@ class JoinedLength(Rule):
 
 @dataclass(frozen=True)
 class NotNull(Rule):
-    def error(self) -> Column:
-        return F.when(self._col().isNull(), F.lit(f'null value in column "{self.field}" violates not-null constraint'))
+    def error(self) -> str:
+        return _when(f"{self._c} IS NULL", f'null value in column "{self.field}" violates not-null constraint')
 
 
 @dataclass(frozen=True)
@@ -128,49 +129,47 @@ class MaxLength(Rule):
 
     high: int = 0
 
-    def error(self) -> Column:
+    def error(self) -> str:
         message = f'value too long for column "{self.field}" of type character varying({self.high})'
-        return F.when(F.length(self._col()) > self.high, F.lit(message))
+        return _when(f"length({self._c}) > {self.high}", message)
 
 
 @dataclass(frozen=True)
 class OneOf(Rule):
     values: tuple[str, ...] = ()
 
-    def error(self) -> Column:
-        message = f'value of column "{self.field}" violates check constraint'
-        return F.when(~self._col().isin(*self.values), F.lit(message))
+    def error(self) -> str:
+        allowed = ", ".join(quoted(v) for v in self.values)
+        return _when(f"{self._c} NOT IN ({allowed})", f'value of column "{self.field}" violates check constraint')
 
 
 @dataclass(frozen=True)
 class NoNul(Rule):
     """Text a warehouse column cannot hold: it contains the zero character."""
 
-    def error(self) -> Column:
-        return F.when(self._col().contains("\x00"), F.lit(f'invalid byte sequence in column "{self.field}": 0x00'))
+    def error(self) -> str:
+        return _when(f"contains({self._c}, '\\u0000')", f'invalid byte sequence in column "{self.field}": 0x00')
 
 
-def errors_of(rules: Iterable[Rule]) -> Column:
+def errors_of(rules: Iterable[Rule]) -> str:
     """All messages of a row, in rule order (an empty array when it is valid)."""
-    return F.array_compact(F.array(*[rule.error() for rule in rules]))
+    return "array_compact(array(" + ", ".join(rule.error() for rule in rules) + "))"
 
 
-def error_text(rules: Iterable[Rule]) -> Column:
+def error_text(rules: Iterable[Rule]) -> str:
     """All messages joined by ``"; "``, NULL when the row is valid."""
-    rules = list(rules)
-    if not rules:
-        return F.lit(None).cast("string")
-    return F.nullif(F.concat_ws(ERROR_SEPARATOR, *[rule.error() for rule in rules]), F.lit(""))
+    errors = [rule.error() for rule in rules]
+    if not errors:
+        return "cast(NULL AS string)"
+    return f"nullif(concat_ws({quoted(ERROR_SEPARATOR)}, {', '.join(errors)}), '')"
 
 
-def first_error(rules: Iterable[Rule]) -> Column:
+def first_error(rules: Iterable[Rule]) -> str:
     """The first message only, as a database reports a rejected row."""
-    rules = list(rules)
-    if not rules:
-        return F.lit(None).cast("string")
-    return F.coalesce(*[rule.error() for rule in rules])
+    errors = [rule.error() for rule in rules]
+    return f"coalesce({', '.join(errors)})" if errors else "cast(NULL AS string)"
 
 
-def is_row_level(sqlstate: Column) -> Column:
+def is_row_level(sqlstate: str) -> str:
     """True for SQL states that blame the row (class 22 or 23), not the database."""
-    return F.coalesce(sqlstate.startswith("22") | sqlstate.startswith("23"), F.lit(False))
+    return f"coalesce(left({sqlstate}, 2) IN ('22', '23'), false)"

@@ -1,9 +1,10 @@
-"""Text clean-up and text-to-value expressions, all built-in and JVM-side."""
+"""Text clean-up and text-to-value expressions.
 
-from __future__ import annotations
+All of them take and return Spark SQL text, to be used through ``expr`` or
+``selectExpr``: one call per output column, everything built in and JVM-side.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Fixed values ---------------------------------------------------------------
 MISSING_TEXT = " "  # what a missing text value is stored as
@@ -13,64 +14,71 @@ UUID_PATTERN = r"\A[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\z"
 # ----------------------------------------------------------------------------
 
 # The characters stripped from the ends of a cell: everything up to the space.
-_CONTROL_AND_SPACE = "".join(chr(c) for c in range(0x21))
-_ALL_WHITESPACE = r"\A\p{javaWhitespace}*\z"
+_CONTROL_AND_SPACE = "'" + "".join(f"\\u{code:04x}" for code in range(0x21)) + "'"
+
+
+def quoted(text: str) -> str:
+    """A SQL text literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name(column: str) -> str:
+    """A column name as SQL."""
+    return "`" + column.replace("`", "``") + "`"
 
 
-def trimmed(c: Column) -> Column:
+def trimmed(c: str) -> str:
     """Strip control characters and spaces from both ends (no regex)."""
-    return F.trim(c, F.lit(_CONTROL_AND_SPACE))
+    return f"trim(BOTH {_CONTROL_AND_SPACE} FROM {c})"
 
 
-def is_blank(c: Column) -> Column:
+def is_blank(c: str) -> str:
     """NULL, empty or only white space. Never NULL itself.
 
     A first character in the printable ASCII range settles almost every value
     without running the regular expression.
     """
-    return F.coalesce(F.when(F.ascii(c).between(33, 126), F.lit(False)).otherwise(c.rlike(_ALL_WHITESPACE)), F.lit(True))
+    return f"({c} IS NULL OR (ascii({c}) NOT BETWEEN 33 AND 126 AND {c} RLIKE r'\\A\\p{{javaWhitespace}}*\\z'))"
 
 
-def cell(c: Column) -> Column:
+def cell(c: str) -> str:
     """A CSV cell: trimmed, and NULL when there is nothing in it."""
-    return F.when(~is_blank(c), trimmed(c))
+    return f"if({is_blank(c)}, NULL, {trimmed(c)})"
 
 
-def utf16_length(c: Column) -> Column:
+def utf16_length(c: str) -> str:
     """Length in UTF-16 units, as a bigint; pure ASCII text is not re-encoded."""
     return (
-        F.when(F.octet_length(c) == F.length(c), F.length(c))
-        .otherwise((F.octet_length(F.encode(c, "UTF-16BE")) / 2).cast("int"))
-        .cast("bigint")
+        f"CASE WHEN octet_length({c}) = length({c}) THEN cast(length({c}) AS bigint)"
+        f" ELSE cast(octet_length(encode({c}, 'UTF-16BE')) DIV 2 AS bigint) END"
     )
 
 
-def to_long(c: Column) -> Column:
+def to_long(c: str) -> str:
     """Whole number or NULL: digits with an optional sign, within 64 bits."""
-    return F.when(c.rlike(r"\A[+-]?[0-9]+\z"), c.try_cast("bigint"))
+    return f"if({c} RLIKE r'\\A[+-]?[0-9]+\\z', try_cast({c} AS bigint), NULL)"
 
 
-def to_boolean(c: Column) -> Column:
+def to_boolean(c: str) -> str:
     """``true`` or ``false`` in any case; anything else is NULL."""
-    lowered = F.lower(c)
-    return F.when(lowered == "true", F.lit(True)).when(lowered == "false", F.lit(False))
+    return f"CASE lower({c}) WHEN 'true' THEN true WHEN 'false' THEN false END"
 
 
-def to_list(c: Column, separator: str = ";") -> Column:
+def to_list(c: str, separator: str = ";") -> str:
     """``a; ;b`` to ``[a, b]``; NULL to an empty list."""
-    parts = F.transform(F.split(c, "\\Q" + separator + "\\E"), trimmed)
-    return F.coalesce(F.filter(parts, lambda part: part != ""), F.array().cast("array<string>"))
+    parts = f"transform(split({c}, {quoted(chr(92) + 'Q' + separator + chr(92) + 'E')}), p -> {trimmed('p')})"
+    return f"coalesce(filter({parts}, p -> p <> ''), cast(array() AS array<string>))"
 
 
-def fill_text(c: Column) -> Column:
+def fill_text(c: str) -> str:
     """A missing text (NULL or empty, but not white space) becomes one space."""
-    return F.when(c.isNull() | (c == ""), F.lit(MISSING_TEXT)).otherwise(c)
+    return f"if({c} IS NULL OR {c} = '', {quoted(MISSING_TEXT)}, {c})"
 
 
-def is_uuid(c: Column) -> Column:
-    return F.coalesce(c.rlike(UUID_PATTERN), F.lit(False))
+def is_uuid(c: str) -> str:
+    return f"coalesce({c} RLIKE r'{UUID_PATTERN}', false)"
 
 
-def part_count(records: Column, per_file: Column) -> Column:
+def part_count(records: str, per_file: str) -> str:
     """Number of files of ``per_file`` records: at least one."""
-    return F.greatest(F.lit(1).cast("bigint"), F.ceil(records / per_file).cast("bigint"))
+    return f"greatest(1L, cast(ceil({records} / {per_file}) AS bigint))"

@@ -2,31 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from feedloom.functions import text as T
 from feedloom.schema import BOOLEAN, LIST, LONG, STRUCT, Feed, Field
 from feedloom.sources.json_feed import RAW
 
-_INVALID = "invalid value for field '"
-
 
 def convert_csv(df: DataFrame, feed: Feed) -> DataFrame:
     """Flat text cells to the feed's columns; the first value that cannot be converted is the parse error."""
-    errors: list[Column] = [F.col("parse_error")]
-    values: dict[str, Column] = {}
+    errors = ["parse_error"]
+    values: dict[str, str] = {}
     for f in feed.fields:
+        c = T.name(f.name)
         if f.kind == STRUCT:
-            values[f.name] = F.struct(*[F.col(f"{f.name}_{c}").alias(c) for c in f.children])
-            continue
-        c = F.col(f.name)
-        if f.kind == LONG:
-            values[f.name] = T.to_long(c)
-            errors.append(F.when(c.isNotNull() & T.to_long(c).isNull(), F.lit(f"{f.name} {T.WHOLE_NUMBER}")))
-        elif f.kind == BOOLEAN:
-            values[f.name] = T.to_boolean(c)
-            errors.append(F.when(c.isNotNull() & T.to_boolean(c).isNull(), F.lit(f"{f.name} {T.TRUE_OR_FALSE}")))
+            members = ", ".join(f"{T.quoted(child)}, {T.name(f'{f.name}_{child}')}" for child in f.children)
+            values[f.name] = f"named_struct({members})"
+        elif f.kind in (LONG, BOOLEAN):
+            value, wanted = (
+                (T.to_long(c), T.WHOLE_NUMBER) if f.kind == LONG else (T.to_boolean(c), T.TRUE_OR_FALSE)
+            )
+            values[f.name] = value
+            errors.append(f"CASE WHEN {c} IS NOT NULL AND {value} IS NULL THEN {T.quoted(f'{f.name} {wanted}')} END")
         elif f.kind == LIST:
             values[f.name] = T.to_list(c, feed.list_separator)
         else:
@@ -34,74 +31,80 @@ def convert_csv(df: DataFrame, feed: Feed) -> DataFrame:
     return _with_values(df, feed, values, errors)
 
 
-def _nested(text: Column) -> Column:
-    """Text that may be an object or an array instead of a plain value."""
-    return text.startswith("{") | text.startswith("[")
+def _maybe_nested(text: str) -> str:
+    """Text that may have been an object or an array instead of a plain value."""
+    return f"left({text}, 1) IN ('{{', '[')"
 
 
-def _kind_at(path: str) -> Column:
+def _kind_at(path: str) -> str:
     """JSON type of a member of the raw record."""
-    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(F.col(RAW)), path, "variant"))
+    return f"schema_of_variant(try_variant_get(try_parse_json({RAW}), {T.quoted(path)}, 'variant'))"
+
 
+def _is_nested(kind: str) -> str:
+    return f"coalesce(left({kind}, 5) IN ('OBJEC', 'ARRAY'), false)"
 
-def _is_container(path: str) -> Column:
-    return F.coalesce(_kind_at(path).rlike(r"\A(OBJECT|ARRAY)<"), F.lit(False))
 
+def _was_text(f: Field, wanted: str) -> str:
+    """Whether a member that must be an object or a list was a string with the same look.
 
-def _quoted_member(name: str) -> Column:
-    """Cheap test: the record may hold ``name`` as a string; the exact test runs only then."""
-    return F.col(RAW).rlike(f'"\\Q{name}\\E"\\s*:\\s*"')
+    The exact test parses the record again; it runs only if the record may hold such a string.
+    """
+    suspect = f"{RAW} RLIKE {T.quoted(chr(34) + f.name + chr(34) + r'\s*:\s*' + chr(34))}"
+    return f"({suspect} AND coalesce(left({_kind_at('$.' + f.name)}, 5) <> '{wanted}', true))"
 
 
-def _json_field(f: Field) -> tuple[Column, Column]:
+def _json_field(f: Field) -> tuple[str, str]:
     """Value and error of one member."""
-    c = F.col(f.name)
-    error = F.lit(f"{_INVALID}{f.name}'")
-    path = f"$.{f.name}"
+    c, path = T.name(f.name), f"$.{f.name}"
+    error = T.quoted(f"invalid value for field '{f.name}'")
     if f.kind in (LONG, BOOLEAN):
-        text = F.nullif(T.trimmed(c), F.lit(""))
+        text = f"nullif({T.trimmed(c)}, '')"
         value = T.to_long(text) if f.kind == LONG else T.to_boolean(text)
-        return value, F.when(text.isNotNull() & value.isNull(), error)
+        return value, f"CASE WHEN {text} IS NOT NULL AND {value} IS NULL THEN {error} END"
     if f.kind == LIST:
-        items = F.from_json(c, "array<string>")
-        as_text = _quoted_member(f.name) & ~F.coalesce(_kind_at(path).startswith("ARRAY<"), F.lit(False))
-        suspicious = F.exists(items, lambda i: i.isNull() | _nested(i))
-        typed = F.try_variant_get(F.try_parse_json(F.col(RAW)), path, "array<variant>")
-        kinds = F.transform(typed, lambda v: F.coalesce(F.schema_of_variant(v).rlike(r"\A(OBJECT|ARRAY)<"), F.lit(False)))
-        first_bad = F.array_position(kinds, F.lit(True)) - 1
-        in_item = F.when(first_bad >= 0, F.format_string(f"{_INVALID}{f.name}.[%d]'", first_bad)).when(
-            F.exists(items, lambda i: i.isNull()), error
+        items = f"from_json({c}, 'array<string>')"
+        typed = f"try_variant_get(try_parse_json({RAW}), {T.quoted(path)}, 'array<variant>')"
+        place = f"array_position(transform({typed}, v -> {_is_nested('schema_of_variant(v)')}), true) - 1"
+        message = T.quoted(f"invalid value for field '{f.name}.[%d]'")
+        return items, (
+            f"CASE WHEN {c} IS NULL THEN NULL"
+            f" WHEN {items} IS NULL OR {_was_text(f, 'ARRAY')} OR exists({items}, i -> i IS NULL) THEN {error}"
+            f" WHEN exists({items}, i -> {_maybe_nested('i')}) AND {place} >= 0 THEN format_string({message}, {place}) END"
         )
-        return items, F.when(c.isNotNull(), F.when(items.isNull() | as_text, error).when(suspicious, in_item))
     if f.kind == STRUCT:
-        schema = ",".join(f"`{child}` string" for child in f.children)
-        value = F.from_json(c, schema)
-        as_text = _quoted_member(f.name) & ~F.coalesce(_kind_at(path).startswith("OBJECT<"), F.lit(False))
-        wrong = F.when(~c.startswith("{") | value.isNull() | as_text, error)
-        for child in f.children:
-            member = F.when(
-                _nested(value[child]) & _is_container(f"{path}.{child}"), F.lit(f"{_INVALID}{f.name}.{child}'")
-            )
-            wrong = F.coalesce(wrong, member)
-        return value, F.when(c.isNotNull(), wrong)
-    return c, F.when(_nested(c) & _is_container(path), error)
+        value = f"from_json({c}, {T.quoted(', '.join(f'{T.name(child)} string' for child in f.children))})"
+        members = [
+            f" WHEN {_maybe_nested(f'{value}.{T.name(child)}')} AND {_is_nested(_kind_at(f'{path}.{child}'))}"
+            f" THEN {T.quoted(f"invalid value for field '{f.name}.{child}'")}"
+            for child in f.children
+        ]
+        return value, (
+            f"CASE WHEN {c} IS NULL THEN NULL"
+            f" WHEN left({c}, 1) <> '{{' OR {value} IS NULL OR {_was_text(f, 'OBJEC')} THEN {error}"
+            f"{''.join(members)} END"
+        )
+    return c, f"CASE WHEN {_maybe_nested(c)} AND {_is_nested(_kind_at(path))} THEN {error} END"
 
 
 def convert_json(df: DataFrame, feed: Feed) -> DataFrame:
     """Member texts to the feed's columns; one wrongly typed member rejects only its record."""
-    errors: list[Column] = [F.col("parse_error")]
-    values: dict[str, Column] = {}
+    errors = ["parse_error"]
+    values: dict[str, str] = {}
     for f in feed.fields:
         values[f.name], error = _json_field(f)
         errors.append(error)
     return _with_values(df, feed, values, errors)
 
 
-def _with_values(df: DataFrame, feed: Feed, values: dict[str, Column], errors: list[Column]) -> DataFrame:
+def _with_values(df: DataFrame, feed: Feed, values: dict[str, str], errors: list[str]) -> DataFrame:
     carried = [c for c in ("record_number", "source_file", "source_creation_time") if c in df.columns]
-    typed = df.select(
-        *carried, F.coalesce(*errors).alias("parse_error"), *[values[f.name].alias(f.name) for f in feed.fields]
+    typed = df.selectExpr(
+        *carried,
+        f"coalesce({', '.join(errors)}) AS parse_error",
+        *[f"{values[n]} AS {T.name(n)}" for n in feed.names],
     )
     # A record that cannot be parsed has no values at all.
-    ok = F.col("parse_error").isNull()
-    return typed.select(*carried, "parse_error", *[F.when(ok, F.col(n)).alias(n) for n in feed.names])
+    return typed.selectExpr(
+        *carried, "parse_error", *[f"if(parse_error IS NULL, {T.name(n)}, NULL) AS {T.name(n)}" for n in feed.names]
+    )

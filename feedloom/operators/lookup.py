@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.protect import decrypt_if_present
 from feedloom.functions.records import json_list
+from feedloom.functions.text import name, quoted
 from feedloom.schema import LIST, LONG, STRUCT, Feed
 
 
@@ -25,16 +26,17 @@ def decrypted_view(table: DataFrame, feed: Feed, encryption_key: str, strict: bo
     columns = []
     for f in feed.fields:
         if f.sensitive:
-            plain = decrypt_if_present(F.col(f"{f.name}_encrypted"), encryption_key, strict)
+            plain = decrypt_if_present(name(f"{f.name}_encrypted"), encryption_key, strict)
             columns.append((plain.try_cast("bigint") if f.kind == LONG else plain).alias(f.name))
         elif f.kind == LIST:
-            columns.append(json_list(F.col(f.name)).alias(f.name))
+            columns.append(F.expr(json_list(name(f.name))).alias(f.name))
         elif f.kind == STRUCT:
-            schema = ",".join(f"`{c}` string" for c in f.children)
-            value = F.from_json(F.col(f.name), schema)
+            value = f"from_json({name(f.name)}, {quoted(', '.join(f'{name(c)} string' for c in f.children))})"
+            restored = F.expr(value)
             for child in f.sensitive_children:
-                value = value.withField(child, decrypt_if_present(value[child], encryption_key, strict))
-            columns.append(F.when(F.col(f.name).isNotNull(), value).alias(f.name))
+                plain = decrypt_if_present(f"{value}.{name(child)}", encryption_key, strict)
+                restored = restored.withField(child, plain)
+            columns.append(F.when(F.col(f.name).isNotNull(), restored).alias(f.name))
         else:
             columns.append(F.col(f.name))
     rest = [c for c in ("ingestion_timestamp", "execution_id", "source_creation_time") if c in table.columns]

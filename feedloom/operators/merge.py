@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedloom.sources.files import child_names
 
@@ -36,7 +37,7 @@ class TargetTable:
     write leaves the earlier version in force. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _versions(self) -> list[int]:

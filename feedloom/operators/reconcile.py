@@ -18,13 +18,11 @@ def loaded_count(loaded: DataFrame) -> DataFrame:
 
 def compare_counts(counts: DataFrame) -> DataFrame:
     """Add ``matched``, ``status`` and ``failure_message`` to rows of ``expected`` and ``actual``."""
-    matched = F.col("expected") == F.col("actual")
-    return counts.withColumns(
-        {
-            "matched": matched,
-            "status": F.when(matched, F.lit("SUCCESS")).otherwise(F.lit("FAILED")),
-            "failure_message": F.when(~matched, mismatch_message(F.col("expected"), F.col("actual"))),
-        }
+    return counts.selectExpr(
+        "*",
+        "expected = actual AS matched",
+        "if(expected = actual, 'SUCCESS', 'FAILED') AS status",
+        f"if(expected = actual, NULL, {mismatch_message('expected', 'actual')}) AS failure_message",
     )
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedloom.functions.records import error_line, redacted_record
 from feedloom.functions.rules import error_text, first_error
+from feedloom.functions.text import name
 from feedloom.schema import Feed
 
 # Fixed values ---------------------------------------------------------------
@@ -21,25 +23,35 @@ LOAD_ERROR = "LOAD_ERROR"
 SINGLE_FILE_LINES = 1_000_000
 
 
-def validate(df: DataFrame, feed: Feed) -> DataFrame:
-    """Add ``error_type`` and ``error_message``: the parse error, or all broken rules; NULL if valid."""
-    broken = error_text(feed.rules)
-    parse_error = F.col("parse_error") if "parse_error" in df.columns else F.lit(None).cast("string")
-    checked = df.withColumn("error_message", F.when(parse_error.isNotNull(), parse_error).otherwise(broken))
-    kind = F.when(parse_error.isNotNull(), F.lit(PARSE_ERROR)).when(
-        F.col("error_message").isNotNull(), F.lit(VALIDATION_ERROR)
+def validate(df: DataFrame, feed: Feed, observation: Observation | None = None) -> DataFrame:
+    """Add ``error_type`` and ``error_message``: the parse error, or all broken rules; NULL if valid.
+
+    The outcome is observed on the way: ``observation`` receives ``records``,
+    ``parse_errors`` and ``validation_errors``. The observation also keeps a
+    later filter on the outcome above the rules. Pushed below, Catalyst would
+    put a copy of every rule into the filter and evaluate all rules twice.
+    """
+    if "parse_error" not in df.columns:
+        df = df.withColumn("parse_error", F.lit(None).cast("string"))
+    checked = df.withColumn("error_message", F.expr(f"coalesce(parse_error, {error_text(feed.rules)})"))
+    kind = f"CASE WHEN parse_error IS NOT NULL THEN '{PARSE_ERROR}' WHEN error_message IS NOT NULL THEN '{VALIDATION_ERROR}' END"
+    checked = checked.withColumn("error_type", F.expr(kind)).drop("parse_error")
+    return checked.observe(
+        observation or f"validate-{uuid.uuid4().hex}",
+        F.count("*").alias("records"),
+        F.count_if(F.expr(f"error_type <=> '{PARSE_ERROR}'")).alias("parse_errors"),
+        F.count_if(F.expr(f"error_type <=> '{VALIDATION_ERROR}'")).alias("validation_errors"),
     )
-    return checked.withColumn("error_type", kind)
 
 
 def check_constraints(df: DataFrame, feed: Feed) -> DataFrame:
     """Mark the still good rows that the target table would refuse."""
-    refused = F.when(F.col("error_type").isNull(), first_error(feed.constraints))
+    refused = F.expr(f"if(error_type IS NULL, {first_error(feed.constraints)}, NULL)")
     return (
         df.withColumn("__refused", refused)
         .withColumns(
             {
-                "error_type": F.when(F.col("__refused").isNotNull(), F.lit(LOAD_ERROR)).otherwise(F.col("error_type")),
+                "error_type": F.expr(f"if(__refused IS NULL, error_type, '{LOAD_ERROR}')"),
                 "error_message": F.coalesce("__refused", "error_message"),
             }
         )
@@ -60,15 +72,15 @@ def failure_rows(df: DataFrame, feed: Feed, execution_id: str | None = None) ->
     if execution_id is not None:
         df = df.withColumn("execution_id", F.lit(execution_id))
     if "raw_record" not in df.columns:
-        df = df.withColumn("raw_record", redacted_record(feed))
-    return failed(df).select(
+        df = df.withColumn("raw_record", F.expr(redacted_record(feed)))
+    return failed(df).selectExpr(
         "record_number",
         "source_file",
         "execution_id",
         "error_type",
         "error_message",
-        F.when(F.col("error_type") != PARSE_ERROR, F.col(feed.key)).alias(feed.key),
-        F.when(F.col("error_type") != PARSE_ERROR, F.col("raw_record")).alias("raw_record"),
+        f"if(error_type = '{PARSE_ERROR}', NULL, {name(feed.key)}) AS {name(feed.key)}",
+        f"if(error_type = '{PARSE_ERROR}', NULL, raw_record) AS raw_record",
     )
 
 
@@ -79,12 +91,7 @@ def combine(*failures: DataFrame) -> DataFrame:
 
 def report_lines(failures: DataFrame, key: str) -> DataFrame:
     """The text report: one line per failure."""
-    c = F.col
-    return failures.select(
-        error_line(
-            c("record_number"), c("error_type"), c("error_message"), key, c(key), c("source_file"), c("execution_id")
-        ).alias("line")
-    )
+    return failures.selectExpr(f"{error_line(key)} AS line")
 
 
 def write_error_table(failures: DataFrame, path: str) -> None:

@@ -85,12 +85,12 @@ def outcomes(records: DataFrame, feed: Feed, execution_id: str, key: str) -> Dat
 
     No shuffle: rules, constraints, filling and encryption are all row-local.
     """
-    passed = F.col("error_type").isNull()
+    passed = "error_type IS NULL"
     checked = route.validate(records, feed)
     ready = route.check_constraints(fill_missing(checked, feed, only_if=passed), feed)
-    ready = ready.withColumn("raw_record", F.when(~passed, redacted_record(feed)))
+    ready = ready.withColumn("raw_record", F.expr(f"if({passed}, NULL, {redacted_record(feed)})"))
     sealed = encrypt_sensitive(add_metadata(ready, execution_id), feed, key, only_if=passed)
-    return sealed.select(
+    return sealed.selectExpr(
         *target_columns(feed),
         "ingestion_timestamp",
         "execution_id",
@@ -156,9 +156,9 @@ def ingest(
 
         actual = numbers["records_loaded"]
         if actual != expected:
-            row = spark.range(1).select(mismatch_message(F.lit(expected), F.lit(actual))).first()
-            ledger.save(run, source, FAILED, started, expected, actual, row[0])
-            raise RecordCountMismatch(row[0])
+            reason = spark.range(1).selectExpr(mismatch_message(str(expected), str(actual))).first()[0]
+            ledger.save(run, source, FAILED, started, expected, actual, reason)
+            raise RecordCountMismatch(reason)
         ledger.save(run, source, SUCCESS, started, expected, actual)
     except Exception as error:
         ledger.fail_if_unfinished(run, root_message(error))

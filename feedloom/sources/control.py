@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import is_blank, to_long, trimmed
-from feedloom.sources.files import list_files, plain, plain_path
+from feedloom.functions.text import is_blank, quoted, to_long, trimmed
+from feedloom.sources.files import plain_path
 from feedloom.sources.lines import as_paths
 
 # Fixed values ---------------------------------------------------------------
@@ -19,41 +20,38 @@ RECORD_COUNT = "record_count"
 _PROPERTY = r"(?m)^[ \t\f]*" + RECORD_COUNT + r"(?:[ \t\f]*[=:][ \t\f]*|[ \t\f]+)([^\r\n]*)"
 
 
-def parse_control(content: Column) -> tuple[Column, Column]:
-    """Expected count and problem of a control file's content; the last mention counts."""
-    found = F.regexp_extract_all(content, F.lit(_PROPERTY), 1)
-    value = F.get(found, F.size(found) - 1)
-    number = to_long(trimmed(value))
+def with_count(df: DataFrame, content: str) -> DataFrame:
+    """Add ``expected`` and ``problem`` of the control text in SQL ``content``; the last mention counts."""
+    found = f"regexp_extract_all({content}, {quoted(_PROPERTY)}, 1)"
+    df = df.withColumn("__value", F.expr(f"get({found}, size({found}) - 1)"))
+    df = df.withColumn("__number", F.expr(to_long(trimmed("__value"))))
     problem = (
-        F.when(content.isNull(), F.lit("Control file does not exist or cannot be read"))
-        .when(is_blank(value), F.lit(f"Control file is missing required property: {RECORD_COUNT}"))
-        .when(number.isNull(), F.concat(F.lit(f"{RECORD_COUNT} must be a whole number but was: "), value))
-        .when(number < 0, F.concat(F.lit(f"{RECORD_COUNT} must not be negative: "), number.cast("string")))
+        f"CASE WHEN {content} IS NULL THEN 'Control file does not exist or cannot be read'"
+        f" WHEN {is_blank('__value')} THEN 'Control file is missing required property: {RECORD_COUNT}'"
+        f" WHEN __number IS NULL THEN concat('{RECORD_COUNT} must be a whole number but was: ', __value)"
+        f" WHEN __number < 0 THEN concat('{RECORD_COUNT} must not be negative: ', __number) END"
     )
-    return F.when(problem.isNull(), number), problem
+    df = df.withColumn("problem", F.expr(problem))
+    return df.withColumn("expected", F.expr("if(problem IS NULL, __number, NULL)")).drop("__value", "__number")
 
 
 def read_control_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All control files at once: ``control_file``, ``expected`` and ``problem``."""
     read = spark.read.text(as_paths(paths), wholetext=True)
-    expected, problem = parse_control(F.col("value"))
-    return read.select(
-        plain_path(F.col("_metadata.file_path")).alias("control_file"),
-        expected.alias("expected"),
-        problem.alias("problem"),
-    )
+    read = read.select(plain_path(F.col("_metadata.file_path")).alias("control_file"), "value")
+    return with_count(read, "value").select("control_file", "expected", "problem")
 
 
 def expected_count(spark: SparkSession, path: str | None) -> int:
     """The count of one control file, or an error that says what is wrong with it."""
     if path is None or not path.strip():
         raise ValueError("Control file location must not be blank")
-    size = list_files(spark, path).first()
-    if size is None:
-        raise ValueError(f"Control file does not exist or cannot be read: {plain(path)}")
-    if size["size"] == 0:
+    try:
+        row = read_control_files(spark, path).first()
+    except AnalysisException as error:
+        raise ValueError(f"Control file does not exist or cannot be read: {path}") from error
+    if row is None:  # an empty file
         raise ValueError(f"Control file is missing required property: {RECORD_COUNT}")
-    row = read_control_files(spark, path).first()
     if row["problem"] is not None:
         raise ValueError(row["problem"])
     return row["expected"]

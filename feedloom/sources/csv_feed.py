@@ -9,53 +9,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import cell, is_blank, trimmed
+from feedloom.functions.text import cell, is_blank, name, quoted, trimmed
 from feedloom.sources import lines as L
-from feedloom.sources.quoting import assemble_quoted, ends_open
+from feedloom.sources.quoting import COMPLETE_CELL, assemble_quoted, ends_open
 
-#: A complete quoted cell: it starts the line or follows a separator, quotes inside are doubled.
-_QUOTED_CELL = r'(?<![^,])"[^"]*+(?:""[^"]*+)*+"'
 
-
-def cell_count(text: Column) -> Column:
+def cell_count(text: str) -> str:
     """Number of cells: separators outside quoted cells, plus one."""
-    bare = F.when(F.instr(text, '"') == 0, text).otherwise(F.regexp_replace(text, _QUOTED_CELL, ""))
-    return (F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(","), F.lit(""))) + 1).cast("int")
+    bare = f"if(instr({text}, '\"') = 0, {text}, regexp_replace({text}, {quoted(COMPLETE_CELL)}, ''))"
+    return f"(octet_length({bare}) - octet_length(replace({bare}, ',', '')) + 1)"
+
+
+def _cells(text: str, width: int) -> str:
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    return f"from_csv({text}, '{schema}', map('escape', '\"', 'maxColumns', '{width + 20480}'))"
 
 
-def _cells(text: Column, width: int) -> Column:
-    schema = ",".join(f"c{i} string" for i in range(width))
-    return F.from_csv(text, schema, {"escape": '"', "maxColumns": str(max(width, 1) + 20480)})
+def _as_array(struct: str, width: int) -> str:
+    return "array(" + ", ".join(f"{struct}.c{i}" for i in range(width)) + ")"
 
 
 def _bind_headers(index: DataFrame, columns: Sequence[str], width: int) -> DataFrame:
     """The block table with header width and, per wanted column, its position (last one wins)."""
-    names = F.slice(
-        F.array(*[F.regexp_replace(trimmed(F.col(f"__h.c{i}")), "^﻿", "") for i in range(width)]),
-        1,
-        F.col("header_width"),
+    bound = index.selectExpr("*", f"{cell_count('first_line')} AS header_width", f"{_cells('first_line', width)} AS __h")
+    bound = bound.withColumn(
+        "__names",
+        F.expr(f"transform(slice({_as_array('__h', width)}, 1, header_width), h -> ltrim('\\ufeff', {trimmed('h')}))"),
     )
-    bound = (
-        index.withColumn("header_width", cell_count(F.col("first_line")))
-        .withColumn("__h", _cells(F.col("first_line"), width))
-        .withColumn("__names", names)
-    )
-    # Counted from the end; a column that is absent points behind the last cell.
-    positions = [
-        F.when(F.array_contains("__names", c), F.size("__names") - F.array_position(F.reverse("__names"), F.lit(c)))
+    # Counted from the end; a column that is absent has no position.
+    positions = ", ".join(
+        f"if(array_contains(__names, {quoted(c)}), size(__names) - array_position(reverse(__names), {quoted(c)}), NULL)"
         for c in columns
-    ]
-    return bound.withColumn("positions", F.array(*positions).cast("array<int>")).select(
-        L.FILE,
+    )
+    nameless = f"if(exists(__names, h -> {is_blank('h')}), raise_error(concat('a header name is missing in ', {L.FILE})), {L.FILE})"
+    return bound.selectExpr(
+        f"{nameless} AS {L.FILE}",
         L.BLOCK,
         "first_id",
         "lines_before",
         "header_width",
-        "positions",
-        F.exists("__names", is_blank).alias("nameless"),
+        f"cast(array({positions}) AS array<int>) AS positions",
     )
 
 
@@ -78,47 +74,66 @@ def read_csv(
     """
     columns = list(columns)
     rows = L.read_lines(spark, paths)
-    marker = F.contains(F.col(L.TEXT), F.lit(columns[0]))
-    open_lines = ends_open(F.col(L.TEXT)).cast("bigint") if multi_line is not False else F.lit(0).cast("bigint")
-    index = L.block_index(rows, marker, open_lines=open_lines)
-    if multi_line is not False and not index.where("open_lines > 0").isEmpty():
-        rows, index = assemble_quoted(L.read_lines(spark, paths, keep=F.lit(True)))
-    else:
-        index = L.with_all_first_lines(rows, index)
-
-    width = index.agg(F.max(cell_count(F.col("first_line")))).first()[0] or 1
+    marker = F.expr(f"contains({L.TEXT}, {quoted(columns[0])})")
+    opens = "0L" if multi_line is False else f"cast({ends_open(L.TEXT)} AS bigint)"
+    index = L.block_index(rows, marker, open_lines=F.expr(opens))
+    facts = index.agg(
+        F.count("*").alias("blocks"),
+        F.expr(f"max({cell_count('first_line')})").alias("width"),
+        F.coalesce(F.sum("open_lines"), F.lit(0)).alias("open_lines"),
+        F.count_if(F.col("first_line").isNull()).alias("unknown"),
+    ).first()
+    if facts["open_lines"] > 0 or facts["unknown"] > 0:
+        if facts["open_lines"] > 0:
+            rows, index = assemble_quoted(L.read_lines(spark, paths, keep=F.lit(True), line_end="\n"))
+        else:
+            index = L.with_all_first_lines(rows, index)
+        facts = index.agg(
+            F.count("*").alias("blocks"), F.expr(f"max({cell_count('first_line')})").alias("width")
+        ).first()
+
+    width = facts["width"] or 1
     bound = _bind_headers(index, columns, width)
-    nameless = bound.where("nameless").select(L.FILE).first()
-    if nameless is not None:
-        raise ValueError(f"a header name is missing in {nameless[0]}")
-    numbered = L.with_block_columns(rows, bound).withColumn("record_number", L.line_number())
-    parsed = (
-        numbered.where(F.col("record_number") > 0)
-        .withColumn("__n", cell_count(F.col(L.TEXT)))
-        .withColumn("__row", _cells(F.col(L.TEXT), width))
-        .withColumn("__cells", F.array(*[F.col(f"__row.c{i}") for i in range(width)]))
+    numbered = L.with_block_columns(rows, bound, facts["blocks"]).withColumn("record_number", L.line_number())
+    parsed = numbered.where("record_number > 0").selectExpr(
+        "record_number",
+        L.FILE,
+        "positions",
+        "header_width",
+        f"{cell_count(L.TEXT)} AS __n",
+        f"{_cells(L.TEXT, width)} AS __row",
     )
-    ragged = F.when(
-        F.col("__n") != F.col("header_width"),
-        F.format_string("row has %d column(s) but the header has %d", F.col("__n"), F.col("header_width")),
+    ragged = "format_string('row has %d column(s) but the header has %d', __n, header_width)"
+    checked = parsed.selectExpr(
+        "record_number",
+        L.FILE,
+        f"if(__n <> header_width, {ragged}, NULL) AS parse_error",
+        "positions",
+        f"{_as_array('__row', width)} AS __cells",
+    )
+    picked = checked.selectExpr(
+        "record_number",
+        L.FILE,
+        "parse_error",
+        *[f"if(parse_error IS NULL, get(__cells, positions[{i}]), NULL) AS {name(c)}" for i, c in enumerate(columns)],
+    )
+    if not clean:
+        return picked
+    return picked.selectExpr(
+        "record_number", L.FILE, "parse_error", *[f"{cell(name(c))} AS {name(c)}" for c in columns]
     )
-    picked = [F.get("__cells", F.get("positions", F.lit(i))) for i in range(len(columns))]
-    bound_cells = [
-        F.when(F.col("parse_error").isNull(), cell(c) if clean else c).alias(name) for c, name in zip(picked, columns)
-    ]
-    return parsed.withColumn("parse_error", ragged).select("record_number", L.FILE, "parse_error", *bound_cells)
-
 
 
 def header_names(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     """Column names of the feed's files, in the order they first appear; none for empty files."""
-    first = L.read_lines(spark, paths)
-    index = L.with_all_first_lines(first, L.block_index(first, F.lit(False)))
+    rows = L.read_lines(spark, paths)
+    index = L.with_all_first_lines(rows, L.block_index(rows, F.lit(False)))
     lines = index.select("first_line").distinct()
-    width = lines.agg(F.max(cell_count(F.col("first_line")))).first()[0]
+    width = lines.agg(F.expr(f"max({cell_count('first_line')})")).first()[0]
     if width is None:
         return []
-    cells = F.posexplode(F.array(*[F.col(f"__h.c{i}") for i in range(width)])).alias("place", "name")
-    named = lines.withColumn("__h", _cells(F.col("first_line"), width)).select(cells)
-    order = named.where(F.col("name").isNotNull()).select("place", trimmed(F.col("name")).alias("name"))
-    return [r[0] for r in order.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()]
+    cells = lines.selectExpr(f"{_cells('first_line', width)} AS __h").selectExpr(
+        f"posexplode({_as_array('__h', width)}) AS (place, name)"
+    )
+    named = cells.where("name IS NOT NULL").selectExpr("place", f"{trimmed('name')} AS name")
+    return [r[0] for r in named.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()]

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import is_blank, trimmed
+from feedloom.functions.text import is_blank, quoted, trimmed
 from feedloom.session import stage
 from feedloom.sources import lines as L
 
@@ -26,21 +26,21 @@ _GLUED = r"\}\s*\{"
 _UP_TO_GLUED = rf"\G((?:[^\"}}]++|{_STRING}|\}}(?!\s*+\{{))*+)\}}\s*+\{{"
 
 
-def is_array(first_line: Column) -> Column:
-    """Whether a file is a JSON array, by its first non-blank line."""
-    return F.coalesce(F.ltrim(first_line).startswith("["), F.lit(False))
+def is_array(first_line: str) -> str:
+    """Whether a file is a JSON array, by its first non-blank line (SQL text)."""
+    return f"coalesce(left({trimmed(first_line)}, 1) = '[', false)"
 
 
-def _one_object(text: Column) -> Column:
+def _one_object(text: str) -> str:
     t = trimmed(text)
-    return t.startswith("{") & t.endswith("}") & ~t.rlike(_GLUED)
+    return f"(left({t}, 1) = '{{' AND right({t}, 1) = '}}' AND NOT {text} RLIKE {quoted(_GLUED)})"
 
 
-def _depth_change(text: Column) -> Column:
-    bare = F.regexp_replace(text, _STRING, "")
-    opened = F.octet_length(bare) - F.octet_length(F.translate(bare, "{[", ""))
-    closed = F.octet_length(bare) - F.octet_length(F.translate(bare, "}]", ""))
-    return (opened - closed).cast("bigint")
+def _depth_change(text: str) -> str:
+    bare = f"regexp_replace({text}, {quoted(_STRING)}, '')"
+    size = f"octet_length({bare})"
+    opened, closed = (f"({size} - octet_length(translate({bare}, '{pair}', '')))" for pair in ("{[", "}]"))
+    return f"cast({opened} - {closed} AS bigint)"
 
 
 def read_json_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -48,23 +48,21 @@ def read_json_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataF
 
     The text is NULL where a part of a file is not JSON at all.
     """
-    rows = L.read_lines(spark, paths, keep=~is_blank(F.col(L.TEXT)))
-    text = F.col(L.TEXT)
-    index = L.block_index(
-        rows, is_array(text), other=F.when(_one_object(text), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
+    rows = L.read_lines(spark, paths, keep=F.expr(f"NOT {is_blank(L.TEXT)}"))
+    other = F.expr(f"if({_one_object(L.TEXT)}, 0L, 1L)")
+    index = L.block_index(rows, F.expr(is_array(L.TEXT)), other=other)
+    index = index.withColumn("free_form", F.max(F.col("other") > 0).over(Window.partitionBy(L.FILE)))
+    facts = index.agg(F.count("*").alias("blocks"), F.count_if("free_form").alias("free")).first()
+    plain = L.with_block_columns(
+        rows, index.select(L.FILE, L.BLOCK, "first_id", "lines_before", "free_form"), facts["blocks"]
     )
-    per_file = Window.partitionBy(L.FILE)
-    index = index.withColumn("free_form", F.max(F.col("other") > 0).over(per_file))
-    kinds = {row[0] for row in index.select("free_form").distinct().limit(2).collect()}
-    plain = (
-        L.with_block_columns(rows, index.select(L.FILE, L.BLOCK, "first_id", "lines_before", "free_form"))
-        .where(~F.col("free_form"))
-        .select(L.FILE, (L.line_number() + 1).alias("record_number"), F.col(L.TEXT).alias(RAW))
+    plain = plain.where("NOT free_form").select(
+        L.FILE, (L.line_number() + 1).alias("record_number"), F.col(L.TEXT).alias(RAW)
     )
-    if True not in kinds:
+    if facts["free"] == 0:
         return plain
     free = _assemble(rows, index.where("free_form"))
-    return plain.unionByName(free) if False in kinds else free
+    return plain.unionByName(free) if facts["free"] < facts["blocks"] else free
 
 
 def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
@@ -80,7 +78,7 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
     # 1. Nesting depth of every line, relative to its block.
     lines = (
         L.with_block_columns(rows.join(_few(files).select(L.FILE, L.BLOCK), [L.FILE, L.BLOCK], "left_semi"), files)
-        .withColumn("__change", _depth_change(F.col(L.TEXT)))
+        .withColumn("__change", F.expr(_depth_change(L.TEXT)))
         .withColumn("__depth", F.coalesce(F.sum("__change").over(earlier_lines), F.lit(0)))
         .withColumn("__file_start", L.line_number() == 0)
         .drop("first_id", "lines_before")
@@ -154,7 +152,7 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
     chunks = whole.unionByName(grouped)
 
     # 3. The elements of a chunk, in order.
-    body = trimmed(F.col("body"))
+    body = F.expr(trimmed("body"))
     inner = F.regexp_replace(body, r"\A[\[,]?\s*+", "")
     inner = F.when(F.col("__closes"), F.regexp_replace(inner, r"\s*\]\z", "")).otherwise(inner)
     inner = F.regexp_replace(inner, r"\s*,\z", "")

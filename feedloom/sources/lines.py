@@ -24,16 +24,19 @@ def as_paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], keep: Column | None = None) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], keep: Column | None = None, line_end: str | None = None
+) -> DataFrame:
     """The lines of one file, a folder, a glob or a list of these.
 
     Lines not satisfying ``keep`` (a condition on the line text; default: not
-    empty) are dropped before the ids are given.
+    empty) are dropped before the ids are given. Lines end with LF, CR or both,
+    or with ``line_end`` only.
     """
     configure(spark)
     keep = F.length(TEXT) > 0 if keep is None else keep
     return (
-        spark.read.text(as_paths(paths))
+        spark.read.text(as_paths(paths), lineSep=line_end)
         .select(
             F.col("_metadata.file_path").alias(FILE),
             F.col("_metadata.file_block_start").alias(BLOCK),
@@ -94,13 +97,15 @@ def with_all_first_lines(lines: DataFrame, index: DataFrame) -> DataFrame:
     return stage(completed.drop("found_line"), "blocks")
 
 
-def with_block_columns(lines: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Lines with the columns of their block.
+def with_block_columns(lines: DataFrame, blocks: DataFrame, count: int | None = None) -> DataFrame:
+    """Lines with the columns of their block; ``count`` is the number of blocks, if known.
 
     The block table is broadcast while it is small, which is checked; beyond
     that it is an ordinary join on (file, block), at most one block per group.
     """
-    if blocks.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS:
+    if count is None:
+        count = blocks.limit(BROADCAST_BLOCKS + 1).count()
+    if count <= BROADCAST_BLOCKS:
         blocks = F.broadcast(blocks)
     joined = lines.join(blocks, [FILE, BLOCK], "left")
     lost = F.raise_error(F.lit("the feed changed while it was read")).cast("bigint")

@@ -11,25 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.functions.text import quoted
 from feedloom.session import stage
 from feedloom.sources import lines as L
 
-_COMPLETE_CELL = r'(?<![^,])"[^"]*+(?:""[^"]*+)*+"'
+#: A quoted cell starts the line or follows a separator; quotes inside it are doubled.
+COMPLETE_CELL = r'(?<![^,])"[^"]*+(?:""[^"]*+)*+"'
 _OPENING_QUOTE = r'(?<![^,])"'
 #: From inside a quoted cell up to and including its closing quote.
 _CLOSING = r'\A[^"]*+(?:""[^"]*+)*+"'
 
 
-def ends_open(text: Column) -> Column:
-    """Whether a line that starts outside quotes ends inside a quoted cell."""
-    rest = F.regexp_replace(text, _COMPLETE_CELL, "")
-    return F.when(F.instr(text, '"') == 0, F.lit(False)).otherwise(rest.rlike(_OPENING_QUOTE))
+def ends_open(text: str) -> str:
+    """Whether a line that starts outside quotes ends inside a quoted cell (SQL text)."""
+    rest = f"regexp_replace({text}, {quoted(COMPLETE_CELL)}, '')"
+    return f"(instr({text}, '\"') > 0 AND {rest} RLIKE {quoted(_OPENING_QUOTE)})"
 
 
-def _ends_open_from_inside(text: Column) -> Column:
-    """Whether a line that starts inside a quoted cell ends inside one."""
-    closed = text.rlike(_CLOSING)
-    return F.when(~closed, F.lit(True)).otherwise(ends_open(F.regexp_replace(text, _CLOSING, "")))
+def _ends_open_from_inside(text: str) -> str:
+    """Whether a line that starts inside a quoted cell ends inside one (SQL text)."""
+    rest = f"regexp_replace({text}, {quoted(_CLOSING)}, '')"
+    return f"(NOT {text} RLIKE {quoted(_CLOSING)} OR {ends_open(rest)})"
 
 
 def _chain(df: DataFrame, window, from_outside: str, from_inside: str) -> DataFrame:
@@ -56,20 +58,19 @@ def _chain(df: DataFrame, window, from_outside: str, from_inside: str) -> DataFr
 def assemble_quoted(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records instead of lines, and their block table (see ``lines.block_index``).
 
-    ``lines`` must include the empty ones: inside quotes they are content. Only
-    the lines of records that span several lines are grouped.
+    ``lines`` must end with LF only and include the empty ones: inside quotes
+    all of that is content. Only the lines of records that span several lines
+    are grouped.
     """
     in_block = Window.partitionBy(L.FILE, L.BLOCK).orderBy(L.LINE_ID)
     up_to_here = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    text = F.col(L.TEXT)
-    states = _chain(
-        lines.withColumns({"__out": ends_open(text), "__in": _ends_open_from_inside(text)}), up_to_here, "__out", "__in"
-    ).drop("__out", "__in")
+    marked = lines.selectExpr("*", f"{ends_open(L.TEXT)} AS __out", f"{_ends_open_from_inside(L.TEXT)} AS __in")
+    states = _chain(marked, up_to_here, "__out", "__in").drop("__out", "__in")
     for start in (False, True):
         name = "inside" if start else "outside"
         before = F.coalesce(F.lag(f"after_{name}").over(in_block), F.lit(start))
         states = states.withColumn(f"before_{name}", before)
-        starts = ~F.col(f"before_{name}") & (F.length(text) > 0)
+        starts = ~F.col(f"before_{name}") & ~F.col(L.TEXT).isin("", "\r")
         states = states.withColumn(f"starts_{name}", F.sum(starts.cast("bigint")).over(up_to_here))
     states = stage(states, "quoting")
 
@@ -114,7 +115,7 @@ def assemble_quoted(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         L.LINE_ID,
         L.TEXT,
     )
-    whole = placed.where(F.col("__whole") & (F.length(L.TEXT) > 0)).select(L.FILE, "__record", L.TEXT)
+    whole = placed.where(F.col("__whole") & ~F.col(L.TEXT).isin("", "\r")).select(L.FILE, "__record", L.TEXT)
     pieces = F.array_sort(F.collect_list(F.struct(L.BLOCK, L.LINE_ID, L.TEXT)))
     joined = (
         placed.where(~F.col("__whole"))
@@ -126,7 +127,7 @@ def assemble_quoted(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         L.FILE,
         F.lit(0).cast("bigint").alias(L.BLOCK),
         F.col("__record").alias(L.LINE_ID),
-        L.TEXT,
+        F.regexp_replace(L.TEXT, r"\r\z", "").alias(L.TEXT),
     )
     first = records.where(F.col(L.LINE_ID) == 1).select(
         L.FILE,
