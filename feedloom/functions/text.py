@@ -38,12 +38,21 @@ def is_blank(c: str) -> str:
     A first character in the printable ASCII range settles almost every value
     without running the regular expression.
     """
-    return f"({c} IS NULL OR (ascii({c}) NOT BETWEEN 33 AND 126 AND {c} RLIKE r'\\A\\p{{javaWhitespace}}*\\z'))"
+    return f"({c} IS NULL OR (NOT ({c} >= '!' AND {c} < '\\u007f') AND {c} RLIKE r'\\A\\p{{javaWhitespace}}*\\z'))"
 
 
-def cell(c: str) -> str:
-    """A CSV cell: trimmed, and NULL when there is nothing in it."""
-    return f"if({is_blank(c)}, NULL, {trimmed(c)})"
+def cell(c: str, has_control: str = "true") -> str:
+    """A CSV cell: trimmed, and NULL when there is nothing in it.
+
+    ``has_control`` says whether the line has any control character; without
+    one, spaces are all there is to strip, which is much cheaper.
+    """
+    return f"if({is_blank(c)}, NULL, if({has_control}, {trimmed(c)}, trim({c})))"
+
+
+def has_control(c: str) -> str:
+    """Whether a text has a control character."""
+    return f"{c} RLIKE r'[\\x00-\\x1f]'"
 
 
 def utf16_length(c: str) -> str:

@@ -45,17 +45,17 @@ def _is_nested(kind: str) -> str:
     return f"coalesce(left({kind}, 5) IN ('OBJEC', 'ARRAY'), false)"
 
 
-def _was_text(f: Field, wanted: str) -> str:
-    """Whether a member that must be an object or a list was a string with the same look.
-
-    The exact test parses the record again; it runs only if the record may hold such a string.
-    """
-    suspect = f"{RAW} RLIKE {T.quoted(chr(34) + f.name + chr(34) + r'\s*:\s*' + chr(34))}"
-    return f"({suspect} AND coalesce(left({_kind_at('$.' + f.name)}, 5) <> '{wanted}', true))"
+def _wrong_type(f: Field) -> str:
+    """Whether a list or struct member is there but was not read as one."""
+    return f"(__text IS NOT NULL AND __text.{T.name(f.name)} IS NOT NULL AND {T.name(f.name)} IS NULL)"
 
 
 def _json_field(f: Field) -> tuple[str, str]:
-    """Value and error of one member."""
+    """Value and error of one member.
+
+    A text that looks like an object or a list may really be a string with that
+    look; only then is the record parsed again for the member's JSON type.
+    """
     c, path = T.name(f.name), f"$.{f.name}"
     error = T.quoted(f"invalid value for field '{f.name}'")
     if f.kind in (LONG, BOOLEAN):
@@ -63,32 +63,25 @@ def _json_field(f: Field) -> tuple[str, str]:
         value = T.to_long(text) if f.kind == LONG else T.to_boolean(text)
         return value, f"CASE WHEN {text} IS NOT NULL AND {value} IS NULL THEN {error} END"
     if f.kind == LIST:
-        items = f"from_json({c}, 'array<string>')"
         typed = f"try_variant_get(try_parse_json({RAW}), {T.quoted(path)}, 'array<variant>')"
         place = f"array_position(transform({typed}, v -> {_is_nested('schema_of_variant(v)')}), true) - 1"
         message = T.quoted(f"invalid value for field '{f.name}.[%d]'")
-        return items, (
-            f"CASE WHEN {c} IS NULL THEN NULL"
-            f" WHEN {items} IS NULL OR {_was_text(f, 'ARRAY')} OR exists({items}, i -> i IS NULL) THEN {error}"
-            f" WHEN exists({items}, i -> {_maybe_nested('i')}) AND {place} >= 0 THEN format_string({message}, {place}) END"
+        return c, (
+            f"CASE WHEN {_wrong_type(f)} OR exists({c}, i -> i IS NULL) THEN {error}"
+            f" WHEN exists({c}, i -> {_maybe_nested('i')}) AND {place} >= 0 THEN format_string({message}, {place}) END"
         )
     if f.kind == STRUCT:
-        value = f"from_json({c}, {T.quoted(', '.join(f'{T.name(child)} string' for child in f.children))})"
         members = [
-            f" WHEN {_maybe_nested(f'{value}.{T.name(child)}')} AND {_is_nested(_kind_at(f'{path}.{child}'))}"
+            f" WHEN {_maybe_nested(f'{c}.{T.name(child)}')} AND {_is_nested(_kind_at(f'{path}.{child}'))}"
             f" THEN {T.quoted(f"invalid value for field '{f.name}.{child}'")}"
             for child in f.children
         ]
-        return value, (
-            f"CASE WHEN {c} IS NULL THEN NULL"
-            f" WHEN left({c}, 1) <> '{{' OR {value} IS NULL OR {_was_text(f, 'OBJEC')} THEN {error}"
-            f"{''.join(members)} END"
-        )
+        return c, f"CASE WHEN {_wrong_type(f)} THEN {error}{''.join(members)} END"
     return c, f"CASE WHEN {_maybe_nested(c)} AND {_is_nested(_kind_at(path))} THEN {error} END"
 
 
 def convert_json(df: DataFrame, feed: Feed) -> DataFrame:
-    """Member texts to the feed's columns; one wrongly typed member rejects only its record."""
+    """Members (see ``read_json``) to the feed's columns; one wrongly typed member rejects only its record."""
     errors = ["parse_error"]
     values: dict[str, str] = {}
     for f in feed.fields:

@@ -133,7 +133,7 @@ def json_type_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = new_path(spark, "json-types")
     feed.selectExpr(f"{line} AS line").write.text(path)
-    rows = convert_json(read_json(spark, path, EMPLOYEE.names), EMPLOYEE)
+    rows = convert_json(read_json(spark, path, EMPLOYEE.fields), EMPLOYEE)
     return rows.groupBy("parse_error").agg(
         F.count("*").alias("n"),
         F.sum("salary").alias("salaries"),

@@ -17,11 +17,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
     * The file packing is pinned: block numbering reads a feed twice and both
       reads must cut the files the same way, also when executors come and go.
+    * Generated methods too large for the JIT compiler (8000 bytes of bytecode)
+      are not used: wide rule sets run about twice as fast in smaller ones.
     * 32-byte literals (encryption keys) are redacted in every printed plan.
     """
     conf = spark.conf
     if conf.get("spark.sql.files.minPartitionNum", None) is None:
         conf.set("spark.sql.files.minPartitionNum", str(max(2, spark.sparkContext.defaultParallelism)))
+    if conf.get("spark.sql.codegen.hugeMethodLimit", None) in (None, "65535"):
+        conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     if conf.get("spark.sql.redaction.string.regex", None) in (None, ""):
         conf.set("spark.sql.redaction.string.regex", _REDACTED_LITERAL)
     return spark

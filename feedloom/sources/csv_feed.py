@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import cell, is_blank, name, quoted, trimmed
+from feedloom.functions.text import cell, has_control, is_blank, name, quoted, trimmed
 from feedloom.sources import lines as L
 from feedloom.sources.quoting import COMPLETE_CELL, assemble_quoted, ends_open
 
@@ -24,8 +24,10 @@ def cell_count(text: str) -> str:
 
 
 def _cells(text: str, width: int) -> str:
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    return f"from_csv({text}, '{schema}', map('escape', '\"', 'maxColumns', '{width + 20480}'))"
+    """The cells of a line; ``odd`` is not NULL when they are not ``width``."""
+    schema = ", ".join(f"c{i} string" for i in range(width)) + ", odd string"
+    options = f"map('escape', '\"', 'maxColumns', '{width + 20480}', 'columnNameOfCorruptRecord', 'odd')"
+    return f"from_csv({text}, '{schema}', {options})"
 
 
 def _as_array(struct: str, width: int) -> str:
@@ -100,27 +102,32 @@ def read_csv(
         L.FILE,
         "positions",
         "header_width",
-        f"{cell_count(L.TEXT)} AS __n",
+        L.TEXT,
         f"{_cells(L.TEXT, width)} AS __row",
     )
-    ragged = "format_string('row has %d column(s) but the header has %d', __n, header_width)"
+    # The parser tells rows of the usual width from others; only the others are counted.
+    count = cell_count(L.TEXT)
+    ragged = f"format_string('row has %d column(s) but the header has %d', {count}, header_width)"
+    suspect = f"__row.odd IS NOT NULL OR header_width <> {width}"
     checked = parsed.selectExpr(
         "record_number",
         L.FILE,
-        f"if(__n <> header_width, {ragged}, NULL) AS parse_error",
+        f"CASE WHEN {suspect} THEN if({count} <> header_width, {ragged}, NULL) END AS parse_error",
         "positions",
         f"{_as_array('__row', width)} AS __cells",
+        f"{has_control(L.TEXT)} AS __control",
     )
     picked = checked.selectExpr(
         "record_number",
         L.FILE,
         "parse_error",
+        "__control",
         *[f"if(parse_error IS NULL, get(__cells, positions[{i}]), NULL) AS {name(c)}" for i, c in enumerate(columns)],
     )
     if not clean:
-        return picked
+        return picked.drop("__control")
     return picked.selectExpr(
-        "record_number", L.FILE, "parse_error", *[f"{cell(name(c))} AS {name(c)}" for c in columns]
+        "record_number", L.FILE, "parse_error", *[f"{cell(name(c), '__control')} AS {name(c)}" for c in columns]
     )
 
 

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import is_blank, quoted, trimmed
+from feedloom.functions.text import is_blank, name, quoted, trimmed
+from feedloom.schema import LIST, STRUCT, Field
 from feedloom.session import stage
 from feedloom.sources import lines as L
 
@@ -161,7 +162,12 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
         chunks.withColumn("__listed", listed)
         .where(F.length("__listed") > 0)
         .withColumn("__all", F.from_json(F.concat(F.lit("["), F.col("__listed"), F.lit("]")), "array<string>"))
-        .select(L.FILE, L.BLOCK, "__chunk", "array_file", F.posexplode_outer("__all").alias("__pos", RAW))
+        .select(L.FILE, L.BLOCK, "__chunk", "array_file", F.posexplode_outer("__all").alias("__pos", "element"))
+    )
+    # Outside an array only objects are allowed; in one, other elements are records, though bad ones.
+    fits = f"__pos IS NOT NULL AND (array_file OR left({trimmed('element')}, 1) = '{{')"
+    elements = elements.select(
+        L.FILE, L.BLOCK, "__chunk", "__pos", F.expr(f"if({fits}, coalesce(element, 'null'), NULL)").alias(RAW)
     )
     elements = stage(elements, "elements")
 
@@ -185,29 +191,45 @@ def _few(blocks: DataFrame) -> DataFrame:
     return F.broadcast(blocks) if blocks.limit(L.BROADCAST_BLOCKS + 1).count() <= L.BROADCAST_BLOCKS else blocks
 
 
+def _parsed(fields: Sequence[Field], typed: bool) -> str:
+    """The raw record as a struct; text members only, or lists and structs as such."""
+    kinds = {LIST: "array<string>"} if typed else {}
+    columns = [
+        f"{name(f.name)} {f.ddl if typed and f.kind == STRUCT else kinds.get(f.kind, 'string')}" for f in fields
+    ]
+    schema = quoted(", ".join(columns + ["__corrupt string"]))
+    return f"from_json({RAW}, {schema}, map('columnNameOfCorruptRecord', '__corrupt'))"
+
+
 def read_json(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], on_broken: str = "fail"
+    spark: SparkSession, paths: str | Sequence[str], fields: Sequence[str | Field], on_broken: str = "fail"
 ) -> DataFrame:
-    """Records of JSON files, every member as text (nested ones as JSON text).
+    """Records of JSON files: plain members as text, lists as lists, structs as structs of text.
 
     Result: ``record_number``, ``source_file``, ``parse_error`` (an element that
-    is not an object), ``columns`` and the element's text ``__raw``; unknown
-    members are ignored. A file that is not JSON fails the job; with
-    ``on_broken="dead_letter"`` its unreadable parts become error rows.
+    is not an object), the fields, the element's text ``__raw`` and, only for
+    elements with a list or struct of the wrong type, all members as text in
+    ``__text``. Unknown members are ignored. A file that is not JSON fails the
+    job; with ``on_broken="dead_letter"`` its unreadable parts become error rows.
     """
     if on_broken not in ("fail", "dead_letter"):
         raise ValueError("on_broken must be 'fail' or 'dead_letter'")
-    schema = ",".join(f"`{c}` string" for c in columns) + ",`__corrupt` string"
-    parsed = read_json_elements(spark, paths).withColumn(
-        "__v", F.from_json(F.col(RAW), schema, {"columnNameOfCorruptRecord": "__corrupt"})
+    fields = [Field(f) if isinstance(f, str) else f for f in fields]
+    parsed = read_json_elements(spark, paths).withColumn("__v", F.expr(_parsed(fields, typed=True)))
+    parsed = parsed.withColumn(
+        "__text", F.expr(f"if(__v.__corrupt IS NULL, NULL, {_parsed(fields, typed=False)})")
     )
-    object_like = F.coalesce(F.ltrim(F.col(RAW)).startswith("{"), F.lit(False))
-    unreadable = F.col("__v.__corrupt").isNotNull() | F.col("__v").isNull() | ~object_like
+    no_object = f"coalesce(left({trimmed(RAW)}, 1) <> '{{', true)"
     if on_broken == "fail":
-        not_json = F.col(RAW).isNull() | (object_like & F.col("__v.__corrupt").isNotNull())
-        failure = F.raise_error(F.concat(F.lit("not valid JSON: "), F.col(L.FILE))).cast("boolean")
-        parsed = parsed.where(F.when(not_json, failure).otherwise(F.lit(True)))
-    error = F.when(unreadable, F.lit("record has an invalid structure"))
-    return parsed.withColumn("parse_error", error).select(
-        "record_number", L.FILE, "parse_error", *[F.col(f"__v.`{c}`").alias(c) for c in columns], RAW
+        not_json = f"{RAW} IS NULL OR (__text.__corrupt IS NOT NULL AND NOT {no_object})"
+        failure = f"cast(raise_error(concat('not valid JSON: ', {L.FILE})) AS boolean)"
+        parsed = parsed.where(f"CASE WHEN {not_json} THEN {failure} ELSE true END")
+    return parsed.selectExpr(
+        "record_number",
+        L.FILE,
+        f"CASE WHEN __v IS NULL OR __text.__corrupt IS NOT NULL OR {no_object}"
+        " THEN 'record has an invalid structure' END AS parse_error",
+        *[f"__v.{name(f.name)} AS {name(f.name)}" for f in fields],
+        RAW,
+        "__text",
     )

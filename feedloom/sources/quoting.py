@@ -17,15 +17,16 @@ from feedloom.sources import lines as L
 
 #: A quoted cell starts the line or follows a separator; quotes inside it are doubled.
 COMPLETE_CELL = r'(?<![^,])"[^"]*+(?:""[^"]*+)*+"'
-_OPENING_QUOTE = r'(?<![^,])"'
+_CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+)'
+#: A line whose quoted cells are all complete.
+_CLOSED_LINE = rf"\A{_CELL}(?:,{_CELL})*+\z"
 #: From inside a quoted cell up to and including its closing quote.
 _CLOSING = r'\A[^"]*+(?:""[^"]*+)*+"'
 
 
 def ends_open(text: str) -> str:
     """Whether a line that starts outside quotes ends inside a quoted cell (SQL text)."""
-    rest = f"regexp_replace({text}, {quoted(COMPLETE_CELL)}, '')"
-    return f"(instr({text}, '\"') > 0 AND {rest} RLIKE {quoted(_OPENING_QUOTE)})"
+    return f"(instr({text}, '\"') > 0 AND NOT {text} RLIKE {quoted(_CLOSED_LINE)})"
 
 
 def _ends_open_from_inside(text: str) -> str:

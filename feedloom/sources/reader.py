@@ -44,5 +44,5 @@ def read_feed(
     if file_type(kind) == "CSV":
         raw = read_csv(spark, paths, feed.csv_columns, multi_line).withColumn("source_creation_time", at)
         return convert_csv(raw, feed)
-    raw = read_json(spark, paths, feed.names, on_broken).withColumn("source_creation_time", at)
+    raw = read_json(spark, paths, feed.fields, on_broken).withColumn("source_creation_time", at)
     return convert_json(raw, feed)

@@ -45,6 +45,12 @@ def compare(spark, connection, sf_dir, query, sql):
     result = connection.execute(sql)
     names = [d[0] for d in result.description]
     theirs = as_rows(names, result.fetchall())
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+    spark_types = {f.name: kinds.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    sql_types = {d[0]: str(d[1]) for d in result.description}
+    if spark_types != sql_types:
+        differing = {n: (spark_types.get(n), sql_types.get(n)) for n in spark_types if spark_types[n] != sql_types.get(n)}
+        print(f"    types: {differing}")
     if mine[0] != theirs[0]:
         return f"columns {mine[0]} / {theirs[0]}"
     if mine[1] != theirs[1]:
