@@ -24,10 +24,16 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str
 
 
 def upsert(base: DataFrame, incoming: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """``base`` with the latest row of every incoming key in place of its own."""
+    """``base`` with the latest row of every incoming key in place of its own.
+
+    Only the distinct keys meet the base: repeated keys are reduced before the
+    shuffle, and a small set of keys is broadcast by size, which leaves the base
+    unshuffled.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     newest = latest_per_key(incoming, keys, order).select(*base.columns)
-    return base.join(newest.select(*keys), keys, "left_anti").select(*base.columns).unionByName(newest)
+    kept = base.join(incoming.select(*keys).distinct(), keys, "left_anti").select(*base.columns)
+    return kept.unionByName(newest)
 
 
 class TargetTable:

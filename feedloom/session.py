@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Applied only where the session leaves them unset.
-_REDACTED_LITERAL = "0x[0-9A-Fa-f]{64}"
+_REDACTED_LITERAL = "(0x|X')[0-9A-Fa-f]{64}'?"
 _scratch: dict[str, str] = {}
 
 
