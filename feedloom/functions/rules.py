@@ -157,11 +157,8 @@ def errors_of(rules: Iterable[Rule]) -> str:
 
 
 def error_text(rules: Iterable[Rule]) -> str:
-    """All messages joined by ``"; "``, NULL when the row is valid."""
-    errors = [rule.error() for rule in rules]
-    if not errors:
-        return "cast(NULL AS string)"
-    return f"nullif(concat_ws({quoted(ERROR_SEPARATOR)}, {', '.join(errors)}), '')"
+    """All messages joined by ``"; "``, empty when the row is valid."""
+    return f"concat_ws({', '.join([quoted(ERROR_SEPARATOR), *[rule.error() for rule in rules]])})"
 
 
 def first_error(rules: Iterable[Rule]) -> str:

@@ -35,9 +35,16 @@ def validate(df: DataFrame, feed: Feed, observation: Observation | None = None)
     configure(df.sparkSession)
     if "parse_error" not in df.columns:
         df = df.withColumn("parse_error", F.lit(None).cast("string"))
-    checked = df.withColumn("error_message", F.expr(f"coalesce(parse_error, {error_text(feed.rules)})"))
-    kind = f"CASE WHEN parse_error IS NOT NULL THEN '{PARSE_ERROR}' WHEN error_message IS NOT NULL THEN '{VALIDATION_ERROR}' END"
-    checked = checked.withColumn("error_type", F.expr(kind)).drop("parse_error")
+    # The joined text is a column of its own so that the rules run once per row.
+    checked = df.withColumn("__broken", F.expr(error_text(feed.rules)))
+    checked = checked.withColumns(
+        {
+            "error_message": F.expr("CASE WHEN parse_error IS NOT NULL THEN parse_error WHEN __broken <> '' THEN __broken END"),
+            "error_type": F.expr(
+                f"CASE WHEN parse_error IS NOT NULL THEN '{PARSE_ERROR}' WHEN __broken <> '' THEN '{VALIDATION_ERROR}' END"
+            ),
+        }
+    ).drop("parse_error", "__broken")
     return checked.observe(
         observation or f"validate-{uuid.uuid4().hex}",
         F.count("*").alias("records"),
