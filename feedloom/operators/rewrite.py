@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.reconcile import NO_RECORDS, require_records
-from feedloom.sources.csv_feed import header_names, read_csv
+from feedloom.sources.csv_feed import header_names, open_csv, scanned
 from feedloom.sources.json_feed import RAW, read_json_elements
 from feedloom.sources.reader import file_type
 
@@ -44,11 +44,11 @@ def split_feed(spark: SparkSession, source: str, kind: str, out: str, per_file:
         lines = elements.select(F.translate(RAW, "\r\n", "  ").alias("value"))
         lines.repartition(files).write.mode("overwrite").text(out)
         return files
-    columns = header_names(spark, source)
-    if not columns:
+    scan = open_csv(spark, source)
+    if scan.records == 0:
         raise ValueError(NO_RECORDS)
-    rows = read_csv(spark, source, columns, clean=False)
-    files = file_count(require_records(rows), per_file)
+    columns, files = header_names(scan), file_count(scan.records, per_file)
+    rows = scanned(scan, columns, clean=False)
     message = F.concat(F.lit("record "), F.col("record_number").cast("string"), F.lit(": "), F.col("parse_error"))
     fits = F.when(F.col("parse_error").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     write_csv_parts(rows.where(fits).select(*[F.col(f"`{c}`") for c in columns]), out, files)

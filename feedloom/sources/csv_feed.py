@@ -8,6 +8,7 @@ its cells through that vector: one scan whatever the mix of headers.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,12 +58,43 @@ def _bind_headers(index: DataFrame, columns: Sequence[str], width: int) -> DataF
     )
 
 
+@dataclass(frozen=True)
+class CsvScan:
+    """The records of CSV files as text, and what the counting pass learned about them."""
+
+    rows: DataFrame
+    index: DataFrame
+    blocks: int
+    width: int
+    records: int
+
+
+def open_csv(
+    spark: SparkSession, paths: str | Sequence[str], column: str | None = None, multi_line: bool | None = None
+) -> CsvScan:
+    """Count and index the files; ``column`` is a name their headers should contain, if one is known."""
+    rows = L.read_lines(spark, paths)
+    marker = F.lit(False) if column is None else F.expr(f"contains({L.TEXT}, {quoted(column)})")
+    opens = "0L" if multi_line is False else f"cast({ends_open(L.TEXT)} AS bigint)"
+    index = L.block_index(rows, marker, open_lines=F.expr(opens))
+    learned = [
+        F.count("*").alias("blocks"),
+        F.expr(f"max({cell_count('first_line')})").alias("width"),
+        F.expr("coalesce(sum(n), 0) - count(DISTINCT source_file)").alias("records"),
+    ]
+    unknown = F.count_if(F.col("first_line").isNull()).alias("unknown")
+    facts = index.agg(*learned, F.sum("open_lines").alias("open_lines"), unknown).first()
+    if (facts["open_lines"] or 0) > 0:
+        rows, index = assemble_quoted(L.read_lines(spark, paths, keep=F.lit(True), line_end="\n"))
+        facts = index.agg(*learned).first()
+    elif facts["unknown"] > 0:
+        index = L.with_all_first_lines(rows, index)
+        facts = index.agg(*learned).first()
+    return CsvScan(rows, index, facts["blocks"], facts["width"] or 1, facts["records"])
+
+
 def read_csv(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    columns: Sequence[str],
-    multi_line: bool | None = None,
-    clean: bool = True,
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], multi_line: bool | None = None
 ) -> DataFrame:
     """Records of CSV files with a header, every cell as trimmed text or NULL.
 
@@ -71,33 +103,17 @@ def read_csv(
     and ``columns``; absent ones are NULL, others are ignored.
 
     Quoted cells may hold line breaks. By default the counting pass finds out
-    whether any do; ``multi_line=False`` skips that check. ``clean=False`` leaves
-    the cells untrimmed.
+    whether any do; ``multi_line=False`` skips that check.
     """
-    columns = list(columns)
-    rows = L.read_lines(spark, paths)
-    marker = F.expr(f"contains({L.TEXT}, {quoted(columns[0])})")
-    opens = "0L" if multi_line is False else f"cast({ends_open(L.TEXT)} AS bigint)"
-    index = L.block_index(rows, marker, open_lines=F.expr(opens))
-    facts = index.agg(
-        F.count("*").alias("blocks"),
-        F.expr(f"max({cell_count('first_line')})").alias("width"),
-        F.coalesce(F.sum("open_lines"), F.lit(0)).alias("open_lines"),
-        F.count_if(F.col("first_line").isNull()).alias("unknown"),
-    ).first()
-    if facts["open_lines"] > 0 or facts["unknown"] > 0:
-        if facts["open_lines"] > 0:
-            rows, index = assemble_quoted(L.read_lines(spark, paths, keep=F.lit(True), line_end="\n"))
-        else:
-            index = L.with_all_first_lines(rows, index)
-        facts = index.agg(
-            F.count("*").alias("blocks"), F.expr(f"max({cell_count('first_line')})").alias("width")
-        ).first()
-
-    width = facts["width"] or 1
-    bound = _bind_headers(index, columns, width)
-    numbered = L.with_block_columns(rows, bound, facts["blocks"]).withColumn("record_number", L.line_number())
-    parsed = numbered.where("record_number > 0").selectExpr(
+    return scanned(open_csv(spark, paths, columns[0], multi_line), columns)
+
+
+def scanned(scan: CsvScan, columns: Sequence[str], clean: bool = True) -> DataFrame:
+    """The records of an opened scan, see ``read_csv``; ``clean=False`` leaves the cells untrimmed."""
+    width = scan.width
+    row_bytes = L.ROW_BYTES + 8 * len(columns)
+    numbered = L.with_block_columns(scan.rows, _bind_headers(scan.index, columns, width), scan.blocks, row_bytes)
+    parsed = numbered.withColumn("record_number", L.line_number()).where("record_number > 0").selectExpr(
         "record_number",
         L.FILE,
         "positions",
@@ -131,16 +147,9 @@ def read_csv(
     )
 
 
-def header_names(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """Column names of the feed's files, in the order they first appear; none for empty files."""
-    rows = L.read_lines(spark, paths)
-    index = L.with_all_first_lines(rows, L.block_index(rows, F.lit(False)))
-    lines = index.select("first_line").distinct()
-    width = lines.agg(F.expr(f"max({cell_count('first_line')})")).first()[0]
-    if width is None:
-        return []
-    cells = lines.selectExpr(f"{_cells('first_line', width)} AS __h").selectExpr(
-        f"posexplode({_as_array('__h', width)}) AS (place, name)"
-    )
-    named = cells.where("name IS NOT NULL").selectExpr("place", f"{trimmed('name')} AS name")
+def header_names(scan: CsvScan) -> list[str]:
+    """Column names of a scan's files, in the order they first appear; none for empty files."""
+    cells = scan.index.select("first_line").distinct().selectExpr(f"{_cells('first_line', scan.width)} AS __h")
+    named = cells.selectExpr(f"posexplode({_as_array('__h', scan.width)}) AS (place, name)")
+    named = named.where("name IS NOT NULL").selectExpr("place", f"{trimmed('name')} AS name")
     return [r[0] for r in named.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()]

@@ -78,7 +78,7 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
     )
     # 1. Nesting depth of every line, relative to its block.
     lines = (
-        L.with_block_columns(rows.join(_few(files).select(L.FILE, L.BLOCK), [L.FILE, L.BLOCK], "left_semi"), files)
+        L.with_block_columns(rows.join(L.broadcast_if_small(files.select(L.FILE, L.BLOCK)), [L.FILE, L.BLOCK], "left_semi"), files)
         .withColumn("__change", F.expr(_depth_change(L.TEXT)))
         .withColumn("__depth", F.coalesce(F.sum("__change").over(earlier_lines), F.lit(0)))
         .withColumn("__file_start", L.line_number() == 0)
@@ -187,10 +187,6 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
     return numbered.select(L.FILE, (F.col("lines_before") + F.col("__place")).alias("record_number"), RAW)
 
 
-def _few(blocks: DataFrame) -> DataFrame:
-    return F.broadcast(blocks) if blocks.limit(L.BROADCAST_BLOCKS + 1).count() <= L.BROADCAST_BLOCKS else blocks
-
-
 def _parsed(fields: Sequence[Field], typed: bool) -> str:
     """The raw record as a struct; text members only, or lists and structs as such."""
     kinds = {LIST: "array<string>"} if typed else {}

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from feedloom.session import configure, stage
 
 FILE, BLOCK, LINE_ID, TEXT = "source_file", "__block", "__line_id", "__text"
-#: Block tables up to this many rows (about 300 bytes each) are broadcast; larger ones are shuffled.
-BROADCAST_BLOCKS = 200_000
+#: A block table is broadcast up to this size: a million blocks or so, some 100 TB in blocks of 128 MB.
+BROADCAST_BYTES = 512 * 1024 * 1024
+#: Estimated size of a row of the block table: the file's path and a few numbers.
+ROW_BYTES = 400
 
 
 def as_paths(paths: str | Sequence[str]) -> list[str]:
@@ -97,17 +99,23 @@ def with_all_first_lines(lines: DataFrame, index: DataFrame) -> DataFrame:
     return stage(completed.drop("found_line"), "blocks")
 
 
-def with_block_columns(lines: DataFrame, blocks: DataFrame, count: int | None = None) -> DataFrame:
-    """Lines with the columns of their block; ``count`` is the number of blocks, if known.
+def broadcast_if_small(blocks: DataFrame, count: int | None = None, row_bytes: int = ROW_BYTES) -> DataFrame:
+    """A block table marked for broadcast if its size allows; ``count`` is its number of rows, if known."""
+    most = BROADCAST_BYTES // row_bytes
+    if count is None:
+        count = blocks.limit(most + 1).count()
+    return F.broadcast(blocks) if count <= most else blocks
+
+
+def with_block_columns(
+    lines: DataFrame, blocks: DataFrame, count: int | None = None, row_bytes: int = ROW_BYTES
+) -> DataFrame:
+    """Lines with the columns of their block.
 
     The block table is broadcast while it is small, which is checked; beyond
     that it is an ordinary join on (file, block), at most one block per group.
     """
-    if count is None:
-        count = blocks.limit(BROADCAST_BLOCKS + 1).count()
-    if count <= BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
-    joined = lines.join(blocks, [FILE, BLOCK], "left")
+    joined = lines.join(broadcast_if_small(blocks, count, row_bytes), [FILE, BLOCK], "left")
     lost = F.raise_error(F.lit("the feed changed while it was read")).cast("bigint")
     return joined.withColumn("first_id", F.coalesce("first_id", lost))
 

@@ -98,6 +98,7 @@ def assemble_quoted(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.last("after_outside").over(in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(
                 "unfinished"
             ),
+            F.sum("n").over(Window.partitionBy(L.FILE)).alias("file_records"),
             F.lit(0).cast("bigint").alias("first_id"),
         ),
         "quoting-blocks",
@@ -111,16 +112,19 @@ def assemble_quoted(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = known.select(
         L.FILE,
         (F.col("records_before") + pick("starts")).alias("__record"),
+        "file_records",
         (~pick("before") & ~pick("after")).alias("__whole"),
         L.BLOCK,
         L.LINE_ID,
         L.TEXT,
     )
-    whole = placed.where(F.col("__whole") & ~F.col(L.TEXT).isin("", "\r")).select(L.FILE, "__record", L.TEXT)
+    whole = placed.where(F.col("__whole") & ~F.col(L.TEXT).isin("", "\r")).select(
+        L.FILE, "__record", "file_records", L.TEXT
+    )
     pieces = F.array_sort(F.collect_list(F.struct(L.BLOCK, L.LINE_ID, L.TEXT)))
     joined = (
         placed.where(~F.col("__whole"))
-        .groupBy(L.FILE, "__record")
+        .groupBy(L.FILE, "__record", "file_records")
         .agg(F.array_join(F.transform(pieces, lambda p: p[L.TEXT]), "\n").alias(L.TEXT))
     )
     # From here on a file is one block and a record's id is its number in the file.
@@ -129,13 +133,14 @@ def assemble_quoted(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.lit(0).cast("bigint").alias(L.BLOCK),
         F.col("__record").alias(L.LINE_ID),
         F.regexp_replace(L.TEXT, r"\r\z", "").alias(L.TEXT),
+        "file_records",
     )
     first = records.where(F.col(L.LINE_ID) == 1).select(
         L.FILE,
         L.BLOCK,
         F.lit(1).cast("bigint").alias("first_id"),
-        F.lit(1).cast("bigint").alias("n"),
+        F.col("file_records").alias("n"),
         F.lit(0).cast("bigint").alias("lines_before"),
         F.col(L.TEXT).alias("first_line"),
     )
-    return records, stage(first, "blocks")
+    return records.drop("file_records"), stage(first, "blocks")

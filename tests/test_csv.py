@@ -7,7 +7,7 @@ from fixtures import VALID, csv_text, variation, write
 from pyspark.sql import functions as F
 
 from feedloom.plans.employee import EMPLOYEE
-from feedloom.sources.csv_feed import header_names, read_csv
+from feedloom.sources.csv_feed import header_names, open_csv, read_csv
 from feedloom.sources.reader import file_type, read_feed
 
 
@@ -77,7 +77,7 @@ def test_header_without_the_expected_names(spark, tmp_path):
     assert [(r["id"], r["parse_error"]) for r in rows] == [
         (None, None), (None, "row has 1 column(s) but the header has 2"),
     ]
-    assert header_names(spark, source) == ["key", "label"]
+    assert header_names(open_csv(spark, source)) == ["key", "label"]
 
 
 def test_header_names_in_the_data_do_no_harm(spark, tmp_path):

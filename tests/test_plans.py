@@ -65,3 +65,16 @@ def test_parse_error_alone_is_still_exact(spark, tmp_path):
     assert [r[0] is None for r in df.orderBy("record_number").select("parse_error").collect()] == [True, False, False]
     assert df.where("parse_error IS NOT NULL").count() == 2
     assert df.where("parse_error IS NULL").selectExpr("max(b)").first()[0] == "2"
+
+
+def test_large_block_tables_are_not_broadcast(spark, feed_file, monkeypatch):
+    from feedloom.sources import lines as L
+
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = read_csv(spark, feed_file, ["employee_id"])
+        assert "BroadcastHashJoin" not in physical(df)
+        assert df.selectExpr("count(*)", "max(record_number)", "count(DISTINCT employee_id)").first() == (49, 49, 49)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
