@@ -23,6 +23,12 @@ def find_all(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def decrypted_view(table: DataFrame, feed: Feed, encryption_key: str, strict: bool = True) -> DataFrame:
     """Stored rows as records again: fields in clear, lists and structs restored."""
+    restored = {}
+    for f in feed.fields:
+        if f.kind == STRUCT:
+            schema = quoted(", ".join(f"{name(c)} string" for c in f.children))
+            restored[f"__{f.name}"] = F.expr(f"from_json({name(f.name)}, {schema})")
+    table = table.withColumns(restored)
     columns = []
     for f in feed.fields:
         if f.sensitive:
@@ -31,12 +37,10 @@ def decrypted_view(table: DataFrame, feed: Feed, encryption_key: str, strict: bo
         elif f.kind == LIST:
             columns.append(F.expr(json_list(name(f.name))).alias(f.name))
         elif f.kind == STRUCT:
-            value = f"from_json({name(f.name)}, {quoted(', '.join(f'{name(c)} string' for c in f.children))})"
-            restored = F.expr(value)
+            value = F.col(f"__{f.name}")
             for child in f.sensitive_children:
-                plain = decrypt_if_present(f"{value}.{name(child)}", encryption_key, strict)
-                restored = restored.withField(child, plain)
-            columns.append(F.when(F.col(f.name).isNotNull(), restored).alias(f.name))
+                value = value.withField(child, decrypt_if_present(f"__{f.name}.{name(child)}", encryption_key, strict))
+            columns.append(F.when(F.col(f.name).isNotNull(), value).alias(f.name))
         else:
             columns.append(F.col(f.name))
     rest = [c for c in ("ingestion_timestamp", "execution_id", "source_creation_time") if c in table.columns]
