@@ -34,12 +34,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the cluster.
 
-    Where it is unset (a single machine, as in tests) a temporary folder of this
-    process is used.
+    Where it is unset on a single machine, as in tests, a temporary folder of
+    this process is used; on a cluster that is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _scratch:
         _scratch[app] = tempfile.mkdtemp(prefix="run-")

@@ -35,6 +35,12 @@ def _as_array(struct: str, width: int) -> str:
     return "array(" + ", ".join(f"{struct}.c{i}" for i in range(width)) + ")"
 
 
+def _has_cell(text: str, value: str) -> str:
+    """Whether a line has a cell with just this value; few lines but headers have."""
+    alone = rf'(?:\A|[,"])[\s\ufeff]*\Q{value}\E\s*(?:[,"]|\z)'
+    return f"(contains({text}, {quoted(value)}) AND {text} RLIKE {quoted(alone)})"
+
+
 def _bind_headers(index: DataFrame, columns: Sequence[str], width: int) -> DataFrame:
     """The block table with header width and, per wanted column, its position (last one wins)."""
     bound = index.selectExpr("*", f"{cell_count('first_line')} AS header_width", f"{_cells('first_line', width)} AS __h")
@@ -74,7 +80,7 @@ def open_csv(
 ) -> CsvScan:
     """Count and index the files; ``column`` is a name their headers should contain, if one is known."""
     rows = L.read_lines(spark, paths)
-    marker = F.lit(False) if column is None else F.expr(f"contains({L.TEXT}, {quoted(column)})")
+    marker = F.lit(False) if column is None else F.expr(_has_cell(L.TEXT, column))
     opens = "0L" if multi_line is False else f"cast({ends_open(L.TEXT)} AS bigint)"
     index = L.block_index(rows, marker, open_lines=F.expr(opens))
     learned = [
