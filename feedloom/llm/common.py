@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -85,7 +85,7 @@ def map_batches(
     return in_python(df, run, StructType(fields))
 
 
-def salted(column: str, seed: str):
-    """A keyed 60-bit hash of a column, the same in Spark and in other SQL engines."""
-    digest = F.md5(F.concat(F.lit(seed), F.col(column).cast("string")))
+def salted(column: str, seed: str) -> Column:
+    """A keyed 60-bit hash of a column, the same in Spark and in other SQL engines; NULL is an empty text."""
+    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(column).cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.common import table
+from feedloom.llm.mixing import MIX_SQL, mix
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.tokens import token_counts
 
@@ -18,5 +19,9 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash)}
-ORACLE: dict[str, str] = {}
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op5_mixing)}
+ORACLE = {"op5_mixing": MIX_SQL}
