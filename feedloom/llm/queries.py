@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom.llm.common import table
 from feedloom.llm.mixing import MIX_SQL, mix
 from feedloom.llm.simhash import near_duplicates
+from feedloom.llm.token_files import encoded
 from feedloom.llm.tokens import token_counts
 
 
@@ -23,5 +24,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op5_mixing)}
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op5_mixing, op10_token_files)}
 ORACLE = {"op5_mixing": MIX_SQL}
