@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.chat import digests, formatted
 from feedloom.llm.common import table
+from feedloom.llm.decontaminate import contaminated
 from feedloom.llm.mixing import MIX_SQL, mix
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.token_files import encoded
@@ -37,9 +38,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op10_token_files)}
+QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op7_decontaminate, op10_token_files)}
 ORACLE = {"op5_mixing": MIX_SQL}
