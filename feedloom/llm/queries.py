@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from feedloom.llm import embeddings
 from feedloom.llm.chat import digests, formatted
 from feedloom.llm.common import table
 from feedloom.llm.decontaminate import contaminated
@@ -42,9 +43,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op7_decontaminate, op10_token_files)}
+QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op7_decontaminate, op8_embeddings, op10_token_files)}
 ORACLE = {"op5_mixing": MIX_SQL}

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from feedloom.llm.cells import CELL, Forest, dealt, whole_groups
 from feedloom.llm.common import Scratch, exact, in_python, map_batches
 from feedloom.llm.components import components
 
@@ -20,10 +21,6 @@ DISTANCE = 4
 SEED = 42
 #: Blocks that the 32 two-bit segments fall into; any two points within the distance agree on BLOCKS - DISTANCE of them.
 BLOCKS = 7
-#: Points of a grid cell that are compared in one go; larger cells are dealt out in pairs of parts of this size.
-CELL = 4096
-#: Rows that a task gathers, whole cells only, before it compares them.
-GATHERED = 100_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -82,75 +79,26 @@ def links(spark: SparkSession, points: DataFrame, distance: int = DISTANCE, bloc
     bit. Of the links in a cell only a spanning forest leaves the task, so a
     dense group gives no more links than it has points.
 
-    Cells with more than ``cell`` points are cut by hash into parts; each pair
-    of parts is a group of its own, so no task holds a whole large cell and no
-    pair is left out.
+    Cells with more than ``cell`` points are dealt out in parts, see ``dealt``.
     """
     masks = F.array(*(F.lit(mask).cast("long") for mask in block_masks(blocks, distance)))
     grids = points.select("node", "fp", F.posexplode(masks).alias("grid", "mask"))
     cells = grids.select("node", "fp", F.xxhash64("grid", segment_counts(F.col("fp")).bitwiseAND(F.col("mask"))).alias("cell"))
-    large = cells.groupBy("cell").count().where(F.col("count") > cell)
-    large = large.select("cell", F.ceil(F.col("count") / cell).cast("int").alias("parts"))
-    parts = F.coalesce("parts", F.lit(1))
-    own = F.pmod(F.xxhash64("fp"), parts).cast("int")
-    groups = (
-        cells.join(large, "cell", "left")
-        .select("node", "fp", "cell", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-        .select("cell", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "fp")
-    )
     ends = StructType([StructField("low", LongType()), StructField("high", LongType())])
-    sorted_groups = groups.repartition("cell", "one", "two").sortWithinPartitions("cell", "one", "two")
-    return in_python(sorted_groups, lambda batches: _forests(batches, distance), ends).distinct()
+    return in_python(dealt(cells, "fp", size=cell), lambda batches: _forests(batches, distance), ends).distinct()
 
 
 def _forests(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Compare the rows of whole groups; rows come sorted by group."""
-    kept: list[np.ndarray] = []
-    rows = 0
-    for batch in batches:
-        columns = np.stack([batch.column(i).cast(pa.int64()).to_numpy() for i in range(6)])
-        kept.append(columns)
-        rows += batch.num_rows
-        if rows >= GATHERED:
-            table = np.concatenate(kept, axis=1)
-            new = np.flatnonzero((table[:3, 1:] != table[:3, :-1]).any(axis=0))
-            cut = int(new[-1]) + 1 if len(new) else 0
-            if cut:
-                yield _forest(table[:, :cut], distance)
-            kept, rows = [table[:, cut:]], table.shape[1] - cut
-    if rows:
-        yield _forest(np.concatenate(kept, axis=1), distance)
-
-
-def _forest(table: np.ndarray, distance: int) -> pa.RecordBatch:
-    one, two, own, node = table[1], table[2], table[3], table[4]
-    fp = table[5].view(np.uint64)
-    counts = fp - ((fp >> np.uint64(1)) & np.uint64(0x5555555555555555))
-    group = np.concatenate([[0], np.cumsum((table[:3, 1:] != table[:3, :-1]).any(axis=0))])
-    parent = np.arange(len(node))
-    low, high = [], []
-    left, step = np.arange(len(node)), 0
-    while True:
-        step += 1
-        left = left[left + step < len(node)]
-        left = left[group[left] == group[left + step]]
-        if not len(left):
-            break
-        right = left + step
-        near = _manhattan(counts[left], counts[right]) <= distance
-        near &= (one[left] == two[left]) | (own[left] != own[right])
-        a, b = left[near], right[near]
-        near = np.bitwise_count(fp[a] ^ fp[b]) <= distance
-        a, b = a[near], b[near]
-        apart = _roots(parent, a) != _roots(parent, b)
-        for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
-            p, q = _root(parent, x), _root(parent, y)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                low.append(x)
-                high.append(y)
-    ends = node[np.array([low, high], np.int64).reshape(2, -1)]
-    return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=0)), pa.array(ends.max(axis=0))], ["low", "high"])
+    for groups in whole_groups(batches):
+        fp = groups.table.column("fp").to_numpy().view(np.uint64)
+        counts = fp - ((fp >> np.uint64(1)) & np.uint64(0x5555555555555555))
+        forest = Forest(len(fp))
+        for a, b in groups.pairs(np.arange(len(fp))):
+            near = _manhattan(counts[a], counts[b]) <= distance
+            a, b = a[near], b[near]
+            near = np.bitwise_count(fp[a] ^ fp[b]) <= distance
+            forest.add(a[near], b[near])
+        yield pa.RecordBatch.from_arrays([pa.array(end) for end in forest.ends(groups.node)], ["low", "high"])
 
 
 def _manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -161,20 +109,6 @@ def _manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(odd) + 2 * np.bitwise_count(two)
 
 
-def _roots(parent: np.ndarray, of: np.ndarray) -> np.ndarray:
-    found = parent[of]
-    while (further := parent[found] != found).any():
-        found[further] = parent[found[further]]
-    parent[of] = found
-    return found
-
-
-def _root(parent: np.ndarray, x: int) -> int:
-    while parent[x] != x:
-        x = int(parent[x])
-    return x
-
-
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
