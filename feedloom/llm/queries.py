@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import embeddings
+from feedloom.llm import embeddings, toxicity
 from feedloom.llm.chat import digests, formatted
 from feedloom.llm.common import table
 from feedloom.llm.decontaminate import contaminated
@@ -39,6 +39,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,5 +56,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op7_decontaminate, op8_embeddings, op10_token_files)}
+QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op6_toxicity, op7_decontaminate, op8_embeddings, op10_token_files)}
 ORACLE = {"op5_mixing": MIX_SQL}
