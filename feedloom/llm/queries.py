@@ -13,6 +13,7 @@ from feedloom.llm.mixing import MIX_SQL, mix
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.token_files import encoded
 from feedloom.llm.tokens import token_counts
+from feedloom.llm.urls import judged
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,9 +53,14 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judged(pages, pages)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op6_toxicity, op7_decontaminate, op8_embeddings, op10_token_files)}
+QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op6_toxicity, op7_decontaminate, op8_embeddings, op9_urls, op10_token_files)}
 ORACLE = {"op5_mixing": MIX_SQL}
