@@ -11,6 +11,7 @@ from feedloom.llm.common import table
 from feedloom.llm.decontaminate import contaminated
 from feedloom.llm.mixing import MIX_SQL, mix
 from feedloom.llm.simhash import near_duplicates
+from feedloom.llm.surrogates import pseudonymized
 from feedloom.llm.token_files import encoded
 from feedloom.llm.tokens import token_counts
 from feedloom.llm.urls import judged
@@ -20,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymized(table(spark, sf_dir, "documents"), key="corpus release one")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,5 +67,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op3_simhash, op4_chat_format, op5_mixing, op6_toxicity, op7_decontaminate, op8_embeddings, op9_urls, op10_token_files)}
+QUERIES = {query.__name__: query for query in (op1_token_counts, op2_pii_surrogates, op3_simhash, op4_chat_format, op5_mixing, op6_toxicity, op7_decontaminate, op8_embeddings, op9_urls, op10_token_files)}
 ORACLE = {"op5_mixing": MIX_SQL}
