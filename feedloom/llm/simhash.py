@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 from feedloom.llm.cells import CELL, Forest, dealt, whole_groups
 from feedloom.llm.common import Scratch, exact, in_python, map_batches
@@ -142,3 +143,19 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.expr("CASE WHEN doc IS NOT NULL THEN component END").alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose id is that of their component: one document of each group.
+
+    Rows that repeat an id are one document; the one of least text hash stays.
+    Rows without an id are linked to nothing and stay.
+    """
+    found = near_duplicates(docs, id_column, text_column)
+    kept = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("kept")).distinct()
+    rows = docs.where(docs[id_column].isNotNull()).select(
+        F.struct("*").alias("row"), docs[id_column].alias("id"), F.xxhash64(docs[text_column]).alias("hash")
+    )
+    turn = F.row_number().over(Window.partitionBy("id").orderBy("hash"))
+    firsts = rows.join(kept, rows["id"] == kept["kept"], "left_semi").withColumn("turn", turn).where("turn = 1")
+    return firsts.select("row.*").union(docs.where(docs[id_column].isNull()))
