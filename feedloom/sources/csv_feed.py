@@ -58,6 +58,7 @@ def _bind_headers(index: DataFrame, columns: Sequence[str], width: int) -> DataF
         f"{nameless} AS {L.FILE}",
         L.BLOCK,
         "first_id",
+        "n",
         "lines_before",
         "header_width",
         f"cast(array({positions}) AS array<int>) AS positions",
@@ -70,7 +71,6 @@ class CsvScan:
 
     rows: DataFrame
     index: DataFrame
-    blocks: int
     width: int
     records: int
 
@@ -84,7 +84,6 @@ def open_csv(
     opens = "0L" if multi_line is False else f"cast({ends_open(L.TEXT)} AS bigint)"
     index = L.block_index(rows, marker, open_lines=F.expr(opens))
     learned = [
-        F.count("*").alias("blocks"),
         F.expr(f"max({cell_count('first_line')})").alias("width"),
         F.expr("coalesce(sum(n), 0) - count(DISTINCT source_file)").alias("records"),
     ]
@@ -96,7 +95,7 @@ def open_csv(
     elif facts["unknown"] > 0:
         index = L.with_all_first_lines(rows, index)
         facts = index.agg(*learned).first()
-    return CsvScan(rows, index, facts["blocks"], facts["width"] or 1, facts["records"])
+    return CsvScan(rows, index, facts["width"] or 1, facts["records"])
 
 
 def read_csv(
@@ -117,8 +116,7 @@ def read_csv(
 def scanned(scan: CsvScan, columns: Sequence[str], clean: bool = True) -> DataFrame:
     """The records of an opened scan, see ``read_csv``; ``clean=False`` leaves the cells untrimmed."""
     width = scan.width
-    row_bytes = L.ROW_BYTES + 8 * len(columns)
-    numbered = L.with_block_columns(scan.rows, _bind_headers(scan.index, columns, width), scan.blocks, row_bytes)
+    numbered = L.with_block_columns(scan.rows, _bind_headers(scan.index, columns, width))
     parsed = numbered.withColumn("record_number", L.line_number()).where("record_number > 0").selectExpr(
         "record_number",
         L.FILE,

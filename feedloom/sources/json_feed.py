@@ -37,6 +37,21 @@ def _one_object(text: str) -> str:
     return f"(left({t}, 1) = '{{' AND right({t}, 1) = '}}' AND NOT {text} RLIKE {quoted(_GLUED)})"
 
 
+#: JSON as the standard has it.
+_STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+_LAST = "~"
+
+
+def _values(text: str) -> str:
+    """The JSON values of a comma-separated list, as texts; NULL unless the whole text is such a list (SQL text).
+
+    A parser stops at the end of the first array. A value of ours behind the
+    list shows whether it came that far.
+    """
+    parsed = f"from_json(concat('[', {text}, ',\"{_LAST}\"]'), 'array<string>', {_STRICT})"
+    return f"transform(array({parsed}), x -> if(size(x) > 1 AND element_at(x, -1) <=> '{_LAST}', slice(x, 1, size(x) - 1), NULL))[0]"
+
+
 def _depth_change(text: str) -> str:
     bare = f"regexp_replace({text}, {quoted(_STRING)}, '')"
     size = f"octet_length({bare})"
@@ -44,29 +59,32 @@ def _depth_change(text: str) -> str:
     return f"cast({opened} - {closed} AS bigint)"
 
 
-def read_json_elements(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_json_elements(spark: SparkSession, paths: str | Sequence[str], on_broken: str = "fail") -> DataFrame:
     """``source_file``, ``record_number`` and the text of every element.
 
-    The text is NULL where a part of a file is not JSON at all.
+    The text is NULL where a part of a file is not JSON: text before or behind
+    an object or an array, a missing comma or one too many, an object that is
+    not closed. The last one fails at once unless ``on_broken`` is "dead_letter".
     """
     rows = L.read_lines(spark, paths, keep=F.expr(f"NOT {is_blank(L.TEXT)}"))
     other = F.expr(f"if({_one_object(L.TEXT)}, 0L, 1L)")
     index = L.block_index(rows, F.expr(is_array(L.TEXT)), other=other)
     index = index.withColumn("free_form", F.max(F.col("other") > 0).over(Window.partitionBy(L.FILE)))
     facts = index.agg(F.count("*").alias("blocks"), F.count_if("free_form").alias("free")).first()
-    plain = L.with_block_columns(
-        rows, index.select(L.FILE, L.BLOCK, "first_id", "lines_before", "free_form"), facts["blocks"]
-    )
+    plain = L.with_block_columns(rows, index.select(L.FILE, L.BLOCK, "first_id", "n", "lines_before", "free_form"))
     plain = plain.where("NOT free_form").select(
-        L.FILE, (L.line_number() + 1).alias("record_number"), F.col(L.TEXT).alias(RAW)
+        L.FILE,
+        (L.line_number() + 1).alias("record_number"),
+        # Bound to ``free_form``, or a check of the text would be pushed below the join, to lines of other files.
+        F.expr(f"CASE WHEN free_form THEN '' WHEN size({_values(L.TEXT)}) = 1 THEN {L.TEXT} END").alias(RAW),
     )
     if facts["free"] == 0:
         return plain
-    free = _assemble(rows, index.where("free_form"))
+    free = _assemble(rows, index.where("free_form"), on_broken)
     return plain.unionByName(free) if facts["free"] < facts["blocks"] else free
 
 
-def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
+def _assemble(rows: DataFrame, index: DataFrame, on_broken: str) -> DataFrame:
     """Elements of files in any layout."""
     in_block = Window.partitionBy(L.FILE, L.BLOCK).orderBy(L.LINE_ID)
     in_file = Window.partitionBy(L.FILE).orderBy(L.BLOCK)
@@ -74,44 +92,61 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
     earlier_lines = in_block.rowsBetween(Window.unboundedPreceding, -1)
 
     files = index.select(
-        L.FILE, L.BLOCK, "first_id", "lines_before", F.col("first_line").isNotNull().alias("array_file")
+        L.FILE, L.BLOCK, "first_id", "n", "lines_before", F.col("first_line").isNotNull().alias("array_file")
     )
-    # 1. Nesting depth of every line, relative to its block.
+    # 1. Nesting depth of every line, relative to its block, and the last character of the line before it.
     lines = (
-        L.with_block_columns(rows.join(L.broadcast_if_small(files.select(L.FILE, L.BLOCK)), [L.FILE, L.BLOCK], "left_semi"), files)
+        L.with_block_columns(rows.join(files.select(L.FILE, L.BLOCK), [L.FILE, L.BLOCK], "left_semi"), files)
         .withColumn("__change", F.expr(_depth_change(L.TEXT)))
         .withColumn("__depth", F.coalesce(F.sum("__change").over(earlier_lines), F.lit(0)))
+        .withColumn("__ends", F.expr(f"right({trimmed(L.TEXT)}, 1)"))
+        .withColumn("__behind", F.lag("__ends").over(in_block))
         .withColumn("__file_start", L.line_number() == 0)
-        .drop("first_id", "lines_before")
+        .drop("first_id", "n", "lines_before")
     )
     lines = stage(lines, "depths")
-    blocks = lines.groupBy(L.FILE, L.BLOCK).agg(F.sum("__change").alias("change"))
+    blocks = lines.groupBy(L.FILE, L.BLOCK).agg(
+        F.sum("__change").alias("change"), F.max_by("__ends", L.LINE_ID).alias("ends")
+    )
     blocks = stage(
         blocks.select(
             L.FILE,
             L.BLOCK,
             F.coalesce(F.sum("change").over(earlier_blocks), F.lit(0)).alias("depth_before"),
-            F.sum("change").over(Window.partitionBy(L.FILE)).alias("final_depth"),
-            F.lit(0).cast("bigint").alias("first_id"),
+            F.sum("change").over(Window.partitionBy(L.FILE)).alias("end_depth"),
+            F.lag("ends").over(in_file).alias("ends_before"),
         ),
         "depth-blocks",
     )
-    broken = blocks.where("final_depth <> 0").select(L.FILE).first()
-    if broken is not None:
-        raise ValueError(f"not valid JSON: {broken[0]}")
+    if on_broken == "fail":
+        broken = blocks.where("end_depth <> 0").select(L.FILE).first()
+        if broken is not None:
+            raise ValueError(f"not valid JSON: {broken[0]}")
 
-    # 2. A chunk is a run of lines holding whole elements: it starts where the depth is the base depth.
+    # 2. A chunk is a run of lines holding whole elements: it starts where the depth is the base depth. Whatever
+    # stands behind an array is broken, and so is a chunk of an array that no single comma sets off from the last one.
     depth = F.col("depth_before") + F.col("__depth")
     base = F.col("array_file").cast("int")
+    begins = F.expr(f"left({trimmed(L.TEXT)}, 1)")
+    comma_before = F.coalesce("__behind", "ends_before") == ","
+    set_off = (
+        F.when(begins == "]", ~comma_before)
+        .when(F.coalesce("__behind", "ends_before") == "[", begins != ",")
+        .otherwise(comma_before != (begins == ","))
+    )
     lines = (
         L.with_block_columns(lines, blocks)
         .withColumn("__depth", depth)
-        .where(~F.col("array_file") | (F.col("__depth") > 0) | F.col("__file_start"))  # nothing counts behind an array
-        .withColumn("__start", (F.col("__depth") == base) | F.col("__file_start"))
+        .withColumn("__after", F.col("array_file") & (F.col("__depth") <= 0) & ~F.col("__file_start"))
+        .withColumn("__start", (F.col("__depth") == base) | F.col("__file_start") | F.col("__after"))
+        .withColumn(
+            "__broken",
+            F.col("__after") | (F.col("array_file") & F.col("__start") & ~F.col("__file_start") & ~set_off),
+        )
         .withColumn("__closes", F.col("array_file") & (F.col("__depth") + F.col("__change") == 0))
         .withColumn("__chunk", F.last(F.when(F.col("__start"), F.col(L.LINE_ID)), ignorenulls=True).over(in_block))
         .withColumn("__next", F.coalesce(F.lead("__start").over(in_block), F.lit(False)))
-        .select(L.FILE, L.BLOCK, L.LINE_ID, L.TEXT, "array_file", "__start", "__closes", "__chunk", "__next")
+        .select(L.FILE, L.BLOCK, L.LINE_ID, L.TEXT, "array_file", "__start", "__closes", "__broken", "__chunk", "__next")
     )
     lines = stage(lines, "chunks")
     tails = lines.groupBy(L.FILE, L.BLOCK).agg(F.max("__chunk").alias("tail"))
@@ -122,13 +157,12 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
             F.last(F.when(F.col("tail").isNotNull(), F.struct(F.col(L.BLOCK).alias("block"), "tail")), True)
             .over(earlier_blocks)
             .alias("open"),
-            F.lit(0).cast("bigint").alias("first_id"),
         ),
         "chunk-blocks",
     )
     alone = F.col("__start") & F.col("__next")
     whole = lines.where(alone).select(
-        L.FILE, L.BLOCK, F.col("__chunk"), "array_file", "__closes", F.col(L.TEXT).alias("body")
+        L.FILE, L.BLOCK, F.col("__chunk"), "array_file", "__closes", "__broken", F.col(L.TEXT).alias("body")
     )
     pieces = F.array_sort(F.collect_list(F.struct("__at", L.LINE_ID, L.TEXT)))
     grouped = (
@@ -139,6 +173,7 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
             F.coalesce("__chunk", "open.tail").alias("__chunk"),
             "array_file",
             "__closes",
+            "__broken",
             F.col(L.BLOCK).alias("__at"),
             L.LINE_ID,
             L.TEXT,
@@ -147,6 +182,7 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
         .agg(
             F.bool_or("array_file").alias("array_file"),
             F.bool_or("__closes").alias("__closes"),
+            F.bool_or("__broken").alias("__broken"),
             F.array_join(F.transform(pieces, lambda p: p[L.TEXT]), "\n").alias("body"),
         )
     )
@@ -160,8 +196,8 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
     listed = F.when(F.col("array_file"), inner).otherwise(F.regexp_replace(body, _UP_TO_GLUED, "$1},{"))
     elements = (
         chunks.withColumn("__listed", listed)
-        .where(F.length("__listed") > 0)
-        .withColumn("__all", F.from_json(F.concat(F.lit("["), F.col("__listed"), F.lit("]")), "array<string>"))
+        .where((F.length("__listed") > 0) | F.col("__broken"))
+        .withColumn("__all", F.expr(f"if(__broken, NULL, {_values('__listed')})"))
         .select(L.FILE, L.BLOCK, "__chunk", "array_file", F.posexplode_outer("__all").alias("__pos", "element"))
     )
     # Outside an array only objects are allowed; in one, other elements are records, though bad ones.
@@ -178,7 +214,6 @@ def _assemble(rows: DataFrame, index: DataFrame) -> DataFrame:
             L.FILE,
             L.BLOCK,
             F.coalesce(F.sum("n").over(earlier_blocks), F.lit(0)).alias("lines_before"),
-            F.lit(0).cast("bigint").alias("first_id"),
         ),
         "element-blocks",
     )
@@ -194,7 +229,8 @@ def _parsed(fields: Sequence[Field], typed: bool) -> str:
         f"{name(f.name)} {f.ddl if typed and f.kind == STRUCT else kinds.get(f.kind, 'string')}" for f in fields
     ]
     schema = quoted(", ".join(columns + ["__corrupt string"]))
-    return f"from_json({RAW}, {schema}, map('columnNameOfCorruptRecord', '__corrupt'))"
+    strict = _STRICT.removesuffix(")") + ", 'columnNameOfCorruptRecord', '__corrupt')"
+    return f"from_json({RAW}, {schema}, {strict})"
 
 
 def read_json(
@@ -211,7 +247,7 @@ def read_json(
     if on_broken not in ("fail", "dead_letter"):
         raise ValueError("on_broken must be 'fail' or 'dead_letter'")
     fields = [Field(f) if isinstance(f, str) else f for f in fields]
-    parsed = read_json_elements(spark, paths).withColumn("__v", F.expr(_parsed(fields, typed=True)))
+    parsed = read_json_elements(spark, paths, on_broken).withColumn("__v", F.expr(_parsed(fields, typed=True)))
     parsed = parsed.withColumn(
         "__text", F.expr(f"if(__v.__corrupt IS NULL, NULL, {_parsed(fields, typed=False)})")
     )

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from feedloom.session import configure, stage
 
 FILE, BLOCK, LINE_ID, TEXT = "source_file", "__block", "__line_id", "__text"
-#: A block table is broadcast up to this size: a million blocks or so, some 100 TB in blocks of 128 MB.
-BROADCAST_BYTES = 512 * 1024 * 1024
-#: Estimated size of a row of the block table: the file's path and a few numbers.
-ROW_BYTES = 400
 
 
 def as_paths(paths: str | Sequence[str]) -> list[str]:
@@ -99,25 +95,28 @@ def with_all_first_lines(lines: DataFrame, index: DataFrame) -> DataFrame:
     return stage(completed.drop("found_line"), "blocks")
 
 
-def broadcast_if_small(blocks: DataFrame, count: int | None = None, row_bytes: int = ROW_BYTES) -> DataFrame:
-    """A block table marked for broadcast if its size allows; ``count`` is its number of rows, if known."""
-    most = BROADCAST_BYTES // row_bytes
-    if count is None:
-        count = blocks.limit(most + 1).count()
-    return F.broadcast(blocks) if count <= most else blocks
+def with_block_columns(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Lines with the columns of their block; a line without a block, or outside its lines, is an error.
 
+    ``blocks`` has one row per block; if it holds ``first_id`` and ``n``, a
+    line's place must be one of the ``n`` counted ones. Both reads of a feed cut
+    it alike unless settings or files change in between, and then some line is
+    out of place. The error is part of every column taken from the block table:
+    a check beside them would be lost when a later filter, which NULL does not
+    pass, makes the optimizer turn the outer join into an inner one.
 
-def with_block_columns(
-    lines: DataFrame, blocks: DataFrame, count: int | None = None, row_bytes: int = ROW_BYTES
-) -> DataFrame:
-    """Lines with the columns of their block.
-
-    The block table is broadcast while it is small, which is checked; beyond
-    that it is an ordinary join on (file, block), at most one block per group.
+    An equi-join on (file, block): Spark broadcasts the block table while it is
+    small.
     """
-    joined = lines.join(broadcast_if_small(blocks, count, row_bytes), [FILE, BLOCK], "left")
-    lost = F.raise_error(F.lit("the feed changed while it was read")).cast("bigint")
-    return joined.withColumn("first_id", F.coalesce("first_id", lost))
+    own = [c for c in blocks.columns if c not in (FILE, BLOCK)]
+    found = blocks.select(FILE, BLOCK, F.lit(True).alias("__found"), *own)
+    joined = lines.join(found, [FILE, BLOCK], "left")
+    known = F.col("__found").isNotNull()
+    if "first_id" in own and "n" in own:
+        known = known & (F.col(LINE_ID) - F.col("first_id")).between(F.lit(0), F.col("n") - 1)
+    lost = F.raise_error(F.lit("the feed changed while it was read"))
+    checked = {c: F.when(known, F.col(c)).otherwise(lost.cast(blocks.schema[c].dataType)) for c in own}
+    return joined.select(*lines.columns, *(column.alias(c) for c, column in checked.items()))
 
 
 def line_number() -> Column:

@@ -99,7 +99,6 @@ def assemble_quoted(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
                 "unfinished"
             ),
             F.sum("n").over(Window.partitionBy(L.FILE)).alias("file_records"),
-            F.lit(0).cast("bigint").alias("first_id"),
         ),
         "quoting-blocks",
     )
