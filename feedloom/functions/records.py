@@ -6,6 +6,10 @@ from feedloom.functions.protect import redacted
 from feedloom.functions.text import name, quoted
 from feedloom.schema import STRUCT, Feed
 
+# Fixed values ---------------------------------------------------------------
+MISMATCH = ("Record count mismatch: control file expected ", " record(s) but ", " record(s) were loaded")
+# ----------------------------------------------------------------------------
+
 
 def value_json(c: str) -> str:
     """A struct or array as JSON text, NULL members included; NULL stays NULL."""
@@ -48,11 +52,13 @@ def error_line(key: str) -> str:
 
 
 def mismatch_message(expected: str, actual: str) -> str:
-    """Why a run failed its count check."""
-    return (
-        f"concat('Record count mismatch: control file expected ', {expected},"
-        f" ' record(s) but ', {actual}, ' record(s) were loaded')"
-    )
+    """Why a run failed its count check (SQL text)."""
+    return "concat(" + ", ".join([quoted(MISMATCH[0]), expected, quoted(MISMATCH[1]), actual, quoted(MISMATCH[2])]) + ")"
+
+
+def mismatch_text(expected: int, actual: int) -> str:
+    """The same for known numbers."""
+    return f"{MISMATCH[0]}{expected}{MISMATCH[1]}{actual}{MISMATCH[2]}"
 
 
 def json_text(c: str, path: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,15 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.merge import latest_per_key
 from feedloom.operators.reconcile import errors_per_run
-from feedloom.sources.files import child_names
+from feedloom.sources.files import has_children
 
 # Fixed values ---------------------------------------------------------------
 STARTED, RUNNING, SUCCESS, FAILED = "STARTED", "RUNNING", "SUCCESS", "FAILED"
 UNFINISHED = (STARTED, RUNNING)
+SOURCE_LENGTH = 1000
+UNKNOWN_RUN = "No ingestion_execution row found for this run"
+ENDED_WITH = "Ingestion ended with status "
+REJECTED = " record(s) were rejected"
 # ----------------------------------------------------------------------------
 
 SCHEMA = (
@@ -25,8 +30,14 @@ SCHEMA = (
 
 
 def current_runs(events: DataFrame) -> DataFrame:
-    """State of every run: its latest event."""
-    return latest_per_key(events, "execution_id", ["sequence"])
+    """State of every run: how it first ended, else its latest event.
+
+    An end is final by definition: events that come later, whatever their clock
+    says, do not change it.
+    """
+    ended = ~F.col("status").isin(*UNFINISHED)
+    earliest_end = F.when(ended, -F.col("sequence")).otherwise(F.col("sequence"))
+    return latest_per_key(events, "execution_id", [ended.cast("int"), earliest_end])
 
 
 def fail_unfinished(current: DataFrame, requests: DataFrame) -> DataFrame:
@@ -56,10 +67,10 @@ def run_gate(status: DataFrame, requested: DataFrame | None = None) -> DataFrame
     known = F.col("status").isNotNull()
     done = known & (F.col("status") == SUCCESS)
     reason = (
-        F.when(~known, F.lit("No ingestion_execution row found for this run"))
-        .when(~done, F.concat(F.lit("Ingestion ended with status "), F.col("status"), F.lit(": "),
+        F.when(~known, F.lit(UNKNOWN_RUN))
+        .when(~done, F.concat(F.lit(ENDED_WITH), F.col("status"), F.lit(": "),
                               F.coalesce("failure_reason", F.lit("None"))))
-        .when(count > 0, F.concat(count.cast("string"), F.lit(" record(s) were rejected")))
+        .when(count > 0, F.concat(count.cast("string"), F.lit(REJECTED)))
     )
     return status.select(
         "execution_id",
@@ -78,7 +89,7 @@ class Ledger:
         self.spark, self.path = spark, path
 
     def events(self) -> DataFrame:
-        if not child_names(self.spark, self.path):
+        if not has_children(self.spark, self.path):
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
@@ -89,16 +100,28 @@ class Ledger:
         self,
         execution_id: str,
         source_file: str,
-        status: str,
+        status: str | Sequence[str],
         started_at: datetime,
         expected: int | None = None,
         actual: int | None = None,
         reason: str | None = None,
     ) -> None:
-        """Append the run's new state."""
-        done = None if status in UNFINISHED else datetime.now(timezone.utc)
-        row = (execution_id, source_file, status, expected, actual, started_at, done, reason, time.time_ns())
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        """Append the run's new state, or several in turn at once.
+
+        Refuses what the ledger's table does: an unknown status, a source of
+        more than 1000 characters.
+        """
+        states = [status] if isinstance(status, str) else list(status)
+        if unknown := set(states) - {STARTED, RUNNING, SUCCESS, FAILED}:
+            raise ValueError(f"unknown status: {', '.join(sorted(unknown))}")
+        if len(source_file) > SOURCE_LENGTH:
+            raise ValueError(f"source_file must not exceed {SOURCE_LENGTH} characters")
+        now, at = datetime.now(timezone.utc), time.time_ns()
+        rows = [
+            (execution_id, source_file, state, expected, actual, started_at, None if state in UNFINISHED else now, reason, at + i)
+            for i, state in enumerate(states)
+        ]
+        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def fail_if_unfinished(self, execution_id: str, reason: str) -> None:
         """FAILED, unless the run already ended."""

@@ -18,7 +18,7 @@ def find(table: DataFrame, key: str, value: str) -> DataFrame:
 
 def find_all(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows of many keys."""
-    return table.join(keys.select(key).distinct(), key, "left_semi")
+    return table.join(keys.select(key), key, "left_semi")
 
 
 def decrypted_view(table: DataFrame, feed: Feed, encryption_key: str, strict: bool = True) -> DataFrame:

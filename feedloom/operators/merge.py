@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from feedloom.sources.files import child_names
+from feedloom.sources.files import child_names, create_small, delete, read_small
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The last row of every key.
+    """The last row of every key; a row without a key is an error.
 
     ``row_number() = 1`` lets Spark keep one row per key in every map task
     before the shuffle, so a key with very many rows costs no more than others.
     """
     keys = [key] if isinstance(key, str) else list(key)
     newest_first = [F.desc(o) if isinstance(o, str) else o.desc() for o in order]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
+    missing = F.raise_error(F.lit(f"a key is missing: {', '.join(keys)}"))
+    known = [F.coalesce(F.col(k), missing.cast(df.schema[k].dataType)) for k in keys]
+    rank = F.row_number().over(Window.partitionBy(*known).orderBy(*newest_first))
     return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
 
 
@@ -36,36 +40,93 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str | Sequence[str], order
     return kept.unionByName(newest)
 
 
-class TargetTable:
-    """A table kept as complete versions; a reader sees the last finished one.
+class TableChanged(RuntimeError):
+    """Another writer committed first, again and again."""
+
 
-    A version counts once Spark has put its ``_SUCCESS`` file there, so a failed
-    write leaves the earlier version in force. One writer at a time.
+class TargetTable:
+    """A table in parts by a hash of its key; a reader sees the last commit.
+
+    A commit is a small file, numbered in turn, that names the folder of every
+    part. Writers put rows into folders of their own first; a commit follows
+    exactly the one that was read, and its file comes into being at once or, if
+    there is one of that number, not at all. So of two writers one starts
+    anew from what the other has left, and no rows are lost. Parts without
+    incoming keys are not rewritten. On file systems without such a rename
+    (``FileContext``), writers must take turns.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str | StructType) -> None:
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, key: str, parts: int = 32) -> None:
+        self.spark, self.path, self.schema, self.key, self._new_parts = spark, path.rstrip("/"), schema, key, parts
+
+    def _commit_path(self, number: int) -> str:
+        return f"{self.path}/commits/{number:012d}"
+
+    def commits(self) -> list[int]:
+        return sorted(int(n) for n in child_names(self.spark, f"{self.path}/commits") if n.isdigit())
 
-    def _versions(self) -> list[int]:
-        names = child_names(self.spark, self.path)
-        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
+    def _folders(self, number: int) -> tuple[int, dict[str, str]]:
+        """Number of parts and the folder of each part that has rows."""
+        if number == 0:
+            return self._new_parts, {}
+        known = json.loads(read_small(self.spark, self._commit_path(number)))
+        return known["parts"], known["folders"]
 
-    def _location(self, version: int) -> str:
-        return f"{self.path}/version={version}"
+    def _rows(self, folders: Iterable[str]) -> DataFrame:
+        paths = [f"{self.path}/data/{folder}" for folder in folders]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def read(self) -> DataFrame:
-        """The last finished version; no rows before the first."""
-        for version in reversed(self._versions()):
-            if "_SUCCESS" in child_names(self.spark, self._location(version)):
-                return self.spark.read.schema(self.schema).parquet(self._location(version))
-        return self.spark.createDataFrame([], self.schema)
-
-    def publish(self, df: DataFrame) -> str:
-        """Write ``df`` as the next version."""
-        location = self._location(max(self._versions(), default=0) + 1)
-        df.write.parquet(location)
-        return location
-
-    def merge(self, incoming: DataFrame, key: str, order: Sequence[str | Column]) -> str:
-        """Upsert and publish."""
-        return self.publish(upsert(self.read(), incoming, key, order))
+        """The rows of the last commit; none before the first."""
+        return self._rows(self._folders(max(self.commits(), default=0))[1].values())
+
+    def _part(self, parts: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(parts)).cast("string")
+
+    def _write(self, df: DataFrame, parts: int) -> dict[str, str]:
+        """Put rows into new folders, one per part."""
+        folder = uuid.uuid4().hex
+        rows = df.withColumn("part", self._part(parts)).hint("rebalance", "part")
+        rows.write.partitionBy("part").parquet(f"{self.path}/data/{folder}")
+        names = child_names(self.spark, f"{self.path}/data/{folder}")
+        return {name.split("=", 1)[1]: f"{folder}/{name}" for name in names if name.startswith("part=")}
+
+    def _commit(self, number: int, parts: int, folders: dict[str, str]) -> bool:
+        """Whether the commit came into being."""
+        return create_small(self.spark, self._commit_path(number), json.dumps({"parts": parts, "folders": folders}))
+
+    def publish(self, df: DataFrame) -> int:
+        """Replace all rows; returns the commit's number."""
+        number = max(self.commits(), default=0)
+        parts, _ = self._folders(number)
+        if not self._commit(number + 1, parts, self._write(df, parts)):
+            raise TableChanged(self.path)
+        return number + 1
+
+    def merge(self, incoming: DataFrame, order: Sequence[str | Column], attempts: int = 5) -> int:
+        """Upsert; starts anew where another writer was first. Returns the commit's number."""
+        for _ in range(attempts):
+            number = max(self.commits(), default=0)
+            parts, folders = self._folders(number)
+            touched = {row[0] for row in incoming.select(self._part(parts)).distinct().collect()}  # at most ``parts``
+            base = self._rows(folder for part, folder in folders.items() if part in touched)
+            written = self._write(upsert(base, incoming, self.key, order), parts)
+            if self._commit(number + 1, parts, {**folders, **written}):
+                return number + 1
+        raise TableChanged(self.path)
+
+    def drop_old(self, keep: int = 2) -> None:
+        """Delete the commits but the last ``keep`` and the folders that only they name.
+
+        Readers of older commits must be done. Folders of writers that never
+        committed stay.
+        """
+        numbers = self.commits()
+        old, kept = numbers[:-keep], numbers[-keep:]
+        in_use = {folder for number in kept for folder in self._folders(number)[1].values()}
+        for number in old:
+            for folder in set(self._folders(number)[1].values()) - in_use:
+                delete(self.spark, f"{self.path}/data/{folder}")
+            delete(self.spark, self._commit_path(number))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.records import mismatch_message
@@ -42,23 +42,25 @@ def check_count_per(loaded: DataFrame, manifest: DataFrame, by: str) -> DataFram
     return compare_counts(joined)
 
 
-def stage_counters(outcomes: DataFrame, by: str = "execution_id") -> DataFrame:
-    """Records parsed, refused at each stage and loaded, per run.
-
-    Counted over the written outcomes, so a retried task does not count twice.
-    """
+def counters() -> list[Column]:
+    """Records parsed, refused at each stage and loaded, of rows with their ``error_type``."""
     kind = F.col("error_type")
 
-    def number(condition):
+    def number(condition: Column) -> Column:
         return F.count_if(F.coalesce(condition, F.lit(False)))
 
-    return outcomes.groupBy(by).agg(
+    return [
         number(kind.isNull() | (kind != PARSE_ERROR)).alias("records_parsed"),
         number(kind == PARSE_ERROR).alias("parse_errors"),
         number(kind == VALIDATION_ERROR).alias("validation_errors"),
         number(kind.isNull()).alias("records_loaded"),
         number(kind == LOAD_ERROR).alias("load_errors"),
-    )
+    ]
+
+
+def stage_counters(outcomes: DataFrame, by: str = "execution_id") -> DataFrame:
+    """The counters of many runs from their written outcomes."""
+    return outcomes.groupBy(by).agg(*counters())
 
 
 def errors_per_run(runs: DataFrame, errors: DataFrame) -> DataFrame:

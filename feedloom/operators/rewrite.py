@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.reconcile import NO_RECORDS, require_records
+from feedloom.session import stage
 from feedloom.sources.csv_feed import header_names, open_csv, scanned
 from feedloom.sources.json_feed import RAW, read_json_elements
+from feedloom.sources.lines import FILE
 from feedloom.sources.reader import file_type
 
 
@@ -20,14 +22,19 @@ def file_count(records: int, per_file: int) -> int:
     return max(1, math.ceil(records / per_file))
 
 
-def write_csv_parts(df: DataFrame, path: str, files: int) -> None:
-    """Replace ``path`` by ``files`` CSV files, each with a header."""
-    df.repartition(files).write.mode("overwrite").options(header=True, escape='"').csv(path)
+#: Partitions that a feed is dealt into at most; each writes as many files as it needs.
+PARTITIONS = 4096
 
 
-def write_json_parts(df: DataFrame, path: str, files: int) -> None:
-    """Replace ``path`` by ``files`` JSON Lines files; NULL members are kept."""
-    df.repartition(files).write.mode("overwrite").json(path, ignoreNullFields=False)
+def _dealt(df: DataFrame, files: int, per_file: int) -> DataFrameWriter:
+    """A writer of ``files`` balanced files, or a few more where a partition writes several."""
+    return df.repartition(min(files, PARTITIONS)).write.mode("overwrite").option("maxRecordsPerFile", per_file)
+
+
+def write_csv_parts(df: DataFrame, path: str, files: int, per_file: int = 0) -> None:
+    """Replace ``path`` by ``files`` CSV files, each with a header; cells stay as they are, padded ones too."""
+    untrimmed = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    _dealt(df, files, per_file).options(header=True, escape='"', **untrimmed).csv(path)
 
 
 def split_feed(spark: SparkSession, source: str, kind: str, out: str, per_file: int = 10_000) -> int:
@@ -38,11 +45,12 @@ def split_feed(spark: SparkSession, source: str, kind: str, out: str, per_file:
     so is a CSV row that does not fit its header.
     """
     if file_type(kind) == "JSON":
-        elements = read_json_elements(spark, source)
-        files = file_count(require_records(elements), per_file)
+        broken = F.when(F.col(RAW).isNull(), F.raise_error(F.concat(F.lit("not valid JSON: "), F.col(FILE))))
         # A line break outside a string is only white space, and there is none inside one.
-        lines = elements.select(F.translate(RAW, "\r\n", "  ").alias("value"))
-        lines.repartition(files).write.mode("overwrite").text(out)
+        line = F.coalesce(F.translate(RAW, "\r\n", "  "), broken.cast("string"))
+        lines = stage(read_json_elements(spark, source).select(line.alias("value")), "elements")
+        files = file_count(require_records(lines), per_file)
+        _dealt(lines, files, per_file).text(out)
         return files
     scan = open_csv(spark, source)
     if scan.records == 0:
@@ -51,5 +59,5 @@ def split_feed(spark: SparkSession, source: str, kind: str, out: str, per_file:
     rows = scanned(scan, columns, clean=False)
     message = F.concat(F.lit("record "), F.col("record_number").cast("string"), F.lit(": "), F.col("parse_error"))
     fits = F.when(F.col("parse_error").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    write_csv_parts(rows.where(fits).select(*[F.col(f"`{c}`") for c in columns]), out, files)
+    write_csv_parts(rows.where(fits).select(*[F.col(f"`{c}`") for c in columns]), out, files, per_file)
     return files

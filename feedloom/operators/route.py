@@ -20,9 +20,6 @@ VALIDATION_ERROR = "VALIDATION_ERROR"
 LOAD_ERROR = "LOAD_ERROR"
 # ----------------------------------------------------------------------------
 
-#: Reports up to this many lines may be written as one file; longer ones keep their parts.
-SINGLE_FILE_LINES = 1_000_000
-
 
 def validate(df: DataFrame, feed: Feed, observation: Observation | None = None) -> DataFrame:
     """Add ``error_type`` and ``error_message``: the parse error, or all broken rules; NULL if valid.
@@ -118,12 +115,8 @@ def write_error_table(failures: DataFrame, path: str) -> None:
 
 
 def write_error_report(failures: DataFrame, key: str, path: str, single_file: bool = False) -> None:
-    """Write the text report.
-
-    One file on request, as long as the report is short enough for one task;
-    a longer one is written in parts.
-    """
+    """Write the text report, in parts or, if the caller wants one file, by one task."""
     lines = report_lines(failures, key)
-    if single_file and failures.limit(SINGLE_FILE_LINES + 1).count() <= SINGLE_FILE_LINES:
+    if single_file:
         lines = lines.coalesce(1)
     lines.write.mode("overwrite").text(path)

@@ -7,21 +7,21 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.protect import check_key
-from feedloom.functions.records import mismatch_message, redacted_record
+from feedloom.functions.records import mismatch_text, redacted_record
 from feedloom.functions.text import UUID_PATTERN
 from feedloom.operators import route
 from feedloom.operators.ledger import FAILED, RUNNING, STARTED, SUCCESS, Ledger, run_status
 from feedloom.operators.merge import TargetTable
 from feedloom.operators.prepare import add_metadata, encrypt_sensitive, fill_missing, target_columns
-from feedloom.operators.reconcile import stage_counters
+from feedloom.operators.reconcile import counters
 from feedloom.schema import BOOLEAN, DATE, LONG, Feed
 from feedloom.session import configure, stage
 from feedloom.sources.control import expected_count
-from feedloom.sources.files import child_names
+from feedloom.sources.files import has_children, source_problem
 from feedloom.sources.reader import file_type, read_feed
 
 RUN_PREFIX = "ingestion_"
@@ -80,16 +80,20 @@ def target_schema(feed: Feed) -> str:
     )
 
 
-def outcomes(records: DataFrame, feed: Feed, execution_id: str, key: str) -> DataFrame:
+def outcomes(
+    records: DataFrame, feed: Feed, execution_id: str, key: str, observation: Observation | None = None
+) -> DataFrame:
     """Every record's fate in one narrow pass: its stored form, or why it failed.
 
     No shuffle: rules, constraints, filling and encryption are all row-local.
+    ``observation`` receives the run's counters when the rows are written.
     """
     passed = "error_type IS NULL"
     checked = route.validate(records, feed)
     ready = route.check_constraints(fill_missing(checked, feed, only_if=passed), feed)
     ready = ready.withColumn("raw_record", F.expr(f"if({passed}, NULL, {redacted_record(feed)})"))
     sealed = encrypt_sensitive(add_metadata(ready, execution_id), feed, key, only_if=passed)
+    sealed = sealed if observation is None else sealed.observe(observation, *counters())
     return sealed.selectExpr(
         *target_columns(feed),
         "ingestion_timestamp",
@@ -119,12 +123,15 @@ def ingest(
     warehouse: Warehouse,
     key: str,
     execution_id: str | None = None,
-    single_report: bool = True,
+    single_report: bool = False,
+    multi_line: bool | None = None,
+    on_broken: str = "fail",
 ) -> dict[str, int | str]:
     """Load a feed; returns the run's counters.
 
-    Good rows are merged into the target, bad ones reported, and the loaded
-    count is compared with the control file. A mismatch stores FAILED, then
+    The control file and the source are checked first; a run that they stop is
+    stored as FAILED. Good rows are merged into the target, bad ones reported,
+    and the loaded count is compared with the control file. A mismatch stores FAILED, then
     raises; what was loaded stays.
     """
     check_key(key)
@@ -135,28 +142,31 @@ def ingest(
     started = datetime.now(timezone.utc)
     ledger = Ledger(spark, warehouse.runs)
     try:
+        wanted = file_type(kind)
         expected = expected_count(spark, control_file)
-    except ValueError as problem:
-        ledger.save(run, source, FAILED, started, reason=str(problem))
+        problem = source_problem(spark, source, wanted)
+        if problem is not None:
+            raise ValueError(problem)
+    except Exception as error:
+        ledger.save(run, source, FAILED, started, reason=root_message(error))
         raise
-    ledger.save(run, source, STARTED, started, expected)
-    ledger.save(run, source, RUNNING, started, expected)
+    ledger.save(run, source, (STARTED, RUNNING), started, expected)
     try:
-        records = read_feed(spark, source, feed, file_type(kind))
-        done = stage(outcomes(records, feed, run, key), "outcomes")
-        counts = stage_counters(done).drop("execution_id").first()
-        numbers = counts.asDict() if counts is not None else _no_records()
+        seen = Observation()
+        records = read_feed(spark, source, feed, wanted, multi_line=multi_line, on_broken=on_broken)
+        done = stage(outcomes(records, feed, run, key, seen), "outcomes")
+        numbers = seen.get
 
         failures = route.failure_rows(done, feed)
         route.write_error_table(failures, warehouse.errors)
         route.write_error_report(failures, feed.key, warehouse.report(run), single_report)
 
-        table = TargetTable(spark, warehouse.table, target_schema(feed))
-        table.merge(route.good(done), feed.key, ["source_file", "record_number"])
+        table = TargetTable(spark, warehouse.table, target_schema(feed), feed.key)
+        table.merge(route.good(done), ["source_file", "record_number"])
 
         actual = numbers["records_loaded"]
         if actual != expected:
-            reason = spark.range(1).selectExpr(mismatch_message(str(expected), str(actual))).first()[0]
+            reason = mismatch_text(expected, actual)
             ledger.save(run, source, FAILED, started, expected, actual, reason)
             raise RecordCountMismatch(reason)
         ledger.save(run, source, SUCCESS, started, expected, actual)
@@ -166,15 +176,9 @@ def ingest(
     return {"execution_id": run, "expected": expected, **numbers}
 
 
-def _no_records() -> dict[str, int]:
-    return dict.fromkeys(
-        ("records_parsed", "parse_errors", "validation_errors", "records_loaded", "load_errors"), 0
-    )
-
-
 def errors(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """The error table."""
-    if not child_names(spark, warehouse.errors):
+    if not has_children(spark, warehouse.errors):
         return spark.createDataFrame([], ERROR_SCHEMA)
     return spark.read.schema(ERROR_SCHEMA).parquet(warehouse.errors)
 

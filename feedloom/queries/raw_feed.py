@@ -19,14 +19,26 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-RAW_FEED = """
+
+
+def key36(column: str) -> str:
+    """A whole number as six digits of base 36, in the SQL both engines share; numbers past their range are an error."""
+    digits = [
+        f"substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', cast(cast(floor({column} / {36**i}e0) AS bigint) % 36 AS integer) + 1, 1)"
+        for i in range(5, -1, -1)
+    ]
+    past = f"cast(cast('past the range of ids: ' || cast({column} AS varchar(20)) AS bigint) AS varchar(20))"
+    return f"CASE WHEN {column} < {36**6} THEN {' || '.join(digits)} ELSE {past} END"
+
+
+RAW_FEED = f"""
 SELECT c_custkey,
-  'E' || lpad(cast(c_custkey AS varchar(20)), 6, '0') AS employee_id,
+  'E' || {key36("c_custkey")} AS employee_id,
   CASE WHEN c_custkey % 7 = 0 THEN 'Al' WHEN c_custkey % 19 = 0 THEN '   ' ELSE n_name END AS first_name,
   CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 53 = 0 THEN c_name
        ELSE ' Cust' || cast(c_custkey % 100 AS varchar(20)) END AS last_name,
   CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 23 = 0 THEN 'no-at-sign.example.com'
-       ELSE 'c.' || lpad(cast(c_custkey AS varchar(20)), 6, '0') || '@example.com' END AS email,
+       ELSE 'c.' || {key36("c_custkey")} || '@example.com' END AS email,
   CASE WHEN c_custkey % 13 = 0 THEN '+91-98765-43210'
        ELSE lpad(cast(c_custkey AS varchar(20)), 10, '9') END AS phone_number,
   CASE WHEN c_custkey % 17 = 0 THEN '2022-02-30' ELSE '2022-03-15' END AS hire_date,

@@ -14,6 +14,7 @@ from feedloom.plans.ingest import RecordCountMismatch, Warehouse, errors, ingest
 from feedloom.queries.raw_feed import FEED_CTES, RAW_FEED, raw_columns, sql_on, table
 from feedloom.queries.secrets import KEY
 from feedloom.session import new_path
+from feedloom.sources.files import list_files
 
 
 def _order_changes(orders: DataFrame) -> DataFrame:
@@ -35,12 +36,12 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through a versioned table, merged twice: a re-run changes nothing."""
+    """The same through a table of commits, merged twice: a re-run changes nothing."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    target = TargetTable(spark, new_path(spark, "orders"), orders.schema)
+    target = TargetTable(spark, new_path(spark, "orders"), orders.schema, "o_orderkey")
     target.publish(orders.where("o_orderkey % 10 < 7"))
     for _ in range(2):
-        target.merge(_order_changes(orders), "o_orderkey", ["source_file", "record_number"])
+        target.merge(_order_changes(orders), ["source_file", "record_number"])
     return target.read()
 
 
@@ -52,7 +53,7 @@ def latest_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded rows, repeated keys included, against one expected number."""
-    loaded = table(spark, sf_dir, "lineitem").where("l_returnflag <> 'R'").select("l_orderkey")
+    loaded = table(spark, sf_dir, "lineitem").select("l_orderkey")
     return check_count(loaded, 1234).select("expected", "actual", "matched", "status", "failure_message")
 
 
@@ -83,7 +84,7 @@ SELECT cast(user_id AS varchar(20)) AS execution_id, 'feed-' || cast(user_id % 1
 FROM events
 """
 # Rejected records: one per order of a customer, keyed like the runs.
-_ERRORS = "SELECT cast(o_custkey AS varchar(20)) AS execution_id, o_orderkey AS record_number FROM orders WHERE o_orderkey % 7 = 0"
+_ERRORS = "SELECT cast(o_custkey AS varchar(20)) AS execution_id, o_orderkey AS record_number FROM orders"
 _STATUS_COLUMNS = [
     "execution_id", "source_file", "status", "expected_record_count", "actual_loaded_record_count", "failure_reason",
     "error_count",
@@ -100,8 +101,12 @@ def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs_marked_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crashed runs become FAILED unless they had already ended."""
+    """Crashed runs become FAILED unless they had already ended, and a late FAILED changes no ended run."""
     events, _ = _ledger(spark, sf_dir)
+    late = sql_on(spark, sf_dir, _EVENTS, "events").selectExpr(
+        "* EXCEPT (status, failure_reason, sequence)", "'FAILED' AS status", "'late' AS failure_reason", "sequence + 1000000000000 AS sequence"
+    ).where("actual_loaded_record_count IS NOT NULL")
+    events = events.unionByName(late)
     requests = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").selectExpr(
         "cast(c_custkey AS string) AS execution_id", "'worker lost' AS failure_reason",
         "current_timestamp() AS completed_at", "9000000000000000000 AS sequence",
@@ -122,6 +127,7 @@ def _run_job(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
     source, control = new_path(spark, "feed"), new_path(spark, "control")
     feed.write.options(header=True, escape='"').csv(source)
     feed.selectExpr("concat('record_count=', count(*)) AS line").write.text(control)
+    control = list_files(spark, f"{control}/part-*").where("size > 0").first()["path"]
     house, run = Warehouse(new_path(spark, "house")), new_execution_id()
     try:
         ingest(spark, EMPLOYEE, source, "csv", control, house, KEY, run)
@@ -147,7 +153,7 @@ def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, then the target table with its fields in clear."""
     house, _ = _run_job(spark, sf_dir)
-    stored = TargetTable(spark, house.table, target_schema(EMPLOYEE)).read()
+    stored = TargetTable(spark, house.table, target_schema(EMPLOYEE), EMPLOYEE.key).read()
     return decrypted_view(stored, EMPLOYEE, KEY).selectExpr(
         "employee_id", "first_name", "last_name", "email", "phone_number", "salary", "is_active",
         "array_join(skills, '|') AS skills", "address.street AS street", "emergency_contact.phone AS contact_phone",
@@ -174,8 +180,9 @@ _UPSERT = """WITH incoming AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 T
       coalesce(i.p, b.o_totalprice) AS o_totalprice
     FROM base b FULL OUTER JOIN incoming i ON b.o_orderkey = i.o_orderkey"""
 _RUN_CTES = f"""WITH ledger AS ({_EVENTS}), rejects AS ({_ERRORS}),
-    latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY execution_id ORDER BY sequence DESC) AS rn
-      FROM ledger) WHERE rn = 1),
+    latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY execution_id
+      ORDER BY status IN ('SUCCESS', 'FAILED') DESC, CASE WHEN status IN ('SUCCESS', 'FAILED') THEN -sequence ELSE sequence END DESC)
+      AS rn FROM ledger) WHERE rn = 1),
     states AS (SELECT l.*, (SELECT count(*) FROM rejects r WHERE r.execution_id = l.execution_id) AS error_count FROM latest l)"""
 
 ORACLE = {
@@ -183,7 +190,7 @@ ORACLE = {
     "upsert_published": _UPSERT,
     "latest_per_user": """SELECT user_id, event_id, event_type, value FROM (SELECT *,
         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
-    "count_check": """WITH n AS (SELECT count(*) AS actual FROM lineitem WHERE l_returnflag <> 'R')
+    "count_check": """WITH n AS (SELECT count(*) AS actual FROM lineitem)
         SELECT cast(1234 AS bigint) AS expected, actual, actual = 1234 AS matched,
           CASE WHEN actual = 1234 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
           CASE WHEN actual <> 1234 THEN 'Record count mismatch: control file expected 1234 record(s) but ' || actual ||

@@ -8,19 +8,19 @@ from pyspark.sql import functions as F
 from feedloom.functions.records import value_json
 from feedloom.functions.text import name, part_count
 from feedloom.operators.convert import convert_json
-from feedloom.operators.rewrite import split_feed
+from feedloom.operators.rewrite import split_feed, write_csv_parts
 from feedloom.plans.employee import EMPLOYEE
 from feedloom.queries.raw_feed import (
     COLUMNS, FEED_CTES, RAW_FEED, numbered_batches, raw_columns, raw_feed, sql_on, table,
 )
-from feedloom.session import new_path
+from feedloom.session import new_path, stage
 from feedloom.sources.control import with_count
-from feedloom.sources.csv_feed import read_csv
-from feedloom.sources.files import check_files, inside, needs_split, normalized, plain_path
+from feedloom.sources.csv_feed import open_csv, read_csv, scanned
+from feedloom.sources.files import check_files, inside, list_files, needs_split, normalized, plain_path
 from feedloom.sources.json_feed import read_json
 from feedloom.sources.reader import read_feed
 
-BATCH = 5000  # consecutive keys per file
+BATCH = 100_000  # consecutive keys per file
 _BATCH_OF = r"cast(regexp_extract(source_file, r'batch=(\d+)', 1) AS bigint) AS batch"
 _TRIMMED = ", ".join(f"nullif(trim({c}), '') AS {c}" for c in COLUMNS)
 
@@ -143,25 +143,34 @@ def json_type_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers 1, 2, 3... in every file of a many-file, many-block feed."""
+    """Numbers 1, 2, 3... in every file of a feed whose files are read in some twenty blocks each."""
     lines = table(spark, sf_dir, "orders").selectExpr(
         f"o_orderkey DIV {BATCH} AS batch",
         "o_orderkey AS place",
         "concat(o_orderkey, ',', o_orderstatus, ',', o_orderpriority) AS line",
     )
     path = numbered_batches(lines, new_path(spark, "csv-numbers"), "o_orderkey,o_orderstatus,o_orderpriority")
-    rows = read_csv(spark, path, ["o_orderkey", "o_orderstatus"])
-    return rows.selectExpr(_BATCH_OF, "record_number", "cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus")
+    largest = list_files(spark, f"{path}/*/part-*").agg(F.max("size")).first()[0] or 0
+    setting = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, str(max(64, min(128 << 20, largest // 20))))
+    try:
+        rows = read_csv(spark, path, ["o_orderkey", "o_orderstatus"])
+        rows = rows.selectExpr(_BATCH_OF, "record_number", "cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus")
+        return stage(rows, "record-numbers")  # read while the setting holds
+    finally:
+        spark.conf.set(setting, usual)
 
 
 def split_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A CSV feed rewritten into balanced files and read back."""
+    """A CSV feed rewritten into balanced files and read back, cells as they are, padded ones too."""
     orders = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_custkey", "o_orderstatus", "concat(o_orderpriority, ', \"', o_orderstatus, '\"') AS note"
+        "o_orderkey", "o_custkey", "o_orderstatus", "concat('  ', o_orderpriority, ', \"', o_orderstatus, '\" ') AS note"
     )
-    source, out = _write_csv(orders, "split-in"), new_path(spark, "split-out")
+    source, out = new_path(spark, "split-in"), new_path(spark, "split-out")
+    write_csv_parts(orders, source, 4)
     split_feed(spark, source, "CSV", out, 10_000)
-    rows = read_csv(spark, out, ["o_orderkey", "o_custkey", "o_orderstatus", "note"])
+    rows = scanned(open_csv(spark, out), ["o_orderkey", "o_custkey", "o_orderstatus", "note"], clean=False)
     return rows.selectExpr(
         "cast(o_orderkey AS bigint) AS o_orderkey", "cast(o_custkey AS bigint) AS o_custkey", "o_orderstatus", "note"
     )
@@ -250,7 +259,7 @@ def paths_inside_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").selectExpr(
         "page_id",
         "concat(CASE page_id % 3 WHEN 0 THEN 'in/' WHEN 1 THEN '../' ELSE '/data/root/a/../../' END,"
-        " split_part(split_part(url, '?', 1), '://', 2)) AS path",
+        " url) AS path",
     )
     return pages.select(
         "page_id", normalized(F.col("path"), "/data/root").alias("path"), inside(F.col("path"), "/data/root").alias("inside")
@@ -323,7 +332,7 @@ ORACLE = {
         row_number() OVER (PARTITION BY o_orderkey // {BATCH} ORDER BY o_orderkey) AS record_number,
         o_orderkey, o_orderstatus FROM orders""",
     "split_rewrite": """SELECT o_orderkey, o_custkey, o_orderstatus,
-        o_orderpriority || ', "' || o_orderstatus || '"' AS note FROM orders""",
+        '  ' || o_orderpriority || ', "' || o_orderstatus || '" ' AS note FROM orders""",
     "split_rewrite_json": """SELECT cast(greatest(1, ceil(count(*) / 2000.0)) AS bigint) AS files,
         count(*) AS records, cast(sum(event_id) AS bigint) AS ids, count(DISTINCT event_type) AS types,
         cast(0 AS bigint) AS nones, cast(sum(cast(json_extract_string(props, '$.k') AS bigint)) AS bigint) AS k
@@ -361,5 +370,5 @@ ORACLE = {
         FROM r""",
     "paths_inside_root": """SELECT page_id,
         CASE page_id % 3 WHEN 0 THEN '/data/root/in/' WHEN 1 THEN '/data/' ELSE '/data/' END ||
-          rtrim(split_part(split_part(url, '?', 1), '://', 2), '/') AS path, page_id % 3 = 0 AS inside FROM pages""",
+          rtrim(replace(url, '://', ':/'), '/') AS path, page_id % 3 = 0 AS inside FROM pages""",
 }

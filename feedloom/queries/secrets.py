@@ -10,7 +10,7 @@ from feedloom.operators.lookup import decrypted_view, find_all
 from feedloom.operators.route import good
 from feedloom.plans.employee import EMPLOYEE
 from feedloom.plans.ingest import outcomes
-from feedloom.queries.raw_feed import FEED_CTES, table, typed_feed
+from feedloom.queries.raw_feed import FEED_CTES, key36, table, typed_feed
 from feedloom.session import stage
 
 # Keys for the registered queries only; a job is given its own.
@@ -69,7 +69,7 @@ def employee_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         good(outcomes(typed_feed(spark, sf_dir).withColumn("source_creation_time", F.current_timestamp()), EMPLOYEE, RUN, KEY)),
         "stored",
     )
-    keys = table(spark, sf_dir, "orders").selectExpr("concat('E', lpad(o_custkey, 6, '0')) AS employee_id")
+    keys = table(spark, sf_dir, "orders").selectExpr(f"'E' || {key36('o_custkey')} AS employee_id")
     view = decrypted_view(find_all(stored, keys, "employee_id"), EMPLOYEE, KEY)
     return view.selectExpr(
         "employee_id", "last_name", "phone_number", "date_format(hire_date, 'yyyy-MM-dd') AS hire_date", "salary",
@@ -99,5 +99,5 @@ ORACLE = {
         array_to_string(skill_list, '|') AS skills, coalesce(address_city, ' ') AS city, address_street AS street,
         emergency_contact_phone AS contact_phone, emergency_contact_name AS contact_name, '{RUN}' AS execution_id
         FROM checked WHERE error_type IS NULL
-          AND employee_id IN (SELECT 'E' || lpad(cast(o_custkey AS varchar), 6, '0') FROM orders)""",
+          AND employee_id IN (SELECT 'E' || {key36('o_custkey')} FROM orders)""",
 }

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import is_blank, quoted, to_long, trimmed
-from feedloom.sources.files import plain_path
+from feedloom.sources.files import is_file, plain_path
 from feedloom.sources.lines import as_paths
 
 # Fixed values ---------------------------------------------------------------
 RECORD_COUNT = "record_count"
+BLANK = "Control file location must not be blank"
+UNREADABLE = "Control file does not exist or cannot be read"
+MISSING = f"Control file is missing required property: {RECORD_COUNT}"
+NOT_WHOLE = f"{RECORD_COUNT} must be a whole number but was: "
+NEGATIVE = f"{RECORD_COUNT} must not be negative: "
 # ----------------------------------------------------------------------------
 
 #: ``name=value``, ``name: value`` or ``name value`` on a line of its own; comment lines start otherwise.
@@ -26,10 +30,9 @@ def with_count(df: DataFrame, content: str) -> DataFrame:
     df = df.withColumn("__value", F.expr(f"get({found}, size({found}) - 1)"))
     df = df.withColumn("__number", F.expr(to_long(trimmed("__value"))))
     problem = (
-        f"CASE WHEN {content} IS NULL THEN 'Control file does not exist or cannot be read'"
-        f" WHEN {is_blank('__value')} THEN 'Control file is missing required property: {RECORD_COUNT}'"
-        f" WHEN __number IS NULL THEN concat('{RECORD_COUNT} must be a whole number but was: ', __value)"
-        f" WHEN __number < 0 THEN concat('{RECORD_COUNT} must not be negative: ', __number) END"
+        f"CASE WHEN {content} IS NULL THEN '{UNREADABLE}' WHEN {is_blank('__value')} THEN '{MISSING}'"
+        f" WHEN __number IS NULL THEN concat('{NOT_WHOLE}', __value)"
+        f" WHEN __number < 0 THEN concat('{NEGATIVE}', __number) END"
     )
     df = df.withColumn("problem", F.expr(problem))
     return df.withColumn("expected", F.expr("if(problem IS NULL, __number, NULL)")).drop("__value", "__number")
@@ -45,13 +48,12 @@ def read_control_files(spark: SparkSession, paths: str | Sequence[str]) -> DataF
 def expected_count(spark: SparkSession, path: str | None) -> int:
     """The count of one control file, or an error that says what is wrong with it."""
     if path is None or not path.strip():
-        raise ValueError("Control file location must not be blank")
-    try:
-        row = read_control_files(spark, path).first()
-    except AnalysisException as error:
-        raise ValueError(f"Control file does not exist or cannot be read: {path}") from error
+        raise ValueError(BLANK)
+    if not is_file(spark, path):
+        raise ValueError(f"{UNREADABLE}: {path}")
+    row = read_control_files(spark, path).first()
     if row is None:  # an empty file
-        raise ValueError(f"Control file is missing required property: {RECORD_COUNT}")
+        raise ValueError(MISSING)
     if row["problem"] is not None:
         raise ValueError(row["problem"])
     return row["expected"]

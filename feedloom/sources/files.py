@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.reader import EXTENSIONS
+from feedloom.schema import EXTENSIONS
+
+# Fixed values ---------------------------------------------------------------
+ABSENT = "Data file does not exist: "
+# ----------------------------------------------------------------------------
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -24,11 +30,62 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    target, fs = _hadoop_path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_small(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with its text at once; False, and nothing changed, if there is one."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    target, fs = _hadoop_path(spark, path)
+    draft, _ = _hadoop_path(spark, f"{target.getParent().toString()}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(draft, target, options)
+    except Py4JJavaError as error:
+        fs.delete(draft, False)
+        if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    return True
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder."""
+    target, fs = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether there is a regular file of this name; a folder or a pattern is none."""
+    target, fs = _hadoop_path(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isFile()
+
+
+def has_children(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and is not empty; asks for its first entries only."""
+    target, fs = _hadoop_path(spark, path)
+    return fs.exists(target) and fs.listStatusIterator(target).hasNext()
+
+
 def list_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
     """Files matching the globs as ``(path, size)``, empty ones included.
 
     Spark's own file scans leave empty files out, so the listing is asked of the
-    file system: names and sizes only, no content.
+    file system: names and sizes only, no content. Meant for requested files,
+    not for the parts of a large folder.
     """
     rows = []
     for glob in [globs] if isinstance(globs, str) else globs:
@@ -39,6 +96,22 @@ def list_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
     return spark.createDataFrame(sorted(set(rows)), "path string, size bigint")
 
 
+def source_problem(spark: SparkSession, source: str | Sequence[str], kind: str) -> str | None:
+    """What keeps a feed's files from being read as ``kind``: none there, a wrong ending, an empty one.
+
+    Files named by the source, or matched by its patterns, are checked one by
+    one; of folders only that they are there.
+    """
+    for glob in [source] if isinstance(source, str) else source:
+        target, fs = _hadoop_path(spark, glob)
+        if not fs.globStatus(target):
+            return f"{ABSENT}{glob}"
+    files = list_files(spark, source)
+    checked = check_files(files.select("path", F.lit(kind).alias("file_type")), files)
+    row = checked.where("problem IS NOT NULL").orderBy("path").first()
+    return None if row is None else row["problem"]
+
+
 def plain(path: str) -> str:
     """A local path without its scheme."""
     return "/" + path[5:].lstrip("/") if path.startswith("file:") else path
@@ -91,7 +164,7 @@ def check_files(requests: DataFrame, listing: DataFrame, root: str | None = None
             extension.isNull(),
             F.concat(F.lit("Unsupported fileType "), F.col("file_type"), F.lit("; expected CSV or JSON")),
         )
-        .when(F.col("size").isNull(), F.concat(F.lit("Data file does not exist: "), F.col("path")))
+        .when(F.col("size").isNull(), F.concat(F.lit(ABSENT), F.col("path")))
         .when(
             ~F.lower(name).endswith(extension),
             F.concat(F.lit("Data file must end with "), extension, F.lit(" for fileType "), kind, F.lit(": "), name),

@@ -9,20 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.convert import convert_csv, convert_json
-from feedloom.schema import Feed
+from feedloom.schema import EXTENSIONS, Feed
 from feedloom.sources.csv_feed import read_csv
 from feedloom.sources.json_feed import read_json
 
 # Fixed values ---------------------------------------------------------------
-EXTENSIONS = {"CSV": ".csv", "JSON": ".json"}
+TYPE_REQUIRED = "fileType is required"
+UNSUPPORTED_TYPE = "Unsupported fileType '{}'. Supported values: CSV, JSON"
 # ----------------------------------------------------------------------------
 
 
 def file_type(name: str | None) -> str:
     """``CSV`` or ``JSON`` from a name in any case."""
     wanted = (name or "").strip().upper()
+    if not wanted:
+        raise ValueError(TYPE_REQUIRED)
     if wanted not in EXTENSIONS:
-        raise ValueError(f"Unsupported fileType {name}; expected CSV or JSON")
+        raise ValueError(UNSUPPORTED_TYPE.format(name))
     return wanted
 
 

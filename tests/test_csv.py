@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedloom.plans.employee import EMPLOYEE
 from feedloom.sources.csv_feed import header_names, open_csv, read_csv
-from feedloom.sources.reader import file_type, read_feed
+from feedloom.sources.reader import read_feed
 
 
 def test_reads_all_fields(spark, tmp_path):
@@ -107,8 +107,34 @@ def test_numbers_do_not_depend_on_blocks(small_blocks, tmp_path):
     assert {r["f"]: r["count"] for r in df.groupBy("f").count().collect()} == {"0": 499, "1": 599, "2": 699}
 
 
-def test_file_types():
-    assert file_type(" csv ") == "CSV" and file_type("Json") == "JSON"
-    for name in ("XML", "", None):
-        with pytest.raises(ValueError, match="expected CSV or JSON"):
-            file_type(name)
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_a_feed_that_is_cut_otherwise_loses_no_line_silently(spark, tmp_path, kind):
+    """Built under one split size and run under another: all rows, or an error."""
+    from feedloom.sources.json_feed import read_json_elements
+
+    for f in range(3):
+        lines = [f'{{"id": {n}, "text": "abcdefghij"}}' if kind == "json" else f"{n},abcdefghij" for n in range(60)]
+        write(tmp_path / f"{f}.{kind}", "\n".join(lines if kind == "json" else ["id,text", *lines]) + "\n")
+    source, setting = str(tmp_path / f"*.{kind}"), "spark.sql.files.maxPartitionBytes"
+    read = (lambda: read_json_elements(spark, source)) if kind == "json" else (lambda: read_csv(spark, source, ["id", "text"]))
+    usual = {k: spark.conf.get(k) for k in (setting, "spark.sql.files.openCostInBytes")}
+    failed = 0
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        for built, run in ((200, 300), (300, 200), (97, 1000), (5000, 130), (200, 200)):
+            spark.conf.set(setting, str(built))
+            rows = read()
+            plan = rows._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join LeftOuter" in plan and "Join Inner" not in plan
+            spark.conf.set(setting, str(run))
+            try:
+                found = rows.select("source_file", "record_number").collect()
+            except Exception as error:
+                assert "the feed changed while it was read" in str(error)
+                failed += 1
+            else:
+                assert sorted(r["record_number"] for r in found) == sorted(list(range(1, 61)) * 3)
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+    assert 0 < failed < 5

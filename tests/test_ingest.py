@@ -40,7 +40,7 @@ def test_clean_feed_succeeds(spark, tmp_path, kind):
     assert (row["status"], row["expected_record_count"], row["actual_loaded_record_count"], row["error_count"]) == (
         "SUCCESS", 20, 20, 0,
     )
-    table = TargetTable(spark, house.table, target_schema(EMPLOYEE)).read()
+    table = TargetTable(spark, house.table, target_schema(EMPLOYEE), EMPLOYEE.key).read()
     stored = find(table, "employee_id", "EMP0007").first()
     assert stored["phone_number_encrypted"].startswith("v1:") and "phone_number" not in stored.asDict()
     assert json.loads(stored["emergency_contact"])["phone"].startswith("v1:")
@@ -71,7 +71,7 @@ def test_faulty_feed_loads_the_good_rows_and_fails(spark, tmp_path):
     assert shown["address"]["city"] == "Bergen"
     report = spark.read.text(house.report(run)).orderBy("value").collect()
     assert len(report) == 4 and all(f"execution_id={run}" in r[0] for r in report)
-    assert TargetTable(spark, house.table, target_schema(EMPLOYEE)).read().count() == 16
+    assert TargetTable(spark, house.table, target_schema(EMPLOYEE), EMPLOYEE.key).read().count() == 16
 
 
 def test_duplicates_count_as_loaded_and_the_last_one_stays(spark, tmp_path):
@@ -80,7 +80,7 @@ def test_duplicates_count_as_loaded_and_the_last_one_stays(spark, tmp_path):
     house = Warehouse(str(tmp_path / "house"))
     for _ in range(2):
         assert ingest(spark, EMPLOYEE, source, "CSV", control(tmp_path, 3), house, KEY)["records_loaded"] == 3
-        table = TargetTable(spark, house.table, target_schema(EMPLOYEE)).read()
+        table = TargetTable(spark, house.table, target_schema(EMPLOYEE), EMPLOYEE.key).read()
         assert {r["employee_id"]: r["department"] for r in table.collect()} == {"EMP0001": "Harbour", "EMP0002": "Logistics"}
 
 

@@ -106,3 +106,38 @@ def test_broken_lines_as_dead_letters(spark, tmp_path):
 def test_byte_order_mark_and_blank_lines(spark, tmp_path):
     source = write(tmp_path / "a.json", '﻿\n  \n{"id": 1}\n\t\n{"id": 2}')
     assert [r["id"] for r in read_json(spark, source, ["id"]).orderBy("record_number").collect()] == ["1", "2"]
+
+
+BROKEN = {
+    "text behind an object": '{"id":"1"} junk {"id":"9"}\n',
+    "two arrays": "[1,2]\n[3,4]\n",
+    "objects behind an array": '[{"id":"1"}]\n{"id":"2"}\n',
+    "text behind an array": "[1,\n2]\noops\n",
+    "on the array's last line": '[{"id":"1"},\n{"id":"2"}] {"id":"3"}\n',
+    "on one line": '[{"id":"1"},{"id":"2"}] {"id":"3"}\n',
+    "no comma": '[{"id":"1"}\n{"id":"2"}]\n',
+    "two commas": '[{"id":"1"},\n,{"id":"2"}]\n',
+    "comma at the start": '[\n,{"id":"1"}]\n',
+    "comma at the end": '[{"id":"1"},\n]\n',
+    "single quotes": "{'id':'1'}\n",
+    "not closed": '{"id":"1"}\n{"id":\n',
+    "closed twice": '{"id":"1"}\n}\n',
+    "no number": '{"id":NaN}\n',
+}
+
+
+@pytest.mark.parametrize("case", BROKEN)
+def test_broken_files(spark, tmp_path, case):
+    source = write(tmp_path / "a.json", BROKEN[case])
+    with pytest.raises(Exception, match="not valid JSON"):
+        read_json(spark, source, ["id"]).collect()
+    rows = read_json(spark, source, ["id"], on_broken="dead_letter").collect()
+    assert any(r["__raw"] is None and r["parse_error"] == "record has an invalid structure" for r in rows)
+
+
+def test_good_arrays_with_commas_anywhere(small_blocks, tmp_path):
+    layouts = ['[{"id":%d}\n,\n{"id":%d}\n,{"id":%d},\n\n{"id":%d}\n]', "[\n]", "[%d,\n%d\n,%d]", '[{"a":[\n%d\n,%d]}\n]\n\n']
+    for i, layout in enumerate(layouts):
+        text = layout % tuple(range(layout.count("%d")))
+        source = write(tmp_path / f"{i}.json", text)
+        assert [value for _, value in numbered(read_json_elements(small_blocks, source))] == json.loads(text)

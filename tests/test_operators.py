@@ -10,11 +10,13 @@ from feedloom.functions.records import error_line
 from feedloom.operators.ledger import Ledger, run_gate, run_status
 from feedloom.operators.merge import TargetTable, latest_per_key, upsert
 from feedloom.operators.reconcile import check_count, check_count_per, require_records
+from feedloom.operators import rewrite
 from feedloom.operators.rewrite import file_count, split_feed
 from feedloom.operators.route import write_error_report
 from feedloom.plans.ingest import new_execution_id, run_name
 from feedloom.sources.control import expected_count, read_control_files
 from feedloom.sources.files import check_files, inside, list_files, needs_split, normalized, plain
+from feedloom.sources.reader import file_type
 
 
 def test_report_line_stays_on_one_line(spark, tmp_path):
@@ -38,14 +40,48 @@ def test_upsert_replaces_adds_and_repeats_safely(spark, tmp_path):
     once = upsert(base, incoming, "k", ["n"])
     assert sorted(map(tuple, once.collect())) == [(1, "a"), (2, "y"), (3, "z")]
     assert sorted(map(tuple, upsert(once, incoming, "k", ["n"]).collect())) == [(1, "a"), (2, "y"), (3, "z")]
-    table = TargetTable(spark, str(tmp_path / "t"), "k int, v string")
+    table = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k")
     assert table.read().count() == 0
     table.publish(base)
-    table.merge(incoming, "k", ["n"])
-    (tmp_path / "t" / "version=3").mkdir()  # a write that did not finish
+    table.merge(incoming, ["n"])
+    (tmp_path / "t" / "data" / "left-behind").mkdir()  # a write that was never committed
     assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "y"), (3, "z")]
-    table.merge(incoming, "k", ["n"])
-    assert table.read().count() == 3 and (tmp_path / "t" / "version=4" / "_SUCCESS").exists()
+    table.merge(incoming, ["n"])
+    assert table.read().count() == 3 and table.commits() == [1, 2, 3]
+    table.drop_old(keep=1)
+    assert table.commits() == [3] and table.read().count() == 3
+
+
+def test_interleaved_writers_lose_nothing(spark, tmp_path):
+    table = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k")
+    table.publish(spark.createDataFrame([(1, "a")], "k int, v string"))
+    other, written = TargetTable(spark, table.path, table.schema, "k"), table._write
+
+    def interrupted(df, parts):
+        folders = written(df, parts)
+        if table.commits() == [1]:  # the other writer commits between this one's write and its commit
+            other.merge(spark.createDataFrame([(2, "b", 1)], "k int, v string, n int"), ["n"])
+        return folders
+
+    table._write = interrupted
+    assert table.merge(spark.createDataFrame([(3, "c", 1)], "k int, v string, n int"), ["n"]) == 3
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_parts_without_incoming_keys_are_not_rewritten(spark, tmp_path):
+    table = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k", parts=8)
+    table.publish(spark.range(100).selectExpr("int(id) AS k", "'a' AS v"))
+    before = table._folders(1)[1]
+    table.merge(spark.createDataFrame([(5, "b", 1), (100, "c", 1)], "k int, v string, n int"), ["n"])
+    after = table._folders(2)[1]
+    assert len(before) == 8 and 1 <= sum(before[part] != after[part] for part in before) <= 2
+    assert table.read().count() == 101 and table.read().where("k = 5").first()["v"] == "b"
+
+
+def test_rows_without_a_key_are_refused(spark):
+    rows = spark.createDataFrame([(1, 1), (None, 2)], "k int, n int")
+    with pytest.raises(Exception, match="a key is missing"):
+        latest_per_key(rows, "k", ["n"]).collect()
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
@@ -82,6 +118,10 @@ def test_ledger_states_and_gate(spark, tmp_path):
     ledger.save(refused, "f", "FAILED", at, reason="Control file is missing")
     for run in (done, stuck, refused):
         ledger.fail_if_unfinished(run, "worker lost")
+    ledger.save(done, "f", "FAILED", at, 2, reason="late")  # an end is final
+    for status, source in (("DONE", "f"), ("STARTED", "f" * 1001)):
+        with pytest.raises(ValueError):
+            ledger.save(stuck, source, status, at)
     state = {r["execution_id"]: (r["status"], r["failure_reason"], r["completed_at"] is None) for r in ledger.current().collect()}
     assert state == {
         done: ("SUCCESS", None, False), stuck: ("FAILED", "worker lost", False),
@@ -120,6 +160,16 @@ def test_control_files(spark, tmp_path):
             expected_count(spark, path)
     with pytest.raises(ValueError, match="missing required"):
         expected_count(spark, write(tmp_path / "empty", ""))
+    for path in (str(tmp_path), str(tmp_path / "*.properties")):  # one regular file only
+        with pytest.raises(ValueError, match="cannot be read"):
+            expected_count(spark, path)
+
+
+def test_file_types():
+    assert file_type(" csv ") == "CSV" and file_type("Json") == "JSON"
+    for name, message in ((None, "fileType is required"), (" ", "is required"), ("XML", "Unsupported fileType 'XML'. Supported values")):
+        with pytest.raises(ValueError, match=message):
+            file_type(name)
 
 
 def test_file_checks(spark, tmp_path):
@@ -160,6 +210,15 @@ def test_paths_inside_a_root(spark):
     assert [r[0] for r in sizes.collect()] == [False, True]
 
 
+def test_split_keeps_padded_cells_and_bounds_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rewrite, "PARTITIONS", 2)
+    source = write(tmp_path / "a.csv", "a,b\n" + "".join(f'" {n} ",x\n' for n in range(10)))
+    split_feed(spark, source, "CSV", str(tmp_path / "out"), 2)
+    lines = [line for p in (tmp_path / "out").glob("part-*.csv") for line in p.read_text().splitlines()[1:]]
+    assert sorted(lines) == sorted(f" {n} ,x" for n in range(10)) or sorted(lines) == sorted(f'" {n} ",x' for n in range(10))
+    assert all(len(p.read_text().splitlines()) <= 3 for p in (tmp_path / "out").glob("part-*.csv"))
+
+
 def test_split_csv_and_json(spark, tmp_path):
     source = write(tmp_path / "a.csv", "employee_id,first_name\n" + "".join(f'E{n},"n, {n}"\n' for n in range(10)))
     out = tmp_path / "csv"
