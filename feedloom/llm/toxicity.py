@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from collections import Counter
@@ -114,25 +113,29 @@ class BlockMaxIndex:
             return []
         terms, weights = np.fromiter(vector, np.int64), np.fromiter(vector.values(), np.float64)
         bounds = weights @ self._largest[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            bound = bounds[block]
-            if bound <= 0 or len(best) == k and bound * (1 + 1e-12) < best[0][0]:
-                break
-            cosines = np.zeros(BLOCK)
-            begin, end = self._begin[terms, block].tolist(), self._begin[terms, block + 1].tolist()
-            for a, b, weight in zip(begin, end, weights.tolist(), strict=True):
-                if a < b:
-                    cosines[self._of[a:b] - block * BLOCK] += weight * self._weight[a:b]
-            least = best[0][0] if len(best) == k else 0.0
-            for i in np.flatnonzero(cosines >= least).tolist():
-                entry = (float(cosines[i]), -(block * BLOCK + i))
-                if entry[0] > 0 and -entry[1] != without:
-                    if len(best) < k:
-                        heapq.heappush(best, entry)
-                    else:
-                        heapq.heappushpop(best, entry)
-        return sorted(best, reverse=True)
+        order = np.argsort(-bounds, kind="stable")
+        bounds = bounds[order] * (1 + 1e-12)
+        some = int(np.searchsorted(-bounds, 0.0))
+        best, places, at, step = np.empty(0), np.empty(0, np.int64), 0, 8
+        while at < some and (len(best) < k or bounds[at] >= best[-1]):
+            cosines, of = self._cosines(terms, weights, np.sort(order[at : min(at + step, some)]))
+            hit = np.flatnonzero((cosines > 0) & (of != without) & (cosines >= (best[-1] if len(best) == k else 0.0)))
+            best, places = np.concatenate([best, cosines[hit]]), np.concatenate([places, of[hit]])
+            first = np.lexsort((places, -best))[:k]
+            best, places = best[first], places[first]
+            at, step = at + step, step * 4
+        return list(zip(best.tolist(), (-places).tolist(), strict=True))
+
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cosines of all examples of some ascending blocks, and the examples' places."""
+        begin = self._begin[terms][:, blocks].ravel()
+        sizes = self._begin[terms][:, blocks + 1].ravel() - begin
+        ends = np.cumsum(sizes)
+        hits = np.arange(ends[-1]) + np.repeat(begin - ends + sizes, sizes)
+        local = np.tile(np.arange(len(blocks)) * BLOCK - blocks * BLOCK, len(terms))
+        where = self._of[hits] + np.repeat(local, sizes)
+        summed = np.bincount(where, np.repeat(np.repeat(weights, len(blocks)), sizes) * self._weight[hits], len(blocks) * BLOCK)
+        return summed, (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
 
 
 class Model:
