@@ -19,9 +19,9 @@ from feedloom.operators.merge import TargetTable
 from feedloom.operators.prepare import add_metadata, encrypt_sensitive, fill_missing, target_columns
 from feedloom.operators.reconcile import counters
 from feedloom.schema import BOOLEAN, DATE, LONG, Feed
-from feedloom.session import configure, stage
+from feedloom.session import configure, new_path
 from feedloom.sources.control import expected_count
-from feedloom.sources.files import has_children, source_problem
+from feedloom.sources.files import delete, has_children, source_problem
 from feedloom.sources.reader import file_type, read_feed
 
 RUN_PREFIX = "ingestion_"
@@ -151,11 +151,13 @@ def ingest(
         ledger.save(run, source, FAILED, started, reason=root_message(error))
         raise
     ledger.save(run, source, (STARTED, RUNNING), started, expected)
+    staged = new_path(spark, "outcomes")
     try:
         seen = Observation()
         records = read_feed(spark, source, feed, wanted, multi_line=multi_line, on_broken=on_broken)
-        done = stage(outcomes(records, feed, run, key, seen), "outcomes")
-        numbers = seen.get
+        fates = outcomes(records, feed, run, key, seen)
+        fates.write.parquet(staged)
+        done, numbers = spark.read.schema(fates.schema).parquet(staged), seen.get
 
         failures = route.failure_rows(done, feed)
         route.write_error_table(failures, warehouse.errors)
@@ -173,6 +175,8 @@ def ingest(
     except Exception as error:
         ledger.fail_if_unfinished(run, root_message(error))
         raise
+    finally:
+        delete(spark, staged)
     return {"execution_id": run, "expected": expected, **numbers}
 
 

@@ -9,9 +9,10 @@ from feedloom.operators.ledger import current_runs, fail_unfinished, run_gate, r
 from feedloom.operators.lookup import decrypted_view
 from feedloom.operators.merge import TargetTable, latest_per_key, upsert
 from feedloom.operators.reconcile import check_count, check_count_per
+from feedloom.operators.route import good
 from feedloom.plans.employee import EMPLOYEE
 from feedloom.plans.ingest import RecordCountMismatch, Warehouse, errors, ingest, new_execution_id, status, target_schema
-from feedloom.queries.raw_feed import FEED_CTES, RAW_FEED, raw_columns, sql_on, table
+from feedloom.queries.raw_feed import FEED_CTES, RAW_FEED, checked_feed, raw_columns, sql_on, table
 from feedloom.queries.secrets import KEY
 from feedloom.session import new_path
 from feedloom.sources.files import list_files
@@ -121,12 +122,16 @@ def run_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_gate(run_status(*_ledger(spark, sf_dir)), requested)
 
 
-def _run_job(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
-    """Write the feed and its control file, and load it; bad records make the count differ."""
+def _run_job(spark: SparkSession, sf_dir: str, counted: DataFrame | None = None) -> tuple[Warehouse, str]:
+    """Write the feed and its control file, and load it; bad records make the count differ.
+
+    The control file counts the rows of ``counted`` where given.
+    """
     feed = raw_columns(spark, sf_dir)
     source, control = new_path(spark, "feed"), new_path(spark, "control")
     feed.write.options(header=True, escape='"').csv(source)
-    feed.selectExpr("concat('record_count=', count(*)) AS line").write.text(control)
+    counts = (feed if counted is None else counted).agg(F.count("*").alias("n"))
+    counts.selectExpr("concat('record_count=', n) AS line").write.text(control)
     control = list_files(spark, f"{control}/part-*").where("size > 0").first()["path"]
     house, run = Warehouse(new_path(spark, "house")), new_execution_id()
     try:
@@ -150,6 +155,12 @@ def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with a control file that counts the good records: what was loaded, and that it passed with rejects."""
+    house, run = _run_job(spark, sf_dir, good(checked_feed(spark, sf_dir)))
+    return run_gate(status(spark, house, run)).select("verdict", "reason", "expected", "loaded", "error_records")
+
+
 def ingest_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, then the target table with its fields in clear."""
     house, _ = _run_job(spark, sf_dir)
@@ -170,6 +181,7 @@ QUERIES = {
     "runs_marked_failed": runs_marked_failed,
     "run_verdicts": run_verdicts,
     "ingest_status": ingest_status,
+    "ingest_success": ingest_success,
     "ingest_target": ingest_target,
 }
 
@@ -224,6 +236,11 @@ ORACLE = {
         SELECT 'FAILED' AS status, e AS expected_record_count, a AS actual_loaded_record_count, p + v AS error_count,
           'Record count mismatch: control file expected ' || e || ' record(s) but ' || a || ' record(s) were loaded'
             AS failure_reason, p AS parse_errors, v AS validation_errors, r AS redacted FROM n""",
+    "ingest_success": f"""{FEED_CTES}, n AS (SELECT count(*) FILTER (WHERE error_type IS NULL) AS a,
+          count(*) FILTER (WHERE error_type IS NOT NULL) AS e FROM checked)
+        SELECT CASE WHEN e > 0 THEN 'WARN' ELSE 'PASS' END AS verdict,
+          CASE WHEN e > 0 THEN e || ' record(s) were rejected' END AS reason, a AS expected, a AS loaded, e AS error_records
+        FROM n""",
     "ingest_target": f"""{FEED_CTES} SELECT employee_id, first_name, coalesce(last_name, ' ') AS last_name, email,
         phone_number, try_cast(salary AS bigint) AS salary, lower(is_active) = 'true' AS is_active,
         array_to_string(skill_list, '|') AS skills, address_street AS street, emergency_contact_phone AS contact_phone

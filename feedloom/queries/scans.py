@@ -142,6 +142,19 @@ def json_type_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def json_broken_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text behind an object and single quotes are error rows; objects on one line are records of their own."""
+    lines = table(spark, sf_dir, "events").selectExpr(
+        "CASE event_id % 4 WHEN 0 THEN concat('{\"id\": \"', event_id, '\"}')"
+        " WHEN 1 THEN concat('{\"id\": \"', event_id, '\"} junk {\"id\": \"9\"}')"
+        r" WHEN 2 THEN concat('{\'id\': \'', event_id, '\'}')"
+        " ELSE concat('{\"id\": \"', event_id, '\"}{\"id\": \"x', event_id, '\"}') END AS line"
+    )
+    path = new_path(spark, "json-broken")
+    lines.write.text(path)
+    return read_json(spark, path, ["id"], on_broken="dead_letter").select("parse_error", "id")
+
+
 def record_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers 1, 2, 3... in every file of a feed whose files are read in some twenty blocks each."""
     lines = table(spark, sf_dir, "orders").selectExpr(
@@ -274,6 +287,7 @@ QUERIES = {
     "json_lines_scan": json_lines_scan,
     "json_array_scan": json_array_scan,
     "json_type_errors": json_type_errors,
+    "json_broken_parts": json_broken_parts,
     "record_numbers": record_numbers,
     "split_rewrite": split_rewrite,
     "split_rewrite_json": split_rewrite_json,
@@ -328,6 +342,9 @@ ORACLE = {
           count(*) FILTER (WHERE parse_error IS NULL) AS kept,
           count(*) FILTER (WHERE c_custkey % 9 = 2) AS braced
         FROM kinds GROUP BY parse_error""",
+    "json_broken_parts": """SELECT CASE WHEN event_id % 4 IN (1, 2) THEN 'record has an invalid structure' END AS parse_error,
+          CASE WHEN event_id % 4 IN (0, 3) THEN cast(event_id AS varchar) END AS id FROM events
+        UNION ALL SELECT NULL, 'x' || event_id FROM events WHERE event_id % 4 = 3""",
     "record_numbers": f"""SELECT o_orderkey // {BATCH} AS batch,
         row_number() OVER (PARTITION BY o_orderkey // {BATCH} ORDER BY o_orderkey) AS record_number,
         o_orderkey, o_orderstatus FROM orders""",
