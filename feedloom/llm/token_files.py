@@ -38,7 +38,7 @@ _SAMPLE = 256
 #: Ids after which a shard is closed, at the end of a document.
 SHARD_IDS = 1 << 22
 #: Words whose ids one Python worker remembers; beyond that it starts again with the text at hand.
-REMEMBERED = 500_000
+REMEMBERED = 1_200_000
 
 
 class EliasFano:
@@ -151,8 +151,8 @@ class Encoder:
 
     White space is dropped by the vocabulary's normalizer and ends every word, so
     each run of other characters is encoded once and remembered. New ones are
-    encoded many at a time, a special token between them. Texts with a control
-    character that only some take for white space are encoded as they are.
+    encoded many at a time; the places of their ids tell them apart. Texts with a
+    control character that only some take for white space are encoded as they are.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -162,27 +162,24 @@ class Encoder:
         bits = 16 if self._tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 32
         self.bits, self._type = bits, f"<u{bits // 8}"
         self._end = np.array([end_id], self._type).tobytes()
-        special = self._tokenizer.get_added_tokens_decoder()
-        self._gap_id, self._gap = next(((i, token.content) for i, token in special.items()), (None, None))
         spaces = "a b\tc\n d\x85e\xa0f g　h"
-        drops = self._ids(spaces) == b"".join(map(self._ids, spaces.split()))
-        self._by_word = self._gap is not None and drops
+        self._by_word = self._ids(spaces) == b"".join(map(self._ids, spaces.split()))
         self._known: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self._type).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        plain = [word for word in words if self._gap not in word]
-        for word in set(words).difference(plain):
-            self._known[word] = self._ids(word)
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = np.array(self._tokenizer.encode(self._gap.join(some), add_special_tokens=False).ids, self._type)
-            gaps = np.flatnonzero(ids == self._gap_id)
-            starts, ends = [0, *(gaps + 1).tolist()], [*gaps.tolist(), len(ids)]
-            for word, start, end in zip(some, starts, ends, strict=True):
-                self._known[word] = ids[start:end].tobytes()
+        size = self.bits // 8
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            encoding = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
+            data = np.array(encoding.ids, self._type).tobytes()
+            starts = np.cumsum([0, *(len(word) + 1 for word in some)])
+            places = np.array([place for place, _ in encoding.offsets], np.int64)
+            cuts = (size * np.searchsorted(places, starts)).tolist()
+            for word, a, b in zip(some, cuts, cuts[1:], strict=False):
+                self._known[word] = data[a:b]
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text and the end id."""
