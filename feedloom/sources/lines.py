@@ -12,10 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from feedloom.session import configure, stage
 
 FILE, BLOCK, LINE_ID, TEXT = "source_file", "__block", "__line_id", "__text"
+#: A block table is broadcast up to this measured size, about a million blocks; lines are not shuffled then.
+BROADCAST_BYTES = 128 << 20
 
 
 def as_paths(paths: str | Sequence[str]) -> list[str]:
@@ -95,6 +98,15 @@ def with_all_first_lines(lines: DataFrame, index: DataFrame) -> DataFrame:
     return stage(completed.drop("found_line"), "blocks")
 
 
+def _if_small(blocks: DataFrame) -> DataFrame:
+    """A block table marked for broadcast if its rows, measured, are small enough."""
+    fixed = 32 + 16 * len(blocks.columns)
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in blocks.schema if f.dataType == StringType()]
+    lists = [8 * F.greatest(F.size(f.name), F.lit(0)) for f in blocks.schema if isinstance(f.dataType, ArrayType)]
+    size = blocks.agg(F.sum(sum([*texts, *lists], F.lit(fixed)))).first()[0] or 0
+    return F.broadcast(blocks) if size <= BROADCAST_BYTES else blocks
+
+
 def with_block_columns(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     """Lines with the columns of their block; a line without a block, or outside its lines, is an error.
 
@@ -105,12 +117,12 @@ def with_block_columns(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     a check beside them would be lost when a later filter, which NULL does not
     pass, makes the optimizer turn the outer join into an inner one.
 
-    An equi-join on (file, block): Spark broadcasts the block table while it is
-    small.
+    The block table is broadcast while it is small, which is measured; beyond
+    that it is an ordinary join on (file, block), one block to a group.
     """
     own = [c for c in blocks.columns if c not in (FILE, BLOCK)]
     found = blocks.select(FILE, BLOCK, F.lit(True).alias("__found"), *own)
-    joined = lines.join(found, [FILE, BLOCK], "left")
+    joined = lines.join(_if_small(found), [FILE, BLOCK], "left")
     known = F.col("__found").isNotNull()
     if "first_id" in own and "n" in own:
         known = known & (F.col(LINE_ID) - F.col("first_id")).between(F.lit(0), F.col("n") - 1)

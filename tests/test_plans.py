@@ -52,7 +52,7 @@ def test_rules_are_evaluated_once(spark, tmp_path):
 
 
 def test_lookup_reaches_the_scan(spark, tmp_path):
-    table = TargetTable(spark, str(tmp_path / "t"), "k string, v string, w string")
+    table = TargetTable(spark, str(tmp_path / "t"), "k string, v string, w string", "k")
     table.publish(spark.createDataFrame([("a", "b", "c")], "k string, v string, w string"))
     plan = physical(find(table.read(), "k", "a").select("v"))
     assert "EqualTo(k,a)" in plan and "ReadSchema: struct<k:string,v:string>" in plan
