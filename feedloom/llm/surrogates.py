@@ -73,6 +73,14 @@ _NUMBER = rf"(?<![\w.+-])(?:{_PHONE}|{_SSN}|{_CARD}|{_IP})(?![\w-]|\.\d)"
 MENTION = "|".join([rf"(?<![\p{{L}}\p{{N}}_.+-]){_EMAIL}(?![\p{{L}}\p{{N}}_-])", _NUMBER, *(f"({p})" for p in _NAMES.values())])
 
 
+#: What every text with a mention has, found far faster than a mention.
+_HINT = rf"[0-9@]|(?=\p{{Lu}})(?<!\p{{L}})(?:{'|'.join(x for words in (*TITLES.values(), *GIVEN.values()) for x in words)})(?!\p{{L}})"
+
+
+def has_mention(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(_HINT) & F.col(text).rlike(MENTION), F.lit(False))
+
+
 def _luhn(digits: str, first: int) -> str:
     """SQL for the Luhn sum of a digit string; its last digit counts as it is if ``first`` is 0, doubled if 1."""
     digit = f"int(substr({digits}, length({digits}) - i, 1))"
@@ -102,7 +110,7 @@ def mentions(docs: DataFrame, text_column: str = "text") -> DataFrame:
     are no card number by their check digit, addresses above 255. ``same`` is
     equal for mentions of the same thing, however they are written.
     """
-    texts = docs.select(F.col(text_column).alias("text")).where(F.col("text").rlike(MENTION))
+    texts = docs.select(F.col(text_column).alias("text")).where(has_mention("text"))
     every = [F.regexp_extract_all("text", F.lit(MENTION), F.lit(i)) for i in range(4)]
     found = texts.select(F.md5("text").alias("text_key"), *(x.alias(f"g{i}") for i, x in enumerate(every)))
     found = found.groupBy("text_key").agg(*(F.first(f"g{i}").alias(f"g{i}") for i in range(4)))
@@ -253,7 +261,7 @@ def pseudonymized(docs: DataFrame, key: str, id_column: str = "doc_id", text_col
         F.count(F.when(F.col("replaced"), 1)).alias("n_entities"),
     )
     per_text = scratch.write(per_text, "replacements")
-    has = F.coalesce(F.col("text").rlike(MENTION), F.lit(False))
+    has = has_mention("text")
     pieces = F.split("text", MENTION, -1)
     between = F.zip_with(pieces, "new", lambda piece, new: F.concat(piece, F.coalesce(new, F.lit(""))))
     changed = rows.where(has).join(per_text, F.md5("text") == F.col("text_key"))
