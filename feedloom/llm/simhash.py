@@ -123,8 +123,9 @@ def near_duplicates(
     Fingerprints that differ in ``distance`` bits at most are linked, equal
     ones too, those of texts without words (zero; a NULL text is empty) like
     any other. A row without an id has a fingerprint, is linked to nothing and
-    has no component; rows that repeat an id keep their places. No row gives
-    no row; columns other than the two named are not read.
+    has no component; rows that repeat an id keep their places and are not
+    linked by it. No row gives no row; columns other than the two named are
+    not read.
 
     Texts are read once: the ids and fingerprints go to the shared folder.
     Copies meet by equal fingerprints before any comparison, so a group of
@@ -133,11 +134,7 @@ def near_duplicates(
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     hashed = fingerprints(docs, id_column, text_column, shingle).withColumnRenamed(id_column, "doc")
     hashed = scratch.write(hashed, "fingerprints")
-    points = hashed.where("doc IS NOT NULL").groupBy("fp").agg(F.min("doc").alias("node"))
-    points = scratch.write(points, "points")
-    reached = components(spark, links(spark, points, distance))
-    classes = points.join(reached, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    classes = scratch.write(classes, "classes")
+    classes = _classes(spark, hashed, distance)
     return hashed.join(classes, "fp", "left").select(
         F.col("doc").alias(id_column),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -145,17 +142,39 @@ def near_duplicates(
     )
 
 
+def _classes(spark: SparkSession, hashed: DataFrame, distance: int) -> DataFrame:
+    """(fp, root, component): the least fingerprint that one with an id reaches, and the least id of all that reach it.
+
+    Fingerprints are the nodes, not ids: unlike texts under one id are not
+    linked by it. Two groups may have the same least id, never the same root.
+    """
+    scratch = Scratch(spark)
+    points = scratch.write(hashed.where("doc IS NOT NULL").groupBy("fp").agg(F.min("doc").alias("least")), "points")
+    reached = components(spark, links(spark, points.select(F.col("fp").alias("node"), "fp"), distance))
+    reached = reached.withColumnsRenamed({"node": "fp", "component": "root"})
+    rooted = scratch.write(points.join(reached, "fp", "left"), "rooted")
+    ids = scratch.write(rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("component")), "ids")
+    linked = rooted.where("root IS NOT NULL").join(ids, "root").select("fp", "root", "component")
+    alone = rooted.where("root IS NULL").select("fp", F.col("fp").alias("root"), F.col("least").alias("component"))
+    return scratch.write(linked.union(alone), "classes")
+
+
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose id is that of their component: one document of each group.
+    """One row of each group of linked fingerprints, with all its columns: that of least id, then of least text hash.
 
-    Rows that repeat an id are one document; the one of least text hash stays.
-    Rows without an id are linked to nothing and stay.
+    Groups are of rows, whatever their ids: unlike texts under one id stay one
+    each. Of rows equal in id and text one stays. Rows without an id are linked
+    to nothing and stay.
     """
-    found = near_duplicates(docs, id_column, text_column)
-    kept = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("kept")).distinct()
-    rows = docs.where(docs[id_column].isNotNull()).select(
-        F.struct("*").alias("row"), docs[id_column].alias("id"), F.xxhash64(docs[text_column]).alias("hash")
-    )
-    turn = F.row_number().over(Window.partitionBy("id").orderBy("hash"))
-    firsts = rows.join(kept, rows["id"] == kept["kept"], "left_semi").withColumn("turn", turn).where("turn = 1")
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    hash_of = F.coalesce(F.md5(docs[text_column]), F.lit(""))
+    keyed = docs.where(docs[id_column].isNotNull())
+    keys = keyed.select(F.struct(docs[id_column].alias("doc"), hash_of.alias("hash")).alias("key"), docs[text_column].alias("text"))
+    hashed = scratch.write(fingerprints(keys, "key", "text").select("key.doc", "key.hash", "fp"), "fingerprints")
+    classes = _classes(spark, hashed, DISTANCE).select("fp", "root")
+    kept = hashed.join(classes, "fp").groupBy("root").agg(F.min(F.struct("doc", "hash")).alias("kept")).select("kept.*")
+    rows = keyed.select(F.struct("*").alias("row"), docs[id_column].alias("id"), hash_of.alias("text_hash"))
+    turn = F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("text_hash"))
+    same = (rows["id"] == kept["doc"]) & (rows["text_hash"] == kept["hash"])
+    firsts = rows.join(kept, same, "left_semi").withColumn("turn", turn).where("turn = 1")
     return firsts.select("row.*").union(docs.where(docs[id_column].isNull()))

@@ -73,6 +73,19 @@ def test_repeated_and_missing_ids(spark):
     assert sorted((str(r["doc_id"]), r["fp"]) for r in kept.collect()) == [("3", ""), ("9", "z"), ("None", "")]
 
 
+def test_unlike_texts_under_one_id(spark):
+    random.seed(7)
+    texts = [" ".join(random.choices([f"w{i}" for i in range(400)], k=200)) for _ in range(5)]
+    a, b, *others = texts
+    near = b.upper()  # another text of the same fingerprint
+    rows = [(5, a, "A", 0, 0), (5, b, "B", 0, 0), (3, near, "B'", 0, 0), *((7, text, text[:9], 0, 0) for text in others)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = simhash.near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(3, 3), (5, 3), (5, 5), (7, 7), (7, 7), (7, 7)]
+    kept = [(r["doc_id"], r["fp"]) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(kept) == sorted([(5, "A"), (3, "B'"), *((7, text[:9]) for text in others)])
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).count() == 0
