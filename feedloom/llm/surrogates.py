@@ -41,8 +41,19 @@ SURNAMES = {
 #: Rounds of drawing after which a kind's surrogates count as used up, which is an error.
 ROUNDS = 64
 _EMAIL = r"[\p{L}\p{N}_+-]+(?:\.[\p{L}\p{N}_+-]+)*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}"
-_PHONE = r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}"
-_CARD = r"\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{13,19}"
+#: International; North American, with or without its trunk 1; with a trunk 0, each grouping with one kind of separator.
+_PHONE = "|".join(
+    (
+        r"\+\d{1,3}[ .-]?(?:\(0\) ?)?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}",
+        r"(?:1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}",
+        r"(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}",
+        r"(?<!\d )0[1-9](?:(?: \d{2}){4}|(?:\.\d{2}){4}|(?:-\d{2}){4})",
+        r"(?<!\d )(?:0[1-9]\d{0,3}|\(0[1-9]\d{0,3}\))(?:(?: \d{3,4}){2}|(?:-\d{3,4}){2})",
+        r"(?<!\d )(?:0[1-9]\d{1,3}[ /-]|\(0[1-9]\d{0,3}\) ?)(?:\d{5,8}|\d{2,4}(?: \d{2}){2}|\d{3,4}[ -]\d{3,4})",
+        r"0[1-9]\d{8,9}",
+    )
+)
+_CARD = r"\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19}"
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 _LONGEST_NAME = 24
@@ -95,12 +106,13 @@ CASE WHEN given_m <> '' THEN 'given_m' WHEN given_f <> '' THEN 'given_f' WHEN su
      WHEN surface RLIKE r'^{_SSN}$' THEN 'ssn'
      WHEN surface RLIKE r'^{_IP}$' THEN
         CASE WHEN forall(split(surface, '[.]'), x -> int(x) <= 255) THEN 'ip' END
-     WHEN surface RLIKE r'^(?:{_PHONE})$' AND length({_DIGITS}) BETWEEN 10 AND 15 THEN 'phone'
+     WHEN surface RLIKE r'^(?:{_PHONE})$' AND surface LIKE '+%' AND length({_DIGITS}) BETWEEN 7 AND 9 THEN 'short_phone'
+     WHEN surface RLIKE r'^(?:{_PHONE})$' AND length({_DIGITS}) BETWEEN if(surface RLIKE '^[(]?0', 9, 10) AND 15 THEN 'phone'
      WHEN surface RLIKE r'^(?:{_CARD})$' AND length({_DIGITS}) BETWEEN 13 AND 19 THEN
         CASE WHEN {_luhn(_DIGITS, 0)} % 10 = 0 THEN 'card' END
 END"""
 _SCRIPT = r"CASE WHEN surface RLIKE '\\p{IsCyrillic}' THEN 'cyrillic' WHEN surface RLIKE '\\p{IsGreek}' THEN 'greek' ELSE 'latin' END"
-_SAME = f"CASE WHEN kind IN ('phone', 'card', 'ssn') THEN {_DIGITS} ELSE lower(surface) END"
+_SAME = f"CASE WHEN kind IN ('phone', 'short_phone', 'card', 'ssn') THEN {_DIGITS} ELSE lower(surface) END"
 
 
 def mentions(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -173,7 +185,8 @@ def _surrogate() -> Column:
     listed = " ".join(f"WHEN '{kind}' THEN lower({sql})" for kind, sql in names.items())
     return F.expr(
         f"""CASE kind WHEN 'email' THEN {email} WHEN 'card' THEN {card} WHEN 'ip' THEN {octets}
-        WHEN 'phone' THEN {_drawn_digits('if(length(same) > 10, 1, 0)', 'same')}
+        WHEN 'phone' THEN {_drawn_digits("if(length(same) > 10 OR same LIKE '0%', 1, 0)", 'same')}
+        WHEN 'short_phone' THEN {_drawn_digits('1', 'same')}
         WHEN 'ssn' THEN concat('9', substr({_drawn_digits('0', 'same')}, 2)) {listed} END"""
     )
 
@@ -221,7 +234,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 # The surrogate in the format of the mention: digits poured into its punctuation, letters in its case.
 _WRITTEN = """
 CASE WHEN surrogate IS NULL THEN surface
-     WHEN kind IN ('phone', 'card', 'ssn') THEN
+     WHEN kind IN ('phone', 'short_phone', 'card', 'ssn') THEN
         aggregate(split(surface, ''), struct('' AS out, 1 AS k),
             (s, c) -> if(c RLIKE '[0-9]', struct(concat(s.out, substr(surrogate, s.k, 1)) AS out, s.k + 1 AS k),
                                           struct(concat(s.out, c) AS out, s.k AS k)), s -> s.out)

@@ -50,6 +50,23 @@ def test_kinds(spark):
     assert replaced(spark, texts) == found and replaced(spark, texts, "other")[2] != found[2]
 
 
+def test_forms_of_numbers(spark):
+    shaped = [
+        "555 123 4567", "1-800-555-0199", "1 (800) 555-0199", "0171 1234567", "030/1234567", "(0171) 123 4567", "020 7946 0958",
+        "03-1234-5678", "01 23 45 67 89", "01.23.45.67.89", "01711234567", "+298 123456", "+290 1234", "+33 1 23 45 67 89",
+        "+44 (0)20 7946 0958", "3782 822463 10005", "3782-822463-10005",
+    ]
+    left = ["on 01-02-2003 12:30", "01.02.2003", "3782 822463 10006", "1 000 000", "10 000 000 000", "1 012 345 678", "+12 34", "007", "0.1234567", "2024-01-05"]
+    found = replaced(spark, [f"call {number}, now" for number in shaped] + left)
+    for i, number in enumerate(shaped):
+        new = re.fullmatch(r"call (.*), now", found[i][0])[1]
+        assert found[i][1] == 1 and new != number and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", number), (number, new)
+        assert number[0] not in "0+(" or re.sub(r"\D", "", new)[0] == re.sub(r"\D", "", number)[0], (number, new)
+    assert [found[len(shaped) + i] for i in range(len(left))] == [(text, 0) for text in left]
+    card = found[shaped.index("3782 822463 10005")][0]
+    assert luhn(re.sub(r"\D", "", card)) and re.sub(r"\D", "", card) == re.sub(r"\D", "", found[len(shaped) - 1][0])
+
+
 def test_different_entities_stay_different(spark):
     # 26 one-letter names at a domain cannot all get another one; all 30 listed surnames are in use.
     names = [f"Mr {name}" for name in surrogates.SURNAMES["latin"]] + [f"Mr Xa{chr(97 + i)}" for i in range(26)]
