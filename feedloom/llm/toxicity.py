@@ -26,8 +26,7 @@ from feedloom.llm.common import Scratch, exact, in_python, salted
 
 #: Labelled rows that are learned from, those of least hash; the only thing that is bounded.
 EXAMPLES = 12_000
-#: Terms of a vector: those that tell the labels of the examples apart best, if they do so beyond chance.
-TERMS = 2_000
+#: Terms of a vector: all that tell the labels of the examples apart beyond chance, however many; README has what others cost.
 _CHANCE = 10.83  # chi-squared of one degree of freedom, one in a thousand
 _RARE = 5
 NEIGHBOURS = 10
@@ -139,7 +138,7 @@ class BlockMaxIndex:
 
 
 class Model:
-    """What is learned from the examples and sent to the executors; its size is bounded by EXAMPLES and TERMS."""
+    """What is learned from the examples and sent to the executors; its size is bounded by EXAMPLES and their texts."""
 
     def __init__(self, terms: list[str], weights: list[float], ids: list[int], toxic: list[int], counts: list[dict[int, int]]):
         self.vocabulary = Vocabulary(terms)
@@ -195,8 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     """Learn from the labelled rows that are not held out; IDF weights count every document.
 
     An id with unlike labels, without a label of 0 or 1, or with unlike texts is
-    not learned from. Examples, terms and votes reach the driver in bounded
-    numbers (``EXAMPLES``, ``TERMS``); counting is done by Spark.
+    not learned from. Examples and votes reach the driver in a bounded number
+    (``EXAMPLES``), and with them the terms that tell their labels apart, none
+    of which is left out; counting is done by Spark.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     docs = exact(docs, id_column, text_column).toDF("doc", "text")
@@ -216,8 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     expected = F.col("n") * F.lit(n_toxic / max(n, 1))
     off = (F.col("k") - expected) * (F.col("k") - expected)
     telling = counts.select("term", F.try_add(F.try_divide(off, expected), F.try_divide(off, F.col("n") - expected)).alias("x"))
-    telling = telling.where(F.col("x") > _CHANCE).orderBy(F.desc("x"), "term").limit(TERMS)
-    terms = [row["term"] for row in telling.collect()]
+    telling = telling.where(F.col("x") > _CHANCE)
+    terms = [row["term"] for row in telling.orderBy(F.desc("x"), "term").collect()]
 
     vocabulary = spark.sparkContext.broadcast(Vocabulary(terms))
     places = StructType([StructField("place", IntegerType()), StructField("n", LongType())])

@@ -58,6 +58,16 @@ def test_held_out_rows(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in found.items() if not r["predicted"]}
 
 
+def test_every_telling_term_counts(spark):
+    words = sorted(f"{a}{b}{c}" for a in "abcdefghijklm" for b in "nopqrstuvwxyz" for c in "abcdefghijklmno")
+    rows = [(i, " ".join(words) if i % 2 else "plain talk", 0, "", 0) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (100, " ".join(words[-20:]), 0, "", 0)], SCHEMA)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int"))
+    assert set(words) <= set(model.vocabulary.place) and len(words) > 2500
+    found = {r["doc_id"]: r for r in toxicity.scored(docs, model).collect()}
+    assert len(found[100]["evidence"]) == 10 and all(i % 2 for i in found[100]["evidence"])
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a", 0, "", 0), (1, None, 0, "", 0), (1, "b", 0, "", 0), (2, "", 0, "", 0), (3, "x" * 100_000, 0, "", 0)], SCHEMA)
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (3, 1), (None, 1), (7, 1)], "doc_id bigint, toxic int")
