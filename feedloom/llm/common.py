@@ -33,19 +33,17 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self._paths: dict[int, str] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(back)] = path
-        back._scratch = self  # keeps the id from being reused while the frame lives
+        back._scratch_path = path
         return back
 
     def drop(self, df: DataFrame) -> None:
         """Delete a table written here, once nothing reads it any more."""
-        delete(self.spark, self._paths.pop(id(df)))
+        delete(self.spark, df._scratch_path)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -9,6 +9,7 @@ from feedloom.llm import embeddings, toxicity
 from feedloom.llm.chat import digests, formatted
 from feedloom.llm.common import table
 from feedloom.llm.decontaminate import contaminated
+from feedloom.llm.filter_audit import AUDIT_SQL, audit
 from feedloom.llm.mixing import MIX_SQL, mix
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.surrogates import pseudonymized
@@ -67,5 +68,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {query.__name__: query for query in (op1_token_counts, op2_pii_surrogates, op3_simhash, op4_chat_format, op5_mixing, op6_toxicity, op7_decontaminate, op8_embeddings, op9_urls, op10_token_files)}
-ORACLE = {"op5_mixing": MIX_SQL}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_token_counts,
+        op2_pii_surrogates,
+        op3_simhash,
+        op4_chat_format,
+        op5_mixing,
+        op6_toxicity,
+        op7_decontaminate,
+        op8_embeddings,
+        op9_urls,
+        op10_token_files,
+        op12_filter_audit,
+    )
+}
+ORACLE = {"op5_mixing": MIX_SQL, "op12_filter_audit": AUDIT_SQL}

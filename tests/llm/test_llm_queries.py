@@ -27,6 +27,9 @@ COLUMNS = {
     "op8_embeddings": ["vec_id", "n_links", "component_id", "kept"],
     "op9_urls": ["page_id", "host", "path", "rule", "verdict", "host_words", "log_odds"],
     "op10_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op12_filter_audit": [
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"
+    ],
 }
 
 
@@ -34,7 +37,7 @@ COLUMNS = {
 def test_query(spark, name):
     found = queries.QUERIES[name](spark, SF_DIR)
     assert found.columns == COLUMNS[name]
-    rows = {"op4": "conversations", "op7": None, "op8": "embeddings", "op9": "pages"}.get(name.split("_")[0], "documents")
+    rows = {"op4": "conversations", "op7": None, "op11": None, "op12": None, "op8": "embeddings", "op9": "pages"}.get(name.split("_")[0], "documents")
     if name.startswith("op4"):
         assert found.count() == spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id").distinct().count() + 1
     elif rows:
