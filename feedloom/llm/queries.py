@@ -11,6 +11,7 @@ from feedloom.llm.common import table
 from feedloom.llm.decontaminate import contaminated
 from feedloom.llm.filter_audit import AUDIT_SQL, audit
 from feedloom.llm.mixing import MIX_SQL, mix
+from feedloom.llm.ranked_search import RANKED_SQL, ranked
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.surrogates import pseudonymized
 from feedloom.llm.token_files import encoded
@@ -68,6 +69,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -85,7 +90,8 @@ QUERIES = {
         op8_embeddings,
         op9_urls,
         op10_token_files,
+        op11_ranked_search,
         op12_filter_audit,
     )
 }
-ORACLE = {"op5_mixing": MIX_SQL, "op12_filter_audit": AUDIT_SQL}
+ORACLE = {"op5_mixing": MIX_SQL, "op11_ranked_search": RANKED_SQL, "op12_filter_audit": AUDIT_SQL}

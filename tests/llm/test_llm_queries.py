@@ -27,6 +27,7 @@ COLUMNS = {
     "op8_embeddings": ["vec_id", "n_links", "component_id", "kept"],
     "op9_urls": ["page_id", "host", "path", "rule", "verdict", "host_words", "log_odds"],
     "op10_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op11_ranked_search": ["item_id", "rank", "doc_id", "score"],
     "op12_filter_audit": [
         "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"
     ],
