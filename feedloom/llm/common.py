@@ -41,11 +41,31 @@ class Scratch:
         back._scratch_path = path
         return back
 
+    def write_parts(self, df: DataFrame, name: str, column: str, values: list[int]) -> list[DataFrame]:
+        """Write once, and return a table for each value of a column, without the column; each can be dropped alone."""
+        path = new_path(self.spark, name)
+        df.write.partitionBy(column).option("compression", "zstd").parquet(path)
+        kind = StructType([field for field in df.schema if field.name != column])
+        tables = []
+        for value in values:
+            back = self.spark.createDataFrame([], kind)
+            part = f"{path}/{column}={value}"
+            if exists(self.spark, part):
+                back = self.spark.read.schema(kind).parquet(part)
+            back._scratch_path = part
+            tables.append(back)
+        return tables
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table written here, once nothing reads it any more."""
         delete(self.spark, df._scratch_path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)

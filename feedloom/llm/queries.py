@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import embeddings, toxicity
+from feedloom.llm import embeddings, language_model, toxicity
 from feedloom.llm.chat import digests, formatted
 from feedloom.llm.common import table
 from feedloom.llm.decontaminate import contaminated
@@ -77,6 +77,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -92,6 +96,7 @@ QUERIES = {
         op10_token_files,
         op11_ranked_search,
         op12_filter_audit,
+        op13_lm_scores,
     )
 }
 ORACLE = {"op5_mixing": MIX_SQL, "op11_ranked_search": RANKED_SQL, "op12_filter_audit": AUDIT_SQL}

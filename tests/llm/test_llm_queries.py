@@ -28,6 +28,7 @@ COLUMNS = {
     "op9_urls": ["page_id", "host", "path", "rule", "verdict", "host_words", "log_odds"],
     "op10_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op11_ranked_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_lm_scores": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op12_filter_audit": [
         "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"
     ],
