@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from feedloom.llm.common import Scratch, exact, in_python
@@ -35,10 +35,11 @@ from feedloom.session import new_path
 MAGIC = b"EFTK"
 _HEADER = struct.Struct("<9q")
 _SAMPLE = 256
-#: Ids after which a shard is closed, at the end of a document.
-SHARD_IDS = 1 << 22
-#: Words whose ids one Python worker remembers; beyond that it starts again with the text at hand.
-REMEMBERED = 1_200_000
+#: Ids after which a shard is closed, at the end of a document, and shards of a file.
+SHARD_IDS = 1 << 21
+FILE_SHARDS = 8
+#: Words whose ids one Python worker remembers at least; those not used for as many other words are forgotten.
+REMEMBERED = 700_000
 
 
 class EliasFano:
@@ -165,6 +166,7 @@ class Encoder:
         spaces = "a b\tc\n d\x85e\xa0f g　h"
         self._by_word = self._ids(spaces) == b"".join(map(self._ids, spaces.split()))
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self._type).tobytes()
@@ -188,9 +190,12 @@ class Encoder:
         words, known = text.split(), self._known
         if unknown := {word for word in words if word not in known}:
             if len(known) + len(unknown) > REMEMBERED:
-                known.clear()
-                unknown = set(words)
-            self._learn(list(unknown))
+                self._older, self._known = known, {}
+                known, unknown = self._known, set(words)
+            older = self._older
+            found = [word for word in unknown if word in older]
+            known.update(zip(found, map(older.__getitem__, found), strict=True))
+            self._learn(list(unknown.difference(found)))
         return b"".join(map(known.__getitem__, words)) + self._end
 
 
@@ -203,40 +208,59 @@ def encoder(path: str, end_id: int) -> Encoder:
 def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Write the ids of every whole text to files in ``folder``, in ascending order of the ids of the documents.
 
-    Documents are range-partitioned by id, ties by text, so that a hot id is
-    split too; each partition becomes a file, and files in order of their
-    numbers hold the documents in order. Spark's writer commits them: a lost or
-    repeated task leaves one file. A task holds one shard (``SHARD_IDS`` ids, or
-    one document). Every document ends with ``end_id``; a NULL text is empty;
-    documents without an id come first; repeated ids stay, in order of their
-    texts. No row gives no shard. Ids of documents are whole numbers.
+    Texts are encoded as they are read; what is written to the shared folder,
+    range-partitioned by id and sorted are the ids of 16 or 32 bits. Ties are
+    told apart by a hash of their ids, so that a hot id is split too. Each
+    partition becomes files of at most ``FILE_SHARDS`` shards; a shard has
+    ``SHARD_IDS`` ids and less than one document more, and is all that a task
+    holds. Shards carry their places, so the files hold the documents in order.
+    Spark's writer commits them: a lost or repeated task leaves its files once.
+    Every document ends with ``end_id``; a NULL text is empty; documents
+    without an id come first; repeated ids stay, in an order fixed by their
+    token ids. No row gives no shard. Ids of documents are whole numbers.
     """
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     docs = exact(docs, id_column, text_column).toDF("doc", "text")
-    docs = docs.select(F.col("doc").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("tie"))
-    order = ["doc", "tie", "text"]
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = docs.repartitionByRange(parts, "doc", "tie").sortWithinPartitions(*order)
+    docs = docs.select(F.col("doc").cast("long"), F.make_valid_utf8(F.coalesce("text", F.lit(""))).alias("text"))
+    names = ["doc", "n", "tie", "ids"]
+    fields = StructType([*(StructField(name, LongType()) for name in names[:3]), StructField("ids", BinaryType())])
+
+    def in_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(path, end_id)
+        for batch in batches:
+            ids = [coder.encode(text.as_py()) for text in batch.column(1)]
+            n = pa.array([len(x) * 8 // coder.bits for x in ids], pa.int64())
+            ties = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, ties, pa.array(ids, pa.binary())], names)
+
+    encoded_ids = scratch.write(in_python(docs, in_ids, fields), "token-ids")
+    total = encoded_ids.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // (SHARD_IDS * FILE_SHARDS // 2)))
+    ranges = encoded_ids.repartitionByRange(parts, "doc", "tie").sortWithinPartitions("doc", "tie", "ids")
+    bits = encoder(path, end_id).bits
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, place, held, documents, ids = encoder(path, end_id), TaskContext.get().partitionId(), 0, 0, [], []
+        part, place, held, documents, ids = TaskContext.get().partitionId(), 0, 0, [], []
 
         def closed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([shard_bytes(part, place, documents, ids, coder.bits)], pa.binary())], ["value"])
+            return pa.RecordBatch.from_arrays([pa.array([shard_bytes(part, place, documents, ids, bits)], pa.binary())], ["value"])
 
         for batch in batches:
-            for document, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for document, n, own in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 documents.append(document)
-                ids.append(coder.encode(text.as_py()))
-                held += len(ids[-1]) // (coder.bits // 8)
+                ids.append(own)
+                held += n
                 if held >= SHARD_IDS:
                     yield closed()
                     place, held, documents, ids = place + 1, 0, [], []
         if documents:
             yield closed()
 
-    binary = in_python(ranges.select("doc", "text"), shards, "value binary")
-    # The text writer takes the bytes as they are; it ends each shard with a line break, which the reader skips.
-    binary.select(F.col("value").cast(StringType())).write.text(folder)
+    binary = in_python(ranges.select("doc", "n", "ids"), shards, "value binary")
+    # The text writer takes the bytes as they are, whatever they are; it ends each shard with a line break, which the
+    # reader skips. A row is a shard, so the writer's bound on rows is one on the size of a file.
+    binary.select(F.col("value").cast(StringType())).write.option("maxRecordsPerFile", FILE_SHARDS).text(folder)
+    scratch.drop(encoded_ids)
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -68,6 +68,40 @@ def test_files(spark, library, monkeypatch):
     check(spark, library, rows)
 
 
+def test_files_are_bounded(spark, library, monkeypatch):
+    """Many small shards: no file holds more than it may, and all are read back."""
+    monkeypatch.setattr(token_files, "SHARD_IDS", 20)
+    monkeypatch.setattr(token_files, "FILE_SHARDS", 2)
+    rows = [(i // 3 if i % 4 else 7, f"{'word ' * (i % 9)}{i}", 0, 0, 0) for i in range(200)]
+    check(spark, library, rows)
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/bounded"
+    token_files.write(spark.createDataFrame(rows, "doc_id bigint, text string, start int, part int, ids_crc32 int"), folder, PATH)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).collect()
+    for file in files:
+        data, at, shards = memoryview(bytes(file["content"])), 0, 0
+        while at < len(data):
+            shard = token_files.Shard(data, at)
+            assert shard.n_ids < 20 + 20
+            at, shards = shard.end + 1, shards + 1
+        assert 0 < shards <= 2
+    assert len(files) > 20
+
+
+def test_all_byte_values_survive(spark, library):
+    """Ids of every low byte, line breaks among them, pass through the text writer."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [chr(c) for c in range(33, 127)] + [a + b + c for a in letters for b in letters for c in "aeiou"]
+    rows = [(i, word, 0, 0, 0) for i, word in enumerate(words)]
+    assert {b for word in words for x in library(word) for b in x.to_bytes(2, "little")} == set(range(256))
+    check(spark, library, rows)
+
+
+def test_text_that_is_not_utf8(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, cast(X'61FF62' AS string) AS text UNION ALL SELECT 2L, 'a\ufffdb'")
+    rows = token_files.encoded(docs, PATH).collect()
+    assert len({(row["n_tokens"], row["ids_crc32"]) for row in rows}) == 1
+
+
 def test_shards_of_a_part(library):
     encoder = token_files.Encoder(PATH, 1)
     texts = ["a b c", "", "d " * 100]
