@@ -18,7 +18,7 @@ from feedloom.llm.common import Scratch, exact, in_python
 #: Characters of queries that are held against the documents in one go.
 QUERY_CHARACTERS = 4_000_000
 #: Postings of one shard of the index; a task builds, searches and forgets one after another.
-SHARD_POSTINGS = 2_000_000
+SHARD_POSTINGS = 500_000
 #: Documents of a block that has one bound.
 BLOCK = 64
 #: The shortest lists are summed beforehand while they hold at most this share of a shard's documents together.
