@@ -167,7 +167,7 @@ checked AS (
 """
 
 
-def numbered_batches(lines: DataFrame, path: str, header: str | None = None) -> str:
+def numbered_batches(lines: DataFrame, path: str, header: str | None = None, line_end: str = "\n") -> str:
     """Write ``(batch, place, line)`` as one text file per batch, in place order.
 
     Batches are made of consecutive keys, so none outgrows a task. ``header``
@@ -178,5 +178,5 @@ def numbered_batches(lines: DataFrame, path: str, header: str | None = None) ->
         head = first.select("batch", F.lit(-1).cast("bigint").alias("place"), F.lit(header).alias("line"))
         lines = lines.unionByName(head)
     ordered = lines.repartition("batch").sortWithinPartitions("batch", "place")
-    ordered.select("batch", "line").write.partitionBy("batch").text(path)
+    ordered.select("batch", "line").write.partitionBy("batch").text(path, lineSep=line_end)
     return path

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from feedloom.plans.employee import EMPLOYEE
 from feedloom.queries.raw_feed import (
     COLUMNS, FEED_CTES, RAW_FEED, numbered_batches, raw_columns, raw_feed, sql_on, table,
 )
+from feedloom.schema import LONG, STRUCT, Field
 from feedloom.session import new_path, stage
 from feedloom.sources.control import with_count
 from feedloom.sources.csv_feed import open_csv, read_csv, scanned
@@ -163,18 +167,45 @@ def record_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat(o_orderkey, ',', o_orderstatus, ',', o_orderpriority) AS line",
     )
     path = numbered_batches(lines, new_path(spark, "csv-numbers"), "o_orderkey,o_orderstatus,o_orderpriority")
+    with _in_blocks(spark, path):
+        rows = read_csv(spark, path, ["o_orderkey", "o_orderstatus"])
+        rows = rows.selectExpr(_BATCH_OF, "record_number", "cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus")
+        return stage(rows, "record-numbers")  # read while the setting holds
+
+
+@contextmanager
+def _in_blocks(spark: SparkSession, path: str) -> Iterator[None]:
+    """Read each file of a folder of batches in some twenty blocks."""
     largest = list_files(spark, f"{path}/*/part-*").agg(F.max("size")).first()[0] or 0
     setting = "spark.sql.files.maxPartitionBytes"
     usual = spark.conf.get(setting)
     spark.conf.set(setting, str(max(64, min(128 << 20, largest // 20))))
     try:
-        rows = read_csv(spark, path, ["o_orderkey", "o_orderstatus"])
-        rows = rows.selectExpr(_BATCH_OF, "record_number", "cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus")
-        return stage(rows, "record-numbers")  # read while the setting holds
+        yield
     finally:
         spark.conf.set(setting, usual)
 
 
+def json_one_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays that are one line each, read in some twenty blocks; brackets and quotes stand in strings too."""
+    elements = table(spark, sf_dir, "orders").selectExpr(
+        f"o_orderkey DIV {BATCH} AS batch",
+        "o_orderkey AS place",
+        f"row_number() OVER (PARTITION BY o_orderkey DIV {BATCH} ORDER BY o_orderkey) AS n",
+        "to_json(named_struct('key', o_orderkey, 'note', concat('}, {\"', o_orderstatus, '\\\\\": ]'),"
+        " 'parts', named_struct('priority', o_orderpriority, 'customer', o_custkey))) AS object",
+    )
+    lines = elements.selectExpr("batch", "place", "concat(if(n = 1, '[', ','), object) AS line")
+    closing = elements.groupBy("batch").agg(F.max("place").alias("place")).selectExpr("batch", "place + 1 AS place", "']' AS line")
+    path = numbered_batches(lines.unionByName(closing), new_path(spark, "json-line"), line_end=" ")
+    with _in_blocks(spark, path):
+        rows = read_json(spark, path, [Field("key", LONG), "note", Field("parts", STRUCT, children=("priority", "customer"))])
+        rows = rows.selectExpr(
+            _BATCH_OF, "record_number", "cast(key AS bigint) AS o_orderkey", "note", "parts.priority", "parts.customer"
+        )
+        return stage(rows, "one-line")  # read while the setting holds
+
+
 def split_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A CSV feed rewritten into balanced files and read back, cells as they are, padded ones too."""
     orders = table(spark, sf_dir, "orders").selectExpr(
@@ -286,6 +317,7 @@ QUERIES = {
     "csv_multi_line": csv_multi_line,
     "json_lines_scan": json_lines_scan,
     "json_array_scan": json_array_scan,
+    "json_one_line": json_one_line,
     "json_type_errors": json_type_errors,
     "json_broken_parts": json_broken_parts,
     "record_numbers": record_numbers,
@@ -332,6 +364,9 @@ ORACLE = {
     "json_array_scan": f"""{_JSON_CTES} SELECT c_custkey // {BATCH} AS batch,
         row_number() OVER (PARTITION BY c_custkey // {BATCH} ORDER BY c_custkey) AS record_number,
         parse_error, {_JSON_VALUES} FROM parsed""",
+    "json_one_line": f"""SELECT o_orderkey // {BATCH} AS batch,
+        row_number() OVER (PARTITION BY o_orderkey // {BATCH} ORDER BY o_orderkey) AS record_number, o_orderkey,
+        '}}, {{"' || o_orderstatus || '\\": ]' AS note, o_orderpriority AS priority, cast(o_custkey AS varchar) AS customer FROM orders""",
     "json_type_errors": """WITH kinds AS (SELECT c_custkey, CASE c_custkey % 9
           WHEN 1 THEN 'invalid value for field ''employee_id''' WHEN 3 THEN 'invalid value for field ''salary'''
           WHEN 5 THEN 'invalid value for field ''is_active''' WHEN 6 THEN 'invalid value for field ''skills'''

@@ -1,10 +1,10 @@
 """JSON feeds: one object per line, an array of objects, or objects in any layout.
 
-Files with one object per line are read line by line. Any other layout is cut
-into elements in parallel: no line starts inside a string, so a line's nesting
-depth is a running sum of its brackets, first inside each block, then over the
-small block table. A file is never handed to a single task, except one that is
-a single line.
+Files with one object per line are read line by line. Other objects in any
+layout are cut into elements in parallel: no line starts inside a string, so a
+line's nesting depth is a running sum of its brackets, first inside each block,
+then over the small block table. Arrays, which often are one line, are cut in
+``json_array``, at brackets and not at lines.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from feedloom.functions.text import is_blank, name, quoted, trimmed
 from feedloom.schema import LIST, STRUCT, Field
 from feedloom.session import stage
 from feedloom.sources import lines as L
+from feedloom.sources.json_array import RAW, STRICT, array_elements, array_pieces, values
 
-RAW = "__raw"
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 #: A line of a one-object-per-line file; an object glued to another one is not.
 _GLUED = r"\}\s*\{"
@@ -27,31 +27,11 @@ _GLUED = r"\}\s*\{"
 _UP_TO_GLUED = rf"\G((?:[^\"}}]++|{_STRING}|\}}(?!\s*+\{{))*+)\}}\s*+\{{"
 
 
-def is_array(first_line: str) -> str:
-    """Whether a file is a JSON array, by its first non-blank line (SQL text)."""
-    return f"coalesce(left({trimmed(first_line)}, 1) = '[', false)"
-
-
 def _one_object(text: str) -> str:
     t = trimmed(text)
     return f"(left({t}, 1) = '{{' AND right({t}, 1) = '}}' AND NOT {text} RLIKE {quoted(_GLUED)})"
 
 
-#: JSON as the standard has it.
-_STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
-_LAST = "~"
-
-
-def _values(text: str) -> str:
-    """The JSON values of a comma-separated list, as texts; NULL unless the whole text is such a list (SQL text).
-
-    A parser stops at the end of the first array. A value of ours behind the
-    list shows whether it came that far.
-    """
-    parsed = f"from_json(concat('[', {text}, ',\"{_LAST}\"]'), 'array<string>', {_STRICT})"
-    return f"transform(array({parsed}), x -> if(size(x) > 1 AND element_at(x, -1) <=> '{_LAST}', slice(x, 1, size(x) - 1), NULL))[0]"
-
-
 def _depth_change(text: str) -> str:
     bare = f"regexp_replace({text}, {quoted(_STRING)}, '')"
     size = f"octet_length({bare})"
@@ -66,9 +46,23 @@ def read_json_elements(spark: SparkSession, paths: str | Sequence[str], on_broke
     an object or an array, a missing comma or one too many, an object that is
     not closed. The last one fails at once unless ``on_broken`` is "dead_letter".
     """
+    pieces, index = array_pieces(spark, paths)
+    files = index.groupBy(L.FILE).agg(F.max("is_array").alias("is_array"))
+    arrays, others = files.agg(F.count_if("is_array"), F.count_if(~F.col("is_array"))).first()
+    parts = []
+    if others or not arrays:
+        # Files of other layouts beside arrays are named one by one: reading arrays line by line would not end.
+        named = [row[0] for row in files.where(~F.col("is_array")).collect()] if arrays else paths
+        parts.append(_objects(spark, named, on_broken))
+    if arrays:
+        parts.append(array_elements(pieces, index, on_broken))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _objects(spark: SparkSession, paths: str | Sequence[str], on_broken: str) -> DataFrame:
+    """Elements of files that are no arrays."""
     rows = L.read_lines(spark, paths, keep=F.expr(f"NOT {is_blank(L.TEXT)}"))
-    other = F.expr(f"if({_one_object(L.TEXT)}, 0L, 1L)")
-    index = L.block_index(rows, F.expr(is_array(L.TEXT)), other=other)
+    index = L.block_index(rows, F.lit(False), other=F.expr(f"if({_one_object(L.TEXT)}, 0L, 1L)"))
     index = index.withColumn("free_form", F.max(F.col("other") > 0).over(Window.partitionBy(L.FILE)))
     facts = index.agg(F.count("*").alias("blocks"), F.count_if("free_form").alias("free")).first()
     plain = L.with_block_columns(rows, index.select(L.FILE, L.BLOCK, "first_id", "n", "lines_before", "free_form"))
@@ -76,7 +70,7 @@ def read_json_elements(spark: SparkSession, paths: str | Sequence[str], on_broke
         L.FILE,
         (L.line_number() + 1).alias("record_number"),
         # Bound to ``free_form``, or a check of the text would be pushed below the join, to lines of other files.
-        F.expr(f"CASE WHEN free_form THEN '' WHEN size({_values(L.TEXT)}) = 1 THEN {L.TEXT} END").alias(RAW),
+        F.expr(f"CASE WHEN free_form THEN '' WHEN size({values(L.TEXT)}) = 1 THEN {L.TEXT} END").alias(RAW),
     )
     if facts["free"] == 0:
         return plain
@@ -85,36 +79,29 @@ def read_json_elements(spark: SparkSession, paths: str | Sequence[str], on_broke
 
 
 def _assemble(rows: DataFrame, index: DataFrame, on_broken: str) -> DataFrame:
-    """Elements of files in any layout."""
+    """Objects in any layout, the lines between them included."""
     in_block = Window.partitionBy(L.FILE, L.BLOCK).orderBy(L.LINE_ID)
     in_file = Window.partitionBy(L.FILE).orderBy(L.BLOCK)
     earlier_blocks = in_file.rowsBetween(Window.unboundedPreceding, -1)
     earlier_lines = in_block.rowsBetween(Window.unboundedPreceding, -1)
 
-    files = index.select(
-        L.FILE, L.BLOCK, "first_id", "n", "lines_before", F.col("first_line").isNotNull().alias("array_file")
-    )
-    # 1. Nesting depth of every line, relative to its block, and the last character of the line before it.
+    files = index.select(L.FILE, L.BLOCK, "first_id", "n", "lines_before")
+    # 1. Nesting depth of every line, relative to its block.
     lines = (
         L.with_block_columns(rows.join(files.select(L.FILE, L.BLOCK), [L.FILE, L.BLOCK], "left_semi"), files)
         .withColumn("__change", F.expr(_depth_change(L.TEXT)))
         .withColumn("__depth", F.coalesce(F.sum("__change").over(earlier_lines), F.lit(0)))
-        .withColumn("__ends", F.expr(f"right({trimmed(L.TEXT)}, 1)"))
-        .withColumn("__behind", F.lag("__ends").over(in_block))
         .withColumn("__file_start", L.line_number() == 0)
         .drop("first_id", "n", "lines_before")
     )
     lines = stage(lines, "depths")
-    blocks = lines.groupBy(L.FILE, L.BLOCK).agg(
-        F.sum("__change").alias("change"), F.max_by("__ends", L.LINE_ID).alias("ends")
-    )
+    blocks = lines.groupBy(L.FILE, L.BLOCK).agg(F.sum("__change").alias("change"))
     blocks = stage(
         blocks.select(
             L.FILE,
             L.BLOCK,
             F.coalesce(F.sum("change").over(earlier_blocks), F.lit(0)).alias("depth_before"),
             F.sum("change").over(Window.partitionBy(L.FILE)).alias("end_depth"),
-            F.lag("ends").over(in_file).alias("ends_before"),
         ),
         "depth-blocks",
     )
@@ -123,30 +110,13 @@ def _assemble(rows: DataFrame, index: DataFrame, on_broken: str) -> DataFrame:
         if broken is not None:
             raise ValueError(f"not valid JSON: {broken[0]}")
 
-    # 2. A chunk is a run of lines holding whole elements: it starts where the depth is the base depth. Whatever
-    # stands behind an array is broken, and so is a chunk of an array that no single comma sets off from the last one.
-    depth = F.col("depth_before") + F.col("__depth")
-    base = F.col("array_file").cast("int")
-    begins = F.expr(f"left({trimmed(L.TEXT)}, 1)")
-    comma_before = F.coalesce("__behind", "ends_before") == ","
-    set_off = (
-        F.when(begins == "]", ~comma_before)
-        .when(F.coalesce("__behind", "ends_before") == "[", begins != ",")
-        .otherwise(comma_before != (begins == ","))
-    )
+    # 2. A chunk is a run of lines holding whole elements: it starts where nothing is open.
     lines = (
         L.with_block_columns(lines, blocks)
-        .withColumn("__depth", depth)
-        .withColumn("__after", F.col("array_file") & (F.col("__depth") <= 0) & ~F.col("__file_start"))
-        .withColumn("__start", (F.col("__depth") == base) | F.col("__file_start") | F.col("__after"))
-        .withColumn(
-            "__broken",
-            F.col("__after") | (F.col("array_file") & F.col("__start") & ~F.col("__file_start") & ~set_off),
-        )
-        .withColumn("__closes", F.col("array_file") & (F.col("__depth") + F.col("__change") == 0))
+        .withColumn("__start", (F.col("depth_before") + F.col("__depth") == 0) | F.col("__file_start"))
         .withColumn("__chunk", F.last(F.when(F.col("__start"), F.col(L.LINE_ID)), ignorenulls=True).over(in_block))
         .withColumn("__next", F.coalesce(F.lead("__start").over(in_block), F.lit(False)))
-        .select(L.FILE, L.BLOCK, L.LINE_ID, L.TEXT, "array_file", "__start", "__closes", "__broken", "__chunk", "__next")
+        .select(L.FILE, L.BLOCK, L.LINE_ID, L.TEXT, "__start", "__chunk", "__next")
     )
     lines = stage(lines, "chunks")
     tails = lines.groupBy(L.FILE, L.BLOCK).agg(F.max("__chunk").alias("tail"))
@@ -161,9 +131,7 @@ def _assemble(rows: DataFrame, index: DataFrame, on_broken: str) -> DataFrame:
         "chunk-blocks",
     )
     alone = F.col("__start") & F.col("__next")
-    whole = lines.where(alone).select(
-        L.FILE, L.BLOCK, F.col("__chunk"), "array_file", "__closes", "__broken", F.col(L.TEXT).alias("body")
-    )
+    whole = lines.where(alone).select(L.FILE, L.BLOCK, F.col("__chunk"), F.col(L.TEXT).alias("body"))
     pieces = F.array_sort(F.collect_list(F.struct("__at", L.LINE_ID, L.TEXT)))
     grouped = (
         L.with_block_columns(lines.where(~alone), tails)
@@ -171,39 +139,22 @@ def _assemble(rows: DataFrame, index: DataFrame, on_broken: str) -> DataFrame:
             L.FILE,
             F.when(F.col("__chunk").isNull(), F.col("open.block")).otherwise(F.col(L.BLOCK)).alias("__home"),
             F.coalesce("__chunk", "open.tail").alias("__chunk"),
-            "array_file",
-            "__closes",
-            "__broken",
             F.col(L.BLOCK).alias("__at"),
             L.LINE_ID,
             L.TEXT,
         )
         .groupBy(L.FILE, F.col("__home").alias(L.BLOCK), "__chunk")
-        .agg(
-            F.bool_or("array_file").alias("array_file"),
-            F.bool_or("__closes").alias("__closes"),
-            F.bool_or("__broken").alias("__broken"),
-            F.array_join(F.transform(pieces, lambda p: p[L.TEXT]), "\n").alias("body"),
-        )
+        .agg(F.array_join(F.transform(pieces, lambda p: p[L.TEXT]), "\n").alias("body"))
     )
     chunks = whole.unionByName(grouped)
 
-    # 3. The elements of a chunk, in order.
-    body = F.expr(trimmed("body"))
-    inner = F.regexp_replace(body, r"\A[\[,]?\s*+", "")
-    inner = F.when(F.col("__closes"), F.regexp_replace(inner, r"\s*\]\z", "")).otherwise(inner)
-    inner = F.regexp_replace(inner, r"\s*,\z", "")
-    listed = F.when(F.col("array_file"), inner).otherwise(F.regexp_replace(body, _UP_TO_GLUED, "$1},{"))
+    # 3. The elements of a chunk, in order; only objects are allowed.
+    listed = F.regexp_replace(F.expr(trimmed("body")), _UP_TO_GLUED, "$1},{")
     elements = (
         chunks.withColumn("__listed", listed)
-        .where((F.length("__listed") > 0) | F.col("__broken"))
-        .withColumn("__all", F.expr(f"if(__broken, NULL, {_values('__listed')})"))
-        .select(L.FILE, L.BLOCK, "__chunk", "array_file", F.posexplode_outer("__all").alias("__pos", "element"))
-    )
-    # Outside an array only objects are allowed; in one, other elements are records, though bad ones.
-    fits = f"__pos IS NOT NULL AND (array_file OR left({trimmed('element')}, 1) = '{{')"
-    elements = elements.select(
-        L.FILE, L.BLOCK, "__chunk", "__pos", F.expr(f"if({fits}, coalesce(element, 'null'), NULL)").alias(RAW)
+        .withColumn("__all", F.expr(values("__listed")))
+        .select(L.FILE, L.BLOCK, "__chunk", F.posexplode_outer("__all").alias("__pos", "element"))
+        .selectExpr(L.FILE, L.BLOCK, "__chunk", "__pos", f"if(left({trimmed('element')}, 1) = '{{', element, NULL) AS {RAW}")
     )
     elements = stage(elements, "elements")
 
@@ -229,7 +180,7 @@ def _parsed(fields: Sequence[Field], typed: bool) -> str:
         f"{name(f.name)} {f.ddl if typed and f.kind == STRUCT else kinds.get(f.kind, 'string')}" for f in fields
     ]
     schema = quoted(", ".join(columns + ["__corrupt string"]))
-    strict = _STRICT.removesuffix(")") + ", 'columnNameOfCorruptRecord', '__corrupt')"
+    strict = STRICT.removesuffix(")") + ", 'columnNameOfCorruptRecord', '__corrupt')"
     return f"from_json({RAW}, {schema}, {strict})"
 
 

@@ -26,13 +26,13 @@ def as_paths(paths: str | Sequence[str]) -> list[str]:
 
 
 def read_lines(
-    spark: SparkSession, paths: str | Sequence[str], keep: Column | None = None, line_end: str | None = None
+    spark: SparkSession, paths: str | Sequence[str], keep: Column | None = None, line_end: str | None = None, **more: Column
 ) -> DataFrame:
     """The lines of one file, a folder, a glob or a list of these.
 
     Lines not satisfying ``keep`` (a condition on the line text; default: not
     empty) are dropped before the ids are given. Lines end with LF, CR or both,
-    or with ``line_end`` only.
+    or with ``line_end`` only. ``more`` adds columns of the file's metadata.
     """
     configure(spark)
     keep = F.length(TEXT) > 0 if keep is None else keep
@@ -42,6 +42,7 @@ def read_lines(
             F.col("_metadata.file_path").alias(FILE),
             F.col("_metadata.file_block_start").alias(BLOCK),
             F.col("value").alias(TEXT),
+            *(column.alias(name) for name, column in more.items()),
         )
         .where(keep)
         .withColumn(LINE_ID, F.monotonically_increasing_id())
@@ -98,7 +99,7 @@ def with_all_first_lines(lines: DataFrame, index: DataFrame) -> DataFrame:
     return stage(completed.drop("found_line"), "blocks")
 
 
-def _if_small(blocks: DataFrame) -> DataFrame:
+def if_small(blocks: DataFrame) -> DataFrame:
     """A block table marked for broadcast if its rows, measured, are small enough."""
     fixed = 32 + 16 * len(blocks.columns)
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in blocks.schema if f.dataType == StringType()]
@@ -122,7 +123,7 @@ def with_block_columns(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     own = [c for c in blocks.columns if c not in (FILE, BLOCK)]
     found = blocks.select(FILE, BLOCK, F.lit(True).alias("__found"), *own)
-    joined = lines.join(_if_small(found), [FILE, BLOCK], "left")
+    joined = lines.join(if_small(found), [FILE, BLOCK], "left")
     known = F.col("__found").isNotNull()
     if "first_id" in own and "n" in own:
         known = known & (F.col(LINE_ID) - F.col("first_id")).between(F.lit(0), F.col("n") - 1)
