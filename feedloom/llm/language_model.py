@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from feedloom.llm.common import Scratch, exact, in_python
 ORDER = 2
 STRENGTH = 500.0
 #: Bytes of text that are scored with one automaton of their own n-grams; a longer text is alone.
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 3_000_000
 #: Bytes of text whose n-grams are counted in one group, about.
 GROUP_BYTES = 12_000_000
 _PIECE = 1 << 20
@@ -149,7 +150,8 @@ class Automaton:
             state = self._states(history, state, strength)
         self._root_weight, self._root_target = self.root.tolist(), state.tolist()
         self._start = int(state[chunk.start])
-        self._arcs: dict[int, tuple[float, int]] = {}
+        self._arcs: dict[int, int] = {}
+        self._weights, self._targets = array("d"), array("q")
         self._width = width
         for k in range(1, len(counts)):
             at = np.zeros(len(chunk.keys[k]), np.int64)
@@ -160,8 +162,10 @@ class Automaton:
             longer = np.where(last == chunk.end, 0.0, count)
             target = self._states(longer, state[shorter], strength) if k + 1 < len(counts) else state[shorter]
             seen = np.flatnonzero(count > 0)
-            arcs = (state[before[seen]] * width + last[seen]).tolist()
-            self._arcs.update(zip(arcs, zip(np.log10(smoothed[seen]).tolist(), target[seen].tolist(), strict=True), strict=True))
+            arcs = state[before[seen]] * width + last[seen]
+            self._arcs.update(zip(map(int, arcs), range(len(self._weights), len(self._weights) + len(arcs)), strict=True))
+            self._weights.frombytes(np.log10(smoothed[seen]).tobytes())
+            self._targets.frombytes(target[seen].tobytes())
             probability, state, history = smoothed, target, longer
 
     def _states(self, history: np.ndarray, shorter: np.ndarray, strength: float) -> np.ndarray:
@@ -176,14 +180,14 @@ class Automaton:
     def walk(self, words: list[int]) -> float:
         """The log10-probability of a text's words and its end, from left to right."""
         arcs, width, root, target = self._arcs.get, self._width, self._root_weight, self._root_target
-        fail, fail_weight = self.fail, self.fail_weight
+        fail, fail_weight, weights, targets = self.fail, self.fail_weight, self._weights, self._targets
         state, total = self._start, 0.0
         for word in words:
             while state:
                 arc = arcs(state * width + word)
-                if arc:
-                    total += arc[0]
-                    state = arc[1]
+                if arc is not None:
+                    total += weights[arc]
+                    state = targets[arc]
                     break
                 total += fail_weight[state]
                 state = fail[state]

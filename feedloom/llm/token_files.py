@@ -16,6 +16,7 @@ the place of every 256th one, in 32 bits. All numbers are little-endian.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import struct
 import zlib
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,10 @@ _SAMPLE = 256
 #: Ids after which a shard is closed, at the end of a document, and shards of a file.
 SHARD_IDS = 1 << 21
 FILE_SHARDS = 8
+#: Bytes of text in a partition of the sort, about, and partitions at most; larger ones have more files.
+PART_BYTES = 16_000_000
+PARTS = 10_000
+_LEARNED = 200  # words encoded in one go; the library takes longer for each word of longer texts
 #: Words whose ids one Python worker remembers at least; those not used for as many other words are forgotten.
 REMEMBERED = 700_000
 
@@ -173,8 +179,8 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         size = self.bits // 8
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
+        for at in range(0, len(words), _LEARNED):
+            some = words[at : at + _LEARNED]
             encoding = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
             data = np.array(encoding.ids, self._type).tobytes()
             starts = np.cumsum([0, *(len(word) + 1 for word in some)])
@@ -185,18 +191,30 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text and the end id."""
-        if not self._by_word or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self._ids(text) + self._end
-        words, known = text.split(), self._known
-        if unknown := {word for word in words if word not in known}:
-            if len(known) + len(unknown) > REMEMBERED:
-                self._older, self._known = known, {}
-                known, unknown = self._known, set(words)
-            older = self._older
-            found = [word for word in unknown if word in older]
-            known.update(zip(found, map(older.__getitem__, found), strict=True))
-            self._learn(list(unknown.difference(found)))
-        return b"".join(map(known.__getitem__, words)) + self._end
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts, each with the end id; words new to all of them are encoded together."""
+        if len(self._known) > REMEMBERED:
+            self._older, self._known = self._known, {}
+        known, older = self._known, self._older
+        split = [text.split() if self._plain(text) else None for text in texts]
+        found = [words and list(map(known.get, words)) for words in split]
+        gaps = [ids and None in ids and [i for i, own in enumerate(ids) if own is None] for ids in found]
+        unknown = {words[i] for words, some in zip(split, gaps, strict=True) if some for i in some}
+        if unknown:
+            before = [word for word in unknown if word in older]
+            known.update(zip(before, map(older.__getitem__, before), strict=True))
+            self._learn(list(unknown.difference(before)))
+            for words, ids, some in zip(split, found, gaps, strict=True):
+                for i in some or ():
+                    ids[i] = known[words[i]]
+        return [
+            (self._ids(text) if words is None else b"".join(ids)) + self._end for text, words, ids in zip(texts, split, found, strict=True)
+        ]
+
+    def _plain(self, text: str) -> bool:
+        return self._by_word and not any(c in text for c in "\x1c\x1d\x1e\x1f")
 
 
 @functools.lru_cache(maxsize=2)
@@ -205,13 +223,30 @@ def encoder(path: str, end_id: int) -> Encoder:
     return Encoder(path, end_id)
 
 
+def part_of(doc: int | None, tie: int, borders: list[int]) -> int:
+    """The part of a document: ascending with its id, and among equal ids, which several borders may have, with ``tie``."""
+    doc = -(2**63) if doc is None else doc
+    low = bisect.bisect_left(borders, doc)
+    return low + (tie * (bisect.bisect_right(borders, doc) - low + 1) >> 32)
+
+
+def _some(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Stretches (begin, length) of a column of texts that hold a bounded number of bytes, or one text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        many = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 300_000, side="right")) - at)
+        yield at, many
+        at += many
+
+
 def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Write the ids of every whole text to files in ``folder``, in ascending order of the ids of the documents.
 
-    Texts are encoded as they are read; what is written to the shared folder,
-    range-partitioned by id and sorted are the ids of 16 or 32 bits. Ties are
-    told apart by a hash of their ids, so that a hot id is split too. Each
-    partition becomes files of at most ``FILE_SHARDS`` shards; a shard has
+    Texts are encoded as they are read; what is shuffled and sorted are the ids
+    of 16 or 32 bits. The borders of the partitions are quantiles of the ids
+    alone, and ids that several borders have are dealt out by a hash of their
+    tokens, so that a hot id is split too. Each partition becomes files of at most ``FILE_SHARDS`` shards; a shard has
     ``SHARD_IDS`` ids and less than one document more, and is all that a task
     holds. Shards carry their places, so the files hold the documents in order.
     Spark's writer commits them: a lost or repeated task leaves its files once.
@@ -219,24 +254,30 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, id_column: s
     without an id come first; repeated ids stay, in an order fixed by their
     token ids. No row gives no shard. Ids of documents are whole numbers.
     """
-    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     docs = exact(docs, id_column, text_column).toDF("doc", "text")
     docs = docs.select(F.col("doc").cast("long"), F.make_valid_utf8(F.coalesce("text", F.lit(""))).alias("text"))
-    names = ["doc", "n", "tie", "ids"]
-    fields = StructType([*(StructField(name, LongType()) for name in names[:3]), StructField("ids", BinaryType())])
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, min(PARTS, -(-size // PART_BYTES)))
+    shares = [i / parts for i in range(1, parts)]
+    order = F.coalesce("doc", F.lit(-(2**63)))  # as sorting has it, NULL first
+    borders = docs.agg(F.percentile_approx(order, shares, 10_000)).first()[0] or [] if shares else []
+    names = ["part", "doc", "n", "tie", "ids"]
+    fields = StructType([*(StructField(name, LongType()) for name in names[:4]), StructField("ids", BinaryType())])
 
     def in_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, end_id)
         for batch in batches:
-            ids = [coder.encode(text.as_py()) for text in batch.column(1)]
-            n = pa.array([len(x) * 8 // coder.bits for x in ids], pa.int64())
-            ties = pa.array([zlib.crc32(x) for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, ties, pa.array(ids, pa.binary())], names)
-
-    encoded_ids = scratch.write(in_python(docs, in_ids, fields), "token-ids")
-    total = encoded_ids.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, -(-total // (SHARD_IDS * FILE_SHARDS // 2)))
-    ranges = encoded_ids.repartitionByRange(parts, "doc", "tie").sortWithinPartitions("doc", "tie", "ids")
+            for at, many in _some(batch.column(1)):
+                ids = coder.encode_all(batch.column(1).slice(at, many).to_pylist())
+                numbers = batch.column(0).slice(at, many)
+                ties = [zlib.crc32(own) for own in ids]
+                own_parts = [part_of(doc, tie, borders) for doc, tie in zip(numbers.to_pylist(), ties, strict=True)]
+                n = [len(own) * 8 // coder.bits for own in ids]
+                columns = [pa.array(own_parts, pa.int64()), numbers, pa.array(n, pa.int64()), pa.array(ties, pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    ranges = in_python(docs, in_ids, fields).repartitionById(parts, F.col("part").cast("int"))
+    ranges = ranges.sortWithinPartitions("doc", "tie", "ids")
     bits = encoder(path, end_id).bits
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +301,6 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, id_column: s
     # The text writer takes the bytes as they are, whatever they are; it ends each shard with a line break, which the
     # reader skips. A row is a shard, so the writer's bound on rows is one on the size of a file.
     binary.select(F.col("value").cast(StringType())).write.option("maxRecordsPerFile", FILE_SHARDS).text(folder)
-    scratch.drop(encoded_ids)
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:

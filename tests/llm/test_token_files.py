@@ -68,10 +68,17 @@ def test_files(spark, library, monkeypatch):
     check(spark, library, rows)
 
 
+def test_parts_ascend():
+    borders = [-(2**63), 3, 7, 7, 7, 9]
+    found = [token_files.part_of(doc, tie, borders) for doc in (None, -5, 3, 4, 7, 8, 9, 10) for tie in (0, 2**30, 2**31, 2**32 - 1)]
+    assert found == sorted(found) and set(found) == set(range(7))
+
+
 def test_files_are_bounded(spark, library, monkeypatch):
     """Many small shards: no file holds more than it may, and all are read back."""
     monkeypatch.setattr(token_files, "SHARD_IDS", 20)
     monkeypatch.setattr(token_files, "FILE_SHARDS", 2)
+    monkeypatch.setattr(token_files, "PART_BYTES", 300)
     rows = [(i // 3 if i % 4 else 7, f"{'word ' * (i % 9)}{i}", 0, 0, 0) for i in range(200)]
     check(spark, library, rows)
     folder = f"{spark.conf.get('spark.checkpoint.dir')}/bounded"
