@@ -1,8 +1,11 @@
 """Field encryption and redaction.
 
-Stored form: ``v1:<base64 IV>:<base64 ciphertext and tag>``, AES-256-GCM.
+Stored form: ``v1:<base64 IV>:<base64 ciphertext and tag>``, AES-256-GCM, with a random IV, or
+``v2:<base64 context>:<base64 IV>:<base64 ciphertext and tag>``. In ``v2`` the context is drawn from the call's salt and
+the record's file, the key is derived from it, and the IV is made of the record's number and the field's: no two values
+share a key and an IV, however many there are. Random IVs of 96 bits under one key are good for some 2^32 values.
 
-The IV is a column of its own, drawn by a nondeterministic function: Catalyst
+The IV of ``v1`` is a column of its own, drawn by a nondeterministic function: Catalyst
 folds and duplicates an ``aes_encrypt`` without one, because it takes the call
 for deterministic. The key is a literal of the plan, never part of SQL text;
 plans of these jobs are only printed redacted (see ``session.configure``).
@@ -21,8 +24,10 @@ from feedloom.session import configure
 
 # Fixed values ---------------------------------------------------------------
 VERSION = "v1"
+NUMBERED = "v2"
 KEY_BYTES = 32
 IV_BYTES = 12
+CONTEXT_BYTES = 16
 REDACTED = "[REDACTED]"
 # ----------------------------------------------------------------------------
 
@@ -77,16 +82,55 @@ def encrypt_columns(df: DataFrame, targets: Mapping[str, str], key: str) -> Data
     return df.withColumns(stored).drop(*helpers)
 
 
+def encrypt_numbered(df: DataFrame, targets: Mapping[str, str], key: str, file: str = "source_file", number: str = "record_number") -> DataFrame:
+    """As ``encrypt_columns``, in form ``v2``; (``file``, ``number``) must tell the records apart.
+
+    The values follow from the call's salt, the record's place and the field,
+    so a task that runs again writes the same ones.
+    """
+    raw = F.lit(check_key(key))
+    configure(df.sparkSession)
+    salt = uuid.uuid4().hex
+    context = F.expr(f"substr(unhex(sha2(concat('{salt}', coalesce({file}, '')), 256)), 1, {CONTEXT_BYTES})")
+    missing = F.raise_error(F.lit(f"a record without {number}")).cast("bigint")
+    df = df.withColumns({"__context": context, "__number": F.coalesce(F.col(number).cast("bigint"), missing)})
+    df = df.withColumn("__key", _derived(raw, "__context"))
+    stored, helpers = {}, ["__context", "__number", "__key"]
+    for i, (column, plain) in enumerate(targets.items()):
+        iv = F.unhex(F.concat(F.lpad(F.hex("__number"), 16, "0"), F.lit(f"{i:08X}")))
+        df = df.withColumns({f"__iv_{i}": iv, f"__plain_{i}": F.expr(f"cast({plain} AS string)")})
+        sealed = F.aes_encrypt(F.col(f"__plain_{i}"), F.col("__key"), F.lit("GCM"), F.lit("DEFAULT"), F.col(f"__iv_{i}"))
+        df = df.withColumn(f"__sealed_{i}", F.when(~F.expr(is_blank(f"__plain_{i}")), sealed))
+        stored[column] = F.expr(
+            f"concat('{NUMBERED}:', base64(__context), ':', base64(__iv_{i}), ':',"
+            f" translate(base64(substr(__sealed_{i}, {IV_BYTES + 1})), '\\r\\n', ''))"
+        )
+        helpers += [f"__{kind}_{i}" for kind in ("iv", "plain", "sealed")]
+    return df.withColumns(stored).drop(*helpers)
+
+
+def _derived(raw: Column, context: str) -> Column:
+    """The key of a context: keyed twice, so that one derived key says nothing of another."""
+    inner = F.unhex(F.sha2(F.concat(raw, F.col(context)), 256))
+    return F.unhex(F.sha2(F.concat(raw, inner), 256))
+
+
 def decrypted(c: str, key: str) -> Column:
     """The plain text, or NULL when the value is malformed, tampered with or of another key."""
     raw = F.lit(check_key(key))
-    # 12 bytes are exactly 16 base64 characters, so the parts sit at fixed places.
-    start, size = len(VERSION) + 2, IV_BYTES * 4 // 3
-    well_formed = rf"{c} RLIKE r'\A{VERSION}:[A-Za-z0-9+/]{{{size}}}:[^:]*\z'"
-    iv = f"unbase64(substr({c}, {start}, {size}))"
-    body = f"try_to_binary(substr({c}, {start + size + 1}), 'base64')"
-    plain = F.try_aes_decrypt(F.expr(f"concat({iv}, {body})"), raw, F.lit("GCM"), F.lit("DEFAULT"))
-    return F.when(F.expr(well_formed), plain.cast("string"))
+    # 12 bytes are exactly 16 base64 characters, and 16 bytes 24, so the parts sit at fixed places.
+    start, size, context = len(VERSION) + 2, IV_BYTES * 4 // 3, -(-CONTEXT_BYTES // 3) * 4
+
+    def opened(at: int, own_key: Column) -> Column:
+        sealed = f"concat(unbase64(substr({c}, {at}, {size})), try_to_binary(substr({c}, {at + size + 1}), 'base64'))"
+        return F.try_aes_decrypt(F.expr(sealed), own_key, F.lit("GCM"), F.lit("DEFAULT")).cast("string")
+
+    derived_inner = F.unhex(F.sha2(F.concat(raw, F.expr(f"unbase64(substr({c}, {start}, {context}))")), 256))
+    derived = F.unhex(F.sha2(F.concat(raw, derived_inner), 256))
+    part = f"[A-Za-z0-9+/]{{{size}}}"
+    return F.when(F.expr(rf"{c} RLIKE r'\A{VERSION}:{part}:[^:]*\z'"), opened(start, raw)).when(
+        F.expr(rf"{c} RLIKE r'\A{NUMBERED}:[A-Za-z0-9+/]{{{context - 2}}}==:{part}:[^:]*\z'"), opened(start + context + 1, derived)
+    )
 
 
 def decrypt_if_present(c: str, key: str, strict: bool = False) -> Column:

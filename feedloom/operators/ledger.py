@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.merge import latest_per_key
 from feedloom.operators.reconcile import errors_per_run
-from feedloom.sources.files import has_children
+from feedloom.sources.files import delete, has_children, list_files
 
 # Fixed values ---------------------------------------------------------------
 STARTED, RUNNING, SUCCESS, FAILED = "STARTED", "RUNNING", "SUCCESS", "FAILED"
@@ -82,8 +82,12 @@ def run_gate(status: DataFrame, requested: DataFrame | None = None) -> DataFrame
     )
 
 
+#: Files of a ledger above which the end of a run compacts it.
+FILES = 64
+
+
 class Ledger:
-    """The ledger as a folder of appended events."""
+    """The ledger as a folder of appended events; old ones are compacted into one event a run."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
@@ -123,6 +127,25 @@ class Ledger:
         ]
         self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
+        if set(states) - set(UNFINISHED):
+            self.compact(above=FILES)
+
+    def compact(self, above: int = 1) -> None:
+        """Put the events of all files into one event a run, where there are more than ``above`` files.
+
+        Only files that are there at the beginning are read, and deleted once
+        the compacted events are written; events appended meanwhile stay. An
+        event that is read twice, because this stops in between or two compact
+        at once, changes no run's state.
+        """
+        files = [row["path"] for row in list_files(self.spark, f"{self.path}/part-*").collect()]
+        if len(files) <= above:
+            return
+        states = current_runs(self.spark.read.schema(SCHEMA).parquet(*files))
+        states.hint("rebalance").write.mode("append").parquet(self.path)
+        for file in files:
+            delete(self.spark, file)
+
     def fail_if_unfinished(self, execution_id: str, reason: str) -> None:
         """FAILED, unless the run already ended."""
         request = self.spark.createDataFrame(

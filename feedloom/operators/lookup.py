@@ -12,12 +12,12 @@ from feedloom.schema import LIST, LONG, STRUCT, Feed
 
 
 def find(table: DataFrame, key: str, value: str) -> DataFrame:
-    """The row of one key; no row when it is unknown. The filter reaches the Parquet scan."""
+    """The row of one key in any table; the filter reaches the Parquet scan. ``TargetTable.find`` reads one partition."""
     return table.where(F.col(key) == F.lit(value))
 
 
 def find_all(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows of many keys."""
+    """The rows of many keys in any table. ``TargetTable.find_all`` reads their partitions."""
     return table.join(keys.select(key), key, "left_semi")
 
 

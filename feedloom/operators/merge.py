@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from feedloom.sources.files import child_names, create_small, delete, read_small
+from feedloom.sources.files import child_names
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -40,93 +39,76 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str | Sequence[str], order
     return kept.unionByName(newest)
 
 
-class TableChanged(RuntimeError):
-    """Another writer committed first, again and again."""
+_PART = re.compile(r"part_of_(\d+)=\d+")
 
 
 class TargetTable:
-    """A table in parts by a hash of its key; a reader sees the last commit.
-
-    A commit is a small file, numbered in turn, that names the folder of every
-    part. Writers put rows into folders of their own first; a commit follows
-    exactly the one that was read, and its file comes into being at once or, if
-    there is one of that number, not at all. So of two writers one starts
-    anew from what the other has left, and no rows are lost. Parts without
-    incoming keys are not rewritten. On file systems without such a rename
-    (``FileContext``), writers must take turns.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, key: str, parts: int = 32) -> None:
-        self.spark, self.path, self.schema, self.key, self._new_parts = spark, path.rstrip("/"), schema, key, parts
+    """A Parquet folder partitioned by a hash of its key; a merge overwrites the partitions that have incoming keys.
 
-    def _commit_path(self, number: int) -> str:
-        return f"{self.path}/commits/{number:012d}"
+    Spark's dynamic partition overwrite does the writing: partitions without
+    incoming keys are not touched, a failed job leaves all as they were, and a
+    merge that is repeated changes nothing more. The number of partitions is
+    part of their column's name, so it stays as the first write had it. Writers
+    take turns: of two merges at once the later one may undo the other where
+    they share a partition; with a table format, use ``MERGE INTO``.
 
-    def commits(self) -> list[int]:
-        return sorted(int(n) for n in child_names(self.spark, f"{self.path}/commits") if n.isdigit())
-
-    def _folders(self, number: int) -> tuple[int, dict[str, str]]:
-        """Number of parts and the folder of each part that has rows."""
-        if number == 0:
-            return self._new_parts, {}
-        known = json.loads(read_small(self.spark, self._commit_path(number)))
-        return known["parts"], known["folders"]
+    A key's partition follows from the key, so a look-up reads one partition,
+    and in it only row groups whose Bloom filter may have the key.
+    """
 
-    def _rows(self, folders: Iterable[str]) -> DataFrame:
-        paths = [f"{self.path}/data/{folder}" for folder in folders]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, key: str, parts: int = 32) -> None:
+        self.spark, self.path, self.key, self._new_parts = spark, path.rstrip("/"), key, parts
+        self.schema = spark.createDataFrame([], schema).schema
+
+    def _parts(self) -> tuple[int, bool]:
+        """Number of partitions, and whether there are any yet."""
+        found = (_PART.fullmatch(name) for name in child_names(self.spark, self.path))
+        number = next((int(match[1]) for match in found if match), None)
+        return (self._new_parts, False) if number is None else (number, True)
+
+    def _rows(self) -> tuple[DataFrame, str, int]:
+        """The rows with the column of their partition."""
+        parts, exists = self._parts()
+        column = f"part_of_{parts}"
+        kind = StructType([*self.schema, StructField(column, IntegerType())])
+        reader = self.spark.read.schema(kind)
+        return (reader.parquet(self.path) if exists else self.spark.createDataFrame([], kind)), column, parts
+
+    def _part(self, key: Column, parts: int) -> Column:
+        return F.pmod(F.xxhash64(key.cast(self.schema[self.key].dataType)), F.lit(parts)).cast("int")
 
     def read(self) -> DataFrame:
-        """The rows of the last commit; none before the first."""
-        return self._rows(self._folders(max(self.commits(), default=0))[1].values())
-
-    def _part(self, parts: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(parts)).cast("string")
-
-    def _write(self, df: DataFrame, parts: int) -> dict[str, str]:
-        """Put rows into new folders, one per part."""
-        folder = uuid.uuid4().hex
-        rows = df.withColumn("part", self._part(parts)).hint("rebalance", "part")
-        rows.write.partitionBy("part").parquet(f"{self.path}/data/{folder}")
-        names = child_names(self.spark, f"{self.path}/data/{folder}")
-        return {name.split("=", 1)[1]: f"{folder}/{name}" for name in names if name.startswith("part=")}
-
-    def _commit(self, number: int, parts: int, folders: dict[str, str]) -> bool:
-        """Whether the commit came into being."""
-        return create_small(self.spark, self._commit_path(number), json.dumps({"parts": parts, "folders": folders}))
-
-    def publish(self, df: DataFrame) -> int:
-        """Replace all rows; returns the commit's number."""
-        number = max(self.commits(), default=0)
-        parts, _ = self._folders(number)
-        if not self._commit(number + 1, parts, self._write(df, parts)):
-            raise TableChanged(self.path)
-        return number + 1
-
-    def merge(self, incoming: DataFrame, order: Sequence[str | Column], attempts: int = 5) -> int:
-        """Upsert; starts anew where another writer was first. Returns the commit's number."""
-        for _ in range(attempts):
-            number = max(self.commits(), default=0)
-            parts, folders = self._folders(number)
-            touched = {row[0] for row in incoming.select(self._part(parts)).distinct().collect()}  # at most ``parts``
-            base = self._rows(folder for part, folder in folders.items() if part in touched)
-            written = self._write(upsert(base, incoming, self.key, order), parts)
-            if self._commit(number + 1, parts, {**folders, **written}):
-                return number + 1
-        raise TableChanged(self.path)
-
-    def drop_old(self, keep: int = 2) -> None:
-        """Delete the commits but the last ``keep`` and the folders that only they name.
-
-        Readers of older commits must be done. Folders of writers that never
-        committed stay.
-        """
-        numbers = self.commits()
-        old, kept = numbers[:-keep], numbers[-keep:]
-        in_use = {folder for number in kept for folder in self._folders(number)[1].values()}
-        for number in old:
-            for folder in set(self._folders(number)[1].values()) - in_use:
-                delete(self.spark, f"{self.path}/data/{folder}")
-            delete(self.spark, self._commit_path(number))
+        """All rows; none before the first write."""
+        rows, column, _ = self._rows()
+        return rows.drop(column)
+
+    def find(self, value) -> DataFrame:
+        """The row of one key; no row when it is unknown. Reads the key's partition only."""
+        rows, column, parts = self._rows()
+        # The partition is computed here, since Spark prunes by values and not by hashes of values.
+        part = self.spark.range(1).select(self._part(F.lit(value), parts)).first()[0]
+        return rows.where((F.col(column) == part) & (F.col(self.key) == F.lit(value))).drop(column)
+
+    def find_all(self, keys: DataFrame) -> DataFrame:
+        """The rows of many keys; reads the keys' partitions only."""
+        rows, column, parts = self._rows()
+        wanted = keys.select(self.key).withColumn(column, self._part(F.col(self.key), parts))
+        touched = [row[0] for row in wanted.select(column).distinct().collect()]  # at most ``parts``
+        return rows.where(F.col(column).isin(touched)).join(wanted, [column, self.key], "left_semi").drop(column)
+
+    def _write(self, df: DataFrame, column: str, parts: int, overwrite: str) -> None:
+        rows = df.select(*self.schema.names).withColumn(column, self._part(F.col(self.key), parts)).hint("rebalance", column)
+        writer = rows.write.mode("overwrite").partitionBy(column).option("partitionOverwriteMode", overwrite)
+        writer.option(f"parquet.bloom.filter.enabled#{self.key}", "true").parquet(self.path)
+
+    def publish(self, df: DataFrame) -> None:
+        """Replace all rows."""
+        _, column, parts = self._rows()
+        self._write(df, column, parts, "static")
+
+    def merge(self, incoming: DataFrame, order: Sequence[str | Column]) -> None:
+        """Upsert."""
+        rows, column, parts = self._rows()
+        touched = [row[0] for row in incoming.select(self._part(F.col(self.key), parts)).distinct().collect()]  # at most ``parts``
+        base = rows.where(F.col(column).isin(touched)).drop(column)
+        self._write(upsert(base, incoming, self.key, order), column, parts, "dynamic")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.protect import encrypt_columns
+from feedloom.functions.protect import encrypt_columns, encrypt_numbered
 from feedloom.functions.records import value_json
 from feedloom.functions.text import fill_text, name, quoted
 from feedloom.schema import DATE, LIST, STRING, STRUCT, Feed
@@ -37,10 +37,11 @@ def add_metadata(df: DataFrame, execution_id: str) -> DataFrame:
     return df.withColumns({"execution_id": F.lit(execution_id), "ingestion_timestamp": F.current_timestamp()})
 
 
-def encrypt_sensitive(df: DataFrame, feed: Feed, key: str, only_if: str = "true") -> DataFrame:
+def encrypt_sensitive(df: DataFrame, feed: Feed, key: str, only_if: str = "true", numbered: bool = False) -> DataFrame:
     """Replace sensitive fields by ``<field>_encrypted``; nested ones stay in place, encrypted.
 
-    Rows not satisfying ``only_if`` get NULLs instead of encrypted values.
+    Rows not satisfying ``only_if`` get NULLs instead of encrypted values. With
+    ``numbered`` the values have the form for any number of records.
     """
     targets: dict[str, str] = {}
     for f in feed.fields:
@@ -48,7 +49,7 @@ def encrypt_sensitive(df: DataFrame, feed: Feed, key: str, only_if: str = "true"
             targets[f"{f.name}_encrypted"] = f"if({only_if}, {name(f.name)}, NULL)"
         for child in f.sensitive_children:
             targets[f"__{f.name}_{child}"] = f"if({only_if}, {name(f.name)}.{name(child)}, NULL)"
-    df = encrypt_columns(df, targets, key)
+    df = (encrypt_numbered if numbered else encrypt_columns)(df, targets, key)
     nested = {}
     for f in feed.fields:
         if f.sensitive_children:

@@ -13,6 +13,7 @@ from feedloom.functions.rules import error_text, first_error
 from feedloom.functions.text import name
 from feedloom.schema import Feed
 from feedloom.session import configure
+from feedloom.sources.files import delete
 
 # Fixed values ---------------------------------------------------------------
 PARSE_ERROR = "PARSE_ERROR"
@@ -100,10 +101,19 @@ def report_lines(failures: DataFrame, key: str) -> DataFrame:
     return failures.selectExpr(f"{error_line(key)} AS line")
 
 
-def write_error_table(failures: DataFrame, path: str) -> None:
-    """Append to the error table, one partition per run."""
+def write_error_table(failures: DataFrame, path: str, execution_id: str | None = None) -> None:
+    """Write the failures to the error table, one partition per run; a run that is written again replaces its rows.
+
+    An id follows from the run, the file, the record and the error, so a
+    repeated run leaves the same rows. A run of ``execution_id`` without
+    failures loses the rows it had.
+    """
+    if execution_id is not None and failures.isEmpty():
+        delete(failures.sparkSession, f"{path}/execution_id={execution_id}")
+        return
+    digest = F.md5(F.to_json(F.struct("execution_id", "source_file", "record_number", "error_type", "error_message")))
     failures.select(
-        F.uuid().alias("id"),
+        F.regexp_replace(digest, "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5").alias("id"),
         "execution_id",
         "source_file",
         "record_number",
@@ -111,7 +121,7 @@ def write_error_table(failures: DataFrame, path: str) -> None:
         "error_message",
         "raw_record",
         F.current_timestamp().alias("created_at"),
-    ).write.mode("append").partitionBy("execution_id").parquet(path)
+    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("execution_id").parquet(path)
 
 
 def write_error_report(failures: DataFrame, key: str, path: str, single_file: bool = False) -> None:

@@ -17,11 +17,11 @@ from feedloom.operators import route
 from feedloom.operators.ledger import FAILED, RUNNING, STARTED, SUCCESS, Ledger, run_status
 from feedloom.operators.merge import TargetTable
 from feedloom.operators.prepare import add_metadata, encrypt_sensitive, fill_missing, target_columns
-from feedloom.operators.reconcile import counters
+from feedloom.operators.reconcile import compare_counts, counters
 from feedloom.schema import BOOLEAN, DATE, LONG, Feed
 from feedloom.session import configure, new_path
 from feedloom.sources.control import expected_count
-from feedloom.sources.files import delete, has_children, source_problem
+from feedloom.sources.files import delete, has_children, plain_path, source_problem
 from feedloom.sources.reader import file_type, read_feed
 
 RUN_PREFIX = "ingestion_"
@@ -29,6 +29,10 @@ ERROR_SCHEMA = (
     "id string, source_file string, record_number bigint, error_type string, error_message string, "
     "raw_record string, created_at timestamp, execution_id string"
 )
+FILE_SCHEMA = (
+    "source_file string, expected bigint, actual bigint, matched boolean, parse_errors bigint, validation_errors bigint, "
+    "load_errors bigint, problem string, execution_id string"
+)
 
 
 class RecordCountMismatch(RuntimeError):
@@ -49,6 +53,10 @@ class Warehouse:
     def errors(self) -> str:
         return f"{self.root}/errors"
 
+    @property
+    def files(self) -> str:
+        return f"{self.root}/files"
+
     @property
     def runs(self) -> str:
         return f"{self.root}/runs"
@@ -81,7 +89,7 @@ def target_schema(feed: Feed) -> str:
 
 
 def outcomes(
-    records: DataFrame, feed: Feed, execution_id: str, key: str, observation: Observation | None = None
+    records: DataFrame, feed: Feed, execution_id: str, key: str, observation: Observation | None = None, numbered: bool = False
 ) -> DataFrame:
     """Every record's fate in one narrow pass: its stored form, or why it failed.
 
@@ -92,7 +100,7 @@ def outcomes(
     checked = route.validate(records, feed)
     ready = route.check_constraints(fill_missing(checked, feed, only_if=passed), feed)
     ready = ready.withColumn("raw_record", F.expr(f"if({passed}, NULL, {redacted_record(feed)})"))
-    sealed = encrypt_sensitive(add_metadata(ready, execution_id), feed, key, only_if=passed)
+    sealed = encrypt_sensitive(add_metadata(ready, execution_id), feed, key, only_if=passed, numbered=numbered)
     sealed = sealed if observation is None else sealed.observe(observation, *counters())
     return sealed.selectExpr(
         *target_columns(feed),
@@ -126,9 +134,17 @@ def ingest(
     single_report: bool = False,
     multi_line: bool | None = None,
     on_broken: str = "fail",
+    manifest: DataFrame | None = None,
+    numbered: bool = False,
 ) -> dict[str, int | str]:
     """Load a feed; returns the run's counters.
 
+    ``manifest`` (``source_file``, ``expected``) sets a count for each file, by
+    its full path; every file's counts are stored in the run's table of files
+    (``files``), and a file that differs, is not named or is not there fails the
+    run like the control file does. ``numbered`` encrypts in the form that is
+    safe for any number of records.
+
     The control file and the source are checked first; a run that they stop is
     stored as FAILED. Good rows are merged into the target, bad ones reported,
     and the loaded count is compared with the control file. A mismatch stores FAILED, then
@@ -155,20 +171,22 @@ def ingest(
     try:
         seen = Observation()
         records = read_feed(spark, source, feed, wanted, multi_line=multi_line, on_broken=on_broken)
-        fates = outcomes(records, feed, run, key, seen)
+        fates = outcomes(records, feed, run, key, seen, numbered)
         fates.write.parquet(staged)
         done, numbers = spark.read.schema(fates.schema).parquet(staged), seen.get
 
         failures = route.failure_rows(done, feed)
-        route.write_error_table(failures, warehouse.errors)
+        route.write_error_table(failures, warehouse.errors, run)
         route.write_error_report(failures, feed.key, warehouse.report(run), single_report)
 
         table = TargetTable(spark, warehouse.table, target_schema(feed), feed.key)
         table.merge(route.good(done), ["source_file", "record_number"])
 
         actual = numbers["records_loaded"]
-        if actual != expected:
-            reason = mismatch_text(expected, actual)
+        reason = None if actual == expected else mismatch_text(expected, actual)
+        if manifest is not None:
+            reason = _file_counts(done, manifest, warehouse, run) or reason
+        if reason is not None:
             ledger.save(run, source, FAILED, started, expected, actual, reason)
             raise RecordCountMismatch(reason)
         ledger.save(run, source, SUCCESS, started, expected, actual)
@@ -180,6 +198,35 @@ def ingest(
     return {"execution_id": run, "expected": expected, **numbers}
 
 
+def _file_counts(done: DataFrame, manifest: DataFrame, warehouse: Warehouse, run: str) -> str | None:
+    """Store the counts of every file of the run; what is wrong with the first one that differs.
+
+    The counts come from two columns of the staged records; the feed isn't read again.
+    """
+    by_file = done.groupBy(plain_path(F.col("source_file")).alias("source_file")).agg(*counters())
+    named = manifest.select(plain_path(F.col("source_file")).alias("source_file"), F.col("expected").cast("bigint").alias("expected"))
+    named = named.groupBy("source_file").agg(F.sum("expected").alias("expected"))
+    joined = named.join(by_file, "source_file", "full").withColumn("actual", F.coalesce("records_loaded", F.lit(0)))
+    checked = compare_counts(joined.fillna(0, [c for c in by_file.columns if c != "source_file"]))
+    checked = checked.withColumn("matched", F.coalesce("matched", F.lit(False)))
+    problem = F.when(F.col("expected").isNull(), F.lit("not named in the manifest")).otherwise(F.col("failure_message"))
+    checked = checked.select(
+        "source_file", "expected", "actual", "matched", "parse_errors", "validation_errors", "load_errors",
+        F.when(~F.col("matched"), problem).alias("problem"), F.lit(run).alias("execution_id"),
+    )
+    writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("execution_id").parquet(warehouse.files)
+    first = files(done.sparkSession, warehouse).where((F.col("execution_id") == run) & ~F.col("matched")).orderBy("source_file").first()
+    return None if first is None else f"{first['source_file']}: {first['problem']}"
+
+
+def files(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """The table of files: expected and loaded records and rejects of every file of the runs that had a manifest."""
+    if not has_children(spark, warehouse.files):
+        return spark.createDataFrame([], FILE_SCHEMA)
+    return spark.read.schema(FILE_SCHEMA).parquet(warehouse.files)
+
+
 def errors(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """The error table."""
     if not has_children(spark, warehouse.errors):

@@ -5,22 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.operators.ledger import current_runs, fail_unfinished, run_gate, run_status
+from feedloom.operators.ledger import Ledger, current_runs, fail_unfinished, run_gate, run_status
 from feedloom.operators.lookup import decrypted_view
 from feedloom.operators.merge import TargetTable, latest_per_key, upsert
 from feedloom.operators.reconcile import check_count, check_count_per
-from feedloom.operators.route import good
+from feedloom.operators.route import good, write_error_table
 from feedloom.plans.employee import EMPLOYEE
-from feedloom.plans.ingest import RecordCountMismatch, Warehouse, errors, ingest, new_execution_id, status, target_schema
-from feedloom.queries.raw_feed import FEED_CTES, RAW_FEED, checked_feed, raw_columns, sql_on, table
+from feedloom.plans.ingest import (
+    ERROR_SCHEMA, RecordCountMismatch, Warehouse, errors, files, ingest, new_execution_id, status, target_schema,
+)
+from feedloom.queries.raw_feed import (
+    COLUMNS, FEED_CTES, RAW_FEED, checked_feed, numbered_batches, raw_columns, raw_feed, sql_on, table,
+)
 from feedloom.queries.secrets import KEY
-from feedloom.session import new_path
+from feedloom.session import new_path, stage
 from feedloom.sources.files import list_files
 
 
+MANIFEST_ROWS = 1000  # consecutive keys per file of a feed with a manifest
+_ID = "cast(conv(substr(employee_id, 2), 36, 10) AS bigint)"
+
+
 def _order_changes(orders: DataFrame) -> DataFrame:
-    """Changes to orders, some keys more than once."""
-    changed = orders.where("o_orderkey % 3 = 0").selectExpr(
+    """Changes to orders, some keys more than once, and the orders that the base lacks."""
+    changed = orders.where("o_orderkey % 3 = 0 OR o_orderkey % 10 >= 7").selectExpr(
         "o_orderkey", "'X' AS o_orderstatus", "o_totalprice + 1 AS o_totalprice", "'a' AS source_file", "o_orderkey AS record_number"
     )
     again = orders.where("o_orderkey % 9 = 0").selectExpr(
@@ -37,7 +45,7 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through a table of commits, merged twice: a re-run changes nothing."""
+    """The same through a stored table, merged twice: a re-run changes nothing."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     target = TargetTable(spark, new_path(spark, "orders"), orders.schema, "o_orderkey")
     target.publish(orders.where("o_orderkey % 10 < 7"))
@@ -46,6 +54,18 @@ def upsert_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def lookup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a stored table by their keys: many at once, one alone, and one that is not there."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    stored = TargetTable(spark, new_path(spark, "orders"), orders.schema, "o_orderkey")
+    stored.publish(orders)
+    asked = table(spark, sf_dir, "lineitem").where("l_quantity > 25").selectExpr("l_orderkey AS o_orderkey")
+    many = stored.find_all(asked).withColumn("asked", F.lit("many"))
+    last = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    alone = stored.find(last).union(stored.find(last + 1)).withColumn("asked", F.lit("alone"))
+    return many.unionByName(alone)
+
+
 def latest_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last event of every user, whatever the number of events a user has."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
@@ -53,9 +73,11 @@ def latest_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loaded rows, repeated keys included, against one expected number."""
+    """Loaded rows, repeated keys included, against a wrong and a right number."""
     loaded = table(spark, sf_dir, "lineitem").select("l_orderkey")
-    return check_count(loaded, 1234).select("expected", "actual", "matched", "status", "failure_message")
+    expected = [table(spark, sf_dir, name).count() for name in ("orders", "lineitem")]
+    checks = [check_count(loaded, n).select("expected", "actual", "matched", "status", "failure_message") for n in expected]
+    return checks[0].union(checks[1])
 
 
 def count_check_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,12 +138,65 @@ def runs_marked_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_runs(events.unionByName(changed)).select("execution_id", "status", "expected_record_count", "failure_reason")
 
 
+def ledger_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of many files, compacted with events appended before and after: one event a run and all states kept."""
+    events, _ = _ledger(spark, sf_dir)
+    ledger = Ledger(spark, new_path(spark, "ledger"))
+    events = events.withColumns({name: F.col(name).cast("timestamp") for name in ("started_at", "completed_at")})
+    early = F.col("sequence") % 2 == 0
+    events.where(early).repartition(16).write.mode("append").parquet(ledger.path)
+    ledger.compact()
+    events.where(~early).repartition(16).write.mode("append").parquet(ledger.path)
+    ledger.compact()
+    states = ledger.events()  # one a run
+    return states.select("execution_id", "source_file", "status", "expected_record_count", "actual_loaded_record_count", "failure_reason")
+
+
+def errors_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures of many runs, written twice: the error table holds them once, under the same ids."""
+    failures = table(spark, sf_dir, "orders").selectExpr(
+        "concat('run-', o_orderkey % 5) AS execution_id", "'f.csv' AS source_file", "o_orderkey AS record_number",
+        "'PARSE_ERROR' AS error_type", "concat('bad ', o_orderpriority) AS error_message", "cast(NULL AS string) AS raw_record",
+    )
+    path = new_path(spark, "errors")
+    write_error_table(failures, path)
+    first = stage(spark.read.schema(ERROR_SCHEMA).parquet(path).select("id"), "first-ids")
+    write_error_table(failures, path)
+    again = spark.read.schema(ERROR_SCHEMA).parquet(path)
+    known = again.join(first.groupBy("id").agg(F.count("*").alias("n_first")), "id")
+    return known.select("execution_id", "source_file", "record_number", "error_type", "error_message", "n_first")
+
+
 def run_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What follows for every requested run: pass, warn or fail; unknown runs fail."""
     requested = table(spark, sf_dir, "customer").selectExpr("cast(c_custkey AS string) AS execution_id")
     return run_gate(run_status(*_ledger(spark, sf_dir)), requested)
 
 
+def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over many files, each against its own count of a manifest; some counts are off."""
+    rows = raw_feed(spark, sf_dir).selectExpr(
+        f"c_custkey DIV {MANIFEST_ROWS} AS batch", "c_custkey AS place", f"to_csv(struct({', '.join(COLUMNS)}), map('escape', '\"')) AS line"
+    )
+    source = numbered_batches(rows, new_path(spark, "manifest-feed"), ",".join(COLUMNS))
+    batch = r"cast(regexp_extract(path, r'batch=(\d+)', 1) AS bigint) AS batch"
+    found = list_files(spark, f"{source}/*/part-*").selectExpr(batch, "path AS source_file")
+    counts = good(checked_feed(spark, sf_dir)).groupBy(F.expr(f"{_ID} DIV {MANIFEST_ROWS}").alias("batch")).agg(F.count("*").alias("n"))
+    manifest = found.join(counts, "batch", "left").selectExpr("source_file", "coalesce(n, 0) + if(batch % 3 = 2, 1, 0) AS expected")
+    manifest = stage(manifest, "manifest")
+    control = new_path(spark, "control")
+    counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).selectExpr("concat('record_count=', n) AS line").coalesce(1).write.text(control)
+    control = list_files(spark, f"{control}/part-*").where("size > 0").first()["path"]
+    house, run = Warehouse(new_path(spark, "house")), new_execution_id()
+    try:
+        ingest(spark, EMPLOYEE, source, "csv", control, house, KEY, run, manifest=manifest, numbered=True)
+    except RecordCountMismatch:
+        pass  # stored as the run's status
+    checked = files(spark, house).where(F.col("execution_id") == run)
+    checked = checked.selectExpr(batch.replace("path", "source_file"), "expected", "actual", "matched", "problem")
+    return checked.withColumn("status", F.lit(status(spark, house, run).first()["status"]))
+
+
 def _run_job(spark: SparkSession, sf_dir: str, counted: DataFrame | None = None) -> tuple[Warehouse, str]:
     """Write the feed and its control file, and load it; bad records make the count differ.
 
@@ -174,19 +249,24 @@ def ingest_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "upsert_orders": upsert_orders,
     "upsert_published": upsert_published,
+    "lookup_by_key": lookup_by_key,
     "latest_per_user": latest_per_user,
     "count_check": count_check,
     "count_check_per_file": count_check_per_file,
     "run_states": run_states,
     "runs_marked_failed": runs_marked_failed,
     "run_verdicts": run_verdicts,
+    "ledger_compacted": ledger_compacted,
+    "errors_repeated": errors_repeated,
     "ingest_status": ingest_status,
     "ingest_success": ingest_success,
     "ingest_target": ingest_target,
+    "ingest_manifest": ingest_manifest,
 }
 
 _UPSERT = """WITH incoming AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'Y' ELSE 'X' END AS s,
-      o_totalprice + CASE WHEN o_orderkey % 9 = 0 THEN 2 ELSE 1 END AS p FROM orders WHERE o_orderkey % 3 = 0),
+      o_totalprice + CASE WHEN o_orderkey % 9 = 0 THEN 2 ELSE 1 END AS p
+      FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 10 >= 7),
     base AS (SELECT * FROM orders WHERE o_orderkey % 10 < 7)
     SELECT coalesce(i.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(i.s, b.o_orderstatus) AS o_orderstatus,
       coalesce(i.p, b.o_totalprice) AS o_totalprice
@@ -202,11 +282,16 @@ ORACLE = {
     "upsert_published": _UPSERT,
     "latest_per_user": """SELECT user_id, event_id, event_type, value FROM (SELECT *,
         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
-    "count_check": """WITH n AS (SELECT count(*) AS actual FROM lineitem)
-        SELECT cast(1234 AS bigint) AS expected, actual, actual = 1234 AS matched,
-          CASE WHEN actual = 1234 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
-          CASE WHEN actual <> 1234 THEN 'Record count mismatch: control file expected 1234 record(s) but ' || actual ||
-            ' record(s) were loaded' END AS failure_message FROM n""",
+    "lookup_by_key": """SELECT o_orderkey, o_orderstatus, o_totalprice, 'many' AS asked FROM orders
+        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25)
+        UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, 'alone' FROM orders
+        WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)""",
+    "count_check": """WITH n AS (SELECT count(*) AS actual FROM lineitem),
+        e AS (SELECT count(*) AS expected FROM orders UNION ALL SELECT count(*) FROM lineitem)
+        SELECT expected, actual, actual = expected AS matched,
+          CASE WHEN actual = expected THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+          CASE WHEN actual <> expected THEN 'Record count mismatch: control file expected ' || expected ||
+            ' record(s) but ' || actual || ' record(s) were loaded' END AS failure_message FROM n, e""",
     "count_check_per_file": """WITH m AS (SELECT o_orderpriority AS source_file, count(*) AS actual,
           count(*) + CASE WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END AS expected FROM orders GROUP BY o_orderpriority
           UNION ALL SELECT 'absent', 0, 0 UNION ALL SELECT 'lost', 0, 7)
@@ -230,6 +315,18 @@ ORACLE = {
           CASE WHEN s.status = 'SUCCESS' THEN actual_loaded_record_count END AS loaded,
           CASE WHEN s.status = 'SUCCESS' THEN error_count END AS error_records
         FROM asked a LEFT JOIN states s ON a.execution_id = s.execution_id""",
+    "ledger_compacted": f"""{_RUN_CTES} SELECT execution_id, source_file, status, expected_record_count,
+        actual_loaded_record_count, failure_reason FROM latest""",
+    "errors_repeated": """SELECT 'run-' || (o_orderkey % 5) AS execution_id, 'f.csv' AS source_file, o_orderkey AS record_number,
+        'PARSE_ERROR' AS error_type, 'bad ' || o_orderpriority AS error_message, cast(1 AS bigint) AS n_first FROM orders""",
+    "ingest_manifest": f"""{FEED_CTES}, counts AS (SELECT c_custkey // {MANIFEST_ROWS} AS batch,
+          count(*) FILTER (WHERE error_type IS NULL) AS actual FROM checked GROUP BY ALL),
+        compared AS (SELECT batch, actual + CASE WHEN batch % 3 = 2 THEN 1 ELSE 0 END AS expected, actual FROM counts)
+        SELECT batch, expected, actual, expected = actual AS matched,
+          CASE WHEN expected <> actual THEN 'Record count mismatch: control file expected ' || expected || ' record(s) but ' ||
+            actual || ' record(s) were loaded' END AS problem,
+          CASE WHEN (SELECT bool_and(expected = actual) FROM compared) THEN 'SUCCESS' ELSE 'FAILED' END AS status
+        FROM compared""",
     "ingest_status": f"""{FEED_CTES}, n AS (SELECT count(*) AS e, count(*) FILTER (WHERE error_type IS NULL) AS a,
           count(*) FILTER (WHERE error_type = 'PARSE_ERROR') AS p, count(*) FILTER (WHERE error_type = 'VALIDATION_ERROR') AS v,
           count(*) FILTER (WHERE error_type = 'VALIDATION_ERROR' AND phone_number IS NOT NULL) AS r FROM checked)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.records import value_json
@@ -220,6 +220,24 @@ def split_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SPLIT_RECORDS = 700
+
+
+def split_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of several files cut anew: each record's file and place there follow from its place in the feed."""
+    lines = table(spark, sf_dir, "orders").selectExpr(
+        f"o_orderkey DIV {BATCH} AS batch", "o_orderkey AS place", "concat(o_orderkey, ',', o_orderstatus) AS line"
+    )
+    source, out = numbered_batches(lines, new_path(spark, "order-in"), "o_orderkey,o_orderstatus"), new_path(spark, "order-out")
+    split_feed(spark, f"{source}/*/part-*", "CSV", out, SPLIT_RECORDS)
+    rows = read_csv(spark, out, ["o_orderkey", "o_orderstatus"])
+    in_order = Window.orderBy(F.regexp_extract("source_file", r"part-(\d+)", 1), F.regexp_extract("source_file", r"-c(\d+)", 1))
+    files = rows.select("source_file").distinct().select("source_file", F.row_number().over(in_order).cast("long").alias("file"))
+    return rows.join(files, "source_file").selectExpr(
+        "file", "record_number AS place", "cast(o_orderkey AS bigint) AS o_orderkey", "o_orderstatus"
+    )
+
+
 def split_rewrite_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON feed rewritten as one object per line: number of files, records and their content."""
     source, out = new_path(spark, "split-in"), new_path(spark, "split-out")
@@ -322,6 +340,7 @@ QUERIES = {
     "json_broken_parts": json_broken_parts,
     "record_numbers": record_numbers,
     "split_rewrite": split_rewrite,
+    "split_in_order": split_in_order,
     "split_rewrite_json": split_rewrite_json,
     "split_plan": split_plan,
     "control_counts": control_counts,
@@ -385,6 +404,8 @@ ORACLE = {
         o_orderkey, o_orderstatus FROM orders""",
     "split_rewrite": """SELECT o_orderkey, o_custkey, o_orderstatus,
         '  ' || o_orderpriority || ', "' || o_orderstatus || '" ' AS note FROM orders""",
+    "split_in_order": f"""SELECT (n - 1) // {SPLIT_RECORDS} + 1 AS file, (n - 1) % {SPLIT_RECORDS} + 1 AS place, o_orderkey, o_orderstatus
+        FROM (SELECT *, row_number() OVER (ORDER BY cast(o_orderkey // {BATCH} AS varchar), o_orderkey) AS n FROM orders)""",
     "split_rewrite_json": """SELECT cast(greatest(1, ceil(count(*) / 2000.0)) AS bigint) AS files,
         count(*) AS records, cast(sum(event_id) AS bigint) AS ids, count(DISTINCT event_type) AS types,
         cast(0 AS bigint) AS nones, cast(sum(cast(json_extract_string(props, '$.k') AS bigint)) AS bigint) AS k

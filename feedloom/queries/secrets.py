@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.protect import decrypt_failed, decrypt_if_present, decrypted, encrypt_columns
+from feedloom.functions.protect import decrypt_failed, decrypt_if_present, decrypted, encrypt_columns, encrypt_numbered
 from feedloom.operators.lookup import decrypted_view, find_all
 from feedloom.operators.route import good
 from feedloom.plans.employee import EMPLOYEE
@@ -47,6 +47,22 @@ def encrypt_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def encrypt_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values encrypted by their place: read back in clear, none under a pair of key and IV that another one has."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderpriority AS source_file", "o_orderkey AS record_number", "o_orderstatus", "o_totalprice"
+    )
+    targets = {"one": "o_orderstatus", "two": "o_totalprice", "none": "if(record_number % 2 = 0, ' ', NULL)"}
+    sealed = stage(encrypt_numbered(orders, targets, KEY), "numbered")
+    pairs = F.explode(F.array(*(F.regexp_extract(c, "^v2:([^:]*:[^:]*):", 1) for c in ("one", "two"))))
+    used = sealed.select(pairs.alias("pair")).groupBy("pair").agg(F.count("*").alias("times"))
+    times = used.agg(F.coalesce(F.max("times"), F.lit(0))).first()[0]
+    return sealed.select(
+        "source_file", "record_number", decrypted("one", KEY).alias("one"),
+        decrypted("two", KEY).cast("double").alias("two"), "none", F.lit(times).cast("bigint").alias("uses_of_a_pair"),
+    )
+
+
 def decrypt_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed, tampered and foreign values are told from good and from blank ones."""
     base = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -81,6 +97,7 @@ def employee_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "encrypt_shape": encrypt_shape,
     "encrypt_round_trip": encrypt_round_trip,
+    "encrypt_by_number": encrypt_by_number,
     "decrypt_failures": decrypt_failures,
     "employee_view": employee_view,
 }
@@ -92,6 +109,8 @@ ORACLE = {
         FROM customer GROUP BY ALL""",
     "encrypt_round_trip": """SELECT o_orderkey, o_orderpriority, o_custkey, cast(NULL AS varchar) AS with_other_key
         FROM orders""",
+    "encrypt_by_number": """SELECT o_orderpriority AS source_file, o_orderkey AS record_number, o_orderstatus AS one,
+        o_totalprice AS two, cast(NULL AS varchar) AS none, cast(1 AS bigint) AS uses_of_a_pair FROM orders""",
     "decrypt_failures": """SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN c_name WHEN 5 THEN '' WHEN 7 THEN '  ' END AS value,
         c_custkey % 10 IN (1, 2, 3, 4, 8, 9) AS failed FROM customer""",
     "employee_view": f"""{FEED_CTES} SELECT employee_id, coalesce(last_name, ' ') AS last_name, phone_number, hire_date,

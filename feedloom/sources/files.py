@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,38 +28,6 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
-def read_small(spark: SparkSession, path: str) -> str:
-    """The text of a small file."""
-    target, fs = _hadoop_path(spark, path)
-    stream = fs.open(target)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def create_small(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file with its text at once; False, and nothing changed, if there is one."""
-    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
-    target, fs = _hadoop_path(spark, path)
-    draft, _ = _hadoop_path(spark, f"{target.getParent().toString()}/.{uuid.uuid4().hex}")
-    stream = fs.create(draft, True)
-    stream.write(bytearray(text.encode()))
-    stream.close()
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = gateway.new_array(rename, 1)
-    options[0] = rename.NONE
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        files.rename(draft, target, options)
-    except Py4JJavaError as error:
-        fs.delete(draft, False)
-        if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
-            return False
-        raise
-    return True
-
-
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder."""
     target, fs = _hadoop_path(spark, path)
