@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -90,6 +91,18 @@ def in_python(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(function, schema)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python at most so many rows at once, for tables of large rows that are written inside."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, usual)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[StructField]
 ) -> DataFrame:

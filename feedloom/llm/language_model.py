@@ -23,7 +23,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from feedloom.llm.common import Scratch, exact, in_python
+from feedloom.llm.common import Scratch, arrow_rows, exact, in_python
 
 #: Words of an n-gram at most, and the pseudo-count by which shorter histories weigh in.
 ORDER = 2
@@ -32,6 +32,10 @@ STRENGTH = 500.0
 CHUNK_BYTES = 3_000_000
 #: Bytes of text whose n-grams are counted in one group, about.
 GROUP_BYTES = 12_000_000
+#: Bits by which the runs of a group are told apart.
+KEY_BITS = 48
+#: Rows that a task gets at once while groups are counted.
+BATCH_ROWS = 500
 _PIECE = 1 << 20
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -56,24 +60,29 @@ def pieces(text: bytes) -> Iterator[list[bytes]]:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Whole numbers, byte by byte of all of them, so that what they share packs well."""
-    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Whole numbers, byte by byte of all of them, so that what they share packs well; no more bytes than the largest has."""
+    width = max(1, -(-int(numbers.max()).bit_length() // 8)) if len(numbers) else 1
+    return bytes([width]) + numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    numbers = np.zeros((planes.shape[1], 8), np.uint8)
+    numbers[:, : data[0]] = planes.T
+    return numbers.view("<u8").ravel()
 
 
 class Chunk:
     """The distinct n-grams of some texts and where they are.
 
-    Words are numbered by their hashes; a text is ``start``, its words, and
-    ``end``, which have the two numbers after the words. ``keys[k]`` has the
-    ascending 64-bit keys of all runs of k + 1 tokens within a text, ``of[k]``
-    the place in them of the run that ends at each token (-1: none).
+    Words are numbered by bucket, the highest ``bits`` of their hashes, and
+    within one by themselves; a text is ``start``, its words, and ``end``,
+    which have the two numbers after the words. ``keys[k]`` has the ascending
+    keys of all runs of k + 1 tokens within a text, ``of[k]`` the place in them
+    of the run that ends at each token (-1: none).
     """
 
-    def __init__(self, texts: list[bytes], order: int):
+    def __init__(self, texts: list[bytes], order: int, bits: int):
         seen: dict[bytes, int] = {}
         parts, sizes = [], []
         for text in texts:
@@ -83,8 +92,8 @@ class Chunk:
                 size += len(words)
             sizes.append(size)
         hashes = np.fromiter((xxhash.xxh64_intdigest(word) for word in seen), np.uint64, len(seen))
-        rank = np.argsort(hashes, kind="stable")
-        words = list(seen)
+        words, buckets = list(seen), bucket_of(hashes, bits)
+        rank = sorted(range(len(words)), key=lambda i: (buckets[i], words[i]))
         self.words, self.hashes = [words[i] for i in rank], hashes[rank]
         number = np.empty(len(words), np.int64)
         number[rank] = np.arange(len(words))
@@ -103,7 +112,7 @@ class Chunk:
         for k in range(1, order):
             key = _mixed(np.concatenate([np.zeros(1, np.uint64), key[:-1]]), token_key)
             there = np.flatnonzero(places >= k)
-            distinct, inverse = np.unique(key[there], return_inverse=True)
+            distinct, inverse = np.unique(key[there] & _kept(bits), return_inverse=True)
             of = np.full(len(self.tokens), -1, np.int64)
             of[there] = inverse
             self.keys.append(distinct)
@@ -117,6 +126,15 @@ class Chunk:
         return np.bincount(self.of[k][mark], minlength=len(self.keys[k]) if k else self.n_words)
 
 
+def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+
+
+def _kept(bits: int) -> np.uint64:
+    """The bits of a key that count: those of its bucket and ``KEY_BITS`` more."""
+    return np.uint64((1 << 64) - (1 << max(0, 64 - bits - KEY_BITS)))
+
+
 def _mixed(before: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A key of a run from that of the run before its last token and the last token's."""
     x = (before ^ (before >> np.uint64(29))) * _MIX + last
@@ -199,26 +217,15 @@ class Automaton:
 
 _ASKED = StructType(
     [StructField(name, kind) for name, kind in (("chunk", LongType()), ("length", IntegerType()), ("bucket", LongType()))]
-    + [StructField("words", BinaryType()), StructField("ends", BinaryType()), StructField("keys", BinaryType()), StructField("counts", BinaryType())]
+    + [StructField("words", BinaryType()), StructField("keys", BinaryType()), StructField("counts", BinaryType())]
 )
 
 
-def _joined(words: list[bytes]) -> tuple[bytes, bytes]:
-    return b"".join(words), packed(np.cumsum([len(word) for word in words], dtype=np.int64))
-
-
-def _parted(words: bytes, ends: bytes) -> list[bytes]:
-    cuts = [0, *unpacked(ends).tolist()]
-    return [words[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-
 def _buckets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
-    """(bucket, begin, end) of the stretches of ascending keys that share their highest bits."""
-    if not len(keys):
-        return
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    """(bucket, begin, end) of the stretches of keys in order of their buckets."""
+    bucket = bucket_of(keys, bits)
     first = np.flatnonzero(np.diff(bucket, prepend=-1))
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True):
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False):
         yield int(bucket[a]), a, b
 
 
@@ -229,7 +236,7 @@ def _chunked(batches: Iterator[pa.RecordBatch], order: int, bits: int, schema: p
     chunk_id = TaskContext.get().partitionId() << 32
 
     def close(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        chunk = Chunk([text for _, _, text in rows], order)
+        chunk = Chunk([text for _, _, text in rows], order, bits)
         learned = np.array([not held for _, held, _ in rows], bool)
         out: list[dict] = [{"chunk": chunk_id, "kind": 0, "id": doc, "held": held, "text": text} for doc, held, text in rows]
         yield pa.RecordBatch.from_pylist(out, schema)
@@ -238,9 +245,10 @@ def _chunked(batches: Iterator[pa.RecordBatch], order: int, bits: int, schema: p
             for bucket, a, b in _buckets(keys, bits):
                 row = {"chunk": chunk_id, "kind": 1, "length": k + 1, "bucket": bucket, "counts": packed(counts[a:b])}
                 if k:
-                    row["keys"] = packed(keys[a:b])
+                    low = max(0, 64 - bits - KEY_BITS)
+                    row["keys"] = packed((keys[a:b] << np.uint64(bits)) >> np.uint64(bits + low))
                 else:
-                    row["words"], row["ends"] = _joined(chunk.words[a:b])
+                    row["words"] = b" ".join(chunk.words[a:b])
                 yield pa.RecordBatch.from_pylist([row], schema)
 
     rows, size = [], 0
@@ -280,10 +288,10 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if length == 1:
             sums: dict[bytes, int] = defaultdict(int)
             for row in rows:
-                for word, count in zip(_parted(row["words"], row["ends"]), unpacked(row["counts"]).tolist(), strict=True):
+                for word, count in zip(row["words"].split(b" "), unpacked(row["counts"]).tolist(), strict=True):
                     sums[word] += count
             for row in rows:
-                out.append((row["chunk"], packed(np.array([sums[word] for word in _parted(row["words"], row["ends"])], np.int64))))
+                out.append((row["chunk"], packed(np.array([sums[word] for word in row["words"].split(b" ")], np.int64))))
             types, total = sum(count > 0 for count in sums.values()), sum(sums.values())
         else:
             keys = [unpacked(row["keys"]) for row in rows]
@@ -305,10 +313,10 @@ def _answer(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
 
 
-def _scored(batches, order: int, strength: float, n_tokens: int, n_types: int, n_texts: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _scored(batches, order: int, bits: int, strength: float, n_tokens: int, n_types: int, n_texts: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for _, rows in _grouped(batches, ["chunk"]):
         texts = [row for row in rows if row["kind"] == 0]
-        chunk = Chunk([row["text"] for row in texts], order)
+        chunk = Chunk([row["text"] for row in texts], order, bits)
         counts = []
         for k in range(order):
             own = [unpacked(row["counts"]) for row in rows if row["kind"] and row["length"] == k + 1]  # buckets ascend, as keys do
@@ -346,11 +354,12 @@ def scores(
     The model is never in one place. Texts are cut into chunks of
     ``CHUNK_BYTES`` as they are read; a chunk sends each distinct n-gram once,
     with its count, to the group of n-grams of like hash (words themselves for
-    single tokens, 64-bit keys for longer runs), and gets the counts of the
+    single tokens, keys for longer runs), and gets the counts of the
     whole corpus back in the order it asked. A frequent n-gram is one entry a
     chunk and so no hot key. From these a chunk builds the part of the
-    automaton that its texts can reach. Two keys out of n coincide with
-    probability n / 2^64 a look-up: at 10^13 n-grams, one in two million.
+    automaton that its texts can reach. The runs of a group, a million or so
+    whatever the size of the corpus, are told apart by ``KEY_BITS`` bits: a
+    look-up meets another run's count with a probability of 4 in 10^9.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     id_type = docs.schema[id_column].dataType
@@ -369,7 +378,8 @@ def scores(
 
     answer = StructType([*_ASKED.fields[:3], _ASKED["counts"], StructField("types", LongType()), StructField("total", LongType())])
     groups = asked.select(*_ASKED.names).repartition("length", "bucket").sortWithinPartitions("length", "bucket", "chunk")
-    answers = scratch.write(in_python(groups, _answers, answer), "counts")
+    with arrow_rows(spark, BATCH_ROWS):
+        answers = scratch.write(in_python(groups, _answers, answer), "counts")
     scratch.drop(asked)
     n_types, n_words = answers.agg(F.coalesce(F.sum("types"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
     n_tokens = n_words + n_texts
@@ -389,4 +399,4 @@ def scores(
     )
     own = texts.select("chunk", F.lit(0).alias("kind"), "id", "held", "text", *(none.cast(t).alias(c) for c, t in (("length", "int"), ("bucket", "long"), ("counts", "binary"))))
     both = own.union(told).repartition("chunk").sortWithinPartitions("chunk", "kind", "length", "bucket")
-    return in_python(both, lambda batches: _scored(batches, order, strength, n_tokens, n_types, n_texts, result_arrow), result)
+    return in_python(both, lambda batches: _scored(batches, order, bits, strength, n_tokens, n_types, n_texts, result_arrow), result)

@@ -111,7 +111,7 @@ def test_pieces_of_long_texts(spark, monkeypatch):
 def test_probabilities_of_all_words_sum_to_one():
     """In every state: the words of the model and one unknown word."""
     texts = [b"a b a c a b", b"b b a", b"", b"c a unknown"]
-    chunk = Chunk(texts, 3)
+    chunk = Chunk(texts, 3, 2)
     learned = np.array([True, True, True, False])
     counts = [chunk.counts(k, learned) for k in range(3)]
     known = [word for word in range(chunk.n_words) if counts[0][word]]
