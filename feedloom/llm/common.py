@@ -116,7 +116,7 @@ def map_batches(
     return in_python(df, run, StructType(fields))
 
 
-def salted(column: str, seed: str) -> Column:
+def salted(column: str | Column, seed: str) -> Column:
     """A keyed 60-bit hash of a column, the same in Spark and in other SQL engines; NULL is an empty text."""
-    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(column).cast("string"), F.lit(""))))
+    digest = F.md5(F.concat(F.lit(seed), F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -18,7 +18,7 @@ from feedloom.llm.common import exact, in_python
 
 #: Edits allowed for each character of an item.
 ERROR_RATE = 0.08
-#: Items with fewer characters must stand in the text as whole words, without an edit.
+#: Items with fewer characters must stand in the text as whole words.
 SHORTEST = 32
 #: Characters of items that are searched for at once, and so sent to the executors; more items go in further blocks.
 BLOCK_CHARACTERS = 8 << 20
@@ -31,7 +31,7 @@ def normal(text: str | None) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return int(rate * len(item)) if len(item) >= SHORTEST else 0
+    return int(rate * len(item))
 
 
 def myers(pattern: str, text: str, most: int) -> int:
@@ -146,11 +146,11 @@ def _searcher(key: str, items: list[tuple[int, str]], rate: float) -> Searcher:
 
 def _blocks(items: DataFrame, id_column: str, text_column: str) -> Iterator[tuple[str, list[tuple[int, str]]]]:
     """The benchmark in blocks of a bounded size, each under a key of its own."""
-    items = exact(items, id_column, text_column).toDF("item", "text").where("item IS NOT NULL AND text IS NOT NULL").distinct()
+    items = exact(items, id_column, text_column).toDF("item", "text").where("text IS NOT NULL").distinct()
     characters = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-characters // BLOCK_CHARACTERS))
     for block in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == block).collect()
+        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == block).collect()
         yield uuid.uuid4().hex, [(row["item"], row["text"]) for row in rows]
 
 
@@ -181,7 +181,7 @@ def contaminated(
     names = [id_column, item_column, "distance", "allowed"]
     schema = StructType([docs.schema[id_column], *(StructField(name, LongType()) for name in names[1:])])
     found = None
-    for key, items in _blocks(benchmark, item_column, item_text_column):
+    for key, items in _blocks(benchmark.where(F.col(item_column).isNotNull()), item_column, item_text_column):
 
         def hits(batches: Iterator[pa.RecordBatch], key=key, items=items) -> Iterator[pa.RecordBatch]:
             search = _searcher(key, items, rate)
@@ -205,7 +205,10 @@ def clean(
     item_text_column: str = "text",
     rate: float = ERROR_RATE,
 ) -> DataFrame:
-    """The rows whose text holds no benchmark item, as ``contaminated`` has it, with all their columns. No shuffle."""
+    """The rows whose text holds no benchmark item, with or without an id, as ``contaminated`` has it, with all their columns.
+
+    No shuffle.
+    """
     place = docs.columns.index(text_column)
     for key, items in _blocks(benchmark, item_column, item_text_column):
 

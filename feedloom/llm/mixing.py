@@ -145,9 +145,15 @@ def _refine(sizes: DataFrame, state: DataFrame, bits: int) -> DataFrame:
     )
 
 
+def row_hash(id_column: str, text_column: str) -> Column:
+    """The hash of a row's id and text, so that rows with one id, or none, are still dealt out one by one."""
+    text = F.md5(F.coalesce(F.col(text_column), F.lit("")))
+    return salted(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(":"), text), SEED)
+
+
 def sized(docs: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
     docs = exact(docs, id_column, text_column, source_column).toDF("doc", "text", "source")
-    return docs.select("doc", "source", words("text").alias("size"), salted("doc", SEED).alias("hash"))
+    return docs.select("doc", "source", words("text").alias("size"), row_hash("doc", "text").alias("hash"))
 
 
 def copies() -> Column:
@@ -162,7 +168,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     of its source, ``taken`` (words that the mix takes, repeats counted). See
     ``targets`` and ``thresholds``; a document is taken whole or not, up to 3
     times. A NULL text has size 0; NULL sources are one source, the last one;
-    rows with the same id, or none, share a hash and are taken alike. A source
+    rows equal in id and text are taken alike. A source
     of size 0 has target 0. Reruns agree, whatever the order of the rows. No
     row gives no row; further columns are not read.
     """
@@ -181,7 +187,7 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         F.struct("*").alias("row"),
         docs[source_column].alias("from"),
         words(text_column).alias("size"),
-        salted(id_column, SEED).alias("hash"),
+        row_hash(id_column, text_column).alias("hash"),
     )
     taken = rows.join(found, F.col("from").eqNullSafe(F.col("of"))).select("row", copies().cast("int").alias("copies"))
     return taken.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
@@ -204,7 +210,7 @@ MIX_SQL = (
     r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-           CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash
+           CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash
     FROM documents),
 weighed AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

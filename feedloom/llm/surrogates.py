@@ -40,7 +40,9 @@ SURNAMES = {
 
 #: Rounds of drawing after which a kind's surrogates count as used up, which is an error.
 ROUNDS = 64
-_EMAIL = r"[\p{L}\p{N}_+-]+(?:\.[\p{L}\p{N}_+-]+)*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}"
+# A group that repeats without a bound must be possessive, or a long text takes a frame of the stack for each turn. The
+# labels of a domain need to be given back, so they have the bound that names have: 127 labels.
+_EMAIL = r"[\p{L}\p{N}_+-]++(?:\.[\p{L}\p{N}_+-]++)*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,125}\.\p{L}{2,24}"
 #: International; North American, with or without its trunk 1; with a trunk 0, each grouping with one kind of separator.
 _PHONE = "|".join(
     (
@@ -169,11 +171,8 @@ def _surrogate() -> Column:
     """What an entity (kind, same, digest, round, domain_digest) gets in a round."""
     payload = f"substr({_drawn_digits('1', 'same')}, 1, length(same) - 1)"
     card = f"concat({payload}, string((10 - {_luhn(payload, 1)} % 10) % 10))"
-    octets = f"""concat_ws('.', CASE WHEN same RLIKE '^(10|127)[.]' THEN split(same, '[.]')[0]
-            WHEN same RLIKE '^192[.]168[.]' THEN '192.168' WHEN same RLIKE '^172[.](1[6-9]|2[0-9]|3[01])[.]' THEN
-                concat('172.', split(same, '[.]')[1])
-            ELSE concat_ws('.', string(11 + {_pick('0', '116')}), string({_pick('2', '256')})) END,
-        IF(same RLIKE '^(10|127)[.]', string({_pick('4', '256')}), NULL), string({_pick('6', '256')}), string({_pick('8', '256')}))"""
+    octets = f"""concat_ws('.', string(11 + {_pick('0', '116')}), string({_pick('2', '256')}), string({_pick('6', '256')}),
+        string({_pick('8', '256')}))"""
     local = "substring_index(same, '@', 1)"
     longer = _letters("repeat('a', int(round / 8))", 7)
     domain = "substring_index(same, '@', -1)"
@@ -191,6 +190,42 @@ def _surrogate() -> Column:
     )
 
 
+#: Private networks: what stays of an address; the rest, 16 or 24 bits, is permuted.
+_PRIVATE = r"^(?:(10|127)[.]|(192[.]168|172[.](?:1[6-9]|2[0-9]|3[01]))[.])"
+
+
+def _permuted(addresses: DataFrame, key: str) -> DataFrame:
+    """(kind, same, surrogate) of private addresses: another address of the same network, by a keyed permutation.
+
+    Networks are closed: an address can only get one of its network, of which
+    the corpus may hold all. So these are not drawn: four rounds of a Feistel
+    cipher number the addresses of a network, and each gets the one that has
+    the next number, which is never itself. Different addresses get different
+    ones, whatever else is in the corpus.
+    """
+    prefix = F.concat(*(F.regexp_extract("same", _PRIVATE, i) for i in (1, 2)))
+    octets = F.transform(F.slice(F.split("same", "[.]"), -3, 3), lambda x: x.cast("int"))
+    rows = addresses.select("kind", "same", prefix.alias("prefix"), octets.alias("o"), F.expr("if(same RLIKE '^(10|127)[.]', 12, 8)").alias("half"))
+    number = F.expr("if(half = 12, o[0] * 65536 + o[1] * 256 + o[2], o[1] * 256 + o[2])")
+    rows = rows.withColumn("size", F.expr("shiftleft(1, half)")).withColumn("number", number)
+    rows = rows.withColumns({"left": F.expr("number DIV size"), "right": F.expr("number % size")})
+
+    def mixed(side: str, n: int):
+        digest = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("network"), "prefix", F.lit(str(n)), F.col(side).cast("string")), 256)
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.col("size")
+
+    for n in range(4):
+        rows = rows.withColumns({"left": F.col("right"), "right": F.col("left").bitwiseXOR(mixed("right", n))})
+    rows = rows.withColumn("next", F.expr("(left * size + right + 1) % (size * size)"))
+    rows = rows.withColumns({"left": F.expr("next DIV size"), "right": F.expr("next % size")})
+    for n in reversed(range(4)):
+        rows = rows.withColumns({"right": F.col("left"), "left": F.col("right").bitwiseXOR(mixed("left", n))})
+    found = F.expr("left * size + right")
+    parts = [F.when(F.col("half") == 12, F.expr("(left * size + right) DIV 65536").cast("string"))]
+    parts += [F.expr("(left * size + right) DIV 256 % 256").cast("string"), (found % 256).cast("string")]
+    return rows.select("kind", "same", F.concat_ws(".", "prefix", *parts).alias("surrogate"))
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, same, surrogate) of distinct ``entities`` (kind, same), in the shared folder.
 
@@ -198,11 +233,14 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     accepted if no other entity of the kind has it or was accepted with it and
     no entity of the corpus is written so; of several that draw the same, the
     first in order of ``same`` gets it. The others draw again, so all end with
-    different surrogates. Each round joins only what is left.
+    different surrogates. Each round joins only what is left. Private addresses
+    are permuted instead.
     """
     scratch = Scratch(entities.sparkSession)
     entities = scratch.write(entities, "entities")
-    left, accepted = entities, []
+    private = F.coalesce((F.col("kind") == "ip") & F.col("same").rlike(_PRIVATE), F.lit(False))
+    permuted = scratch.write(_permuted(entities.where(private), key), "permuted")
+    left, accepted = entities.where(~private), []
     for n in range(ROUNDS):
         keyed = F.concat_ws("\x1f", F.lit(key), "kind", "same", F.lit(str(n)))
         domain = F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index("same", "@", -1))
@@ -225,8 +263,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
             break
     else:
         raise ValueError(f"no surrogates are left for some kind of entity after {ROUNDS} rounds")
-    result = accepted[0]
-    for further in accepted[1:]:
+    result = permuted
+    for further in accepted:
         result = result.union(further)
     return result
 
@@ -255,7 +293,8 @@ def pseudonymized(docs: DataFrame, key: str, id_column: str = "doc_id", text_col
     gender, country zone, card brand digit and private range of what it stands
     for, and a right check digit. With one key, the same entity has the same
     surrogate in all texts, however it is written, and different ones have
-    different ones; no surrogate is an entity of the corpus.
+    different ones; no surrogate is an entity of the corpus, but that private
+    addresses get others of their network, all of which may be there.
 
     A NULL text stays NULL with 0 entities; texts without a mention stay as they
     are. Rows with repeated ids or none are rows; no row gives no row; further

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,6 +33,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from pyspark.sql.window import Window
 
 from feedloom.llm.common import Scratch, exact, in_python
+from feedloom.llm.tokens import byte_letters
 from feedloom.session import new_path
 
 MAGIC = b"EFTK"
@@ -48,6 +50,12 @@ _LEARNED = 200  # words encoded in one go; the library takes longer for each wor
 REMEMBERED = 700_000
 
 
+# A word's letters and what stands behind them; an apostrophe can belong to letters that follow it.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# The vocabulary's letter for each byte.
+_LETTERS = dict(enumerate(byte_letters()))
+
+
 class EliasFano:
     """An ascending sequence of numbers from 0 in about 2 + log2(largest / n) bits each."""
 
@@ -157,7 +165,8 @@ class Encoder:
     """Ids of texts by a word-level vocabulary file of the ``tokenizers`` library, as little-endian bytes.
 
     White space is dropped by the vocabulary's normalizer and ends every word, so
-    each run of other characters is encoded once and remembered. New ones are
+    each run of other characters is encoded once and remembered. New ones that
+    are not plain letters are
     encoded many at a time; the places of their ids tell them apart. Texts with a
     control character that only some take for white space are encoded as they are.
     """
@@ -173,21 +182,53 @@ class Encoder:
         self._by_word = self._ids(spaces) == b"".join(map(self._ids, spaces.split()))
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._runs: dict[str, bytes] = {}
+        self._direct = True
+        self._direct = all(self._simple(word) == self._ids(word) for word in ("Ab", "zebra", "house,", "Wide--", "q.)", "mixed\"!", "Élan,", "größe", "ÿÀ"))
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self._type).tobytes()
 
+    def _simple(self, word: str) -> bytes | None:
+        """The ids of a word of Latin letters, with ASCII punctuation behind or not; None for other words.
+
+        Such a word is its letters and its punctuation to the vocabulary's
+        rules, so both are merged at once and remembered each for itself.
+        """
+        parts = _SIMPLE.fullmatch(word) if self._direct else None
+        if not parts:
+            return None
+        letters, signs = parts.groups()
+        return self._run(letters.lower()) + (self._run(signs) if signs else b"")
+
+    def _run(self, run: str) -> bytes:
+        found = self._runs.get(run)
+        if found is None:
+            if len(self._runs) > REMEMBERED:
+                self._runs.clear()
+            spelled = run if run.isascii() else run.encode().decode("latin-1").translate(_LETTERS)
+            ids = [token.id for token in self._tokenizer.model.tokenize(spelled)]
+            found = self._runs[run] = struct.pack(f"<{len(ids)}{'H' if self.bits == 16 else 'I'}", *ids)
+        return found
+
     def _learn(self, words: list[str]) -> None:
+        others, known = [], self._known
+        for word in words:
+            ids = self._simple(word)
+            if ids is None:
+                others.append(word)
+            else:
+                known[word] = ids
         size = self.bits // 8
-        for at in range(0, len(words), _LEARNED):
-            some = words[at : at + _LEARNED]
+        for at in range(0, len(others), _LEARNED):
+            some = others[at : at + _LEARNED]
             encoding = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
             data = np.array(encoding.ids, self._type).tobytes()
             starts = np.cumsum([0, *(len(word) + 1 for word in some)])
             places = np.array([place for place, _ in encoding.offsets], np.int64)
             cuts = (size * np.searchsorted(places, starts)).tolist()
             for word, a, b in zip(some, cuts, cuts[1:], strict=False):
-                self._known[word] = data[a:b]
+                known[word] = data[a:b]
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text and the end id."""

@@ -27,7 +27,7 @@ _PLACE_BITS = 40
 _PLACE = (1 << _PLACE_BITS) - 1
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """A printable letter for each byte: itself where printable, else the next ones from 256."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [byte for byte in range(256) if byte not in printable]
@@ -53,7 +53,7 @@ class Merger:
             number[one] << _PLACE_BITS | number[two]: (rank << _PLACE_BITS, number[one + two])
             for rank, (one, two) in enumerate(model["merges"])
         }
-        letters = _byte_letters()
+        letters = byte_letters()
         self._bytes = [number[letter] for letter in letters]
         self._byte_of = {letter: number[letter] for letter in letters}
         special = [token["content"] for token in described["added_tokens"]]

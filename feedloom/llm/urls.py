@@ -20,10 +20,8 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: The longest label of a host name; longer runs of letters are no names and stay whole.
-LONGEST_LABEL = 63
-#: The longest word that a label is split into.
-LONGEST_WORD = 20
+#: Letters of a word by which it is looked up; longer ones are looked up by their first letters and then compared.
+KEY_LETTERS = 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,10 +51,11 @@ def rule_of(rules: tuple[tuple[str, str, str], ...], host: Column, path: Column)
 
 def word_counts(html: DataFrame, column: str) -> DataFrame:
     """(word, n): how often each word stands in the readable text of all pages."""
-    hidden = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>|&\w+;"
+    # What is not closed reaches to the end, and a tag ends before the next one, so no stretch is searched twice.
+    hidden = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*+>|\z)|<[^<>]*+>|&\w++;"
     text = F.lower(F.regexp_replace(F.col(column), hidden, " "))
     words = html.select(F.explode(F.regexp_extract_all(text, F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    return words.where(F.length("word") <= LONGEST_WORD).groupBy("word").agg(F.count("*").alias("n"))
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def best_split(label: str, known: list[tuple[int, int, float]], unknown: float) -> list[str]:
@@ -66,15 +65,24 @@ def best_split(label: str, known: list[tuple[int, int, float]], unknown: float)
     the label. Any other stretch is a word that costs ``unknown`` and a tenth
     of its probability for each letter.
     """
-    ending: dict[int, dict[int, float]] = {}
+    ending: dict[int, list[tuple[int, float]]] = {}
     for start, end, score in known:
-        ending.setdefault(end, {})[start] = score
+        ending.setdefault(end, []).append((start, score))
+    places = {(start, end) for start, end, _ in known}
+    letter = math.log(10)
     best, cut = [0.0], [0]
+    # The best beginnings of a stretch that is no word: its price grows with its letters, wherever it begins.
+    open_from: list[int] = []
     for end in range(1, len(label) + 1):
-        score, start = max(
-            (best[start] + ending.get(end, {}).get(start, unknown - (end - start) * math.log(10)), start)
-            for start in range(max(0, end - LONGEST_WORD), end)
-        )
+        start = end - 1
+        while open_from and best[open_from[-1]] + open_from[-1] * letter <= best[start] + start * letter:
+            open_from.pop()
+        open_from.append(start)
+        unknown_start = next((x for x in open_from if (x, end) not in places), None)
+        choices = [(best[start] + score, start) for start, score in ending.get(end, ())]
+        if unknown_start is not None:
+            choices.append((best[unknown_start] + unknown - (end - unknown_start) * letter, unknown_start))
+        score, start = max(choices)
         best.append(score)
         cut.append(start)
     words, end = [], len(label)
@@ -87,26 +95,27 @@ def best_split(label: str, known: list[tuple[int, int, float]], unknown: float)
 def split_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     """(label, words) of distinct ``labels``: unigram Viterbi with the counts of ``words`` (word, n).
 
-    The dictionary may be of any size: the stretches of a label, at most 20 to a
-    letter, are joined with it, and only those that are words come back to the
-    label, whose row is then split.
+    The dictionary may be of any size and its words of any length. The stretches
+    of a label up to ``KEY_LETTERS`` letters are joined with it; longer words
+    are joined by their first letters and kept where the label goes on like
+    them. Only what is a word comes back to the label, whose row is then split.
     """
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     base = math.log(max(total, 1))
-    short = labels.where(F.length("label") <= LONGEST_LABEL)
-    stretches = short.select(
-        "label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("start")
-    ).select(
-        "label",
-        "start",
-        F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - F.col("start") + 1))).alias("length"),
-    )
+    starts = labels.select("label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("start"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(KEY_LETTERS), F.length("label") - F.col("start") + 1))
+    stretches = starts.select("label", "start", F.explode(lengths).alias("length"))
     stretches = stretches.withColumn("word", F.col("label").substr(F.col("start"), F.col("length")))
+    short = stretches.join(words, "word").select("label", "start", "length", "n")
+    longer = words.where(F.length("word") > KEY_LETTERS).withColumn("key", F.left("word", F.lit(KEY_LETTERS)))
+    keyed = stretches.where(F.col("length") == KEY_LETTERS).withColumnRenamed("word", "key").drop("length")
+    goes_on = F.col("label").substr(F.col("start"), F.length("word")) == F.col("word")
+    long = keyed.join(longer, "key").where(goes_on).select("label", "start", F.length("word").alias("length"), "n")
     score = (F.log(F.col("n").cast("double")) - base).alias("score")
-    places = stretches.join(words, "word").select(
+    places = short.union(long).select(
         "label", F.struct((F.col("start") - 1).alias("a"), (F.col("start") - 1 + F.col("length")).alias("b"), score).alias("place")
     )
-    known = places.groupBy("label").agg(F.collect_list("place").alias("known"))  # at most 20 for each of 63 letters
+    known = places.groupBy("label").agg(F.collect_list("place").alias("known"))  # the words in one label
     joined = labels.join(known, "label", "left").select("label", "known")
     schema = StructType([StructField("label", StringType()), StructField("words", ArrayType(StringType()))])
 
@@ -115,7 +124,7 @@ def split_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
             found = []
             for label, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 places = sorted((place["a"], place["b"], place["score"]) for place in known or [])
-                found.append(best_split(label, places, -base) if len(label) <= LONGEST_LABEL else [label])
+                found.append(best_split(label, places, -base))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], schema.names)
 
     return in_python(joined, split, schema)

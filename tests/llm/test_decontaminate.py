@@ -53,14 +53,16 @@ def test_rows(spark, monkeypatch):
     rows = [
         (1, f"before. {ITEM.upper()}!! after", 0, 0), (2, ITEM.replace("quick", "quack").replace(" ", "###  "), 0, 0),
         (3, ITEM[:40], 0, 0), (4, None, 0, 0), (5, "", 0, 0), (6, "a tiny item", 0, 0), (6, f"xx {ITEM}", 0, 0),
-        (None, ITEM, 0, 0), (7, "x " * 50_000 + ITEM, 0, 0), (8, "a tinyitem", 0, 0),
+        (None, ITEM, 0, 0), (7, "x " * 50_000 + ITEM, 0, 0), (8, "a tinyitem", 0, 0), (9, "an item that has none", 0, 0),
+        (20, "the small itam of ours", 0, 0),
     ]
     docs = spark.createDataFrame(rows, DOCS)
     items = spark.createDataFrame(
-        [(10, ITEM, 1), (11, "Tiny item", 1), (12, "", 1), (13, None, 1), (14, "!!", 1), (None, ITEM, 1), (10, ITEM, 1)],
+        [(10, ITEM, 1), (11, "Tiny item", 1), (12, "", 1), (13, None, 1), (14, "!!", 1), (None, ITEM, 1), (10, ITEM, 1),
+         (None, "item that has none", 1), (15, "small item of", 1)],
         "item_id bigint, text string, doc_id int",
     )
-    expected = {(1, 10, 0), (2, 10, 1), (6, 10, 0), (6, 11, 0), (7, 10, 0)}
+    expected = {(1, 10, 0), (2, 10, 1), (6, 10, 0), (6, 11, 0), (7, 10, 0), (20, 15, 1)}
     for block in (d.BLOCK_CHARACTERS, 20):
         monkeypatch.setattr(d, "BLOCK_CHARACTERS", block)
         found = d.contaminated(docs, items)

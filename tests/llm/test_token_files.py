@@ -14,7 +14,7 @@ from feedloom.llm import token_files
 from feedloom.llm.token_files import EliasFano
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-LETTERS = "ab 'sT1 \n\t\x1c\x85\xa0éÉß漢字½٣ः𝟘😀՘࢏🫨  ​﻿\u0301\u0300가"
+LETTERS = "abÉÿß 'sT1 \n\t\x1c\x85\xa0éÉß漢字½٣ः𝟘😀՘࢏🫨  ​﻿\u0301\u0300가"
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +40,9 @@ def test_elias_fano(n, top):
 def test_encoder(library, monkeypatch):
     random.seed(5)
     encoder = token_files.Encoder(PATH, 1)
-    assert encoder.bits == 16 and encoder._by_word
+    assert encoder.bits == 16 and encoder._by_word and encoder._direct
+    for word in ("Word", "DON'T", "it's,", "a<|endoftext|>", "<|endoftext|>", "e-mail", "end...", "X!?\"", "ab_c", "_", "ſt", "K,", "ÀÖØöøÿ", "e\u0301", "é\u0301", "ß", "×a", "İI"):
+        assert np.frombuffer(encoder.encode(word), "<u2").tolist() == library(word), word
     for remembered in (1000, 4):
         monkeypatch.setattr(token_files, "REMEMBERED", remembered)
         for _ in range(2000):
