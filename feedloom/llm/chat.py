@@ -84,12 +84,14 @@ def formatted(turns: DataFrame, path: str, learned: str = "assistant") -> DataFr
 
     Turns stand in order of ``turn``, ties by role, then text, NULL first;
     repeated rows are repeated turns. A NULL role or text is empty; an empty
-    text has no token. Rows without a conv_id are one conversation without an
-    id. No row gives no row; further columns are not read. One shuffle, by
+    text has no token. A row without a conv_id is a conversation of one turn
+    without an id. No row gives no row; further columns are not read. One shuffle, by
     conversation; a conversation is one row and so fits into a task.
     """
     rows = exact(turns, "conv_id", "turn", "role", "text")
-    conversations = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    rows = rows.withColumns({name: F.make_valid_utf8(name) for name in ("role", "text")})
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    conversations = rows.groupBy("conv_id", alone.alias("__alone")).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")).drop("__alone")
 
     def encoded(batch: pa.RecordBatch) -> list[pa.Array]:
         columns: list[list] = [[], [], [], [], []]

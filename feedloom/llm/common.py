@@ -11,7 +11,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feedloom.session import new_path
 
@@ -86,9 +86,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def in_python(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+    """``mapInArrow`` with a function of this package.
+
+    Texts that are not valid UTF-8 reach it repaired, a replacement character for each part that is not.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    named = [(field, F.col("`" + field.name.replace("`", "``") + "`")) for field in df.schema]
+    valid = [F.make_valid_utf8(column).alias(field.name) if field.dataType == StringType() else column for field, column in named]
+    return df.select(*valid).mapInArrow(function, schema)
 
 
 @contextmanager

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -29,7 +30,7 @@ from feedloom.llm.common import Scratch, arrow_rows, exact, in_python
 ORDER = 2
 STRENGTH = 500.0
 #: Bytes of text that are scored with one automaton of their own n-grams; a longer text is alone.
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 8_000_000
 #: Bytes of text whose n-grams are counted in one group, about.
 GROUP_BYTES = 12_000_000
 #: Bits by which the runs of a group are told apart.
@@ -152,67 +153,69 @@ class Automaton:
     arc for every word. Probabilities are those of hierarchical Dirichlet
     smoothing: (count + STRENGTH x the shorter history's probability) /
     (count of the history + STRENGTH).
+
+    The arcs are numbered like the runs of the chunk: the run of k + 1 tokens
+    is the arc from the state of its first k, and leads to its own state, or
+    where it is none to that of the run without its first token.
     """
 
     def __init__(self, chunk: Chunk, counts: list[np.ndarray], n_tokens: int, n_types: int, n_texts: int, strength: float):
-        width = chunk.n_words + 2
+        self.chunk, self._states = chunk, 1
         single = np.concatenate([counts[0], [n_texts, n_texts]]).astype(np.float64)
         probability = (single + 0.5) / (n_tokens + 0.5 * (n_types + 1))
         self.root = np.log10(probability)
-        self.fail: list[int] = [0]
-        self.fail_weight: list[float] = [0.0]
         history = single.copy()
         history[chunk.end] = 0  # nothing follows an end
-        state = np.zeros(width, np.int64)
+        state = np.zeros(len(single), np.int64)
         if len(counts) > 1:
-            state = self._states(history, state, strength)
-        self._root_weight, self._root_target = self.root.tolist(), state.tolist()
-        self._start = int(state[chunk.start])
-        self._arcs: dict[int, int] = {}
-        self._weights, self._targets = array("d"), array("q")
-        self._width = width
+            state = self._new_states(history, state)
+        #: For each level above the root: arcs that exist, their weights, the state each begins at (0: none longer), what
+        #: failing there costs, and where they lead.
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.root_target = state
         for k in range(1, len(counts)):
             at = np.zeros(len(chunk.keys[k]), np.int64)
             there = np.flatnonzero(chunk.of[k] >= 0)
             at[chunk.of[k][there]] = there  # a place where each run ends
             count, last, shorter, before = counts[k].astype(np.float64), chunk.tokens[at], chunk.of[k - 1][at], chunk.of[k - 1][at - 1]
             smoothed = (count + strength * probability[shorter]) / (history[before] + strength)
+            known = history[before] > 0
+            fail = np.where(known, np.log10(strength / (history[before] + strength)), 0.0)
             longer = np.where(last == chunk.end, 0.0, count)
-            target = self._states(longer, state[shorter], strength) if k + 1 < len(counts) else state[shorter]
-            seen = np.flatnonzero(count > 0)
-            arcs = state[before[seen]] * width + last[seen]
-            self._arcs.update(zip(map(int, arcs), range(len(self._weights), len(self._weights) + len(arcs)), strict=True))
-            self._weights.frombytes(np.log10(smoothed[seen]).tobytes())
-            self._targets.frombytes(target[seen].tobytes())
+            target = self._new_states(longer, state[shorter]) if k + 1 < len(counts) else state[shorter]
+            self.levels.append((count > 0, np.log10(smoothed), np.where(known, state[before], 0), fail, target))
             probability, state, history = smoothed, target, longer
 
-    def _states(self, history: np.ndarray, shorter: np.ndarray, strength: float) -> np.ndarray:
+    def _new_states(self, history: np.ndarray, shorter: np.ndarray) -> np.ndarray:
         """New states for the runs that occur, the shorter history's state for the others."""
         new = np.flatnonzero(history > 0)
         state = shorter.copy()
-        state[new] = np.arange(len(new)) + len(self.fail)
-        self.fail.extend(shorter[new].tolist())
-        self.fail_weight.extend(np.log10(strength / (history[new] + strength)).tolist())
+        state[new] = np.arange(len(new)) + self._states
+        self._states += len(new)
         return state
 
-    def walk(self, words: list[int]) -> float:
-        """The log10-probability of a text's words and its end, from left to right."""
-        arcs, width, root, target = self._arcs.get, self._width, self._root_weight, self._root_target
-        fail, fail_weight, weights, targets = self.fail, self.fail_weight, self._weights, self._targets
-        state, total = self._start, 0.0
-        for word in words:
-            while state:
-                arc = arcs(state * width + word)
-                if arc is not None:
-                    total += weights[arc]
-                    state = targets[arc]
-                    break
-                total += fail_weight[state]
-                state = fail[state]
-            else:
-                total += root[word]
-                state = target[word]
-        return total
+    def walk(self) -> tuple[np.ndarray, np.ndarray]:
+        """The weight of every token's step and the state after it, through all texts of the chunk from left to right.
+
+        Before a token the automaton is in the state that the last token led
+        to, which is that of the longest run behind it that is a history. From
+        there it takes the token's arc, or failure arcs down to a state that
+        has one. All texts take their steps at once: each level's arcs follow
+        from the runs that end at the tokens, the lowest level first.
+        """
+        weight, state = self.root[self.chunk.tokens], self.root_target[self.chunk.tokens]
+        for k, (arc, arc_weight, _, fail, target) in enumerate(self.levels, 1):
+            there = np.flatnonzero(self.chunk.of[k] >= 0)
+            run = self.chunk.of[k][there]
+            weight[there] = np.where(arc[run], arc_weight[run], weight[there] + fail[run])
+            state[there] = np.where(arc[run], target[run], state[there])
+        return weight, state
+
+    def scores(self) -> np.ndarray:
+        """The log10-probability of each text's words and its end."""
+        weight, _ = self.walk()
+        weight[self.chunk.begin[:-1]] = 0.0  # where a text begins nothing is said yet
+        return np.add.reduceat(weight, self.chunk.begin[:-1])
 
 
 _ASKED = StructType(
@@ -230,7 +233,7 @@ def _buckets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _chunked(batches: Iterator[pa.RecordBatch], order: int, bits: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows of texts, each under a chunk, and rows that ask for the counts of the chunk's distinct n-grams."""
+    """A chunk's texts in one row, its documents in order, and rows that ask for the counts of the chunk's distinct n-grams."""
     from pyspark import TaskContext
 
     chunk_id = TaskContext.get().partitionId() << 32
@@ -238,8 +241,12 @@ def _chunked(batches: Iterator[pa.RecordBatch], order: int, bits: int, schema: p
     def close(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         chunk = Chunk([text for _, _, text in rows], order, bits)
         learned = np.array([not held for _, held, _ in rows], bool)
-        out: list[dict] = [{"chunk": chunk_id, "kind": 0, "id": doc, "held": held, "text": text} for doc, held, text in rows]
-        yield pa.RecordBatch.from_pylist(out, schema)
+        out: list[dict] = [
+            {"chunk": chunk_id, "kind": 0, "length": 1, "bucket": i, "id": doc, "held": held, "size": len(text)}
+            for i, (doc, held, text) in enumerate(rows)
+        ]
+        texts = zstandard.compress(b"".join(text for _, _, text in rows))
+        yield pa.RecordBatch.from_pylist([{"chunk": chunk_id, "kind": 0, "length": 0, "texts": texts}, *out], schema)
         for k in range(order):
             counts, keys = chunk.counts(k, learned), chunk.keys[k] if k else chunk.hashes
             for bucket, a, b in _buckets(keys, bits):
@@ -315,21 +322,24 @@ def _answer(columns: list, names: list[str]) -> pa.RecordBatch:
 
 def _scored(batches, order: int, bits: int, strength: float, n_tokens: int, n_types: int, n_texts: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for _, rows in _grouped(batches, ["chunk"]):
-        texts = [row for row in rows if row["kind"] == 0]
-        chunk = Chunk([row["text"] for row in texts], order, bits)
+        joined = zstandard.decompress(rows[0]["texts"])
+        docs = [row for row in rows if row["kind"] == 0 and row["length"]]
+        cuts = np.cumsum([0, *(row["size"] for row in docs)]).tolist()
+        chunk = Chunk([joined[a:b] for a, b in itertools.pairwise(cuts)], order, bits)
         counts = []
         for k in range(order):
             own = [unpacked(row["counts"]) for row in rows if row["kind"] and row["length"] == k + 1]  # buckets ascend, as keys do
             counts.append(np.concatenate([*own, np.empty(0, np.uint64)]).astype(np.int64))
         automaton = Automaton(chunk, counts, n_tokens, n_types, n_texts, strength)
+        inner = np.ones(len(chunk.tokens), bool)
+        inner[chunk.begin[:-1]] = False
         known = np.concatenate([counts[0], [n_texts, n_texts]]) > 0
-        out = []
-        for i, row in enumerate(texts):
-            words = chunk.tokens[chunk.begin[i] + 1 : chunk.begin[i + 1]]
-            out.append(
-                (row["id"], row["held"], len(words), int(known[words].sum()), n_tokens, math.fsum(automaton.root[words]), automaton.walk(words.tolist()))
-            )
-        yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        per_text = [np.add.reduceat(np.where(inner, x[chunk.tokens], 0), chunk.begin[:-1]) for x in (known.astype(np.int64), automaton.root)]
+        columns = [
+            [row["id"] for row in docs], [row["held"] for row in docs], np.diff(chunk.begin) - 1, per_text[0],
+            [n_tokens] * len(docs), per_text[1], automaton.scores(),
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(columns, schema, strict=True)], schema=schema)
 
 
 def scores(
@@ -369,12 +379,12 @@ def scores(
     rows = rows.select("id", held_out("id").alias("held"), F.col("text").cast("binary"))
     wide = StructType(
         [_ASKED["chunk"], StructField("kind", IntegerType()), StructField("id", id_type), StructField("held", BooleanType())]
-        + [StructField("text", BinaryType()), *_ASKED.fields[1:]]
+        + [StructField("size", LongType()), StructField("texts", BinaryType()), *_ASKED.fields[1:]]
     )
     wide_arrow = to_arrow_schema(wide)
     chunked = in_python(rows, lambda batches: _chunked(batches, order, bits, wide_arrow), wide)
     texts, asked = scratch.write_parts(chunked, "chunks", "kind", [0, 1])
-    n_texts = texts.where("NOT held").count()
+    n_texts = texts.where("length = 1 AND NOT held").count()
 
     answer = StructType([*_ASKED.fields[:3], _ASKED["counts"], StructField("types", LongType()), StructField("total", LongType())])
     groups = asked.select(*_ASKED.names).repartition("length", "bucket").sortWithinPartitions("length", "bucket", "chunk")
@@ -394,9 +404,9 @@ def scores(
     result_arrow = to_arrow_schema(result)
     none = F.lit(None)
     told = answers.where("chunk >= 0").select(
-        "chunk", F.lit(1).alias("kind"), none.cast(id_type).alias("id"), none.cast("boolean").alias("held"), none.cast("binary").alias("text"),
-        "length", "bucket", "counts",
-    )
-    own = texts.select("chunk", F.lit(0).alias("kind"), "id", "held", "text", *(none.cast(t).alias(c) for c, t in (("length", "int"), ("bucket", "long"), ("counts", "binary"))))
+        "chunk", F.lit(1).alias("kind"), none.cast(id_type).alias("id"), none.cast("boolean").alias("held"), none.cast("long").alias("size"),
+        none.cast("binary").alias("texts"), "length", "bucket", "counts",
+    )
+    own = texts.select("chunk", F.lit(0).alias("kind"), "id", "held", "size", "texts", "length", "bucket", none.cast("binary").alias("counts"))
     both = own.union(told).repartition("chunk").sortWithinPartitions("chunk", "kind", "length", "bucket")
     return in_python(both, lambda batches: _scored(batches, order, bits, strength, n_tokens, n_types, n_texts, result_arrow), result)

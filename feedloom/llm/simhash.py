@@ -163,18 +163,18 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """One row of each group of linked fingerprints, with all its columns: that of least id, then of least text hash.
 
     Groups are of rows, whatever their ids: unlike texts under one id stay one
-    each. Of rows equal in id and text one stays. Rows without an id are linked
-    to nothing and stay.
+    each, and rows without an id come behind those with one. Of rows equal in
+    id and text one stays.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     hash_of = F.coalesce(F.md5(docs[text_column]), F.lit(""))
-    keyed = docs.where(docs[id_column].isNotNull())
-    keys = keyed.select(F.struct(docs[id_column].alias("doc"), hash_of.alias("hash")).alias("key"), docs[text_column].alias("text"))
+    keys = docs.select(F.struct(docs[id_column].alias("doc"), hash_of.alias("hash")).alias("key"), docs[text_column].alias("text"))
     hashed = scratch.write(fingerprints(keys, "key", "text").select("key.doc", "key.hash", "fp"), "fingerprints")
-    classes = _classes(spark, hashed, DISTANCE).select("fp", "root")
-    kept = hashed.join(classes, "fp").groupBy("root").agg(F.min(F.struct("doc", "hash")).alias("kept")).select("kept.*")
-    rows = keyed.select(F.struct("*").alias("row"), docs[id_column].alias("id"), hash_of.alias("text_hash"))
+    classes = _classes(spark, hashed.select(F.lit(0).alias("doc"), "fp"), DISTANCE).select("fp", "root")
+    first = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "hash"))
+    kept = hashed.join(classes, "fp").groupBy("root").agg(first.alias("kept")).select("kept.*")
+    rows = docs.select(F.struct("*").alias("row"), docs[id_column].alias("id"), hash_of.alias("text_hash"))
     turn = F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("text_hash"))
-    same = (rows["id"] == kept["doc"]) & (rows["text_hash"] == kept["hash"])
+    same = rows["id"].eqNullSafe(kept["doc"]) & (rows["text_hash"] == kept["hash"])
     firsts = rows.join(kept, same, "left_semi").withColumn("turn", turn).where("turn = 1")
-    return firsts.select("row.*").union(docs.where(docs[id_column].isNull()))
+    return firsts.select("row.*")

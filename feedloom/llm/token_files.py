@@ -296,7 +296,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, id_column: s
     token ids. No row gives no shard. Ids of documents are whole numbers.
     """
     docs = exact(docs, id_column, text_column).toDF("doc", "text")
-    docs = docs.select(F.col("doc").cast("long"), F.make_valid_utf8(F.coalesce("text", F.lit(""))).alias("text"))
+    docs = docs.select(F.col("doc").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, min(PARTS, -(-size // PART_BYTES)))
     shares = [i / parts for i in range(1, parts)]

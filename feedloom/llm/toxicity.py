@@ -264,7 +264,8 @@ def _votes(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Every row's id, ``held_out``, ``score``, ``predicted`` and ``evidence``, the ids of its nearest examples.
 
-    The score is a function of the whole text alone. A NULL or empty text, and
+    The score is a function of the whole text; an example is not its own
+    neighbour, so no row's label is in its own score. A NULL or empty text, and
     one without a telling term, has the score of the overall share; without any
     learned label that is 0. Rows without an id are scored and not held out;
     repeated rows are scored each. No row gives no row; further columns are not
@@ -282,7 +283,8 @@ def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            votes = [shared.value.vote(text.as_py()) for text in batch.column(1)]
+            rows = zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+            votes = [shared.value.vote(text.as_py(), shared.value.place.get(doc, -1)) for doc, text in rows]
             scores = [shared.value.score(vote) for vote, _ in votes]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -298,14 +300,15 @@ def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column
     return in_python(rows, score, StructType(fields))
 
 
-def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, model: Model, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The rows that are not predicted toxic, with all their columns. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text_column)
+    place, number = docs.columns.index(text_column), docs.columns.index(id_column)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            votes = (shared.value.vote(text.as_py())[0] for text in batch.column(place))
+            rows = zip(batch.column(number).to_pylist(), batch.column(place), strict=True)
+            votes = (shared.value.vote(text.as_py(), shared.value.place.get(doc, -1))[0] for doc, text in rows)
             yield batch.filter(pa.array([shared.value.score(vote) < THRESHOLD for vote in votes], pa.bool_()))
 
     return in_python(docs, kept, docs.schema)

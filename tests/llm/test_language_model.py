@@ -109,18 +109,34 @@ def test_pieces_of_long_texts(spark, monkeypatch):
 
 
 def test_probabilities_of_all_words_sum_to_one():
-    """In every state: the words of the model and one unknown word."""
-    texts = [b"a b a c a b", b"b b a", b"", b"c a unknown"]
-    chunk = Chunk(texts, 3, 2)
-    learned = np.array([True, True, True, False])
-    counts = [chunk.counts(k, learned) for k in range(3)]
-    known = [word for word in range(chunk.n_words) if counts[0][word]]
-    assert len(known) == 3
-    model = Automaton(chunk, counts, 12, 4, 3, 2.0)
-    unknown = chunk.words.index(b"unknown")
-    for history in ([], [known[0]], [known[0], known[1]], [known[2], known[0]]):
-        before = model.walk(history)
-        assert sum(10 ** (model.walk([*history, word]) - before) for word in [*known, chunk.end, unknown]) == pytest.approx(1)
+    """In every state: the words of the model, an end and one unknown word, walked as texts of their own."""
+    learned = [b"a b a c a b", b"b b a", b""]
+    for history in (b"", b"a", b"a b", b"c a", b"unknown", b"a unknown"):
+        nexts = [history + b" " + word for word in (b"a", b"b", b"c", b"unknown")]
+        texts = [*learned, history, *nexts]
+        chunk = Chunk(texts, 3, 2)
+        counts = [chunk.counts(k, np.arange(len(texts)) < 3) for k in range(3)]
+        model = Automaton(chunk, counts, 12, 4, 3, 2.0)
+        weight, state = model.walk()
+        last = [weight[chunk.begin[4 + i + 1] - 2] for i in range(4)]  # the step to the last word
+        end = weight[chunk.begin[4] - 1]
+        assert sum(10**x for x in [*last, end]) == pytest.approx(1)
+        assert state[chunk.begin[4] - 1] == 0  # an end leads nowhere
+
+
+def test_states_and_failure_arcs():
+    chunk = Chunk([b"a b a b c", b"a b d"], 3, 0)
+    model = Automaton(chunk, [chunk.counts(k, np.array([True, False])) for k in range(3)], 6, 4, 1, 2.0)
+    number = {word: i for i, word in enumerate(chunk.words)}
+    weight, state = model.walk()
+    arcs, weights, begins, fails, _ = model.levels[1]
+    run = chunk.of[2][chunk.begin[1] + 3]  # a b d, which was not seen
+    assert not arcs[run] and begins[run] == state[chunk.begin[1] + 2] > 0  # from the state of a b
+    below = chunk.of[1][chunk.begin[1] + 3]  # b d
+    assert not model.levels[0][0][below]
+    expected = fails[run] + model.levels[0][3][below] + model.root[number[b"d"]]
+    assert weight[chunk.begin[1] + 3] == pytest.approx(expected) and fails[run] == pytest.approx(math.log10(2 / (2 + 2)))
+    assert state[chunk.begin[1] + 3] == 0
 
 
 def test_packing():

@@ -70,7 +70,9 @@ def test_repeated_and_missing_ids(spark):
     found = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((str(r["doc_id"]), r["component_id"]) for r in found) == [("3", 3), ("5", 3), ("5", 3), ("None", None)]
     kept = simhash.one_of_each(spark.createDataFrame([*rows, (9, "q", "z", 1, 1), (9, "q", "z", 1, 1)], SCHEMA))
-    assert sorted((str(r["doc_id"]), r["fp"]) for r in kept.collect()) == [("3", ""), ("9", "z"), ("None", "")]
+    assert sorted((str(r["doc_id"]), r["fp"]) for r in kept.collect()) == [("3", ""), ("9", "z")]
+    without = simhash.one_of_each(spark.createDataFrame([(None, "a b c d e", "", 0, 0)] * 3 + [(None, "q r s t u v", "", 0, 0)], SCHEMA))
+    assert without.count() == 2
 
 
 def test_unlike_texts_under_one_id(spark):

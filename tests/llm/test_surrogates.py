@@ -95,3 +95,26 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a@b.co", 0, "", 0)], SCHEMA)
     plan = surrogates.pseudonymized(docs, "k")._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+INSIDES = ["a.", "a", "1 ", "12-", "1234 ", "+1 ", "(1) ", "0.", "a@", "a-", "a@b.", "1.1.1.", "Mr ", "Mr A", "Ä", "_+-.", "030/", "@.", "4111-"]
+
+
+@pytest.mark.parametrize("end", ["b", "@b.org"])
+def test_no_text_is_too_long(spark, end):
+    """A hundred thousand turns of what the patterns repeat: no stack ends, and what follows is still found."""
+    texts = [f"1 {inside * 100_000}{end} \n x.y@z.org" for inside in INSIDES]
+    found = replaced(spark, texts)
+    assert len(found) == len(texts) and all("x.y@z.org" not in text for text, _ in found.values())
+
+
+def test_whole_private_networks(spark):
+    """More than half of a network's addresses are in the corpus: all get others of it, each another one."""
+    addresses = spark.range(60_000).selectExpr("'ip' AS kind", "concat('192.168.', id DIV 256, '.', id % 256) AS same")
+    more = spark.range(2_000).selectExpr("'ip' AS kind", "concat(if(id % 2 = 0, '10.', '172.16.'), if(id % 2 = 0, '1.', ''), id DIV 256, '.', id % 256) AS same")
+    found = surrogates.surrogates(addresses.union(more), "k").collect()
+    assert len(found) == 62_000 == len({r["surrogate"] for r in found}) and all(r["same"] != r["surrogate"] for r in found)
+    network = re.compile(r"(10|192\.168|172\.16)((?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){2,3})")
+    for row in found:
+        a, b = network.fullmatch(row["same"]), network.fullmatch(row["surrogate"])
+        assert a[1] == b[1] and a[2].count(".") == b[2].count(".")

@@ -49,6 +49,24 @@ def test_splits_are_the_best_ones():
         assert "".join(found) == label and math.isclose(sum(map(price, found)), best)
 
 
+def test_long_words(spark):
+    """Words of any length are in the dictionary, and runs longer than a host's label are split too."""
+    long = "donaudampfschifffahrtsgesellschaft"
+    html = f"<p>{(long + ' kapitän see ') * 50} {'x' * 500}</p>"
+    given = [f"http://{long}.de/", f"http://see{long}kapitän.de/", f"http://{'see' * 40}.de/", f"http://see{'x' * 500}see.de/"]
+    found = [judge(spark, given, html)[i][4].split() for i in range(4)]
+    assert found[0][0] == long and found[1][:3] == ["see", long, "kapitän"]
+    assert found[2][:40] == ["see"] * 40 and found[3][:3] == ["see", "x" * 500, "see"]
+
+
+def test_pages_of_open_tags_are_read_once(spark):
+    """Patterns that search to the end from every place would take hours here."""
+    pages = ["<b " * 350_000, "<!-- " * 200_000, "<script> " * 120_000, "&a" * 500_000, "</script  " * 100_000, "< " * 500_000]
+    rows = [(i, "http://a.b/", page + "<i>word</i>", "x", 1, 2) for i, page in enumerate(pages)]
+    counts = urls.word_counts(spark.createDataFrame(rows, SCHEMA).select("html"), "html")
+    assert {r["word"]: r["n"] for r in counts.collect()}["word"] >= 3
+
+
 def test_odds(spark):
     given = ["http://cheappills.net/es/1", "http://cheappills.net/es/1", "http://good.com/ok", "http://cheappills.org/x", "http://good.org/ok", "http://q.org/z"]
     found = judge(spark, given)
@@ -65,5 +83,5 @@ def test_rows(spark):
     pages = spark.createDataFrame(rows, SCHEMA)
     found = urls.judged(pages, pages)
     assert found.count() == 4 and found.where("verdict IS NULL").isEmpty()
-    assert found.where("page_id = 2").first()["host_words"] == "a" * 70 + " " + "b" * 100_000
+    assert found.where("page_id = 2").first()["host_words"] == "a" * 70 + " " + "b" * 100_000  # no word is in them
     assert urls.judged(pages.limit(0), pages).count() == 0 and urls.judged(pages, pages.limit(0)).count() == 4
