@@ -32,8 +32,8 @@ SCHEMA = (
 def current_runs(events: DataFrame) -> DataFrame:
     """State of every run: how it first ended, else its latest event.
 
-    An end is final by definition: events that come later, whatever their clock
-    says, do not change it.
+    An end stands: events that come later, whatever their clock says, do not
+    change it.
     """
     ended = ~F.col("status").isin(*UNFINISHED)
     earliest_end = F.when(ended, -F.col("sequence")).otherwise(F.col("sequence"))

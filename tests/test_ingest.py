@@ -11,7 +11,9 @@ from feedloom.operators.ledger import Ledger
 from feedloom.operators.lookup import decrypted_view, find
 from feedloom.operators.merge import TargetTable
 from feedloom.plans.employee import EMPLOYEE
-from feedloom.plans.ingest import RecordCountMismatch, Warehouse, errors, ingest, new_execution_id, status, target_schema
+from feedloom.plans.ingest import (
+    RecordCountMismatch, Warehouse, errors, files, ingest, new_execution_id, status, target_schema,
+)
 
 
 def control(tmp_path, n):
@@ -126,3 +128,23 @@ def test_bad_key_or_run_id_is_refused_before_anything_is_written(spark, tmp_path
     with pytest.raises(ValueError, match="UUID"):
         ingest(spark, EMPLOYEE, "x", "CSV", "y", house, KEY, "run-1")
     assert not (tmp_path / "house").exists()
+
+
+def test_counts_of_every_file(spark, tmp_path):
+    """A manifest finds what the sum hides: one file too few, another too many, one missing, one nobody named."""
+    for name, rows in (("a", range(1, 6)), ("b", range(6, 9)), ("c", range(9, 11))):
+        write(tmp_path / f"{name}.csv", csv_text([variation(i) for i in rows]))
+    house, run = Warehouse(str(tmp_path / "house")), new_execution_id()
+    named = [(f"file://{tmp_path}/a.csv", 4), (str(tmp_path / "b.csv"), 4), (str(tmp_path / "lost.csv"), 0)]
+    manifest = spark.createDataFrame(named, "source_file string, expected int")
+    with pytest.raises(RecordCountMismatch, match="a.csv: Record count mismatch"):
+        ingest(spark, EMPLOYEE, str(tmp_path / "*.csv"), "CSV", control(tmp_path, 10), house, KEY, run, manifest=manifest)
+    found = {r["source_file"].rsplit("/", 1)[1]: (r["expected"], r["actual"], r["matched"], r["problem"]) for r in files(spark, house).collect()}
+    assert found["lost.csv"] == (0, 0, True, None) and found["c.csv"] == (None, 2, False, "not named in the manifest")
+    assert found["a.csv"][:3] == (4, 5, False) and found["b.csv"][:3] == (4, 3, False)
+    right = spark.createDataFrame([(str(tmp_path / f"{n}.csv"), k) for n, k in (("a", 5), ("b", 3), ("c", 2))], "source_file string, expected int")
+    again = ingest(spark, EMPLOYEE, str(tmp_path / "*.csv"), "CSV", control(tmp_path, 10), house, KEY, manifest=right, numbered=True)
+    assert again["records_loaded"] == 10 and files(spark, house).where("matched").count() == 4
+    stored = TargetTable(spark, house.table, target_schema(EMPLOYEE), EMPLOYEE.key).find("EMP0002")
+    assert stored.first()["phone_number_encrypted"].startswith("v2:")
+    assert decrypted_view(stored, EMPLOYEE, KEY).first()["phone_number"] == "5550001111"

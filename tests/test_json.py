@@ -135,6 +135,31 @@ def test_broken_files(spark, tmp_path, case):
     assert any(r["__raw"] is None and r["parse_error"] == "record has an invalid structure" for r in rows)
 
 
+def test_one_line_arrays_are_read_by_many_tasks(small_blocks, tmp_path):
+    """Blocks begin inside strings, between brackets and in elements longer than a block."""
+    records = [{"id": n, "t": '"}],[{' * (n % 5) + "\\" * (n % 3), "n": {"l": [{"x": {}}] * (n % 4)}} for n in range(150)]
+    records[70]["t"] = "} long " * 400
+    write(tmp_path / "a.json", json.dumps(records))
+    write(tmp_path / "b.json", json.dumps(records[:3] + [[{"a": 1}, 2], "x}", 7, None] + records[3:9]) + " \n ")
+    write(tmp_path / "c d.json", "[ ]")
+    write(tmp_path / "e.json", '{"id": 1}\n{"id": 2}\n')
+    df = read_json_elements(small_blocks, str(tmp_path / "*.json"))
+    found = {}
+    for row in df.collect():
+        found.setdefault(row["source_file"][-6:], []).append((row["record_number"], "x}" if row["__raw"] == "x}" else json.loads(row["__raw"])))
+    assert sorted(found) == ["a.json", "b.json", "e.json"]  # and every element of the empty array
+    assert sorted(found["a.json"], key=lambda x: x[0]) == list(enumerate(records, 1))
+    assert sorted(found["b.json"], key=lambda x: x[0]) == list(enumerate(records[:3] + [[{"a": 1}, 2], "x}", 7, None] + records[3:9], 1))
+    assert sorted(found["e.json"]) == [(1, {"id": 1}), (2, {"id": 2})]
+
+
+@pytest.mark.parametrize("text", ['[{"a":1},', '[{"a":1}', '[{"a":1}]}', '[{"a":"}]', "[", '[{"a":1}{"a":2}]', '[{"a":1},]', '[,{"a":1}]', '[{"a":1}],', '[{"a":1}]]'])
+def test_broken_one_line_arrays(spark, tmp_path, text):
+    source = write(tmp_path / "a.json", text)
+    with pytest.raises(Exception, match="not valid JSON"):
+        read_json(spark, source, ["a"]).collect()
+
+
 def test_good_arrays_with_commas_anywhere(small_blocks, tmp_path):
     layouts = ['[{"id":%d}\n,\n{"id":%d}\n,{"id":%d},\n\n{"id":%d}\n]', "[\n]", "[%d,\n%d\n,%d]", '[{"a":[\n%d\n,%d]}\n]\n\n']
     for i, layout in enumerate(layouts):

@@ -12,7 +12,7 @@ from feedloom.operators.merge import TargetTable, latest_per_key, upsert
 from feedloom.operators.reconcile import check_count, check_count_per, require_records
 from feedloom.operators import rewrite
 from feedloom.operators.rewrite import file_count, split_feed
-from feedloom.operators.route import write_error_report
+from feedloom.operators.route import write_error_report, write_error_table
 from feedloom.plans.ingest import new_execution_id, run_name
 from feedloom.sources.control import expected_count, read_control_files
 from feedloom.sources.files import check_files, inside, list_files, needs_split, normalized, plain
@@ -41,43 +41,48 @@ def test_upsert_replaces_adds_and_repeats_safely(spark, tmp_path):
     assert sorted(map(tuple, once.collect())) == [(1, "a"), (2, "y"), (3, "z")]
     assert sorted(map(tuple, upsert(once, incoming, "k", ["n"]).collect())) == [(1, "a"), (2, "y"), (3, "z")]
     table = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k")
-    assert table.read().count() == 0
+    assert table.read().count() == 0 and table.find(2).count() == 0
     table.publish(base)
-    table.merge(incoming, ["n"])
-    (tmp_path / "t" / "data" / "left-behind").mkdir()  # a write that was never committed
-    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "y"), (3, "z")]
-    table.merge(incoming, ["n"])
-    assert table.read().count() == 3 and table.commits() == [1, 2, 3]
-    table.drop_old(keep=1)
-    assert table.commits() == [3] and table.read().count() == 3
-
-
-def test_interleaved_writers_lose_nothing(spark, tmp_path):
-    table = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k")
-    table.publish(spark.createDataFrame([(1, "a")], "k int, v string"))
-    other, written = TargetTable(spark, table.path, table.schema, "k"), table._write
+    for _ in range(2):
+        table.merge(incoming, ["n"])
+        assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "y"), (3, "z")]
+    table.publish(base)
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "b")]
 
-    def interrupted(df, parts):
-        folders = written(df, parts)
-        if table.commits() == [1]:  # the other writer commits between this one's write and its commit
-            other.merge(spark.createDataFrame([(2, "b", 1)], "k int, v string, n int"), ["n"])
-        return folders
 
-    table._write = interrupted
-    assert table.merge(spark.createDataFrame([(3, "c", 1)], "k int, v string, n int"), ["n"]) == 3
-    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "b"), (3, "c")]
+def test_failed_merge_leaves_the_table(spark, tmp_path):
+    table = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k", parts=4)
+    table.publish(spark.range(40).selectExpr("int(id) AS k", "'a' AS v"))
+    bad = spark.range(40).selectExpr("int(id) AS k", "if(id = 39, raise_error('lost'), 'b') AS v", "1 AS n")
+    with pytest.raises(Exception, match="lost"):
+        table.merge(bad, ["n"])
+    assert table.read().where("v = 'a'").count() == table.read().count() == 40
 
 
 def test_parts_without_incoming_keys_are_not_rewritten(spark, tmp_path):
     table = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k", parts=8)
     table.publish(spark.range(100).selectExpr("int(id) AS k", "'a' AS v"))
-    before = table._folders(1)[1]
-    table.merge(spark.createDataFrame([(5, "b", 1), (100, "c", 1)], "k int, v string, n int"), ["n"])
-    after = table._folders(2)[1]
-    assert len(before) == 8 and 1 <= sum(before[part] != after[part] for part in before) <= 2
+    before = {p for p in (tmp_path / "t").glob("part_of_8=*/*.parquet")}
+    again = TargetTable(spark, str(tmp_path / "t"), "k int, v string", "k", parts=32)  # the stored number counts
+    again.merge(spark.createDataFrame([(5, "b", 1), (100, "c", 1)], "k int, v string, n int"), ["n"])
+    folders = {p.parent for p in before}
+    rewritten = {p.parent for p in before if not p.exists()}
+    assert len(folders) == 8 and 1 <= len(rewritten) <= 2
     assert table.read().count() == 101 and table.read().where("k = 5").first()["v"] == "b"
 
 
+def test_lookup_reads_one_partition(spark, tmp_path):
+    table = TargetTable(spark, str(tmp_path / "t"), "k bigint, v string", "k", parts=8)
+    table.publish(spark.range(1000).selectExpr("id AS k", "string(id) AS v"))
+    found = table.find(77)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(77, "77")] and table.find(1000).count() == 0
+    assert "part_of_8" in plan[plan.index("PartitionFilters") :].split("]")[0] and "EqualTo(k,77)" in plan
+    assert len({r[0] for r in found.select("_metadata.file_path").collect()}) == 1
+    keys = spark.createDataFrame([(5,), (5,), (900,), (-1,)], "k long")
+    assert sorted(r["v"] for r in table.find_all(keys).collect()) == ["5", "900"]
+
+
 def test_rows_without_a_key_are_refused(spark):
     rows = spark.createDataFrame([(1, 1), (None, 2)], "k int, n int")
     with pytest.raises(Exception, match="a key is missing"):
@@ -118,7 +123,7 @@ def test_ledger_states_and_gate(spark, tmp_path):
     ledger.save(refused, "f", "FAILED", at, reason="Control file is missing")
     for run in (done, stuck, refused):
         ledger.fail_if_unfinished(run, "worker lost")
-    ledger.save(done, "f", "FAILED", at, 2, reason="late")  # an end is final
+    ledger.save(done, "f", "FAILED", at, 2, reason="late")  # an end stands
     for status, source in (("DONE", "f"), ("STARTED", "f" * 1001)):
         with pytest.raises(ValueError):
             ledger.save(stuck, source, status, at)
@@ -137,6 +142,38 @@ def test_ledger_states_and_gate(spark, tmp_path):
     assert run_name(done) == f"ingestion_{done}"
 
 
+def test_ledger_compaction(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "runs"))
+    at = spark.sql("SELECT current_timestamp()").first()[0]
+    for i in range(5):
+        ledger.save(f"run-{i}", "f", ("STARTED", "RUNNING"), at, i)
+        if i % 2:
+            ledger.save(f"run-{i}", "f", "SUCCESS", at, i, i)
+    before = sorted(map(tuple, ledger.current().collect()))
+    ledger.compact(above=100)
+    assert len(list((tmp_path / "runs").glob("part-*"))) == 7
+    ledger.compact()
+    assert len(list((tmp_path / "runs").glob("part-*"))) == 1 and ledger.events().count() == 5
+    assert sorted(map(tuple, ledger.current().collect())) == before
+    ledger.save("run-0", "f", "SUCCESS", at, 0, 0)  # an event behind the compacted ones
+    assert {r["execution_id"]: r["status"] for r in ledger.current().collect()}["run-0"] == "SUCCESS"
+
+
+def test_errors_of_a_repeated_run_are_replaced(spark, tmp_path):
+    failures = spark.createDataFrame(
+        [("a", "f", 1, "PARSE_ERROR", "m", None), ("a", "f", 2, "PARSE_ERROR", "m", None), ("b", "f", 1, "LOAD_ERROR", "m", "{}")],
+        "execution_id string, source_file string, record_number long, error_type string, error_message string, raw_record string",
+    )
+    path = str(tmp_path / "errors")
+    write_error_table(failures, path)
+    first = {(r["execution_id"], r["record_number"]): r["id"] for r in spark.read.parquet(path).collect()}
+    write_error_table(failures.where("execution_id = 'a'"), path, "a")
+    again = spark.read.parquet(path).collect()
+    assert {(r["execution_id"], r["record_number"]): r["id"] for r in again} == first and len(again) == 3 == len(set(first.values()))
+    write_error_table(failures.limit(0), path, "a")
+    assert [r["execution_id"] for r in spark.read.parquet(path).collect()] == ["b"]
+
+
 def test_control_files(spark, tmp_path):
     contents = {
         "a": ("record_count=200", 200, None),
@@ -210,23 +247,24 @@ def test_paths_inside_a_root(spark):
     assert [r[0] for r in sizes.collect()] == [False, True]
 
 
-def test_split_keeps_padded_cells_and_bounds_partitions(spark, tmp_path, monkeypatch):
+def test_split_keeps_padded_cells_in_order(spark, tmp_path, monkeypatch):
+    """Two tasks write five files: each file is full, and all are in the feed's order."""
     monkeypatch.setattr(rewrite, "PARTITIONS", 2)
-    source = write(tmp_path / "a.csv", "a,b\n" + "".join(f'" {n} ",x\n' for n in range(10)))
+    source = write(tmp_path / "a.csv", "a,b\n" + "".join(f'" {n} ",x\n' for n in range(9)))
     split_feed(spark, source, "CSV", str(tmp_path / "out"), 2)
-    lines = [line for p in (tmp_path / "out").glob("part-*.csv") for line in p.read_text().splitlines()[1:]]
-    assert sorted(lines) == sorted(f" {n} ,x" for n in range(10)) or sorted(lines) == sorted(f'" {n} ",x' for n in range(10))
-    assert all(len(p.read_text().splitlines()) <= 3 for p in (tmp_path / "out").glob("part-*.csv"))
+    files = [p.read_text().splitlines() for p in sorted((tmp_path / "out").glob("part-*.csv"), key=lambda p: (p.name[:10], p.name[-12:]))]
+    assert [len(lines) - 1 for lines in files] == [2, 2, 2, 2, 1]
+    assert [line.replace('"', "") for lines in files for line in lines[1:]] == [f" {n} ,x" for n in range(9)]
 
 
 def test_split_csv_and_json(spark, tmp_path):
-    source = write(tmp_path / "a.csv", "employee_id,first_name\n" + "".join(f'E{n},"n, {n}"\n' for n in range(10)))
-    out = tmp_path / "csv"
+    for name, numbers in (("a", range(7)), ("b", range(7, 10))):
+        write(tmp_path / f"{name}.csv", "employee_id,first_name\n" + "".join(f'E{n},"n, {n}"\n' for n in numbers))
+    out, source = tmp_path / "csv", str(tmp_path / "*.csv")
     assert split_feed(spark, source, "CSV", str(out), 4) == 3
-    parts = sorted(out.glob("part-*.csv"))
-    lines = [p.read_text().splitlines() for p in parts]
-    assert len(parts) == 3 and sum(map(len, lines)) == 13 and all(p[0] == "employee_id,first_name" for p in lines)
-    assert all(3 <= len(p) - 1 <= 4 for p in lines)
+    lines = [p.read_text().splitlines() for p in sorted(out.glob("part-*.csv"))]
+    assert all(p[0] == "employee_id,first_name" for p in lines)
+    assert [line for p in lines for line in p[1:]] == [f'E{n},"n, {n}"' for n in range(10)] and [len(p) - 1 for p in lines] == [4, 4, 2]
     assert split_feed(spark, source, "CSV", str(out), 100) == 1  # the earlier parts are replaced
     assert len(list(out.glob("part-*.csv"))) == 1
     array = write(tmp_path / "a.json", "[" + ",\n".join(f'{{"employee_id": "E{n}",\n "x": null}}' for n in range(5)) + "]")

@@ -8,7 +8,9 @@ import pytest
 from fixtures import KEY, json_record
 from test_rules import records
 
-from feedloom.functions.protect import check_key, decrypt_failed, decrypt_if_present, decrypted, encrypt_columns
+from feedloom.functions.protect import (
+    check_key, decrypt_failed, decrypt_if_present, decrypted, encrypt_columns, encrypt_numbered,
+)
 from feedloom.functions.records import redacted_record
 from feedloom.operators.prepare import encrypt_sensitive, fill_missing, target_columns
 from feedloom.plans.employee import EMPLOYEE
@@ -26,6 +28,25 @@ def test_round_trip_fresh_ivs_and_form(spark):
     assert encrypt_columns(df, {"a": "plain"}, KEY).where(decrypted("a", KEY) == df["plain"]).count() == 200
 
 
+def test_numbered_encryption(spark):
+    """Keys and IVs follow from the place: none is used twice, and tampering with the place shows."""
+    df = spark.range(300).selectExpr("concat('f', id % 3) AS source_file", "id DIV 3 AS record_number", "concat('same', '') AS p")
+    sealed = stage(encrypt_numbered(df, {"a": "p", "b": "p"}, KEY), "numbered")
+    pairs = sealed.selectExpr("explode(array(a, b)) AS v").selectExpr("v", r"regexp_extract(v, '^v2:([^:]*:[^:]*):', 1) AS pair")
+    assert pairs.selectExpr("count(DISTINCT pair)", "count(DISTINCT v)").first() == (600, 600)
+    assert sealed.where((decrypted("a", KEY) == "same") & (decrypted("b", KEY) == "same")).count() == 300
+    assert sealed.where(decrypted("a", "k" * 32).isNotNull()).count() == 0
+    other = sealed.selectExpr("concat(left(a, 28), substr(lead(a) OVER (ORDER BY source_file, record_number), 29)) AS moved", "a")
+    other = other.selectExpr("if(substr(a, 4, 24) = substr(moved, 4, 24), concat('v2:', substr(moved, 4, 24), substr(moved, 28, 17), substr(a, 45)), a) AS x", "a", "moved")
+    assert other.where(decrypt_failed("x", KEY)).count() == other.where("x <> a").count() > 200
+    twice = encrypt_numbered(df, {"a": "p"}, KEY)
+    assert sorted(map(str, twice.collect())) == sorted(map(str, twice.collect()))  # a repeated task writes the same
+    blank = encrypt_numbered(spark.createDataFrame([("f", 1, " "), (None, 2, None)], "source_file string, record_number int, p string"), {"a": "p"}, KEY)
+    assert [r["a"] for r in blank.collect()] == [None, None]
+    with pytest.raises(Exception, match="a record without record_number"):
+        encrypt_numbered(spark.createDataFrame([("f", None, "x")], "source_file string, record_number int, p string"), {"a": "p"}, KEY).collect()
+
+
 def test_blank_values_are_not_encrypted(spark):
     df = spark.createDataFrame([(None,), ("",), (" \t",), ("x",)], "p string")
     assert [r[0] is None for r in encrypt_columns(df, {"a": "p"}, KEY).select("a").collect()] == [True, True, True, False]
