@@ -62,9 +62,9 @@ def test_pipeline(spark):
         docs = spark.read.parquet(path)
         counts.append(docs.count())
     assert counts[0] >= counts[1] >= counts[2] > 100
-    final = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
-    same = sorted(map(tuple, final.collect())) == sorted(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect()))
-    assert same and final.count() == counts[-1]
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    same = sorted(map(tuple, last.collect())) == sorted(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect()))
+    assert same and last.count() == counts[-1]
 
 
 def test_pipeline_without_rows(spark):
