@@ -84,20 +84,20 @@ class Chunk:
     """
 
     def __init__(self, texts: list[bytes], order: int, bits: int):
-        seen: dict[bytes, int] = {}
+        seen: dict[bytes, int] = defaultdict(itertools.count().__next__)  # a new word gets the next number
         parts, sizes = [], []
         for text in texts:
             size = 0
             for words in pieces(text):
-                parts.append(np.fromiter((seen.setdefault(word, len(seen)) for word in words), np.int64, len(words)))
+                parts.append(np.fromiter(map(seen.__getitem__, words), np.int64, len(words)))
                 size += len(words)
             sizes.append(size)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(word) for word in seen), np.uint64, len(seen))
-        words, buckets = list(seen), bucket_of(hashes, bits)
-        rank = sorted(range(len(words)), key=lambda i: (buckets[i], words[i]))
-        self.words, self.hashes = [words[i] for i in rank], hashes[rank]
+        words = sorted(seen)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        rank = np.argsort(bucket_of(hashes, bits), kind="stable")
+        self.words, self.hashes = list(map(words.__getitem__, rank.tolist())), hashes[rank]
         number = np.empty(len(words), np.int64)
-        number[rank] = np.arange(len(words))
+        number[np.fromiter(map(seen.__getitem__, self.words), np.int64, len(words))] = np.arange(len(words))
         self.n_words, self.start, self.end = len(words), len(words), len(words) + 1
         self.begin = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) + 2)])
         self.tokens = np.empty(self.begin[-1], np.int64)

@@ -71,3 +71,14 @@ def test_no_rows(spark):
     assert mixing.mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
     blank = spark.createDataFrame([(1, None, None, 0, "", 0), (2, " ", None, 0, "", 0)], SCHEMA)
     assert [(r["size"], r["target"], r["taken"]) for r in mixing.mix(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_rows_without_ids_are_dealt_out_one_by_one(spark):
+    """A source whose rows share an id, or have none, still comes near its target."""
+    rows = [(None, f"{'word ' * (20 + i % 30)}{i}", "none", 0, "", 0) for i in range(150)]
+    rows += [(7, f"{'word ' * (20 + i % 30)}{i}", "same", 0, "", 0) for i in range(150)]
+    rows += [(1000 + i, "word " * (10 + i % 50), "big", 0, "", 0) for i in range(400)]
+    found = mixing.mix(spark.createDataFrame(rows, SCHEMA)).groupBy("target").sum("taken").collect()
+    assert len(found) == 3
+    for row in found:
+        assert row["sum(taken)"] == pytest.approx(row["target"], rel=0.03)
