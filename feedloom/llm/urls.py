@@ -22,6 +22,7 @@ RULES = (
 )
 #: Letters of a word by which it is looked up; longer ones are looked up by their first letters and then compared.
 KEY_LETTERS = 20
+WINDOW = 64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -102,10 +103,16 @@ def split_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     """
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     base = math.log(max(total, 1))
-    starts = labels.select("label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("start"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(KEY_LETTERS), F.length("label") - F.col("start") + 1))
-    stretches = starts.select("label", "start", F.explode(lengths).alias("length"))
-    stretches = stretches.withColumn("word", F.col("label").substr(F.col("start"), F.col("length")))
+    # In windows of some letters, each with the beginning of the next one, since places far into a long text cost a search.
+    pieces = labels.select("label", F.regexp_extract_all("label", F.lit(f"(?s).{{1,{WINDOW}}}"), F.lit(0)).alias("pieces"))
+    behind = lambda i: F.left(F.coalesce(F.get("pieces", i + 1), F.lit("")), F.lit(KEY_LETTERS - 1))
+    windows = pieces.select("label", F.posexplode(F.transform("pieces", lambda piece, i: F.struct(piece.alias("piece"), F.concat(piece, behind(i)).alias("text")))))
+    starts = windows.select("label", "pos", "col.text", F.explode(F.sequence(F.lit(1), F.length("col.piece"))).alias("at"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(KEY_LETTERS), F.length("text") - F.col("at") + 1))
+    stretches = starts.select("label", "pos", "text", "at", F.explode(lengths).alias("length"))
+    stretches = stretches.select(
+        "label", (F.col("pos") * WINDOW + F.col("at")).alias("start"), "length", F.col("text").substr(F.col("at"), F.col("length")).alias("word")
+    )
     short = stretches.join(words, "word").select("label", "start", "length", "n")
     longer = words.where(F.length("word") > KEY_LETTERS).withColumn("key", F.left("word", F.lit(KEY_LETTERS)))
     keyed = stretches.where(F.col("length") == KEY_LETTERS).withColumnRenamed("word", "key").drop("length")
