@@ -167,6 +167,11 @@ checked AS (
 """
 
 
+def by_batch(rows: DataFrame) -> DataFrame:
+    """Rows dealt out by ``batch``, mostly one to a task whatever their number; left to Spark, a task's share grows."""
+    return rows.repartition(4 * rows.agg(F.count_distinct("batch")).first()[0] + 1, "batch")
+
+
 def numbered_batches(lines: DataFrame, path: str, header: str | None = None, line_end: str = "\n") -> str:
     """Write ``(batch, place, line)`` as one text file per batch, in place order.
 
@@ -177,6 +182,6 @@ def numbered_batches(lines: DataFrame, path: str, header: str | None = None, lin
         first = lines.select("batch").distinct()
         head = first.select("batch", F.lit(-1).cast("bigint").alias("place"), F.lit(header).alias("line"))
         lines = lines.unionByName(head)
-    ordered = lines.repartition("batch").sortWithinPartitions("batch", "place")
+    ordered = by_batch(lines).sortWithinPartitions("batch", "place")
     ordered.select("batch", "line").write.partitionBy("batch").text(path, lineSep=line_end)
     return path

@@ -14,7 +14,7 @@ from feedloom.operators.convert import convert_json
 from feedloom.operators.rewrite import split_feed, write_csv_parts
 from feedloom.plans.employee import EMPLOYEE
 from feedloom.queries.raw_feed import (
-    COLUMNS, FEED_CTES, RAW_FEED, numbered_batches, raw_columns, raw_feed, sql_on, table,
+    COLUMNS, FEED_CTES, RAW_FEED, by_batch, numbered_batches, raw_columns, raw_feed, sql_on, table,
 )
 from feedloom.schema import LONG, STRUCT, Field
 from feedloom.session import new_path, stage
@@ -188,10 +188,11 @@ def _in_blocks(spark: SparkSession, path: str) -> Iterator[None]:
 
 def json_one_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays that are one line each, read in some twenty blocks; brackets and quotes stand in strings too."""
-    elements = table(spark, sf_dir, "orders").selectExpr(
-        f"o_orderkey DIV {BATCH} AS batch",
+    orders = by_batch(table(spark, sf_dir, "orders").withColumn("batch", F.expr(f"o_orderkey DIV {BATCH}")))
+    elements = orders.selectExpr(
+        "batch",
         "o_orderkey AS place",
-        f"row_number() OVER (PARTITION BY o_orderkey DIV {BATCH} ORDER BY o_orderkey) AS n",
+        "row_number() OVER (PARTITION BY batch ORDER BY o_orderkey) AS n",
         "to_json(named_struct('key', o_orderkey, 'note', concat('}, {\"', o_orderstatus, '\\\\\": ]'),"
         " 'parts', named_struct('priority', o_orderpriority, 'customer', o_custkey))) AS object",
     )

@@ -10,6 +10,7 @@ block is then cut on its own; only the elements that lie across blocks meet.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,6 +25,8 @@ RAW = "__raw"
 STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 _LAST = "~"
 _PIECE = "__piece"
+#: Weight of the pieces that one task orders: bytes of text, and so many bytes a piece for its numbers.
+TASK_BYTES, PIECE_BYTES = 8 << 20, 100
 
 
 def values(text: str) -> str:
@@ -40,8 +43,8 @@ def array_pieces(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataF
     """The pieces of files, without the bracket at their end, and the staged block table.
 
     A block has ``block_no``, ``first_id``, ``n``, ``pieces_before``,
-    ``is_array`` (the file's first character that is not blank is ``[``) and
-    ``open_id``, the file's last piece if no bracket ends it.
+    ``is_array`` (the file's first character that is not blank is ``[``),
+    ``open_id``, the file's last piece if no bracket ends it, and ``bytes``.
     """
     pieces = L.read_lines(spark, paths, F.lit(True), "}", file_size=F.col("_metadata.file_size"))
     begins = F.expr(f"ascii(left({trimmed(L.TEXT)}, 1))")
@@ -67,10 +70,21 @@ def array_pieces(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataF
         F.coalesce(F.sum("n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("pieces_before"),
         F.coalesce(F.max("begins").over(whole) == ord("["), F.lit(False)).alias("is_array"),
         F.when(last & ~closed, F.col("last_id")).alias("open_id"),
+        "bytes",
     )
     return pieces.drop("file_size"), stage(index, "piece-blocks")
 
 
+def _tasks(index: DataFrame) -> int:
+    """How many tasks the blocks of arrays are dealt out to: a task's share is the same whatever the feed's size.
+
+    Left to Spark, tasks grow with the feed until their compressed rows have
+    its advised size, many times as much in memory where lines are alike.
+    """
+    blocks, size = index.where("is_array").agg(F.count("*"), F.sum(F.col("bytes") + F.col("n") * PIECE_BYTES)).first()
+    return max(1, min(2 * blocks, math.ceil((size or 0) / TASK_BYTES)))
+
+
 def _depth(text: str) -> str:
     size = f"octet_length({text})"
     opened, closed = (f"({size} - octet_length(translate({text}, '{pair}', '')))" for pair in ("{[", "}]"))
@@ -79,7 +93,7 @@ def _depth(text: str) -> str:
 
 def _measured(pieces: DataFrame, index: DataFrame) -> DataFrame:
     """Pieces of arrays with their quotes and their change of depth from outside and from inside a string."""
-    arrays = index.where("is_array").drop("is_array")
+    arrays = index.where("is_array").drop("is_array", "bytes")
     rows = L.with_block_columns(pieces.join(F.broadcast(arrays.select(L.FILE).distinct()), L.FILE, "left_semi"), arrays)
     is_open = F.coalesce(F.col(L.LINE_ID) == F.col("open_id"), F.lit(False))
     rows = rows.withColumn("__open", is_open).where(~(F.col("__open") & F.expr(is_blank(L.TEXT))))
@@ -103,10 +117,10 @@ def _earlier(column: str, window) -> Column:
     return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def _block_states(pieces: DataFrame, index: DataFrame) -> DataFrame:
+def _block_states(pieces: DataFrame, index: DataFrame, tasks: int) -> DataFrame:
     """The staged block table with the state at each block's beginning and end."""
     in_block = Window.partitionBy("block_no").orderBy(L.LINE_ID)
-    numbers = _measured(pieces, index).select("block_no", L.LINE_ID, "__quotes", "__out", "__in")
+    numbers = _measured(pieces, index).select("block_no", L.LINE_ID, "__quotes", "__out", "__in").repartition(tasks, "block_no")
     inside = _earlier("__quotes", in_block) % 2 == 1
     numbers = numbers.withColumn("__inside", inside)
     maps = numbers.groupBy("block_no").agg(
@@ -135,14 +149,15 @@ def _block_states(pieces: DataFrame, index: DataFrame) -> DataFrame:
 
 def array_elements(pieces: DataFrame, index: DataFrame, on_broken: str) -> DataFrame:
     """``source_file``, ``record_number`` and the text of every element; NULL where the file is not JSON."""
-    states = _block_states(pieces, index)
+    tasks = _tasks(index)
+    states = _block_states(pieces, index, tasks)
     if on_broken == "fail":
         broken = states.where("unfinished").select(L.FILE).first()
         if broken is not None:
             raise ValueError(f"not valid JSON: {broken[0]}")
     small = states.select("block_no", "pieces_before", "inside_before", "depth_before", "whole_end")
     in_block = Window.partitionBy("block_no").orderBy(L.LINE_ID)
-    rows = _measured(pieces, index).drop("pieces_before").join(L.if_small(small), "block_no")
+    rows = _measured(pieces, index).drop("pieces_before").repartition(tasks, "block_no").join(L.if_small(small), "block_no")
     inside = F.col("inside_before") != (_earlier("__quotes", in_block) % 2 == 1)
     rows = rows.withColumn("__inside", inside)
     rows = rows.withColumn("__change", F.when(F.col("__inside"), F.col("__in")).otherwise(F.col("__out")))
@@ -187,7 +202,7 @@ def array_elements(pieces: DataFrame, index: DataFrame, on_broken: str) -> DataF
     )
     whole = chunks.where("NOT across").select(L.FILE, L.BLOCK, "__chunk", "body", "first", "behind", "closes")
     elements = stage(_elements(whole.unionByName(met)), "elements")
-    return _numbered(elements)
+    return _numbered(elements, tasks)
 
 
 def _elements(chunks: DataFrame) -> DataFrame:
@@ -209,13 +224,13 @@ def _elements(chunks: DataFrame) -> DataFrame:
     return parsed.withColumn("all", F.expr("coalesce(transform(all, x -> coalesce(x, 'null')), array(cast(NULL AS string)))"))
 
 
-def _numbered(elements: DataFrame) -> DataFrame:
+def _numbered(elements: DataFrame, tasks: int) -> DataFrame:
     """Numbers 1, 2, 3... per file, from the counts of chunks and blocks."""
     in_block, in_file = Window.partitionBy(L.FILE, L.BLOCK).orderBy("__chunk"), Window.partitionBy(L.FILE).orderBy(L.BLOCK)
     sizes = elements.select(L.FILE, L.BLOCK, "__chunk", F.size("all").alias("size"))
     blocks = sizes.groupBy(L.FILE, L.BLOCK).agg(F.sum("size").alias("size"))
     blocks = stage(blocks.select(L.FILE, L.BLOCK, _earlier("size", in_file).alias("lines_before")), "element-blocks")
-    placed = elements.withColumn("__before", _earlier_sizes(in_block))
+    placed = elements.repartition(tasks, L.FILE, L.BLOCK).withColumn("__before", _earlier_sizes(in_block))
     placed = placed.select(L.FILE, L.BLOCK, "__before", F.posexplode("all").alias("__at", RAW))
     numbered = L.with_block_columns(placed, blocks)
     return numbered.select(L.FILE, (F.col("lines_before") + F.col("__before") + F.col("__at") + 1).alias("record_number"), RAW)

@@ -7,8 +7,11 @@ import random
 
 import pytest
 from fixtures import json_lines, json_record, write
+from pyspark.sql import functions as F
 
 from feedloom.plans.employee import EMPLOYEE
+from feedloom.queries.raw_feed import numbered_batches
+from feedloom.sources import json_array
 from feedloom.sources.json_feed import read_json, read_json_elements
 from feedloom.sources.reader import read_feed
 
@@ -153,6 +156,31 @@ def test_one_line_arrays_are_read_by_many_tasks(small_blocks, tmp_path):
     assert sorted(found["e.json"]) == [(1, {"id": 1}), (2, {"id": 2})]
 
 
+def test_tasks_of_a_large_array_have_bounded_shares(small_blocks, tmp_path, monkeypatch):
+    """However many pieces there are, none of the tasks that order them has more than its share of blocks."""
+    staged, stage = {}, json_array.stage
+    monkeypatch.setattr(json_array, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    monkeypatch.setattr(json_array, "TASK_BYTES", 100_000, raising=False)
+    small_blocks.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    n = 20_000
+    source = write(tmp_path / "a.json", "[" + ",".join('{"n":%d}' % i for i in range(n)) + "]")
+    rows = read_json_elements(small_blocks, source).withColumn("task", F.spark_partition_id())
+    found = rows.collect()
+    assert sorted((r["record_number"], r["__raw"]) for r in found) == [(i + 1, '{"n":%d}' % i) for i in range(n)]
+    chunks = staged["array-chunks"].groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    numbered_ = max(sum(r["task"] == task for r in found) for task in {r["task"] for r in found})
+    assert chunks < n / 3 and numbered_ < n / 3
+
+
+def test_batches_are_written_by_as_many_tasks(spark, tmp_path):
+    lines = spark.range(0, 4000, 1, 4).selectExpr("id DIV 100 AS batch", "id AS place", "cast(id AS string) AS line")
+    numbered_batches(lines, str(tmp_path / "batches"), "n")
+    files = list((tmp_path / "batches").rglob("part-*"))
+    assert len(files) == 40 and len({p.name for p in files}) > 10  # a name holds its task's number
+    texts = {p.parent.name: p.read_text() for p in files}
+    assert texts["batch=7"] == "".join(f"{line}\n" for line in ["n", *range(700, 800)])
+
+
 @pytest.mark.parametrize("text", ['[{"a":1},', '[{"a":1}', '[{"a":1}]}', '[{"a":"}]', "[", '[{"a":1}{"a":2}]', '[{"a":1},]', '[,{"a":1}]', '[{"a":1}],', '[{"a":1}]]'])
 def test_broken_one_line_arrays(spark, tmp_path, text):
     source = write(tmp_path / "a.json", text)
